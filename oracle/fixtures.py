@@ -133,3 +133,60 @@ def with_tables(*names: str, extra: str = "") -> str:
     if extra:
         body += "," + extra
     return "WITH " + body + "\n"
+
+BUILDINGS = """
+code_table AS (SELECT * FROM (VALUES (0, '100 ', 'RESIDENTIAL VACANT LAND'), (1, '200 ', 'COMMERCIAL VACANT LAND'),
+  (2, '1112 ', 'SINGLE FAMILY LAND'), (3, '1212 ', 'SINGLE FAMILY STRUCTURE'), (4, '1214 ', 'TOWNHOUSE STRUCTURE'),
+  (5, '1230 ', 'CONDOMINIUM UNIT'), (6, '1231 ', 'CONDOMINIUM UNIT'), (7, '2212 ', 'MERCHANDISING STRUCTURE'),
+  (8, '2235 ', 'WAREHOUSE/STORAGE STRUCTURE'), (9, '1131 ', 'LEASEHOLD CONDO/HOTEL LAND'), (10, '9151 ', 'CHURCH LAND'),
+  (11, '9142 ', 'SCHOOL DISTRICT LAND')) AS t(i, code, description)),
+buildings AS (
+  SELECT p.* REPLACE (CASE WHEN CAST(p.schno AS INT) % 4 = 0 THEN 0.0 ELSE CAST(CAST(p.schno AS INT) % 3 * 200 AS DOUBLE) END AS garage_size),
+    c.code AS bldg_code,
+    CASE WHEN trim(c.code) IN ('1212') THEN 'Single Family Home'
+         WHEN trim(c.code) IN ('1214', '1230', '1231') THEN 'Apartment/Condo/Townhome'
+         WHEN lower(c.description) LIKE '%residential%' OR lower(c.description) LIKE '%dwelling%' OR lower(c.description) LIKE '%apartment%' OR lower(c.description) LIKE '%residence%' OR lower(c.description) LIKE '%res%' THEN 'Residential'
+         WHEN lower(c.description) LIKE '%commercial%' OR lower(c.description) LIKE '%store%' OR lower(c.description) LIKE '%office%' OR lower(c.description) LIKE '%hotel%' OR lower(c.description) LIKE '%lodging%' OR lower(c.description) LIKE '%retail%' OR lower(c.description) LIKE '%bank%' THEN 'Commercial'
+         WHEN lower(c.description) LIKE '%industrial%' OR lower(c.description) LIKE '%warehouse%' OR lower(c.description) LIKE '%factory%' THEN 'Industrial'
+         WHEN lower(c.description) LIKE '%public%' OR lower(c.description) LIKE '%school%' OR lower(c.description) LIKE '%church%' OR lower(c.description) LIKE '%hospital%' OR lower(c.description) LIKE '%government%' THEN 'Public/Institutional'
+         ELSE 'Other' END AS building_type
+  FROM parcels p LEFT JOIN code_table c ON c.i = CAST(p.schno AS INT) % 12)"""
+
+OWNER_FRAME = OWNERS + "," + BUILDINGS + """,
+owner_frame AS (
+  SELECT b.schno, b.city, b.state, b.sfla, b.garage_size, b.building_type, o.primary_owner,
+    CASE WHEN o.primary_owner IS NULL THEN 'Unknown'
+      WHEN upper(o.primary_owner) LIKE '%LLC%' OR upper(o.primary_owner) LIKE '%LIMITED LIABILITY%' THEN 'LLC / Limited Liability'
+      WHEN upper(o.primary_owner) LIKE '%TRUST%' OR upper(o.primary_owner) LIKE '%TR%' OR upper(o.primary_owner) LIKE '%TRUSTEE%' THEN 'Trust'
+      WHEN upper(o.primary_owner) LIKE '%INC%' OR upper(o.primary_owner) LIKE '%CORP%' OR upper(o.primary_owner) LIKE '%INCORPORATED%' OR upper(o.primary_owner) LIKE '%LTD%' THEN 'Corporation'
+      WHEN upper(o.primary_owner) LIKE '%PARTNERS%' OR upper(o.primary_owner) LIKE '%LP%' OR upper(o.primary_owner) LIKE '%LLP%' THEN 'Partnership'
+      WHEN upper(o.primary_owner) LIKE '%CHURCH%' OR upper(o.primary_owner) LIKE '%DIOCESE%' OR upper(o.primary_owner) LIKE '%MINISTRIES%' OR upper(o.primary_owner) LIKE '%TEMPLE%' OR upper(o.primary_owner) LIKE '%SYNAGOGUE%' OR upper(o.primary_owner) LIKE '%MOSQUE%' THEN 'Church / Religious'
+      ELSE 'Individual' END AS owner_type,
+    CASE WHEN b.city IN ('BRECKENRIDGE', 'FRISCO', 'DILLON', 'SILVERTHORNE', 'KEYSTONE', 'COPPER MOUNTAIN') THEN 'In-County'
+      WHEN b.state = 'CO' THEN 'In-State (Out of County)' ELSE 'Out of State' END AS location_type
+  FROM buildings b LEFT JOIN owners o ON o.schno = b.schno)"""
+
+SITUS = """
+situs AS (
+  SELECT schno, town, num, pdir, name, suff, sdir, unit, city, state,
+    CASE k % 4 WHEN 0 THEN upper(concat_ws(' ', CAST(num AS VARCHAR), pdir, name, suff, CASE WHEN unit IS NOT NULL THEN '#' || unit END))
+      WHEN 1 THEN upper(CAST(num AS VARCHAR) || ' ' || name || ' AVE')
+      WHEN 2 THEN 'PO BOX ' || CAST(k % 300 AS VARCHAR)
+      ELSE address END AS address
+  FROM (SELECT schno, town, address, city, state, CAST(schno AS INT) AS k,
+    CASE WHEN CAST(schno AS INT) % 13 = 0 THEN 0 ELSE CAST(schno AS INT) % 997 END AS num,
+    CASE WHEN CAST(schno AS INT) % 4 = 0 THEN 'N' END AS pdir,
+    CASE CAST(schno AS INT) % 3 WHEN 0 THEN 'Main' WHEN 1 THEN 'Ski Hill' ELSE 'Park' END AS name,
+    CASE CAST(schno AS INT) % 2 WHEN 0 THEN 'St' ELSE 'Rd' END AS suff,
+    CAST(NULL AS VARCHAR) AS sdir,
+    CASE WHEN CAST(schno AS INT) % 5 = 0 THEN CAST(CAST(schno AS INT) % 40 AS VARCHAR) END AS unit
+  FROM parcels) s)"""
+
+BLOCKS.update({"buildings": BUILDINGS, "owner_frame": OWNER_FRAME, "situs": SITUS})
+
+INDEX = """
+annual_index AS (
+  SELECT year, avg_value, (avg_value / LAG(avg_value) OVER (ORDER BY year) - 1) * 100 AS return_pct
+  FROM (SELECT CAST(year(l_shipdate) AS INT) AS year, AVG(l_extendedprice) AS avg_value FROM lineitem GROUP BY 1) a)"""
+
+BLOCKS["annual_index"] = INDEX

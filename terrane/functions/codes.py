@@ -129,4 +129,51 @@ SIMILAR_YEAR_UNIT = 10.0
 SIMILAR_MIN_SAME_TOWN = 5
 SIMILAR_TOP = 3
 
+# Building class code table (subset of the county's abstract codes, one per
+# keyword class): code as printed (padded), description.
+BUILDING_CODES = [
+    ("100 ", "RESIDENTIAL VACANT LAND"),
+    ("200 ", "COMMERCIAL VACANT LAND"),
+    ("1112 ", "SINGLE FAMILY LAND"),
+    ("1212 ", "SINGLE FAMILY STRUCTURE"),
+    ("1214 ", "TOWNHOUSE STRUCTURE"),
+    ("1230 ", "CONDOMINIUM UNIT"),
+    ("1231 ", "CONDOMINIUM UNIT"),
+    ("2212 ", "MERCHANDISING STRUCTURE"),
+    ("2235 ", "WAREHOUSE/STORAGE STRUCTURE"),
+    ("1131 ", "LEASEHOLD CONDO/HOTEL LAND"),
+    ("9151 ", "CHURCH LAND"),
+    ("9142 ", "SCHOOL DISTRICT LAND"),
+]
+# The two residential building labels, assigned by code before keyword classes.
+RESIDENTIAL_BUILDING_LABELS = {
+    "Single Family Home": ["1212"],
+    "Apartment/Condo/Townhome": ["1214", "1230", "1231"],
+}
+
+# Physical-city decode used by the owner-occupancy check (Q3k); else OTHER.
+TOWN_PHYSICAL_CITY = {
+    "B": "BRECKENRIDGE",
+    "D": "DILLON",
+    "F": "FRISCO",
+    "S": "SILVERTHORNE",
+    "K": "KEYSTONE",
+    "C": "COPPER MOUNTAIN",
+    "M": "MONTEZUMA",
+    "R": "RURAL",
+    "BR": "BLUE RIVER",
+    "H": "HEENEY",
+}
+SUMMIT_TOWNS = ["BRECKENRIDGE", "DILLON", "FRISCO", "SILVERTHORNE", "KEYSTONE", "COPPER MOUNTAIN",
+                "BLUE RIVER", "MONTEZUMA", "HEENEY"]
+PO_BOX_PATTERN = "PO BOX|P.O. BOX"
+
+# Cities averaged by the cross-city trend (A34) and shown by the trends chart.
+TREND_CITIES = ["BRECKENRIDGE", "FRISCO", "SILVERTHORNE", "DILLON", "KEYSTONE"]
+
+# Correlation strength cut-offs and significance level.
+CORR_MODERATE = 0.3
+CORR_STRONG = 0.6
+SIGNIFICANCE = 0.05
+
 # --- end of FIXED VALUES -----------------------------------------------------

@@ -100,3 +100,73 @@ def a14(spark, d):
 @register("Q3m")
 def q3m(spark, d):
     return market.dataset_sample(_metrics(spark, d), limit=1000)
+
+
+# --- owners, inventory, supply, statistics ------------------------------------
+
+from . import owners, stats, supply  # noqa: E402
+
+
+def _frame(spark, d):
+    p = fx.with_building_code(fx.parcels(spark, d))
+    return owners.owner_frame(spark, p, fx.owners(p))
+
+
+def _owner_trends(spark, d):
+    return owners.owner_purchase_trends(fx.parcels(spark, d))
+
+
+def _buyer_rates(spark, d):
+    piv = stats.buyer_share_pivot(_owner_trends(spark, d))
+    return stats.buyer_rate_frame(piv, fx.macro(spark, d), fx.annual_index(spark, d))
+
+
+MATRIX_COLS = ["out_of_state_share", "in_state_share", "local_share", "total_volume", "return_pct", "rate",
+               "rate_delta"]
+
+
+for _k, _fn in {
+    "A5": lambda s, d: supply.cumulative_supply(fx.parcels(s, d)),
+    "A6": lambda s, d: owners.owner_location_stats(fx.parcels(s, d)),
+    "A7": lambda s, d: owners.inventory_profile(fx.parcels(s, d)),
+    "A8": _owner_trends,
+    "Q3g": lambda s, d: owners.classify_codes(s, fx.with_building_code(fx.parcels(s, d))).select(
+        "schno", "bldg_code", "building_type"),
+    "Q3h": lambda s, d: _frame(s, d).select("schno", "primary_owner", "owner_type"),
+    "A15_owner_type": lambda s, d: owners.share(_frame(s, d), "owner_type"),
+    "A15_location": lambda s, d: owners.share(_frame(s, d), "location_type"),
+    "A15_building": lambda s, d: owners.share(_frame(s, d), "building_type"),
+    "A16": lambda s, d: owners.properties_per_owner(_frame(s, d)),
+    "A17_type": lambda s, d: owners.ownership_distribution(owners.properties_per_owner(_frame(s, d))),
+    "A17_location": lambda s, d: owners.ownership_distribution(owners.properties_per_owner(_frame(s, d)),
+                                                               "location_type"),
+    "A17_multi": lambda s, d: owners.multi_owner_breakdown(owners.properties_per_owner(_frame(s, d))),
+    "A18": lambda s, d: owners.large_owners(_frame(s, d)),
+    "A19": lambda s, d: owners.buyer_characteristics(_frame(s, d)),
+    "A20": lambda s, d: owners.owner_portfolio(_frame(s, d)),
+    "A21": lambda s, d: owners.out_of_state_states(_frame(s, d)),
+    "Q3k": lambda s, d: owners.owner_occupancy(fx.situs(fx.parcels(s, d))),
+    "A22": lambda s, d: supply.supply_timeline(fx.parcels(s, d)),
+    "A23": lambda s, d: supply.hotel_growth(owners.classify_codes(s, fx.with_building_code(fx.parcels(s, d)))),
+    "A24": lambda s, d: supply.contextual_growth(supply.supply_timeline(fx.parcels(s, d)).select(
+        "year_blt", "cumulative_units"), {"macro_rate": fx.macro(s, d)}),
+    "A25": lambda s, d: stats.annual_mean(fx.macro(s, d)),
+    "A26": lambda s, d: stats.buyer_share_pivot(_owner_trends(s, d)),
+    "A27": lambda s, d: stats.rate_delta(fx.macro(s, d)),
+    "A28": lambda s, d: stats.share_rate_correlations(_buyer_rates(s, d)),
+    "A29": lambda s, d: stats.correlation_matrix(_buyer_rates(s, d), MATRIX_COLS),
+    "A30": lambda s, d: stats.correlation_test(_buyer_rates(s, d), "rate", "out_of_state_share"),
+    "A31": lambda s, d: stats.trend_line(_buyer_rates(s, d), "rate", "out_of_state_share"),
+    "A32": lambda s, d: stats.out_of_state_share(_owner_trends(s, d), 2000),
+    "A33": lambda s, d: stats.headline_metrics(market.market_trends(_metrics(s, d), exclude_multiunit=True)),
+    "A34": lambda s, d: stats.cross_city_trend(market.market_trends(_metrics(s, d), exclude_multiunit=True)),
+    "A35": lambda s, d: supply.supply_per_resident(s, supply.cumulative_supply(fx.parcels(s, d))),
+    "J3": lambda s, d: supply.supply_population_join(supply.cumulative_supply(fx.parcels(s, d)),
+                                                     supply.known_population(s)),
+    "A36": lambda s, d: stats.month_city_volume(market.seasonality(_metrics(s, d), after_year=SEASONALITY_AFTER)),
+    "A37": lambda s, d: stats.slot_coverage(fx.parcels(s, d)),
+    "A38": lambda s, d: stats.reconciliation(_owner_trends(s, d), fx.parcels(s, d),
+                                             market.market_trends(_metrics(s, d)).columns),
+    "A40": lambda s, d: stats.distinct_years(market.market_trends(_metrics(s, d), exclude_multiunit=True)),
+}.items():
+    REGISTRY[_k] = _fn

@@ -169,3 +169,45 @@ def predictions(parcels_df: DataFrame) -> DataFrame:
         F.col("recdate1").alias("tx_date"),
         actual.alias("actual"),
         (actual * (80 + k % 41).cast("double") / F.lit(100).cast("double")).alias("predicted"))
+
+
+def with_building_code(parcels_df: DataFrame) -> DataFrame:
+    """Adds a building-class code (padded text, as the code table prints it) and
+    a garage size to the parcel rows; both picked deterministically by key."""
+    from ..functions import codes
+
+    k = _k()
+    code_list = F.array(*[F.lit(c) for c, _ in codes.BUILDING_CODES])
+    return parcels_df.withColumns({
+        "bldg_code": F.element_at(code_list, (k % len(codes.BUILDING_CODES) + 1).cast("int")),
+        "garage_size": F.when(k % 4 == 0, F.lit(0.0)).otherwise((k % 3 * 200).cast("double")),
+    })
+
+
+def situs(parcels_df: DataFrame) -> DataFrame:
+    """Physical-address parts and a mailing address per parcel: a quarter mail
+    to the house itself, a quarter to the same number and street, a quarter to a
+    PO box, the rest elsewhere."""
+    k = _k()
+    num = F.when(k % 13 == 0, F.lit(0)).otherwise(k % 997)
+    name = _case(k % 3, [(0, "Main"), (1, "Ski Hill")], "Park")
+    suff = _case(k % 2, [(0, "St")], "Rd")
+    pdir = _case(k % 4, [(0, "N")])
+    unit = F.when(k % 5 == 0, (k % 40).cast("string"))
+    phys = F.concat_ws(" ", num.cast("string"), pdir, name, suff)
+    mailing = (F.when(k % 4 == 0, F.upper(F.concat_ws(" ", phys, F.when(unit.isNotNull(), F.concat(F.lit("#"), unit)))))
+               .when(k % 4 == 1, F.upper(F.concat(num.cast("string"), F.lit(" "), name, F.lit(" AVE"))))
+               .when(k % 4 == 2, F.concat(F.lit("PO BOX "), (k % 300).cast("string")))
+               .otherwise(F.col("address")))
+    return parcels_df.select(
+        "schno", "town", num.alias("num"), pdir.alias("pdir"), name.alias("name"), suff.alias("suff"),
+        F.lit(None).cast("string").alias("sdir"), unit.alias("unit"),
+        mailing.alias("address"), F.col("city"), F.col("state"))
+
+
+def annual_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stands for an annual market index ``(year, avg_value, return_pct)``."""
+    li = read_table(spark, sf_dir, "lineitem")
+    a = li.groupBy(F.year("l_shipdate").alias("year")).agg(F.avg("l_extendedprice").alias("avg_value"))
+    prev = F.lag("avg_value").over(Window.orderBy("year"))
+    return a.select("year", "avg_value", ((F.col("avg_value") / prev - 1) * 100).alias("return_pct"))
