@@ -170,3 +170,41 @@ for _k, _fn in {
     "A40": lambda s, d: stats.distinct_years(market.market_trends(_metrics(s, d), exclude_multiunit=True)),
 }.items():
     REGISTRY[_k] = _fn
+
+
+# --- ingest: S1-S7 --------------------------------------------------------------
+
+from ..functions import clean  # noqa: E402
+from ..operators import ingest as ing  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+INGEST_AS_OF_YEAR = 2025
+
+
+def _validated(spark, d):
+    return ing.validate_records(ing.null_na_tokens(fx.raw_text(fx.parcels(spark, d))), INGEST_AS_OF_YEAR)
+
+
+def _two_batches(spark, d):
+    """The text rows as a first load (pos 1) plus a later correction of every
+    tenth parcel's fee (pos 2): the upsert must keep the correction."""
+    raw = fx.raw_text(fx.parcels(spark, d))
+    k = F.col("schno").cast("int")
+    later = raw.where(k % 10 == 0).withColumn("docfee1", F.lit("99"))
+    return raw.withColumn("pos", F.lit(1)).unionByName(later.withColumn("pos", F.lit(2)))
+
+
+for _k, _fn in {
+    "S1": lambda s, d: ing.null_na_tokens(fx.raw_text(fx.parcels(s, d))),
+    "S2": lambda s, d: ing.accepted(_validated(s, d)),
+    "S3": lambda s, d: fx.raw_text(fx.parcels(s, d)).select(
+        "schno", "recdate1", clean.standardize_date("recdate1").alias("tx_date")),
+    "S4": lambda s, d: fx.raw_text(fx.parcels(s, d)).select(
+        "schno", "docfee1", clean.clean_numeric("docfee1").alias("doc_fee")),
+    "S5": lambda s, d: fx.raw_text(fx.parcels(s, d)).select(
+        "schno", "year_blt", clean.valid_year(clean.clean_numeric("year_blt"), INGEST_AS_OF_YEAR).alias("valid_year")),
+    "S6": lambda s, d: ing.rejected(_validated(s, d)),
+    "S7": lambda s, d: ing.ingest(_two_batches(s, d), INGEST_AS_OF_YEAR)[0],
+    "S7_counts": lambda s, d: ing.ingest_counters(_validated(s, d)),
+}.items():
+    REGISTRY[_k] = _fn

@@ -85,12 +85,13 @@ def raw_text(parcels_df: DataFrame) -> DataFrame:
     """Stands for ``records.csv``: all-text rows with dirty values by modulo."""
     k = _k()
     d = F.col("recdate1")
-    mdy = F.concat(F.month(d).cast("string"), F.lit("/"), F.dayofmonth(d).cast("string"), F.lit("/"),
-                   F.year(d).cast("string"))
+    # concat_ws('') skips NULL parts, as the SQL form's concat does
+    mdy = F.concat_ws("", F.month(d).cast("string"), F.lit("/"), F.dayofmonth(d).cast("string"), F.lit("/"),
+                      F.year(d).cast("string"))
     return parcels_df.select(
         F.when(k % 211 == 0, F.lit(None).cast("string")).otherwise(F.col("schno")).alias("schno"),
         F.when(k % 53 == 0, F.lit("NOT A DATE"))
-         .when(k % 7 == 0, F.concat(mdy, F.lit(" 9:13:25 AM")))
+         .when(k % 7 == 0, F.concat_ws("", mdy, F.lit(" 9:13:25 AM")))
          .otherwise(mdy).alias("recdate1"),
         F.when(k % 31 == 0, F.lit("n/a")).when(k % 29 == 0, F.lit("  25.50  "))
          .otherwise((k % 90).cast("string")).alias("docfee1"),
