@@ -176,4 +176,36 @@ CORR_MODERATE = 0.3
 CORR_STRONG = 0.6
 SIGNIFICANCE = 0.05
 
+# Lift-name keywords per resort for line distances (G4), matched case-insensitively.
+RESORT_LIFT_KEYWORDS = {
+    "dist_breck": ["Breckenridge", "Peak 8", "Peak 9", "Peak 7", "Peak 6", "Beaver Run", "Quicksilver",
+                   "SuperConnect", "Imperial", "Falcon"],
+    "dist_keystone": ["Keystone", "River Run", "Montezuma", "Peru", "Santiago", "Outback", "Wayback"],
+    "dist_copper": ["Copper", "American Eagle", "American Flyer", "Super Bee", "Kokomo", "Union Creek", "Timberline"],
+    "dist_abasin": ["Arapahoe", "Black Mountain", "Pallavicini", "Lenawee", "Zuma"],
+    "dist_dillon": ["Dillon Marina"],
+}
+
+# Default resort distances (miles) by city centre (G7); unknown cities use the
+# BRECKENRIDGE row.
+CITY_DEFAULT_DISTANCES = {
+    "BRECKENRIDGE": {"dist_breck": 0.5, "dist_keystone": 12, "dist_copper": 16, "dist_abasin": 18, "dist_dillon": 10},
+    "FRISCO": {"dist_breck": 9, "dist_keystone": 9, "dist_copper": 6, "dist_abasin": 13, "dist_dillon": 4},
+    "SILVERTHORNE": {"dist_breck": 12, "dist_keystone": 7, "dist_copper": 11, "dist_abasin": 10, "dist_dillon": 1},
+    "DILLON": {"dist_breck": 11, "dist_keystone": 5, "dist_copper": 12, "dist_abasin": 9, "dist_dillon": 0.5},
+    "KEYSTONE": {"dist_breck": 14, "dist_keystone": 0.5, "dist_copper": 15, "dist_abasin": 6, "dist_dillon": 6},
+    "COPPER MOUNTAIN": {"dist_breck": 17, "dist_keystone": 18, "dist_copper": 0.5, "dist_abasin": 21, "dist_dillon": 12},
+}
+DEFAULT_DISTANCE_CITY = "BRECKENRIDGE"
+
+# Cities kept by the geo export.
+GEO_EXPORT_CITIES = ["BRECKENRIDGE", "FRISCO", "SILVERTHORNE", "DILLON", "KEYSTONE", "COPPER MOUNTAIN"]
+
+# UTM zone 13N on WGS84 (G4 projection).
+UTM_CENTRAL_MERIDIAN = -105.0
+UTM_SCALE = 0.9996
+UTM_FALSE_EASTING = 500000.0
+WGS84_A = 6378137.0
+WGS84_F = 1 / 298.257223563
+
 # --- end of FIXED VALUES -----------------------------------------------------

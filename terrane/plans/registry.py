@@ -208,3 +208,34 @@ for _k, _fn in {
     "S7_counts": lambda s, d: ing.ingest_counters(_validated(s, d)),
 }.items():
     REGISTRY[_k] = _fn
+
+
+# --- geo: G1-G7, A39 -------------------------------------------------------------
+
+from ..operators import geo  # noqa: E402
+
+
+def _points(spark, d):
+    return geo.clean_address_points(fx.address_points(fx.parcels(spark, d)))
+
+
+def _parcel_geo(spark, d):
+    p = fx.parcels(spark, d)
+    return geo.nearest_lift(geo.resort_point_distances(geo.join_coordinates(p, _points(spark, d))))
+
+
+for _k, _fn in {
+    "G1": _points,
+    "G2": lambda s, d: geo.join_coordinates(market.training_data(fx.parcels(s, d)), _points(s, d)).select(
+        "schno", "tx_date", "price", "city", "latitude", "longitude", "full_address"),
+    "G3": lambda s, d: _parcel_geo(s, d).select("schno", *geo.DIST_COLS),
+    "G4": lambda s, d: geo.nearest_lift(geo.lift_line_distances(
+        geo.join_coordinates(fx.parcels(s, d), _points(s, d)), fx.lift_lines())).select(
+        "schno", *geo.DIST_COLS, "dist_to_lift"),
+    "G5": lambda s, d: _parcel_geo(s, d).select("schno", "dist_to_lift"),
+    "G6": lambda s, d: geo.geo_export(_parcel_geo(s, d).withColumn("price", F.lit(0))),
+    "G7": lambda s, d: geo.default_distances(fx.parcels(s, d).select("schno", "city")),
+    "A39": lambda s, d: geo.distance_stats(_parcel_geo(s, d), "FRISCO"),
+    "A39_by_city": lambda s, d: geo.mean_distance_by_city(_parcel_geo(s, d)),
+}.items():
+    REGISTRY[_k] = _fn

@@ -212,3 +212,20 @@ def annual_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = li.groupBy(F.year("l_shipdate").alias("year")).agg(F.avg("l_extendedprice").alias("avg_value"))
     prev = F.lag("avg_value").over(Window.orderBy("year"))
     return a.select("year", "avg_value", ((F.col("avg_value") / prev - 1) * 100).alias("return_pct"))
+
+
+def lift_lines() -> list[tuple[str, list[tuple[float, float]]]]:
+    """A small lift network: three short lines near each resort point, named
+    with that resort's first keyword, as ``(name, [(lon, lat), ...])``. Built by
+    rule from the resort points (a literal; the real network is a GeoJSON file,
+    see ``sources.files.read_lift_lines``)."""
+    from ..functions import codes
+
+    lines = []
+    for resort, pts in codes.RESORT_POINTS.items():
+        word = codes.RESORT_LIFT_KEYWORDS[resort][0]
+        lat, lon = pts[0]
+        for i in range(3):
+            lines.append((f"{word} Lift {i + 1}",
+                          [(lon - 0.003 + 0.002 * i, lat - 0.002), (lon + 0.001 + 0.002 * i, lat + 0.004)]))
+    return lines
