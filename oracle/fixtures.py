@@ -190,3 +190,9 @@ annual_index AS (
   FROM (SELECT CAST(year(l_shipdate) AS INT) AS year, AVG(l_extendedprice) AS avg_value FROM lineitem GROUP BY 1) a)"""
 
 BLOCKS["annual_index"] = INDEX
+
+CPI = """
+cpi AS (
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, round(AVG(l_tax) * 1000, 6) AS value FROM lineitem GROUP BY 1)"""
+
+BLOCKS["cpi"] = CPI

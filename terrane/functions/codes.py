@@ -33,14 +33,41 @@ TOWN_CITY_ML = {
 }
 TOWN_CITY_ML_DEFAULT = "OTHER"
 
+# Dashboard property-type inference (Q3c variant): (label, abst1 codes,
+# description words), first match wins; the default is Single Family.
+DASHBOARD_TYPE_RULES = [
+    ("Condo", ["1233"], ["CONDO"]),
+    ("Townhouse", ["1230"], ["TOWNHOME", "Townhome"]),
+    ("Single Family", ["1112"], ["SINGLE FAM", "1 Story", "2 Story"]),
+    ("Vacant Land", ["1135", "100"], []),
+    ("Duplex-Triplex", ["1113"], ["DUPLEX", "TRIPLEX"]),
+]
+DASHBOARD_TYPE_DEFAULT = "Single Family"
+# Dashboard city -> town code (similar-property search); unknown -> B.
+DASHBOARD_TOWN_CODES = {"BRECKENRIDGE": "B", "FRISCO": "F", "DILLON": "D", "SILVERTHORNE": "S", "KEYSTONE": "K",
+                        "COPPER MOUNTAIN": "C"}
+DASHBOARD_TOWN_DEFAULT = "B"
+SIMILAR_MIN_PRICE = 10000
+SIMILAR_DEFAULT_BEDS = 3
+SIMILAR_DEFAULT_BATHS = 2
+
+# Benchmark scenarios (M14): two archetypes in four towns, plus macro inputs.
+SCENARIO_TOWNS = ["BRECKENRIDGE", "FRISCO", "SILVERTHORNE", "DILLON"]
+SCENARIO_ARCHETYPES = [
+    {"desc": "Entry Condo", "prop_type": "Condo", "sfla": 600, "beds": 1, "baths": 1, "year_blt": 1980,
+     "garage_size": 0, "acres": 0, "grade_numeric": 4, "cond_numeric": 4, "scenic_view": 0},
+    {"desc": "Family Home", "prop_type": "Single Family", "sfla": 2200, "beds": 3, "baths": 2.5, "year_blt": 1995,
+     "garage_size": 400, "acres": 0.25, "grade_numeric": 5, "cond_numeric": 5, "scenic_view": 2},
+]
+SCENARIO_MACRO = {"mortgage_rate": 6.5, "sp500": 5000, "cpi": 310.0, "summit_pop": 31.0}
+# Error-band default when no run is active: a quarter of the baseline price.
+ERROR_BAND_DEFAULT_MAE = 1_500_000.0 * 0.25
+
 # Property-type abstract codes (Q3c), first match wins in this order.
 SINGLE_FAMILY_CODES = ["1212"]
 CONDO_CODES = ["1230", "1231"]
 TOWNHOUSE_CODES = ["1214"]
 VACANT_LAND_CODES = ["100", "200"]
-# Dashboard variant of the classifier (Q3c, text codes seen by the browser).
-DASHBOARD_CONDO_CODES = ["1233", "1230"]
-DASHBOARD_LAND_CODES = ["1112"]
 
 # Owner mailing towns counted as local (Q3d, case-sensitive).
 LOCAL_TOWNS = ["BRECKENRIDGE", "FRISCO", "DILLON", "SILVERTHORNE", "KEYSTONE", "COPPER MOUNTAIN"]

@@ -68,12 +68,18 @@ def property_type(abst1="abst1", abst2="abst2", vacant_land: bool = False) -> Co
     return expr.otherwise("Other")
 
 
-def property_type_dashboard(abst1="abst1") -> Column:
-    """The browser's variant, keyed on other codes (kept as a named variant)."""
-    a = F.trim(_col(abst1))
-    return (F.when(a.isin(codes.DASHBOARD_CONDO_CODES), "Condo")
-            .when(a.isin(codes.DASHBOARD_LAND_CODES), "Single Family")
-            .otherwise("Other"))
+def property_type_dashboard(abst1="abst1", description=None) -> Column:
+    """The browser's variant (kept as a named variant): codes and description
+    words in its own order; anything else is Single Family."""
+    a = F.trim(_col(abst1).cast("string"))
+    d = _col(description) if description is not None else F.lit(" ")
+    expr = None
+    for label, code_list, words in codes.DASHBOARD_TYPE_RULES:
+        cond = a.isin(code_list)
+        for w in words:
+            cond = cond | d.contains(w)
+        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
+    return expr.otherwise(codes.DASHBOARD_TYPE_DEFAULT)
 
 
 # Q3d ---------------------------------------------------------------------------

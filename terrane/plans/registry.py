@@ -239,3 +239,83 @@ for _k, _fn in {
     "A39_by_city": lambda s, d: geo.mean_distance_by_city(_parcel_geo(s, d)),
 }.items():
     REGISTRY[_k] = _fn
+
+
+# --- features, evaluation, what-if: J4, F1-F14, M7-M8, M11-M13, M17-M18 ------------
+
+from ..functions import codes  # noqa: E402
+from ..operators import asof  # noqa: E402
+from . import evaluate, features, whatif  # noqa: E402
+
+CITY_CATEGORIES = sorted(set(codes.TOWN_CITY_ML.values()) | {codes.TOWN_CITY_ML_DEFAULT})
+TYPE_CATEGORIES = ["Condo", "Other", "Single Family", "Townhouse"]
+SPLIT_ORDER = ["tx_date", "schno", "price"]
+
+
+def _training(spark, d):
+    return market.training_data(fx.parcels(spark, d))
+
+
+def _macro(spark, d):
+    return {"mortgage_rate": fx.macro(spark, d), "cpi": fx.cpi(spark, d)}
+
+
+def _features(spark, d, global_ffill=False):
+    return features.build_features(_training(spark, d), _points(spark, d), _macro(spark, d), global_ffill)
+
+
+def _model_rows(spark, d):
+    return features.model_rows(_features(spark, d))
+
+
+def _predictions(spark, d):
+    return fx.predictions(fx.parcels(spark, d))
+
+
+def _runs(spark, d):
+    return evaluate.runs_from_scores(_predictions(spark, d))
+
+
+F1_COLS = ["schno", "tx_date", "price", "beds", "baths", "sfla", "year_blt", "garage_size", "acres", "grade", "cond",
+           "scenic_view", "city", "prop_type", "latitude", "longitude", "full_address", *geo.DIST_COLS,
+           "dist_to_lift", "year", "month", "mortgage_rate", "cpi", "grade_numeric", "cond_numeric"]
+Z_COLS = ["sfla", "year_blt", "mortgage_rate", "dist_to_lift"]
+
+
+for _k, _fn in {
+    "J4": lambda s, d: asof.asof_join(_training(s, d), fx.macro(s, d).withColumnRenamed("value", "mortgage_rate"),
+                                      "tx_date", "date", ["mortgage_rate"]).select("schno", "tx_date", "price",
+                                                                                  "mortgage_rate"),
+    "J4_union": lambda s, d: asof.asof_join_union(
+        _training(s, d), fx.macro(s, d).withColumnRenamed("value", "mortgage_rate"), "tx_date", "date",
+        ["mortgage_rate"]).select("schno", "tx_date", "price", "mortgage_rate"),
+    "F1": lambda s, d: _features(s, d).select(*F1_COLS),
+    "F3": lambda s, d: _features(s, d, global_ffill=True).select(*F1_COLS),
+    "F4": lambda s, d: features.fill_median(ing.accepted(_validated(s, d)), "year_blt").select("schno", "year_blt"),
+    "F6": lambda s, d: _model_rows(s, d).select("schno", "tx_date", "price", "city", "prop_type", "mortgage_rate",
+                                                "dist_to_lift"),
+    "F7": lambda s, d: features.apply_scaler(_model_rows(s, d), features.fit_scaler(_model_rows(s, d), Z_COLS))
+    .select("schno", "tx_date", "price", *[f"{c}_z" for c in Z_COLS]),
+    "F8": lambda s, d: features.one_hot(_model_rows(s, d), {"city": CITY_CATEGORIES, "prop_type": TYPE_CATEGORIES})
+    .select("schno", "tx_date", "price", *[f"city_{v}" for v in CITY_CATEGORIES],
+            *[f"prop_type_{v}" for v in TYPE_CATEGORIES]),
+    "F10": lambda s, d: features.chronological_split(_model_rows(s, d), SPLIT_ORDER).select(
+        "schno", "tx_date", "price", features.luxury_weight().alias("weight"), "role"),
+    "F11": lambda s, d: features.random_split(_model_rows(s, d), "schno").select("schno", "tx_date", "price", "role"),
+    "F12": lambda s, d: features.temporal_folds(_model_rows(s, d)).select("schno", "tx_date", "price", "fold", "role"),
+    "F13": lambda s, d: features.iqr_filter(_model_rows(s, d), "price").select("schno", "tx_date", "price"),
+    "F14_numeric": lambda s, d: features.scaler_metadata(_model_rows(s, d)),
+    "F14_categories": lambda s, d: features.category_metadata(_model_rows(s, d)),
+    "M7": lambda s, d: evaluate.metrics(_predictions(s, d)),
+    "M8": lambda s, d: evaluate.residual_slices(_predictions(s, d)),
+    "M11": lambda s, d: _runs(s, d).select("run_id", "model_name", F.col("metrics.mae").alias("mae"),
+                                           F.col("metrics.r2").alias("r2"), "year",
+                                           F.col("parameters")["epochs"].alias("epochs")),
+    "M12": lambda s, d: evaluate.champions(_runs(s, d)),
+    "M12_history": lambda s, d: evaluate.promotion_history(_runs(s, d)),
+    "M13": lambda s, d: evaluate.leaderboard(_runs(s, d)),
+    "M17": lambda s, d: whatif.similar_properties(fx.parcels(s, d), whatif.scenario_rows()),
+    "M18": lambda s, d: evaluate.error_band(_predictions(s, d)).select(
+        "schno", "predicted", "sigma", "low_1s", "high_1s", "low_2s", "high_2s"),
+}.items():
+    REGISTRY[_k] = _fn

@@ -229,3 +229,10 @@ def lift_lines() -> list[tuple[str, list[tuple[float, float]]]]:
             lines.append((f"{word} Lift {i + 1}",
                           [(lon - 0.003 + 0.002 * i, lat - 0.002), (lon + 0.001 + 0.002 * i, lat + 0.004)]))
     return lines
+
+
+def cpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stands for a second monthly macro series ``(date, value)``."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date"))
+            .agg(F.round(F.avg("l_tax") * 1000, 6).alias("value")))
