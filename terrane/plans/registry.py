@@ -319,3 +319,34 @@ for _k, _fn in {
         "schno", "predicted", "sigma", "low_1s", "high_1s", "low_2s", "high_2s"),
 }.items():
     REGISTRY[_k] = _fn
+
+
+# --- pages and scraped sales: S16-S21, J5 -------------------------------------------
+
+from ..sources import pages as pg  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+OWNER_LABELS = {"Primary:": "primary_owner", "Secondary:": "secondary_owner", "Addr:": "mailing_address"}
+
+
+def _all_scraped(spark, d):
+    """Scraped rows from both layouts (pos 0) and rows parsed off landed pages (pos 1+)."""
+    p = fx.parcels(spark, d)
+    a = fx.scraped(p).withColumn("pos", F.lit(0))
+    b = pg.sale_rows(fx.sale_pages(p)).select("schno", "raw_sales_row", (F.col("row_pos") + 1).alias("pos"))
+    return a.unionByName(b)
+
+
+for _k, _fn in {
+    "S16": lambda s, d: pg.sale_rows(fx.sale_pages(fx.parcels(s, d))),
+    "S16_pages": lambda s, d: pg.sale_rows(read_table(s, d, "pages"), id_col="page_id"),
+    "S17": lambda s, d: pg.label_values(fx.sale_pages(fx.parcels(s, d)), OWNER_LABELS),
+    "S18": lambda s, d: pg.pending_ids(fx.parcels(s, d), fx.scraped(fx.parcels(s, d)).where(
+        F.col("schno").cast("int") % 4 == 0)),
+    "S19": lambda s, d: pg.parsed_sales(fx.scraped(fx.parcels(s, d))),
+    "S20": lambda s, d: pg.latest_sale(pg.parsed_sales(_all_scraped(s, d), "pos")),
+    "S21": lambda s, d: pg.merge_latest_sale(fx.raw_text(fx.parcels(s, d)),
+                                             pg.latest_sale(pg.parsed_sales(_all_scraped(s, d), "pos"))),
+}.items():
+    REGISTRY[_k] = _fn
+REGISTRY["J5"] = REGISTRY["S18"]
