@@ -350,3 +350,93 @@ for _k, _fn in {
 }.items():
     REGISTRY[_k] = _fn
 REGISTRY["J5"] = REGISTRY["S18"]
+
+
+# --- sources, sinks and streams with a file round trip: S1_csv, S9, S10, S13-S15, R1, R2 ---
+
+import os  # noqa: E402
+
+from ..sources import files as fl  # noqa: E402
+from ..sources import sinks  # noqa: E402
+from ..streaming import ingest as st  # noqa: E402
+
+
+def _s1_csv(spark, d):
+    path = fl.scratch_path(spark, "records-csv")
+    raw = fx.raw_text(fx.parcels(spark, d))
+    raw.write.options(**fl.CSV_TEXT_OPTIONS).option("emptyValue", "").csv(path)
+    return ing.null_na_tokens(fl.read_text_csv(spark, path, raw.columns))
+
+
+def _s9(spark, d):
+    root = fl.scratch_path(spark, "macro")
+    fx.macro(spark, d).withColumn("year", F.year("date")).write.option("header", "true").csv(f"{root}/mortgage_rate")
+    series = fl.read_macro_series(spark, {"mortgage_rate": f"{root}/mortgage_rate", "cpi": f"{root}/missing"})
+    return series["mortgage_rate"]
+
+
+def _rename_parts(spark, folder: str, name: str) -> None:
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, st_ in enumerate(fs.listStatus(fs_path)):
+        p = st_.getPath()
+        if p.getName().startswith("part-"):
+            fs.rename(p, jvm.org.apache.hadoop.fs.Path(folder, f"{name}_{i}.csv"))
+
+
+def _s10(spark, d):
+    root = fl.scratch_path(spark, "address-points")
+    pts = fx.address_points(fx.parcels(spark, d)).select(
+        F.col("property_schedule").alias("PropertySchedule"), F.col("latitude").alias("LATITUDE"),
+        F.col("longitude").alias("LONGITUDE"), F.col("full_address").alias("FullAddress"))
+    k = F.col("PropertySchedule").cast("double").cast("bigint")
+    pts.where(k % 2 == 0).write.option("header", "true").csv(f"{root}/east")
+    pts.where(k % 2 == 1).write.option("header", "true").csv(f"{root}/west/nested")
+    _rename_parts(spark, f"{root}/east", "Address_Points_East")
+    _rename_parts(spark, f"{root}/west/nested", "Address_Points_West")
+    return geo.clean_address_points(fl.read_address_points(spark, root))
+
+
+def _s14(spark, d):
+    path = fl.scratch_path(spark, "trends-csv")
+    trends = market.market_trends(_metrics(spark, d))
+    sinks.write_csv(trends, path)
+    return spark.read.option("header", "true").schema(trends.schema).csv(path)
+
+
+def _r1(spark, d):
+    root = fl.scratch_path(spark, "pages-stream")
+    p = fx.sale_pages(fx.parcels(spark, d))
+    first = p.withColumn("landed_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    again = p.where(F.col("id").cast("int") % 5 == 0).withColumn("landed_at",
+                                                                  F.lit("2024-01-01 00:10:00").cast("timestamp"))
+    first.coalesce(1).write.parquet(f"{root}/landing", mode="append")
+    again.coalesce(1).write.parquet(f"{root}/landing", mode="append")
+    st.stream_page_rows(spark, f"{root}/landing", "id string, html string, landed_at timestamp",
+                        f"{root}/_checkpoint", f"{root}/out")
+    return spark.read.parquet(f"{root}/out")
+
+
+def _r2_root(spark, d):
+    root = fl.scratch_path(spark, "ingest-stream")
+    b = _two_batches(spark, d).withColumn("pos", F.col("pos").cast("int"))
+    for pos in (1, 2):
+        b.where(F.col("pos") == pos).coalesce(1).write.parquet(f"{root}/landing", mode="append")
+    schema = ", ".join(f"{c} string" for c in b.columns if c != "pos") + ", pos int"
+    st.stream_validated_ingest(spark, f"{root}/landing", schema, root, INGEST_AS_OF_YEAR)
+    return root
+
+
+for _k, _fn in {
+    "S1_csv": _s1_csv,
+    "S9": _s9,
+    "S10": _s10,
+    "S13": lambda s, d: sinks.finite_or_null(stats.correlation_matrix(_buyer_rates(s, d), MATRIX_COLS)),
+    "S14": _s14,
+    "S15": lambda s, d: fl.freshness(read_table(s, d, "lineitem")).drop("exported_at"),
+    "R1": _r1,
+    "R2": lambda s, d: st.current_table(s, _r2_root(s, d)),
+    "R2_dlq": lambda s, d: st.dead_letters(s, _r2_root(s, d)).drop("batch_id"),
+}.items():
+    REGISTRY[_k] = _fn
