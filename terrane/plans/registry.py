@@ -440,3 +440,89 @@ for _k, _fn in {
     "R2_dlq": lambda s, d: st.dead_letters(s, _r2_root(s, d)).drop("batch_id"),
 }.items():
     REGISTRY[_k] = _fn
+
+
+# --- models: M1-M5, M9, M10, M14-M16 (rows-only checks) -------------------------------
+# Registered with small tree counts so the whole registry runs on one machine;
+# the functions' defaults carry the reference's settings.
+
+from . import models  # noqa: E402
+
+
+def _numeric(rows):
+    return features.present_numeric(rows)
+
+
+def _split_models(spark, d):
+    rows = _model_rows(spark, d).cache()
+    split = features.chronological_split(rows, SPLIT_ORDER)
+    return rows, split.where(F.col("role") == "train").drop("role"), split.where(F.col("role") == "test").drop("role")
+
+
+def _small_gbt():
+    return models.gbt(max_iter=20, step=0.1, depth=4)
+
+
+def _subjects(spark):
+    sc = whatif.scenarios(spark)
+    return sc.withColumn("city", F.when(F.col("city") == "COPPER MOUNTAIN", "COPPERMOUNTAIN").otherwise(F.col("city")))
+
+
+def _m3(s, d):
+    rows, train, _ = _split_models(s, d)
+    m = models.fit(train, _numeric(rows), models.forest(trees=10, depth=5))
+    return models.permutation_importance(m, rows, _numeric(rows), repeats=2)
+
+
+def _m4(s, d):
+    rows, train, _ = _split_models(s, d)
+    m = models.fit(train, _numeric(rows), models.forest(trees=10, depth=5))
+    return models.partial_dependence(m, rows, "sfla")
+
+
+def _m5(s, d):
+    rows, train, _ = _split_models(s, d)
+    m = models.fit(train, _numeric(rows), _small_gbt())
+    return models.shapley_importance(m, rows, train, _numeric(rows), permutations=2)
+
+
+def _m14(s, d):
+    rows, train, _ = _split_models(s, d)
+    a = models.fit(train, _numeric(rows), _small_gbt())
+    b = models.fit(train, _numeric(rows), models.forest(trees=10, depth=5))
+    return models.compare_models(a, b, _subjects(s))
+
+
+def _m15(s, d):
+    rows, train, _ = _split_models(s, d)
+    m = models.fit(train, _numeric(rows), _small_gbt())
+    return models.sensitivity(m, _subjects(s), "sfla", scale=[0.5 + 0.1 * i for i in range(11)]).unionByName(
+        models.sensitivity(m, _subjects(s), "mortgage_rate", values=[3.0 + 0.5 * i for i in range(15)]))
+
+
+def _m16(s, d):
+    rows, train, _ = _split_models(s, d)
+    num = _numeric(rows)
+    m = models.fit(train, num, _small_gbt())
+    means = {k: v[0] for k, v in features.fit_scaler(train, num).items()}
+    return models.baseline_deltas(m, _subjects(s), num, means)
+
+
+for _k, _fn in {
+    "M1": lambda s, d: models.train_and_score(_model_rows(s, d), _numeric(_model_rows(s, d)), _small_gbt(),
+                                              SPLIT_ORDER),
+    "M2": lambda s, d: (lambda r: models.quantile_intervals(r[1], r[2], _numeric(r[0]), trees=10, depth=5))(
+        _split_models(s, d)),
+    "M3": _m3,
+    "M4": _m4,
+    "M5": _m5,
+    "M9": lambda s, d: models.backtest(_model_rows(s, d), _numeric(_model_rows(s, d)),
+                                       lambda: models.gbt(max_iter=10, step=0.1, depth=4)),
+    "M10": lambda s, d: models.parameter_sweep(_model_rows(s, d), _numeric(_model_rows(s, d)),
+                                               [{"maxIter": 10, "maxDepth": 3}, {"maxIter": 20, "maxDepth": 4},
+                                                {"maxIter": 20, "maxDepth": 5}], SPLIT_ORDER),
+    "M14": _m14,
+    "M15": _m15,
+    "M16": _m16,
+}.items():
+    REGISTRY[_k] = _fn

@@ -36,8 +36,14 @@ def scenario_rows() -> list[dict]:
 
 
 def scenarios(spark: SparkSession) -> DataFrame:
+    """The scenario rows as a DataFrame (numeric fields as double)."""
     rows = scenario_rows()
-    return spark.createDataFrame([{**r, "subject_id": i} for i, r in enumerate(rows)])
+    text = {"desc", "city", "prop_type"}
+    names = ["subject_id", *sorted(rows[0])]
+    schema = ", ".join(f"`{n}` {'string' if n in text else 'int' if n == 'subject_id' else 'double'}" for n in names)
+    data = [tuple(i if n == "subject_id" else (r[n] if n in text else float(r[n])) for n in names)
+            for i, r in enumerate(rows)]
+    return spark.createDataFrame(data, schema)
 
 
 def _record_lift_distance(city_col: str = "city"):
