@@ -15,6 +15,7 @@ from ..functions import codes, decode
 from ..operators import asof, geo
 from ..operators.ordering import global_rank
 from ..operators.quantile import exact_quantiles
+from ..session import ensure_checkpoint_dir
 
 NUMERIC = ["sfla", "beds", "baths", "year_blt", "garage_size", "acres", "mortgage_rate", "sp500", "cpi",
            "summit_pop", "grade_numeric", "cond_numeric", "scenic_view", "dist_breck", "dist_keystone",
@@ -41,6 +42,11 @@ def build_features(training: DataFrame, points: DataFrame, macro: dict[str, Data
     if global_ffill:
         cols = [c for c in df.columns if c not in ("schno", "tx_date", "slot")]
         df = asof.global_fill(df, ["tx_date", "schno", "price"], cols)
+    # The fitted fills and every later fit read this table several times:
+    # materialise it once in the shared checkpoint folder (lineage cut, and
+    # a lost executor re-reads files instead of recomputing the joins).
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     df = fill_median(df, "year_blt")
     df = df.fillna(0, subset=["garage_size", "beds", "baths", "acres"]).fillna(0, subset=["scenic_view"])
     return df.withColumns({"grade_numeric": decode.quality_ordinal("grade"),
@@ -60,11 +66,18 @@ def present_numeric(df: DataFrame, numeric: list[str] = NUMERIC) -> list[str]:
 
 
 def model_rows(df: DataFrame, numeric: list[str] | None = None, min_price: float = 100000) -> DataFrame:
-    """infinities become NULL; rows missing any feature are dropped; price floor."""
+    """rows with every feature present and finite (an infinity counts as
+    missing, as the reference replaces it by NaN before dropping), and a
+    price above the floor. One filter, no re-aliased columns, so Catalyst's
+    constraint inference stays linear in the number of features."""
     numeric = numeric or present_numeric(df)
-    df = df.withColumns({c: F.when(~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) != float("inf")),
-                                   F.col(c)) for c in numeric})
-    return df.dropna(subset=numeric + CATEGORICAL + [TARGET]).where(F.col(TARGET) > min_price)
+    cond = F.col(TARGET).isNotNull() & (F.col(TARGET) > min_price)
+    for c in CATEGORICAL:
+        cond = cond & F.col(c).isNotNull()
+    for c in numeric:
+        v = F.col(c).cast("double")
+        cond = cond & v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
+    return df.where(cond)
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:

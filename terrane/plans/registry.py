@@ -294,7 +294,7 @@ for _k, _fn in {
     "F4": lambda s, d: features.fill_median(ing.accepted(_validated(s, d)), "year_blt").select("schno", "year_blt"),
     "F6": lambda s, d: _model_rows(s, d).select("schno", "tx_date", "price", "city", "prop_type", "mortgage_rate",
                                                 "dist_to_lift"),
-    "F7": lambda s, d: features.apply_scaler(_model_rows(s, d), features.fit_scaler(_model_rows(s, d), Z_COLS))
+    "F7": lambda s, d: (lambda r: features.apply_scaler(r, features.fit_scaler(r, Z_COLS)))(_model_rows(s, d))
     .select("schno", "tx_date", "price", *[f"{c}_z" for c in Z_COLS]),
     "F8": lambda s, d: features.one_hot(_model_rows(s, d), {"city": CITY_CATEGORIES, "prop_type": TYPE_CATEGORIES})
     .select("schno", "tx_date", "price", *[f"city_{v}" for v in CITY_CATEGORIES],
@@ -454,7 +454,7 @@ def _numeric(rows):
 
 
 def _split_models(spark, d):
-    rows = _model_rows(spark, d).cache()
+    rows = _model_rows(spark, d)
     split = features.chronological_split(rows, SPLIT_ORDER)
     return rows, split.where(F.col("role") == "train").drop("role"), split.where(F.col("role") == "test").drop("role")
 
@@ -509,18 +509,18 @@ def _m16(s, d):
 
 
 for _k, _fn in {
-    "M1": lambda s, d: models.train_and_score(_model_rows(s, d), _numeric(_model_rows(s, d)), _small_gbt(),
-                                              SPLIT_ORDER),
+    "M1": lambda s, d: (lambda r: models.train_and_score(r, _numeric(r), _small_gbt(), SPLIT_ORDER))(
+        _model_rows(s, d)),
     "M2": lambda s, d: (lambda r: models.quantile_intervals(r[1], r[2], _numeric(r[0]), trees=10, depth=5))(
         _split_models(s, d)),
     "M3": _m3,
     "M4": _m4,
     "M5": _m5,
-    "M9": lambda s, d: models.backtest(_model_rows(s, d), _numeric(_model_rows(s, d)),
-                                       lambda: models.gbt(max_iter=10, step=0.1, depth=4)),
-    "M10": lambda s, d: models.parameter_sweep(_model_rows(s, d), _numeric(_model_rows(s, d)),
-                                               [{"maxIter": 10, "maxDepth": 3}, {"maxIter": 20, "maxDepth": 4},
-                                                {"maxIter": 20, "maxDepth": 5}], SPLIT_ORDER),
+    "M9": lambda s, d: (lambda r: models.backtest(r, _numeric(r), lambda: models.gbt(max_iter=10, step=0.1, depth=4)))(
+        _model_rows(s, d)),
+    "M10": lambda s, d: (lambda r: models.parameter_sweep(
+        r, _numeric(r), [{"maxIter": 10, "maxDepth": 3}, {"maxIter": 20, "maxDepth": 4}, {"maxIter": 20, "maxDepth": 5}],
+        SPLIT_ORDER))(_model_rows(s, d)),
     "M14": _m14,
     "M15": _m15,
     "M16": _m16,
