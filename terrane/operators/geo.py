@@ -125,3 +125,18 @@ def distance_stats(df: DataFrame, city_value: str, col: str = "dist_to_lift", ou
 def mean_distance_by_city(df: DataFrame) -> DataFrame:
     """Mean resort distances per city."""
     return df.groupBy("city").agg(*[F.avg(c).alias(c) for c in DIST_COLS])
+
+
+def distance_colours(df: DataFrame, col: str = "dist_to_lift", max_miles: float = 10.0) -> DataFrame:
+    """Q3p: map colour channels from the lift distance clipped at ``max_miles``
+    (near = red, far = blue)."""
+    norm = F.least(F.col(col), F.lit(max_miles)) / max_miles
+    return df.withColumns({"dist_clamped": F.least(F.col(col), F.lit(max_miles)), "norm": norm,
+                           "r": (1 - norm) * 255, "g": F.lit(50), "b": norm * 255})
+
+
+def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
+    """T4: the first row per key in ``order`` (plain ascending expressions; negate
+    for descending). A partial aggregate, not a window."""
+    cols = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r")).select(key, "_r.*")

@@ -526,3 +526,102 @@ for _k, _fn in {
     "M16": _m16,
 }.items():
     REGISTRY[_k] = _fn
+
+
+# --- remaining inventory ids: scalar decoders, windows, joins, sorting ---------------
+
+from ..functions import decode as dec  # noqa: E402
+
+EXPORT_CITIES = ["BRECKENRIDGE", "FRISCO", "SILVERTHORNE", "DILLON", "KEYSTONE", "COPPER MOUNTAIN", "BLUE RIVER"]
+
+
+def _decoded(spark, d):
+    """Q2, Q3a-Q3f, Q3l on the parcel table: one projection."""
+    p = fx.parcels(spark, d)
+    return p.select(
+        "schno", dec.estimated_price("docfee1").alias("estimated_price"),
+        dec.estimated_value("docfee1").alias("estimated_value"),
+        dec.town_city().alias("city_decoded"), dec.town_city_ml().alias("city_ml"),
+        dec.property_type().alias("prop_type"), dec.property_type(vacant_land=True).alias("prop_type_land"),
+        dec.property_type_dashboard().alias("prop_type_dashboard"),
+        dec.owner_location().alias("location_type"), dec.is_renovated().alias("is_renovated"),
+        dec.guarded_ppsf(dec.estimated_value("docfee1")).alias("ppsf"),
+        dec.quality_ordinal(F.substring("address", -1, 1)).alias("quality"))
+
+
+def _s12(spark, d):
+    import uuid
+    view = f"raw_records_{uuid.uuid4().hex[:10]}"
+    fx.parcels(spark, d).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT schno, year_blt, sfla FROM {view} WHERE year_blt > :y AND sfla >= :s",
+                     args={"y": 1990, "s": 100.0})
+
+
+def _map_dataset(spark, d):
+    m = market.dataset_sample(_metrics(spark, d), limit=5000)
+    newest = geo.first_per_key(m.select("schno", "tx_date", "slot", "address"), "schno",
+                               [-F.unix_date("tx_date"), F.col("slot")])
+    g = geo.nearest_lift(geo.resort_point_distances(geo.join_coordinates(newest, _points(spark, d))))
+    g = g.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("dist_to_lift").isNotNull())
+    return geo.distance_colours(g).select("schno", "latitude", "longitude", "dist_to_lift", "address", "r", "g", "b")
+
+
+def _a1(spark, d):
+    return sales.sale_metrics(fx.parcels(spark, d))
+
+
+for _k, _fn in {
+    "Q2": lambda s, d: _decoded(s, d).select("schno", "estimated_price", "estimated_value"),
+    "Q3a": lambda s, d: _decoded(s, d).select("schno", "city_decoded"),
+    "Q3b": lambda s, d: _decoded(s, d).select("schno", "city_ml"),
+    "Q3c": lambda s, d: _decoded(s, d).select("schno", "prop_type", "prop_type_land", "prop_type_dashboard"),
+    "Q3d": lambda s, d: _decoded(s, d).select("schno", "location_type"),
+    "Q3e": lambda s, d: _decoded(s, d).select("schno", "is_renovated"),
+    "Q3f": lambda s, d: _decoded(s, d).select("schno", "ppsf"),
+    "Q3i": lambda s, d: owners.properties_per_owner(_frame(s, d)).select("primary_owner", "n_properties",
+                                                                         "ownership_category"),
+    "Q3j": lambda s, d: fx.situs(fx.parcels(s, d)).select("schno", dec.physical_address().alias("physical_address")),
+    "Q3l": lambda s, d: _decoded(s, d).select("schno", "quality"),
+    "Q3n": lambda s, d: fx.parcels(s, d).orderBy(F.xxhash64("schno", F.lit(42)), "schno").limit(200).select(
+        "schno", "city", "year_blt", "sfla", "beds"),
+    "Q3o": lambda s, d: fx.parcels(s, d).where(F.col("city").isin(EXPORT_CITIES)).select("schno", "city", "address"),
+    "Q3p": _map_dataset,
+    "S8": lambda s, d: (lambda path: (_predictions(s, d).write.option("header", "true").csv(path),
+                                      fl.read_inferred_csv(s, path))[1])(fl.scratch_path(s, "predictions-csv")),
+    "S12": _s12,
+    "J1": lambda s, d: sales.sale_events(fx.parcels(s, d)).join(
+        fx.parcels(s, d).select("schno", "town", "sfla"), "schno").select(
+        "schno", "tx_date", "slot", "estimated_price", dec.town_city("town").alias("city"), "sfla"),
+    "J2": REGISTRY["G2"],
+    "J6": lambda s, d: (lambda fr: fr.join(owners.properties_per_owner(fr).where(F.col("n_properties") > 1)
+                                            .select("primary_owner"), "primary_owner", "left_semi")
+                        .select("schno", "primary_owner"))(_frame(s, d)),
+    "J7": REGISTRY["A13"],
+    "J8": lambda s, d: (lambda m: m.join(exact_quantiles_(m), "tx_year").select(
+        "schno", "slot", "tx_year", "estimated_price", "annual_median"))(
+        _metrics(s, d).where(F.col("tx_year") > "1990")),
+    "W1": lambda s, d: _a1(s, d).select("schno", "slot", "tx_date", "prev_price"),
+    "W2": lambda s, d: _a1(s, d).select("schno", "slot", "days_held"),
+    "W3": lambda s, d: _a1(s, d).select("schno", "slot", "times_sold"),
+    "W4": lambda s, d: _a1(s, d).select("schno", "slot", "growth_pct"),
+    "W5": REGISTRY["A5"],
+    "W6": REGISTRY["A2"],
+    "W7": REGISTRY["A24"],
+    "W8": REGISTRY["A6"],
+    "T1": lambda s, d: market.market_trends(_metrics(s, d)).orderBy("city", "tx_year"),
+    "T2": REGISTRY["A3"],
+    "T3": REGISTRY["Q1"],
+    "T4": lambda s, d: geo.first_per_key(_a1(s, d).select("schno", "tx_date", "slot", "estimated_price"), "schno",
+                                         [-F.unix_date("tx_date"), F.col("slot")]),
+    "F2": lambda s, d: _training(s, d).select("schno", "tx_date", "price", F.year("tx_date").alias("year"),
+                                              F.month("tx_date").alias("month")),
+    "F5": lambda s, d: _features(s, d).select("schno", "tx_date", "price", "garage_size", "beds", "baths", "acres",
+                                              "scenic_view"),
+    "F9": lambda s, d: _model_rows(s, d).select("schno", "tx_date", "price", features.luxury_weight().alias("weight")),
+}.items():
+    REGISTRY[_k] = _fn
+
+
+def exact_quantiles_(m):
+    from ..operators.quantile import exact_quantiles
+    return exact_quantiles(m, ["tx_year"], "estimated_price", {"annual_median": 0.5})
