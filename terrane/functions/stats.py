@@ -10,11 +10,18 @@ from __future__ import annotations
 
 import math
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Functions of this module run inside Python workers (mapInPandas / pandas
+# UDF); pickle them by value so workers need not import the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _betacf(a: float, b: float, x: float, iters: int = 300, eps: float = 3e-16) -> float:
     tiny = 1e-300

@@ -1,0 +1,198 @@
+"""M6: a monotone multilayer price network trained data-parallel on Spark.
+
+The reference trains a PyTorch MLP (LeakyReLU(0.1), SmoothL1 with beta 0.1 on
+the standardised log price, luxury weights, a penalty on input gradients of
+the wrong sign). Here each step is one Spark job:
+
+* the current weights travel to the tasks with the function (a few hundred KB);
+* every partition computes its loss and gradient sums with numpy
+  (``mapInPandas``), one small row per partition;
+* Spark sums those rows elementwise (``Summarizer.sum``, a partial aggregate),
+  so only one gradient vector reaches the driver;
+* the driver applies Adam to the weight vector.
+
+The monotonicity penalty uses a one-sided finite difference of the network
+along each constrained (standardised) input, so only first-order
+backpropagation is needed. Steps are full-batch over the cached rows.
+"""
+
+from __future__ import annotations
+
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import features
+
+# Functions of this module run inside Python workers (mapInPandas / pandas
+# UDF); pickle them by value so workers need not import the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# FIXED VALUES: monotonic direction per input (+1 rising, -1 falling).
+MONOTONE = {"sfla": 1, "cpi": 1, "sp500": 1, "mortgage_rate": -1, "dist_to_lift": -1}
+HIDDEN = [256, 128, 64]
+LEAK = 0.1
+BETA = 0.1
+PENALTY = 0.1
+STEP_H = 0.05
+
+
+def _shapes(d: int) -> list[tuple[int, int]]:
+    dims = [d, *HIDDEN, 1]
+    return list(zip(dims[:-1], dims[1:]))
+
+
+def init_weights(d: int, seed: int = 42) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    parts = []
+    for a, b in _shapes(d):
+        parts.append(rng.uniform(-1, 1, size=(a, b)).ravel() / np.sqrt(a))
+        parts.append(np.zeros(b))
+    return np.concatenate(parts)
+
+
+def _unpack(theta: np.ndarray, d: int):
+    out, i = [], 0
+    for a, b in _shapes(d):
+        out.append((theta[i:i + a * b].reshape(a, b), theta[i + a * b:i + a * b + b]))
+        i += a * b + b
+    return out
+
+
+def _forward(layers, x):
+    acts, pre = [x], []
+    h = x
+    for k, (w, b) in enumerate(layers):
+        z = h @ w + b
+        pre.append(z)
+        h = z if k == len(layers) - 1 else np.where(z > 0, z, LEAK * z)
+        acts.append(h)
+    return acts, pre
+
+
+def _backward(layers, acts, pre, g_out):
+    grads = []
+    g = g_out.reshape(-1, 1)
+    for k in range(len(layers) - 1, -1, -1):
+        w, _ = layers[k]
+        if k != len(layers) - 1:
+            g = g * np.where(pre[k] > 0, 1.0, LEAK)
+        grads.append((acts[k].T @ g, g.sum(axis=0)))
+        g = g @ w.T
+    return [x for pair in reversed(grads) for x in (pair[0].ravel(), pair[1])]
+
+
+def loss_and_grad(theta: np.ndarray, x: np.ndarray, y: np.ndarray, w: np.ndarray, mono: list[tuple[int, int]]):
+    """Summed (not averaged) loss terms and gradient for one batch of rows."""
+    layers = _unpack(theta, x.shape[1])
+    acts, pre = _forward(layers, x)
+    f0 = acts[-1][:, 0]
+    d = f0 - y
+    small = np.abs(d) < BETA
+    loss = np.where(small, 0.5 * d * d / BETA, np.abs(d) - 0.5 * BETA) * w
+    coef0 = np.where(small, d / BETA, np.sign(d)) * w
+    pen_total = 0.0
+    grad = np.zeros_like(theta)
+    shifted = []
+    for j, s in mono:
+        xj = x.copy()
+        xj[:, j] += STEP_H
+        a_j, p_j = _forward(layers, xj)
+        slope = (a_j[-1][:, 0] - f0) / STEP_H
+        active = (-s * slope) > 0
+        pen_total += np.sum(np.where(active, -s * slope, 0.0))
+        cj = PENALTY / max(len(mono), 1) * np.where(active, -s / STEP_H, 0.0)
+        coef0 = coef0 - cj
+        shifted.append((a_j, p_j, cj))
+    grad += np.concatenate(_backward(layers, acts, pre, coef0))
+    for a_j, p_j, cj in shifted:
+        grad += np.concatenate(_backward(layers, a_j, p_j, cj))
+    return float(loss.sum()), float(pen_total), grad
+
+
+def design(rows: DataFrame, numeric: list[str], cats: dict[str, list[str]], stats: dict[str, tuple[float, float]],
+           y_stats: tuple[float, float]) -> DataFrame:
+    """Standardised inputs (population std, as scikit-learn), one-hot
+    categories and the standardised log price, as one array column."""
+    z = [(F.col(c) - F.lit(m)) / F.lit(s if s else 1.0) for c, (m, s) in stats.items()]
+    oh = [(F.col(c) == F.lit(v)).cast("double") for c, vs in cats.items() for v in vs]
+    ym, ys = y_stats
+    out = rows.select("schno", "tx_date", F.col(features.TARGET).alias("actual"),
+                      F.array(*[c.cast("double") for c in z + oh]).alias("x"),
+                      ((F.log1p(features.TARGET) - F.lit(ym)) / F.lit(ys if ys else 1.0)).alias("y"),
+                      features.luxury_weight().alias("w"))
+    return out
+
+
+def _grad_fn(theta: np.ndarray, mono):
+    def run(batches):
+        total_g, total_l, total_p, n = None, 0.0, 0.0, 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
+            loss, pen, g = loss_and_grad(theta, x, pdf["y"].to_numpy(np.float64), pdf["w"].to_numpy(np.float64),
+                                         mono)
+            total_g = g if total_g is None else total_g + g
+            total_l += loss
+            total_p += pen
+            n += len(pdf)
+        if n:
+            yield pd.DataFrame({"g": [total_g.tolist()], "loss": [total_l], "pen": [total_p], "n": [n]})
+    return run
+
+
+def train(rows: DataFrame, numeric: list[str] | None = None, steps: int = 200, lr: float = 0.0004 * 25,
+          seed: int = 42) -> dict:
+    """Fit the network; returns the weights and the fitted preprocessing."""
+    numeric = numeric or features.present_numeric(rows)
+    cats = features.fit_categories(rows)
+    stats = features.fit_scaler(rows, numeric)
+    yrow = rows.agg(F.avg(F.log1p(features.TARGET)).alias("m"), F.stddev_pop(F.log1p(features.TARGET)).alias("s")).first()
+    y_stats = (yrow["m"], yrow["s"])
+    data = design(rows, numeric, cats, stats, y_stats).select("x", "y", "w").cache()
+    try:
+        d = len(numeric) + sum(len(v) for v in cats.values())
+        mono = [(numeric.index(c), s) for c, s in MONOTONE.items() if c in numeric]
+        theta = init_weights(d, seed)
+        m, v = np.zeros_like(theta), np.zeros_like(theta)
+        b1, b2, eps = 0.9, 0.999, 1e-8
+        history = []
+        for t in range(1, steps + 1):
+            parts = data.mapInPandas(_grad_fn(theta, mono), "g array<double>, loss double, pen double, n long")
+            agg = (parts.select(array_to_vector("g").alias("g"), "loss", "pen", "n")
+                   .agg(Summarizer.sum(F.col("g")).alias("g"), F.sum("loss").alias("loss"), F.sum("pen").alias("pen"),
+                        F.sum("n").alias("n")).first())
+            n = float(agg["n"])
+            g = agg["g"].toArray() / n
+            history.append((float(agg["loss"]) / n, float(agg["pen"]) / n))
+            m = b1 * m + (1 - b1) * g
+            v = b2 * v + (1 - b2) * g * g
+            theta = theta - lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps)
+        return {"theta": theta, "numeric": numeric, "cats": cats, "stats": stats, "y_stats": y_stats,
+                "history": history}
+    finally:
+        data.unpersist()
+
+
+def predict(model: dict, rows: DataFrame) -> DataFrame:
+    """Score rows with a vectorised pandas UDF (weights captured once per task)."""
+    theta, d = model["theta"], len(model["numeric"]) + sum(len(v) for v in model["cats"].values())
+    ym, ys = model["y_stats"]
+    prepared = design(rows.withColumn(features.TARGET, F.coalesce(F.col(features.TARGET), F.lit(0.0)))
+                      if features.TARGET in rows.columns else rows.withColumn(features.TARGET, F.lit(0.0)),
+                      model["numeric"], model["cats"], model["stats"], model["y_stats"])
+
+    @F.pandas_udf(T.DoubleType())
+    def net(x: pd.Series) -> pd.Series:
+        layers = _unpack(theta, d)
+        acts, _ = _forward(layers, np.stack(x.to_numpy()).astype(np.float64))
+        return pd.Series(np.expm1(acts[-1][:, 0] * (ys if ys else 1.0) + ym))
+    return prepared.select("schno", "tx_date", "actual", net("x").alias("predicted"))

@@ -625,3 +625,17 @@ for _k, _fn in {
 def exact_quantiles_(m):
     from ..operators.quantile import exact_quantiles
     return exact_quantiles(m, ["tx_year"], "estimated_price", {"annual_median": 0.5})
+
+
+# --- M6: monotone network (rows-only) ------------------------------------------------
+
+from . import nn  # noqa: E402
+
+
+def _m6(spark, d):
+    rows = features.random_split(_model_rows(spark, d), "schno")
+    model = nn.train(rows.where(F.col("role") == "train").drop("role"), steps=30, lr=0.01)
+    return nn.predict(model, rows.where(F.col("role") == "test").drop("role"))
+
+
+REGISTRY["M6"] = _m6

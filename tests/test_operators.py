@@ -99,3 +99,32 @@ def test_pearson_p_value_known_values():
     assert abs(pearson_p_value_scalar(0.5, 10) - 0.14111) < 1e-4
     assert abs(pearson_p_value_scalar(0.9, 5) - 0.03739) < 1e-4
     assert math.isnan(pearson_p_value_scalar(0.5, 2))
+
+
+def test_network_gradient_matches_finite_differences():
+    from terrane.plans import nn
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(6, 4))
+    y = rng.normal(size=6)
+    w = np.ones(6)
+    theta = nn.init_weights(4, seed=1)
+    mono = [(0, 1), (2, -1)]
+    _, _, g = nn.loss_and_grad(theta, x, y, w, mono)
+
+    def total(t):
+        loss, _, _ = nn.loss_and_grad(t, x, y, w, mono)
+        layers = nn._unpack(t, 4)
+        f0 = nn._forward(layers, x)[0][-1][:, 0]
+        pen = 0.0
+        for j, s in mono:
+            xj = x.copy()
+            xj[:, j] += nn.STEP_H
+            fj = nn._forward(layers, xj)[0][-1][:, 0]
+            pen += np.sum(np.maximum(-s * (fj - f0) / nn.STEP_H, 0.0))
+        return loss + nn.PENALTY / len(mono) * pen
+    for i in rng.choice(len(theta), size=12, replace=False):
+        e = np.zeros_like(theta)
+        e[i] = 1e-6
+        num = (total(theta + e) - total(theta - e)) / 2e-6
+        assert abs(num - g[i]) < 1e-4 * max(1.0, abs(num))
