@@ -92,3 +92,16 @@ def error_band(scored: DataFrame, predicted: str = "predicted", mae: float = cod
     sigma = F.col(predicted) * F.lit(mae) / F.lit(codes.ERROR_BAND_PRICE_SCALE)
     return scored.withColumns({"sigma": sigma, "low_1s": F.col(predicted) - sigma, "high_1s": F.col(predicted) + sigma,
                                "low_2s": F.col(predicted) - 2 * sigma, "high_2s": F.col(predicted) + 2 * sigma})
+
+
+def append_run(runs: DataFrame, new_runs: DataFrame) -> DataFrame:
+    """M11 ``log_run``: append runs with the next ids (current max + 1, in the
+    order of ``new_runs``' ``seq`` column). The run log is small (one row per
+    experiment); the new ids come from one window over the union."""
+    tagged = (runs.withColumn("_new", F.lit(False)).withColumn("seq", F.lit(None).cast("long"))
+              .unionByName(new_runs.withColumn("_new", F.lit(True)), allowMissingColumns=True))
+    everything = Window.partitionBy()
+    base = F.coalesce(F.max(F.when(~F.col("_new"), F.col("run_id"))).over(everything), F.lit(0))
+    ordered = Window.partitionBy("_new").orderBy("seq")
+    rid = F.when(F.col("_new"), base + F.row_number().over(ordered)).otherwise(F.col("run_id"))
+    return tagged.withColumn("run_id", rid.cast("int")).drop("_new", "seq")
