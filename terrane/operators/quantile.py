@@ -7,9 +7,10 @@ This operator is exact and bounded instead:
 1. one aggregate per group: ``count`` and two ``percentile_approx`` values that
    bracket the target rank by a margin larger than the sketch's rank error;
 2. one aggregate per group: how many rows fall below the lower bracket value;
-3. only rows inside the bracket (a ~4/accuracy share of each group) are ranked
-   with ``row_number``, and the two values around the target position are
-   interpolated linearly, as pandas, numpy and Spark's ``percentile`` do.
+3. only rows inside the bracket (a ~8/accuracy share of each group) are
+   counted per distinct value (ties collapse map-side) and ranked by a running
+   sum; the two values around the target position are interpolated linearly,
+   as pandas, numpy and Spark's ``percentile`` do.
 
 If a bracket ever misses the target rank, that group's bracket widens to its
 whole range, so the answer stays exact.
@@ -52,13 +53,19 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, fl
         inside = (base.join(b, keys)
                   .where((F.col("_lo").isNull() | (F.col("_v") >= F.col("_lo")))
                          & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi")))))
-        w = Window.partitionBy(*keys).orderBy("_v")
-        ranked = inside.select(*keys, "_v", "_pos",
-                               (F.row_number().over(w) - 1 + F.col("_below")).alias("_rank"))
+        # ties collapse first (a partial aggregate), so a value shared by a
+        # large share of the group is one row; ranks become [start, end] ranges
+        counted = inside.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"),
+                                                 F.first("_pos").alias("_pos"), F.first("_below").alias("_below"))
+        w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        ranged = counted.select(*keys, "_v", "_pos", (F.col("_below") + F.sum("_c").over(w) - F.col("_c")).alias("_r0"),
+                                (F.col("_below") + F.sum("_c").over(w) - 1).alias("_r1"))
         lo_i, hi_i = F.floor("_pos"), F.ceil("_pos")
-        res = ranked.where((F.col("_rank") == lo_i) | (F.col("_rank") == hi_i)).groupBy(*keys).agg(
-            F.max(F.when(F.col("_rank") == lo_i, F.col("_v"))).alias("_a"),
-            F.max(F.when(F.col("_rank") == hi_i, F.col("_v"))).alias("_b"),
+        covers_lo = (F.col("_r0") <= lo_i) & (lo_i <= F.col("_r1"))
+        covers_hi = (F.col("_r0") <= hi_i) & (hi_i <= F.col("_r1"))
+        res = ranged.where(covers_lo | covers_hi).groupBy(*keys).agg(
+            F.max(F.when(covers_lo, F.col("_v"))).alias("_a"),
+            F.max(F.when(covers_hi, F.col("_v"))).alias("_b"),
             F.first("_pos").alias("_pos"))
         parts.append(res.select(*keys, (F.col("_a") + (F.col("_pos") - F.floor("_pos")) * (F.col("_b") - F.col("_a")))
                                 .alias(name)))

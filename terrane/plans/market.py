@@ -106,34 +106,6 @@ def comparable_sales(records: DataFrame, target_city: str, target_type: str, tar
                     (F.col("estimated_price") * F.lit(1.0) / F.col("sfla")).alias("ppsf")))
 
 
-def comparable_sales_bulk(records: DataFrame, subjects: DataFrame, as_of: _dt.date | str,
-                          months: int = 18, min_price: int = 50000, k: int = 50) -> DataFrame:
-    """A10 for many subjects at once: subjects ``(subject_id, city, prop_type, sfla)``.
-
-    Subjects with a known city join candidate sales on the town code (an equi
-    join, so no pair enumeration across towns); the size band is a post-join
-    range filter, and the per-subject top ``k`` uses ``row_number``.
-    """
-    carry = ["sfla", "beds", "bath_tot", "year_blt", "address", "town", "abst1", "abst2"]
-    ev = (sales.sale_events(records, carry)
-          .where((F.col("estimated_price") > min_price)
-                 & (F.col("tx_date") >= F.add_months(F.lit(str(as_of)).cast("date"), -months)))
-          .withColumn("cand_type", decode.property_type()))
-    subj = subjects.select(
-        "subject_id", decode.literal_map(_CITY_TOWN)[F.col("city")].alias("s_town"),
-        F.col("prop_type").alias("s_type"),
-        F.floor(F.col("sfla") * 0.75).cast("int").alias("s_lo"),
-        F.floor(F.col("sfla") * 1.25).cast("int").alias("s_hi"))
-    j = ev.join(subj, ev.town == subj.s_town, "inner").where(
-        F.col("sfla").between(F.col("s_lo"), F.col("s_hi"))
-        & (~F.col("s_type").isin(list(_TYPE_CODES)) | (F.col("cand_type") == F.col("s_type"))))
-    w = Window.partitionBy("subject_id").orderBy(F.col("tx_date").desc(), F.col("schno"), F.col("slot"))
-    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("subject_id", "rank", "tx_date", F.col("estimated_price").alias("price"), "sfla",
-                    "beds", F.col("bath_tot").alias("baths"), "year_blt", "address",
-                    (F.col("estimated_price") * F.lit(1.0) / F.col("sfla")).alias("ppsf")))
-
-
 def seasonality(metrics: DataFrame, after_year: str = "2010") -> DataFrame:
     """Sales by calendar month and city."""
     return (metrics.where(F.col("tx_year") > after_year)

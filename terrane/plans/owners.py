@@ -103,19 +103,14 @@ def multi_owner_breakdown(per_owner: DataFrame) -> DataFrame:
 
 
 def large_owners(frame: DataFrame, min_properties: int = 10) -> DataFrame:
-    """Owners with more than ``min_properties`` parcels and their parcel ids.
-
-    Counted first with a partial aggregate; only the qualifying owners' rows
-    are then joined back (left semi) and listed. The list is the feature, and
-    per owner it is bounded by that owner's parcel count.
-    """
+    """Owners with more than ``min_properties`` parcels and their parcel
+    ids, one row per (owner, parcel). Owners are counted with a partial
+    aggregate; only the qualifying owners' rows are kept (left semi join). The
+    list stays in long form, so no owner's parcels are gathered into one row."""
     owned = frame.where(F.col("primary_owner").isNotNull()).select("primary_owner", "schno")
     big = (owned.groupBy("primary_owner").agg(F.count(F.lit(1)).alias("n_properties"))
            .where(F.col("n_properties") > min_properties))
-    rows = owned.join(big.select("primary_owner"), "primary_owner", "left_semi")
-    listed = rows.groupBy("primary_owner").agg(
-        F.array_join(F.array_sort(F.collect_list("schno")), ", ").alias("schnos"))
-    return big.join(listed, "primary_owner")
+    return owned.join(big, "primary_owner")
 
 
 RESIDENTIAL = list(codes.RESIDENTIAL_BUILDING_LABELS)

@@ -128,3 +128,12 @@ def test_network_gradient_matches_finite_differences():
         e[i] = 1e-6
         num = (total(theta + e) - total(theta - e)) / 2e-6
         assert abs(num - g[i]) < 1e-4 * max(1.0, abs(num))
+
+
+def test_exact_quantiles_with_a_dominant_value(spark):
+    rows = [("g", 100.0)] * 9000 + [("g", float(v)) for v in range(18000)] + [("h", 7.0)] * 5
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.med, r.p9) for r in exact_quantiles(df, ["k"], "v", {"med": 0.5, "p9": 0.9}).collect()}
+    vals = np.array([v for k, v in rows if k == "g"])
+    assert math.isclose(got["g"][0], np.quantile(vals, 0.5)) and math.isclose(got["g"][1], np.quantile(vals, 0.9))
+    assert got["h"] == (7.0, 7.0)
