@@ -14,8 +14,8 @@ Spark has no public as-of join, so it is composed from public operators:
   the carry into a year from earlier years comes from a per-year aggregate of
   the right side (one row per key and year).
 * ``global_fill`` (F3): forward then backward fill in a global order, without a
-  single-partition window over the rows: range partitioning, a per-partition
-  fill, and a carry table with one row per partition.
+  single-partition window over the rows: range partitioning (materialised
+  once), a per-partition fill, and a carry table with one row per partition.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 MAX_GRID_DAYS = 2_000_000
 
 
@@ -101,6 +103,9 @@ def global_fill(df: DataFrame, order: list[str], cols: list[str], partitions: in
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ordered = F.struct(*[F.col(c) for c in order])
     p = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    # one materialised partitioning for both the edge table and the local fill
+    ensure_checkpoint_dir(df.sparkSession)
+    p = p.checkpoint(eager=True)
     edge = p.groupBy("_p").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordered)).alias(f"_l_{c}") for c in cols],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordered)).alias(f"_f_{c}") for c in cols])

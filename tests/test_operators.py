@@ -137,3 +137,16 @@ def test_exact_quantiles_with_a_dominant_value(spark):
     vals = np.array([v for k, v in rows if k == "g"])
     assert math.isclose(got["g"][0], np.quantile(vals, 0.5)) and math.isclose(got["g"][1], np.quantile(vals, 0.9))
     assert got["h"] == (7.0, 7.0)
+
+
+def test_global_rank_after_shuffle_with_wide_rows(spark):
+    # input from a shuffle (non-deterministic arrival order) with extra columns,
+    # so the counting branch and the numbering branch prune differently
+    base = spark.range(0, 6000).withColumn("k", F.col("id") % 97)
+    agg = base.groupBy("k", (F.col("id") % 61).alias("j")).agg(F.count("*").alias("n"), F.max("id").alias("m"))
+    wide = agg.withColumn("pad", F.concat(F.lit("x"), F.col("m").cast("string")))
+    rows = global_rank(wide, ["k", "j"], "rank", partitions=5).collect()
+    ranks = sorted(r["rank"] for r in rows)
+    assert ranks == list(range(len(rows)))
+    by_rank = [(r["k"], r["j"]) for r in sorted(rows, key=lambda r: r["rank"])]
+    assert by_rank == sorted(by_rank)
