@@ -38,18 +38,15 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, fl
             F.percentile_approx("_v", max(q - margin, 0.0), accuracy).alias("_lo"),
             F.percentile_approx("_v", min(q + margin, 1.0), accuracy).alias("_hi"),
         ).withColumn("_pos", (F.col("_n") - 1).cast("double") * F.lit(q))
-        below = (base.join(stats.select(*keys, "_lo", "_hi"), keys)
-                 .groupBy(*keys).agg(F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"),
-                                     F.sum(F.when(F.col("_v") <= F.col("_hi"), 1).otherwise(0)).alias("_upto")))
-        b = stats.join(below, keys).select(
-            *keys, "_pos",
-            # the bracket must hold the floor and ceil positions of the target
-            F.when((F.col("_below") <= F.floor("_pos")) & (F.col("_upto") > F.ceil("_pos")), F.col("_lo"))
-             .alias("_lo"),
-            F.when((F.col("_below") <= F.floor("_pos")) & (F.col("_upto") > F.ceil("_pos")), F.col("_hi"))
-             .alias("_hi"),
-            F.when((F.col("_below") <= F.floor("_pos")) & (F.col("_upto") > F.ceil("_pos")), F.col("_below"))
-             .otherwise(F.lit(0)).alias("_below"))
+        # the bracket values are carried along with the counts made from them,
+        # so every later step sees the same evaluation of the sketch
+        below = (base.join(stats, keys)
+                 .groupBy(*keys, "_lo", "_hi", "_pos")
+                 .agg(F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"),
+                      F.sum(F.when(F.col("_v") <= F.col("_hi"), 1).otherwise(0)).alias("_upto")))
+        ok = (F.col("_below") <= F.floor("_pos")) & (F.col("_upto") > F.ceil("_pos"))
+        b = below.select(*keys, "_pos", F.when(ok, F.col("_lo")).alias("_lo"), F.when(ok, F.col("_hi")).alias("_hi"),
+                         F.when(ok, F.col("_below")).otherwise(F.lit(0)).alias("_below"))
         inside = (base.join(b, keys)
                   .where((F.col("_lo").isNull() | (F.col("_v") >= F.col("_lo")))
                          & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi")))))
