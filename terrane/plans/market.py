@@ -106,6 +106,45 @@ def comparable_sales(records: DataFrame, target_city: str, target_type: str, tar
                     (F.col("estimated_price") * F.lit(1.0) / F.col("sfla")).alias("ppsf")))
 
 
+MAX_SUBJECTS = 10_000
+
+
+def comparable_sales_many(records: DataFrame, subjects: list[dict], as_of: _dt.date | str, months: int = 18,
+                          min_price: int = 50000, k: int = 50) -> DataFrame:
+    """A10 for many subjects at once (``subject_id, city, prop_type, sfla``).
+
+    The subjects are a bounded literal array; each recent sale keeps only the
+    subjects whose town, type and size band it matches, so no join is planned.
+    The newest ``k`` per subject come from ``row_number() <= k``, cut map-side
+    before the shuffle.
+    """
+    if len(subjects) > MAX_SUBJECTS:
+        raise ValueError(f"at most {MAX_SUBJECTS} subjects per call")
+    carry = ["sfla", "beds", "bath_tot", "year_blt", "address", "town", "abst1", "abst2"]
+    ev = (sales.sale_events(records, carry)
+          .where((F.col("estimated_price") > min_price)
+                 & (F.col("tx_date") >= F.add_months(F.lit(str(as_of)).cast("date"), -months))))
+    subj = []
+    for i, s in enumerate(subjects):
+        codes_ = _TYPE_CODES.get(s["prop_type"])
+        subj.append(F.struct(F.lit(s.get("subject_id", i)).alias("id"),
+                             F.lit(_CITY_TOWN.get(s["city"])).cast("string").alias("town"),
+                             F.array(*[F.lit(c) for c in (codes_ or [])]).alias("codes"),
+                             F.lit(codes_ is not None).alias("typed"),
+                             F.lit(int(s["sfla"] * 0.75)).alias("lo"), F.lit(int(s["sfla"] * 1.25)).alias("hi")))
+    arr = F.array(*subj)
+    hit = F.filter(arr, lambda t: (t["town"].isNull() | (t["town"] == F.col("town")))
+                   & (~t["typed"] | F.array_contains(t["codes"], F.col("abst1"))
+                      | F.array_contains(t["codes"], F.col("abst2")))
+                   & F.col("sfla").between(t["lo"], t["hi"]))
+    pairs = ev.select("*", F.explode(hit).alias("s"))
+    w = Window.partitionBy("s.id").orderBy(F.col("tx_date").desc(), F.col("schno"), F.col("slot"))
+    return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(F.col("s.id").alias("subject_id"), "rank", "tx_date", F.col("estimated_price").alias("price"),
+                    "sfla", "beds", F.col("bath_tot").alias("baths"), "year_blt", "address",
+                    (F.col("estimated_price") * F.lit(1.0) / F.col("sfla")).alias("ppsf")))
+
+
 def seasonality(metrics: DataFrame, after_year: str = "2010") -> DataFrame:
     """Sales by calendar month and city."""
     return (metrics.where(F.col("tx_year") > after_year)

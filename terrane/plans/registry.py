@@ -639,3 +639,8 @@ def _m6(spark, d):
 
 
 REGISTRY["M6"] = _m6
+
+COMPS_SUBJECTS = [{"subject_id": i, "city": c, "prop_type": t, "sfla": f}
+                  for i, (c, t, f) in enumerate([("BRECKENRIDGE", "Condo", 2000), ("FRISCO", "Single Family", 1500),
+                                                 ("DILLON", "Townhouse", 3000), ("NOWHERE", "Any", 2500)])]
+REGISTRY["A10_bulk"] = lambda s, d: market.comparable_sales_many(fx.parcels(s, d), COMPS_SUBJECTS, as_of=COMPS_AS_OF)
