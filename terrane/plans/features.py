@@ -92,9 +92,20 @@ def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]], suffix: s
                            for c, (m, s) in stats.items()})
 
 
-def fit_categories(df: DataFrame, cols: list[str] = CATEGORICAL) -> dict[str, list[str]]:
-    """F8 fit: sorted distinct categories per column (small: one row per value)."""
-    return {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()) for c in cols}
+MAX_CATEGORIES = 10_000
+
+
+def fit_categories(df: DataFrame, cols: list[str] = CATEGORICAL, max_categories: int = MAX_CATEGORIES
+                   ) -> dict[str, list[str]]:
+    """F8 fit: sorted distinct categories per column. A category list is a
+    bounded dimension; the bound is checked before anything is collected."""
+    out = {}
+    for c in cols:
+        values = df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_categories + 1).collect()
+        if len(values) > max_categories:
+            raise ValueError(f"{c} has more than {max_categories} categories")
+        out[c] = sorted(r[0] for r in values)
+    return out
 
 
 def one_hot(df: DataFrame, cats: dict[str, list[str]]) -> DataFrame:
