@@ -57,10 +57,15 @@ LENIENT_INTS = ["units", "year_blt"]     # bad text -> NULL, fractional/infinite
 STRICT_INTS = ["adj_year_blt"]           # anything but an integer -> reject
 
 
-def null_na_tokens(df: DataFrame, tokens: list[str] = NA_TOKENS) -> DataFrame:
-    """The all-text scan's missing-value tokens become NULL (every column)."""
-    return df.select(*[F.when(F.col(c).isin(tokens), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-                       for c in df.columns])
+def _na_expr(c: str, tokens: list[str]) -> str:
+    quoted = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    return f"CASE WHEN `{c}` IN ({quoted}) THEN CAST(NULL AS STRING) ELSE `{c}` END AS `{c}`"
+
+
+def null_na_tokens(df: DataFrame, tokens: list[str] = NA_TOKENS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The all-text scan's missing-value tokens become NULL (every column
+    but ``keep``); one SQL expression per column."""
+    return df.selectExpr(*[_na_expr(c, tokens) if c not in keep else f"`{c}`" for c in df.columns])
 
 
 def _text(df: DataFrame, name: str):
@@ -156,7 +161,6 @@ def ingest_counters(validated: DataFrame) -> DataFrame:
 def ingest(df: DataFrame, as_of_year: int, pos: str = "pos") -> tuple[DataFrame, DataFrame]:
     """Text rows with an input position -> (parcel table with one row
     per key, last position winning; dead-letter rows)."""
-    text = df.select(*[F.when(F.col(c).isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-                       if c != pos else F.col(c) for c in df.columns])
+    text = null_na_tokens(df, keep=(pos,))
     v = validate_records(text, as_of_year, keep=(pos,))
     return upsert_last_wins(accepted(v, keep=(pos,)), "schno", pos), rejected(v)

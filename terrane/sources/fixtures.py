@@ -53,55 +53,50 @@ def sale_slots(orders: DataFrame) -> DataFrame:
 
 
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stands for ``raw_records``: one row per customer, conformed to its schema."""
+    """Stands for ``raw_records``: one row per customer, conformed to its schema.
+    (Projections are SQL expression strings: one plan call per column.)"""
     customer = read_table(spark, sf_dir, "customer")
     slots = sale_slots(read_table(spark, sf_dir, "orders"))
-    k = F.col("c_custkey")
-    nk = F.col("c_nationkey")
-    built = F.lit(1890) + k * 7 % 135
-    df = (customer.join(slots, customer.c_custkey == slots.o_custkey, "left")
-          .select(
-              k.cast("string").alias("schno"),
-              *[F.col(f"{p}{i}") for i in range(1, 5) for p in ("recdate", "docfee")],
-              (k * 37 % 4001).cast("double").alias("sfla"),
-              built.cast("int").alias("year_blt"),
-              (built + F.when(k % 5 == 0, 20).otherwise(0)).cast("int").alias("adj_year_blt"),
-              F.when(k % 11 == 0, F.lit(None)).otherwise(1 + k % 3).cast("int").alias("units"),
-              F.col("c_name").alias("address"),
-              _case(nk % 7, [(0, "BRECKENRIDGE"), (1, "FRISCO"), (2, "DENVER"), (3, "DALLAS"),
-                             (4, "KEYSTONE"), (5, "BOULDER")], "MIAMI").alias("city"),
-              _case(nk % 7, [(3, "TX"), (6, None)], "CO").alias("state"),
-              _case(nk % 12, [(0, "B"), (1, "F"), (2, "D"), (3, "S"), (4, "K"), (5, "C"), (6, "M"),
-                              (7, "R"), (8, "BR"), (9, "H"), (10, "None")], "ZZ").alias("town"),
-              _case(k % 6, [(0, "1212"), (1, "1230"), (2, "1231"), (3, "1214"), (4, "100")]).alias("abst1"),
-              _case(k % 10, [(0, "1212"), (1, "0")]).alias("abst2"),
-              (k % 6).cast("double").alias("beds"),
-              ((k % 9).cast("double") / 2.0).alias("bath_tot"),
-          ))
+    df = customer.join(slots, customer.c_custkey == slots.o_custkey, "left").selectExpr(
+        "CAST(c_custkey AS STRING) AS schno",
+        *[f"{p}{i}" for i in range(1, 5) for p in ("recdate", "docfee")],
+        "CAST(c_custkey * 37 % 4001 AS DOUBLE) AS sfla",
+        "CAST(1890 + c_custkey * 7 % 135 AS INT) AS year_blt",
+        "CAST(1890 + c_custkey * 7 % 135 + CASE WHEN c_custkey % 5 = 0 THEN 20 ELSE 0 END AS INT) AS adj_year_blt",
+        "CAST(CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 1 + c_custkey % 3 END AS INT) AS units",
+        "c_name AS address",
+        "CASE c_nationkey % 7 WHEN 0 THEN 'BRECKENRIDGE' WHEN 1 THEN 'FRISCO' WHEN 2 THEN 'DENVER' "
+        "WHEN 3 THEN 'DALLAS' WHEN 4 THEN 'KEYSTONE' WHEN 5 THEN 'BOULDER' ELSE 'MIAMI' END AS city",
+        "CASE c_nationkey % 7 WHEN 3 THEN 'TX' WHEN 6 THEN NULL ELSE 'CO' END AS state",
+        "CASE c_nationkey % 12 WHEN 0 THEN 'B' WHEN 1 THEN 'F' WHEN 2 THEN 'D' WHEN 3 THEN 'S' WHEN 4 THEN 'K' "
+        "WHEN 5 THEN 'C' WHEN 6 THEN 'M' WHEN 7 THEN 'R' WHEN 8 THEN 'BR' WHEN 9 THEN 'H' WHEN 10 THEN 'None' "
+        "ELSE 'ZZ' END AS town",
+        "CASE c_custkey % 6 WHEN 0 THEN '1212' WHEN 1 THEN '1230' WHEN 2 THEN '1231' WHEN 3 THEN '1214' "
+        "WHEN 4 THEN '100' ELSE NULL END AS abst1",
+        "CASE c_custkey % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2",
+        "CAST(c_custkey % 6 AS DOUBLE) AS beds",
+        "CAST(c_custkey % 9 AS DOUBLE) / 2.0 AS bath_tot")
     return conform_records(df)
 
 
 def raw_text(parcels_df: DataFrame) -> DataFrame:
-    """Stands for ``records.csv``: all-text rows with dirty values by modulo."""
-    k = _k()
-    d = F.col("recdate1")
-    # concat_ws('') skips NULL parts, as the SQL form's concat does
-    mdy = F.concat_ws("", F.month(d).cast("string"), F.lit("/"), F.dayofmonth(d).cast("string"), F.lit("/"),
-                      F.year(d).cast("string"))
-    return parcels_df.select(
-        F.when(k % 211 == 0, F.lit(None).cast("string")).otherwise(F.col("schno")).alias("schno"),
-        F.when(k % 53 == 0, F.lit("NOT A DATE"))
-         .when(k % 7 == 0, F.concat_ws("", mdy, F.lit(" 9:13:25 AM")))
-         .otherwise(mdy).alias("recdate1"),
-        F.when(k % 31 == 0, F.lit("n/a")).when(k % 29 == 0, F.lit("  25.50  "))
-         .otherwise((k % 90).cast("string")).alias("docfee1"),
-        F.when(k % 61 == 0, F.lit("9999")).when(k % 67 == 0, F.lit("1995.5"))
-         .otherwise(F.col("year_blt").cast("string")).alias("year_blt"),
-        F.when(k % 97 == 0, F.lit("abc")).when(k % 89 == 0, F.lit("2005.0"))
-         .otherwise(F.col("adj_year_blt").cast("string")).alias("adj_year_blt"),
-        F.col("units").cast("string").alias("units"),
-        F.when(k % 101 == 0, F.lit("two")).otherwise(F.col("beds").cast("int").cast("string")).alias("beds"),
-    )
+    """Stands for ``records.csv``: all-text rows with dirty values by modulo.
+    (concat_ws('') skips NULL parts, as the SQL form's concat does.)"""
+    k = "CAST(schno AS INT)"
+    mdy = ("concat_ws('', CAST(month(recdate1) AS STRING), '/', CAST(day(recdate1) AS STRING), '/', "
+           "CAST(year(recdate1) AS STRING))")
+    return parcels_df.selectExpr(
+        f"CASE WHEN {k} % 211 = 0 THEN NULL ELSE schno END AS schno",
+        f"CASE WHEN {k} % 53 = 0 THEN 'NOT A DATE' WHEN {k} % 7 = 0 THEN concat_ws('', {mdy}, ' 9:13:25 AM') "
+        f"ELSE {mdy} END AS recdate1",
+        f"CASE WHEN {k} % 31 = 0 THEN 'n/a' WHEN {k} % 29 = 0 THEN '  25.50  ' ELSE CAST({k} % 90 AS STRING) END "
+        "AS docfee1",
+        f"CASE WHEN {k} % 61 = 0 THEN '9999' WHEN {k} % 67 = 0 THEN '1995.5' ELSE CAST(year_blt AS STRING) END "
+        "AS year_blt",
+        f"CASE WHEN {k} % 97 = 0 THEN 'abc' WHEN {k} % 89 = 0 THEN '2005.0' ELSE CAST(adj_year_blt AS STRING) END "
+        "AS adj_year_blt",
+        "CAST(units AS STRING) AS units",
+        f"CASE WHEN {k} % 101 = 0 THEN 'two' ELSE CAST(CAST(beds AS INT) AS STRING) END AS beds")
 
 
 def owners(parcels_df: DataFrame) -> DataFrame:

@@ -37,8 +37,7 @@ def stream_page_rows(spark: SparkSession, landing: str, schema: str, checkpoint:
 
 
 def _write_batch(batch: DataFrame, batch_id: int, root: str, as_of_year: int, pos: str) -> None:
-    text = batch.select(*[F.when(F.col(c).isin(ing.NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(c))
-                          .alias(c) if c != pos else F.col(c) for c in batch.columns])
+    text = ing.null_na_tokens(batch, keep=(pos,))
     v = ing.validate_records(text, as_of_year, keep=(pos,)).withColumn("_ok", F.size("errors") == 0)
     v = v.persist()
     try:
