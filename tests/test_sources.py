@@ -78,3 +78,33 @@ def test_append_run_numbers_after_max(spark):
     new = spark.createDataFrame([(2, "gbm", 4.0), (1, "nn", 2.0)], "seq long, model_name string, mae double")
     out = {(r.model_name, r.mae): r.run_id for r in evaluate.append_run(runs, new).collect()}
     assert out[("nn", 2.0)] == 5 and out[("gbm", 4.0)] == 6 and out[("gbm", 5.0)] == 1
+
+
+def test_ingest_job_writes_table_dead_letters_and_counters(spark):
+    from terrane import jobs
+    from terrane.plans import registry as R
+    from terrane.sources import files as fl
+    from terrane.sources import fixtures as fx
+
+    root = fl.scratch_path(spark, "ingest-job")
+    raw = fx.raw_text(fx.parcels(spark, SMOKE))
+    raw.write.options(**fl.CSV_TEXT_OPTIONS).csv(f"{root}/in")
+    counters = jobs.ingest_job(spark, f"{root}/in", f"{root}/table", f"{root}/dlq", R.INGEST_AS_OF_YEAR, raw.columns)
+    table = spark.read.parquet(f"{root}/table")
+    dlq = spark.read.option("header", "true").option("multiLine", "true").csv(f"{root}/dlq")
+    assert counters["processed"] == raw.count()
+    assert counters["inserted"] + counters["rejected"] == counters["processed"]
+    assert table.count() == R.REGISTRY["S2"](spark, SMOKE).count()
+    assert dlq.count() == counters["rejected"] == R.REGISTRY["S6"](spark, SMOKE).count()
+
+
+def test_export_job_writes_every_output(spark):
+    from terrane import jobs
+    from terrane.sources import files as fl
+    from terrane.sources import fixtures as fx
+
+    root = fl.scratch_path(spark, "export-job")
+    written = jobs.export_job(spark, fx.parcels(spark, SMOKE), root, macro=fx.macro(spark, SMOKE))
+    assert len(written) == 6
+    trends = spark.read.json(f"{root}/market_trends")
+    assert trends.count() > 0 and "avg_price_3yr_ma" in trends.columns
