@@ -644,3 +644,30 @@ COMPS_SUBJECTS = [{"subject_id": i, "city": c, "prop_type": t, "sfla": f}
                   for i, (c, t, f) in enumerate([("BRECKENRIDGE", "Condo", 2000), ("FRISCO", "Single Family", 1500),
                                                  ("DILLON", "Townhouse", 3000), ("NOWHERE", "Any", 2500)])]
 REGISTRY["A10_bulk"] = lambda s, d: market.comparable_sales_many(fx.parcels(s, d), COMPS_SUBJECTS, as_of=COMPS_AS_OF)
+
+
+# --- S11: GeoJSON line scan over lines derived from the address points ----------------
+
+def _s11(spark, d):
+    """One line per town through the address points of its lowest and highest
+    parcel id, written as a GeoJSON FeatureCollection (one aggregate row: the
+    line set is bounded by the number of towns), then scanned back as segments."""
+    p = fx.parcels(spark, d).select("schno", "town")
+    pts = geo.join_coordinates(p, _points(spark, d)).where(F.col("latitude").isNotNull() & F.col("town").isNotNull())
+    k = F.col("schno").cast("bigint")
+    ends = pts.groupBy("town").agg(F.min_by(F.struct("longitude", "latitude"), k).alias("a"),
+                                   F.max_by(F.struct("longitude", "latitude"), k).alias("b"))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.create_map(F.lit("name"), F.concat(F.lit("Town "), F.col("town"), F.lit(" Lift"))).alias("properties"),
+        F.struct(F.lit("LineString").alias("type"),
+                 F.array(F.array("a.longitude", "a.latitude"), F.array("b.longitude", "b.latitude"))
+                 .alias("coordinates")).alias("geometry"))
+    doc = ends.agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
+                                      F.collect_list(feature).alias("features"))).alias("value"))
+    path = fl.scratch_path(spark, "lift-lines")
+    doc.coalesce(1).write.text(path)
+    return fl.lift_segments(fl.read_lift_lines(spark, path))
+
+
+REGISTRY["S11"] = _s11
