@@ -44,7 +44,7 @@ PERCENT = 80
 BUCKET_NGRAMS = 1_000_000
 #: N-grams that so many classes of one slice share travel as counts; their document frequency counts as HOT.
 HOT_HOLDERS, HOT = 32, 2**31 - 1
-SLICE_BYTES = 16 << 20
+SLICE_BYTES, BLOCK_BYTES = 6 << 20, 1 << 20
 LEADER_ROUNDS = 3
 CHUNK = 256
 SHARD_PAIRS = 4000
@@ -74,12 +74,18 @@ class WordHasher:
         self.powers = self.inverses = np.ones(1, _U)
 
     def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(self.powers) < len(data):
-            size = len(data) + len(data) // 4
-            self.powers = np.cumprod(np.concatenate([[_U(1)], np.full(size, BYTE_FACTOR)]))
-            self.inverses = np.cumprod(np.concatenate([[_U(1)], np.full(size, self.inverse)]))
-        sums = np.concatenate([np.zeros(1, _U), np.cumsum(self.values[data] * self.powers[:len(data)])])
-        return mix((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(_U))
+        """Hashes of the words data[starts:ends], in blocks that begin and end with words."""
+        out = np.zeros(len(starts), _U)
+        cuts = np.unique(np.searchsorted(starts, np.arange(0, len(data) + BLOCK_BYTES, BLOCK_BYTES)))
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            first, last = int(starts[i]), int(ends[j - 1])
+            if len(self.powers) < last - first:
+                self.powers = np.cumprod(np.concatenate([[_U(1)], np.full(last - first, BYTE_FACTOR)]))
+                self.inverses = np.cumprod(np.concatenate([[_U(1)], np.full(last - first, self.inverse)]))
+            sums = np.concatenate([np.zeros(1, _U), np.cumsum(self.values[data[first:last]] * self.powers[:last - first])])
+            a, b = starts[i:j] - first, ends[i:j] - first
+            out[i:j] = mix((sums[b] - sums[a]) * self.inverses[a] + (b - a).astype(_U))
+        return out
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +229,11 @@ def _shared_ngrams(part: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(sigs, kind="stable")
     sigs, tokens, frequency = sigs[order], tokens[order].view(np.int64), frequency[order]
     edges = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1], [True]])) if len(sigs) else np.zeros(1, int)
-    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": np.split(tokens, edges[1:-1]) if len(sigs) else [],
-                         "df": np.split(frequency, edges[1:-1]) if len(sigs) else []})
+
+    def by_class(values: np.ndarray) -> pd.Series:
+        return pd.Series([values[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], dtype=object)
+
+    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": by_class(tokens), "df": by_class(frequency)})
 
 
 def needed_share(n: Column) -> Column:
