@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import by_value, texts
+from terrane.llm.common import Scratch, by_value, texts
 
 by_value(__name__)
 
 LANGUAGES = ("en", "fr", "de", "es")
-ALL = ""
+ALL, OTHER = "", "*"
 COMMON = 50
 MIN_WORDS, MIN_CHARS = 50, 200
 MAX_CHAR_DISTANCE = 0.28
@@ -117,7 +117,7 @@ def references(docs: DataFrame, common: int = COMMON, text_col: str = "text", la
 
     Counts cover all documents; what reaches the driver is bounded by references x (classes + common words).
     """
-    lang = F.when(F.col(lang_col).isin(*LANGUAGES), F.col(lang_col)).otherwise(F.lit(ALL))
+    lang = F.when(F.col(lang_col).isin(*LANGUAGES), F.col(lang_col)).otherwise(F.lit(OTHER))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,25 +137,24 @@ def references(docs: DataFrame, common: int = COMMON, text_col: str = "text", la
     counted = (docs.select(lang.alias("ref"), F.col(text_col).alias("text"))
                .mapInArrow(count, "ref string, item string, n long")
                .groupBy("ref", "item").agg(F.sum("n").alias("n")))
-    ranked = counted.withColumn("kind", F.substring("item", 1, 1))
-    # the commonest words of all texts together are among the commonest of one of the parts or their union; take
-    # more per part so that sums over the parts are those of every word that can be common
-    window = Window.partitionBy("ref", "kind").orderBy(F.desc("n"), "item")
-    top = ranked.withColumn("k", F.row_number().over(window)).where(F.col("k") <= common * (len(LANGUAGES) + 1))
-    rows = top.select("ref", "item", "n").collect()
-    out: dict[str, dict] = {r: {"classes": np.zeros(len(CLASSES)), "words": Counter(), "n": 0} for r in (*LANGUAGES, ALL)}
-    for row in rows:
-        for ref in {row["ref"], ALL}:
-            item, own = row["item"], out[ref]
-            if item[0] == "c":
-                own["classes"][int(item[1:])] += row["n"]
-            elif item[0] == "n":
-                own["n"] += row["n"]
-            else:
-                own["words"][item[1:].encode()] += row["n"]
+    counted = Scratch(docs.sparkSession, "quality").write(counted, "counts")
+    whole = counted.groupBy(F.lit(ALL).alias("ref"), "item").agg(F.sum("n").alias("n"))
+    window = Window.partitionBy("ref", F.substring("item", 1, 1)).orderBy(F.desc("n"), "item")
+    top = (counted.where(F.col("ref") != OTHER).unionByName(whole)
+           .withColumn("k", F.row_number().over(window)).where(F.col("k") <= max(common, len(CLASSES))))
+    out: dict[str, dict] = {}
+    for row in top.collect():
+        own = out.setdefault(row["ref"], {"classes": np.zeros(len(CLASSES)), "words": Counter(), "n": 0})
+        item = row["item"]
+        if item[0] == "c":
+            own["classes"][int(item[1:])] = row["n"]
+        elif item[0] == "n":
+            own["n"] = row["n"]
+        elif row["k"] <= common:
+            own["words"][item[1:].encode()] = row["n"]
     for own in out.values():
-        own["words"] = dict(sorted(own["words"].items(), key=lambda x: (-x[1], x[0]))[:common])
-    return {r: own for r, own in out.items() if own["n"]}
+        own["words"] = dict(sorted(own["words"].items(), key=lambda x: (-x[1], x[0])))
+    return {r: out[r] for r in (*LANGUAGES, ALL) if r in out and out[r]["n"]}
 
 
 class Judge:
