@@ -187,8 +187,12 @@ def main_text(page: Page, word_weight: np.ndarray, tag_weight: np.ndarray) -> st
         outer = [k for k, h in enumerate(page.home) if h == home]
         start, end = min(start, outer[0]), max(end, outer[-1] + 1)
         keep = lambda k: page.home[k] >= home
-    else:
+    else:  # the blocks at both ends belong to the run as a whole
         keep = lambda k: True
+        while start > 0 and page.block[start - 1] == page.block[start]:
+            start -= 1
+        while end < len(page.block) and page.block[end] == page.block[end - 1]:
+            end += 1
     blocks: dict[int, list[str]] = {}
     for k in range(start, end):
         if page.pieces[k] is not None and not page.out[k] and keep(k):
