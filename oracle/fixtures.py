@@ -6,38 +6,35 @@ They state the same derivations as ``terrane.sources.fixtures`` in plain SQL.
 from __future__ import annotations
 
 PARCELS = """
-ranked AS (
-  SELECT o_custkey, CAST(o_orderdate AS DATE) AS d,
-         CASE WHEN o_orderstatus = 'P' THEN 0.0
-              WHEN o_orderpriority = '1-URGENT' THEN o_totalprice
-              ELSE o_totalprice / 10000.0 END AS fee,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-  FROM orders),
 slots AS (
-  SELECT o_custkey,
-    MAX(CASE WHEN rn=1 THEN d END) AS recdate1, MAX(CASE WHEN rn=1 THEN fee END) AS docfee1,
-    MAX(CASE WHEN rn=2 THEN d END) AS recdate2, MAX(CASE WHEN rn=2 THEN fee END) AS docfee2,
-    MAX(CASE WHEN rn=3 THEN d END) AS recdate3, MAX(CASE WHEN rn=3 THEN fee END) AS docfee3,
-    MAX(CASE WHEN rn=4 THEN d END) AS recdate4, MAX(CASE WHEN rn=4 THEN fee END) AS docfee4
-  FROM ranked WHERE rn <= 4 GROUP BY o_custkey),
+  SELECT o_orderkey // 4 AS pk, MIN(o_custkey) AS custkey,
+    MAX(CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 23 <> 0 THEN CAST(o_orderdate AS DATE) END) AS recdate1,
+    MAX(CASE WHEN o_orderkey % 4 = 0 THEN CASE WHEN o_orderstatus = 'P' THEN 0.0 WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE o_totalprice / 10000.0 END END) AS docfee1,
+    MAX(CASE WHEN o_orderkey % 4 = 1 AND o_orderkey % 23 <> 0 THEN CAST(o_orderdate AS DATE) END) AS recdate2,
+    MAX(CASE WHEN o_orderkey % 4 = 1 THEN CASE WHEN o_orderstatus = 'P' THEN 0.0 WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE o_totalprice / 10000.0 END END) AS docfee2,
+    MAX(CASE WHEN o_orderkey % 4 = 2 AND o_orderkey % 23 <> 0 THEN CAST(o_orderdate AS DATE) END) AS recdate3,
+    MAX(CASE WHEN o_orderkey % 4 = 2 THEN CASE WHEN o_orderstatus = 'P' THEN 0.0 WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE o_totalprice / 10000.0 END END) AS docfee3,
+    MAX(CASE WHEN o_orderkey % 4 = 3 AND o_orderkey % 23 <> 0 THEN CAST(o_orderdate AS DATE) END) AS recdate4,
+    MAX(CASE WHEN o_orderkey % 4 = 3 THEN CASE WHEN o_orderstatus = 'P' THEN 0.0 WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE o_totalprice / 10000.0 END END) AS docfee4
+  FROM orders GROUP BY 1),
 parcels AS (
-SELECT CAST(c.c_custkey AS VARCHAR(20)) AS schno,
+SELECT CAST(s.pk AS VARCHAR(20)) AS schno,
   s.recdate1, s.docfee1, s.recdate2, s.docfee2, s.recdate3, s.docfee3, s.recdate4, s.docfee4,
-  CAST(c.c_custkey * 37 % 4001 AS DOUBLE) AS sfla,
-  CAST(1890 + c.c_custkey * 7 % 135 AS INT) AS year_blt,
-  CAST(1890 + c.c_custkey * 7 % 135 + CASE WHEN c.c_custkey % 5 = 0 THEN 20 ELSE 0 END AS INT) AS adj_year_blt,
-  CAST(CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE 1 + c.c_custkey % 3 END AS INT) AS units,
-  c.c_name AS address,
+  CAST(s.pk * 37 % 4001 AS DOUBLE) AS sfla,
+  CAST(1890 + s.pk * 7 % 135 AS INT) AS year_blt,
+  CAST(1890 + s.pk * 7 % 135 + CASE WHEN s.pk % 5 = 0 THEN 20 ELSE 0 END AS INT) AS adj_year_blt,
+  CAST(CASE WHEN s.pk % 11 = 0 THEN NULL ELSE 1 + s.pk % 3 END AS INT) AS units,
+  concat(c.c_name, ' ', CAST(s.pk AS VARCHAR)) AS address,
   CASE c.c_nationkey % 7 WHEN 0 THEN 'BRECKENRIDGE' WHEN 1 THEN 'FRISCO' WHEN 2 THEN 'DENVER' WHEN 3 THEN 'DALLAS' WHEN 4 THEN 'KEYSTONE' WHEN 5 THEN 'BOULDER' ELSE 'MIAMI' END AS city,
   CASE c.c_nationkey % 7 WHEN 3 THEN 'TX' WHEN 6 THEN NULL ELSE 'CO' END AS state,
   CAST(NULL AS VARCHAR) AS zip_code,
   CASE c.c_nationkey % 12 WHEN 0 THEN 'B' WHEN 1 THEN 'F' WHEN 2 THEN 'D' WHEN 3 THEN 'S' WHEN 4 THEN 'K' WHEN 5 THEN 'C' WHEN 6 THEN 'M' WHEN 7 THEN 'R' WHEN 8 THEN 'BR' WHEN 9 THEN 'H' WHEN 10 THEN 'None' ELSE 'ZZ' END AS town,
-  CASE c.c_custkey % 6 WHEN 0 THEN '1212' WHEN 1 THEN '1230' WHEN 2 THEN '1231' WHEN 3 THEN '1214' WHEN 4 THEN '100' ELSE NULL END AS abst1,
-  CASE c.c_custkey % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2,
-  CAST(c.c_custkey % 6 AS DOUBLE) AS beds, CAST(c.c_custkey % 9 AS DOUBLE) / 2.0 AS bath_tot,
+  CASE s.pk % 6 WHEN 0 THEN '1212' WHEN 1 THEN '1230' WHEN 2 THEN '1231' WHEN 3 THEN '1214' WHEN 4 THEN '100' ELSE NULL END AS abst1,
+  CASE s.pk % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2,
+  CAST(s.pk % 6 AS DOUBLE) AS beds, CAST(s.pk % 9 AS DOUBLE) / 2.0 AS bath_tot,
   CAST(NULL AS DOUBLE) AS garage_size, CAST(NULL AS DOUBLE) AS lot_size,
   CAST(NULL AS VARCHAR) AS grade, CAST(NULL AS VARCHAR) AS cond, CAST(NULL AS INT) AS scenic_view
-FROM customer c LEFT JOIN slots s ON s.o_custkey = c.c_custkey)"""
+FROM slots s LEFT JOIN customer c ON c.c_custkey = s.custkey)"""
 
 RAW_TEXT = """
 raw_text AS (
@@ -45,19 +42,20 @@ SELECT CASE WHEN CAST(schno AS INT) % 211 = 0 THEN NULL ELSE schno END AS schno,
   CASE WHEN CAST(schno AS INT) % 53 = 0 THEN 'NOT A DATE'
        WHEN CAST(schno AS INT) % 7 = 0 THEN concat(CAST(month(recdate1) AS VARCHAR(4)), '/', CAST(day(recdate1) AS VARCHAR(4)), '/', CAST(year(recdate1) AS VARCHAR(4)), ' 9:13:25 AM')
        ELSE concat(CAST(month(recdate1) AS VARCHAR(4)), '/', CAST(day(recdate1) AS VARCHAR(4)), '/', CAST(year(recdate1) AS VARCHAR(4))) END AS recdate1,
-  CASE WHEN CAST(schno AS INT) % 31 = 0 THEN 'n/a' WHEN CAST(schno AS INT) % 29 = 0 THEN '  25.50  ' ELSE CAST(CAST(schno AS INT) % 90 AS VARCHAR(20)) END AS docfee1,
+  CASE WHEN CAST(schno AS INT) % 31 = 0 THEN 'n/a' WHEN CAST(schno AS INT) % 29 = 0 THEN '  25.50  ' WHEN CAST(schno AS INT) % 37 = 0 THEN '1_000' WHEN CAST(schno AS INT) % 41 = 0 THEN '12d' WHEN CAST(schno AS INT) % 43 = 0 THEN '0x1p3' ELSE CAST(CAST(schno AS INT) % 90 AS VARCHAR(20)) END AS docfee1,
   CASE WHEN CAST(schno AS INT) % 61 = 0 THEN '9999' WHEN CAST(schno AS INT) % 67 = 0 THEN '1995.5' ELSE CAST(year_blt AS VARCHAR(4)) END AS year_blt,
   CASE WHEN CAST(schno AS INT) % 97 = 0 THEN 'abc' WHEN CAST(schno AS INT) % 89 = 0 THEN '2005.0' ELSE CAST(adj_year_blt AS VARCHAR(4)) END AS adj_year_blt,
   CAST(units AS VARCHAR(4)) AS units,
-  CASE WHEN CAST(schno AS INT) % 101 = 0 THEN 'two' ELSE CAST(CAST(beds AS INT) AS VARCHAR(4)) END AS beds
+  CASE WHEN CAST(schno AS INT) % 101 = 0 THEN 'two' WHEN CAST(schno AS INT) % 103 = 0 THEN '2f' ELSE CAST(CAST(beds AS INT) AS VARCHAR(4)) END AS beds
 FROM parcels)"""
 
 OWNERS = """
 owners AS (
-SELECT schno, concat(CASE CAST(schno AS INT) % 4 WHEN 0 THEN 'PATRICK ' WHEN 1 THEN 'JONES ' WHEN 2 THEN 'Vincent ' ELSE 'ADAMS ' END,
-   CAST(CAST(schno AS INT) % 400 AS VARCHAR(4)),
-   CASE CAST(schno AS INT) % 8 WHEN 1 THEN ' LLC' WHEN 3 THEN ' FAMILY TRUST' WHEN 5 THEN ' CHURCH' WHEN 7 THEN ' LTD' ELSE '' END) AS primary_owner
-FROM parcels WHERE CAST(schno AS INT) % 50 <> 0)"""
+SELECT schno, concat(CASE stem % 4 WHEN 0 THEN 'PATRICK ' WHEN 1 THEN 'JONES ' WHEN 2 THEN 'Vincent ' ELSE 'ADAMS ' END,
+   CAST(stem AS VARCHAR),
+   CASE stem % 8 WHEN 1 THEN ' LLC' WHEN 3 THEN ' FAMILY TRUST' WHEN 5 THEN ' CHURCH' WHEN 7 THEN ' LTD' ELSE '' END) AS primary_owner
+FROM (SELECT schno, CASE WHEN CAST(schno AS INT) % 5 = 0 THEN CAST(schno AS INT) // 100 * 2 ELSE CAST(schno AS INT) // 3 * 2 + 1 END AS stem
+  FROM parcels WHERE CAST(schno AS INT) % 50 <> 0) o)"""
 
 ADDRESS_POINTS = """
 address_points AS (
@@ -75,6 +73,7 @@ scraped AS (
 SELECT schno, CASE WHEN CAST(schno AS INT) % 5 = 0 THEN 'NO_SALES_FOUND'
   WHEN CAST(schno AS INT) % 7 = 0 THEN concat('Addr: | ', address, ' | | ', schno, ' | 1/1/2003 | WD | $500,000')
   WHEN CAST(schno AS INT) % 11 = 0 THEN ' | 791376 | 5202005 | WD | $543,500'
+  WHEN CAST(schno AS INT) % 13 = 0 THEN ' | 791377 | 5/20/2005 | WD | $500f'
   ELSE concat(' | ', schno, ' | 5/20/2002 | WD | $', CAST(100 + CAST(schno AS INT) % 800 AS VARCHAR(4)), ',500') END AS raw_sales_row
 FROM parcels)"""
 
@@ -135,22 +134,24 @@ def with_tables(*names: str, extra: str = "") -> str:
     return "WITH " + body + "\n"
 
 BUILDINGS = """
-code_table AS (SELECT * FROM (VALUES (0, '100 ', 'RESIDENTIAL VACANT LAND'), (1, '200 ', 'COMMERCIAL VACANT LAND'),
-  (2, '1112 ', 'SINGLE FAMILY LAND'), (3, '1212 ', 'SINGLE FAMILY STRUCTURE'), (4, '1214 ', 'TOWNHOUSE STRUCTURE'),
-  (5, '1230 ', 'CONDOMINIUM UNIT'), (6, '1231 ', 'CONDOMINIUM UNIT'), (7, '2212 ', 'MERCHANDISING STRUCTURE'),
-  (8, '2235 ', 'WAREHOUSE/STORAGE STRUCTURE'), (9, '1131 ', 'LEASEHOLD CONDO/HOTEL LAND'), (10, '9151 ', 'CHURCH LAND'),
-  (11, '9142 ', 'SCHOOL DISTRICT LAND')) AS t(i, code, description)),
+code_table AS (SELECT
+  CASE WHEN p_partkey < 4 THEN ['1212', '1214', '1230', '1231'][p_partkey + 1] ELSE CAST(p_partkey + 3000 AS VARCHAR) END AS code,
+  ['RESIDENTIAL VACANT LAND', 'COMMERCIAL VACANT LAND', 'SINGLE FAMILY LAND', 'LODGING STRUCTURE', 'INDUSTRIAL VACANT LOTS',
+   'MERCHANDISING STRUCTURE', 'WAREHOUSE/STORAGE STRUCTURE', 'LEASEHOLD CONDO/HOTEL LAND', 'CHURCH LAND',
+   'SCHOOL DISTRICT LAND', 'AGRICULTURAL GRAZING LAND'][p_partkey % 11 + 1] AS description FROM part),
+coded AS (SELECT *, CASE WHEN CAST(schno AS INT) % 17 = 0 THEN '9999 '
+    WHEN CAST(schno AS INT) % 3 = 0 THEN ['1212 ', '1214 ', '1230 ', '1231 '][CAST(schno AS INT) % 4 + 1]
+    ELSE concat(CAST(CAST(schno AS INT) % 190 + 3004 AS VARCHAR), ' ') END AS bldg_code FROM parcels),
 buildings AS (
   SELECT p.* REPLACE (CASE WHEN CAST(p.schno AS INT) % 4 = 0 THEN 0.0 ELSE CAST(CAST(p.schno AS INT) % 3 * 200 AS DOUBLE) END AS garage_size),
-    c.code AS bldg_code,
-    CASE WHEN trim(c.code) IN ('1212') THEN 'Single Family Home'
-         WHEN trim(c.code) IN ('1214', '1230', '1231') THEN 'Apartment/Condo/Townhome'
+    CASE WHEN trim(p.bldg_code) IN ('1212') THEN 'Single Family Home'
+         WHEN trim(p.bldg_code) IN ('1214', '1230', '1231') THEN 'Apartment/Condo/Townhome'
          WHEN lower(c.description) LIKE '%residential%' OR lower(c.description) LIKE '%dwelling%' OR lower(c.description) LIKE '%apartment%' OR lower(c.description) LIKE '%residence%' OR lower(c.description) LIKE '%res%' THEN 'Residential'
          WHEN lower(c.description) LIKE '%commercial%' OR lower(c.description) LIKE '%store%' OR lower(c.description) LIKE '%office%' OR lower(c.description) LIKE '%hotel%' OR lower(c.description) LIKE '%lodging%' OR lower(c.description) LIKE '%retail%' OR lower(c.description) LIKE '%bank%' THEN 'Commercial'
          WHEN lower(c.description) LIKE '%industrial%' OR lower(c.description) LIKE '%warehouse%' OR lower(c.description) LIKE '%factory%' THEN 'Industrial'
          WHEN lower(c.description) LIKE '%public%' OR lower(c.description) LIKE '%school%' OR lower(c.description) LIKE '%church%' OR lower(c.description) LIKE '%hospital%' OR lower(c.description) LIKE '%government%' THEN 'Public/Institutional'
          ELSE 'Other' END AS building_type
-  FROM parcels p LEFT JOIN code_table c ON c.i = CAST(p.schno AS INT) % 12)"""
+  FROM coded p LEFT JOIN code_table c ON c.code = trim(p.bldg_code))"""
 
 OWNER_FRAME = OWNERS + "," + BUILDINGS + """,
 owner_frame AS (

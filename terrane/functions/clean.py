@@ -30,10 +30,20 @@ def standardize_date(c) -> Column:
     return F.when((t != "") & parsed.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), parsed)
 
 
+#: Decimal numbers as text; digits may be grouped by single underscores.
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+NUMBER = rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))$"
+
+
+def number(t: Column) -> Column:
+    """Text -> double where it is a number as a whole; a cast alone would also
+    take type suffixes ('12d') and hexadecimal forms."""
+    return F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+
+
 def clean_numeric(c) -> Column:
     """Trimmed text -> double; bad text -> NULL."""
-    t = F.trim(_c(c).cast("string"))
-    return F.when(t != "", t.try_cast("double"))
+    return number(F.trim(_c(c).cast("string")))
 
 
 def is_integral(v) -> Column:
@@ -51,6 +61,6 @@ def valid_year(y, as_of_year: int, lo: int = 1800, ahead: int = 5) -> Column:
 def clean_id(c) -> Column:
     """Id clean: '12.0' -> '12' when the text is a whole number, else the text."""
     t = _c(c).cast("string")
-    d = t.try_cast("double")
+    d = number(F.trim(t))
     whole = F.when(is_integral(d), d.try_cast("bigint").cast("string"))
     return F.coalesce(whole, t)

@@ -59,7 +59,7 @@ SCENARIO_ARCHETYPES = [
     {"desc": "Family Home", "prop_type": "Single Family", "sfla": 2200, "beds": 3, "baths": 2.5, "year_blt": 1995,
      "garage_size": 400, "acres": 0.25, "grade_numeric": 5, "cond_numeric": 5, "scenic_view": 2},
 ]
-SCENARIO_MACRO = {"mortgage_rate": 6.5, "sp500": 5000, "cpi": 310.0, "summit_pop": 31.0}
+SCENARIO_MACRO = {"mortgage_rate": 6.5, "sp500": 5000, "cpi": 310.0, "county_pop": 31.0}
 # Error-band default when no run is active: a quarter of the baseline price.
 ERROR_BAND_DEFAULT_MAE = 1_500_000.0 * 0.25
 
@@ -156,22 +156,6 @@ SIMILAR_YEAR_UNIT = 10.0
 SIMILAR_MIN_SAME_TOWN = 5
 SIMILAR_TOP = 3
 
-# Building class code table (subset of the county's abstract codes, one per
-# keyword class): code as printed (padded), description.
-BUILDING_CODES = [
-    ("100 ", "RESIDENTIAL VACANT LAND"),
-    ("200 ", "COMMERCIAL VACANT LAND"),
-    ("1112 ", "SINGLE FAMILY LAND"),
-    ("1212 ", "SINGLE FAMILY STRUCTURE"),
-    ("1214 ", "TOWNHOUSE STRUCTURE"),
-    ("1230 ", "CONDOMINIUM UNIT"),
-    ("1231 ", "CONDOMINIUM UNIT"),
-    ("2212 ", "MERCHANDISING STRUCTURE"),
-    ("2235 ", "WAREHOUSE/STORAGE STRUCTURE"),
-    ("1131 ", "LEASEHOLD CONDO/HOTEL LAND"),
-    ("9151 ", "CHURCH LAND"),
-    ("9142 ", "SCHOOL DISTRICT LAND"),
-]
 # The two residential building labels, assigned by code before keyword classes.
 RESIDENTIAL_BUILDING_LABELS = {
     "Single Family Home": ["1212"],
@@ -191,7 +175,7 @@ TOWN_PHYSICAL_CITY = {
     "BR": "BLUE RIVER",
     "H": "HEENEY",
 }
-SUMMIT_TOWNS = ["BRECKENRIDGE", "DILLON", "FRISCO", "SILVERTHORNE", "KEYSTONE", "COPPER MOUNTAIN",
+COUNTY_TOWNS = ["BRECKENRIDGE", "DILLON", "FRISCO", "SILVERTHORNE", "KEYSTONE", "COPPER MOUNTAIN",
                 "BLUE RIVER", "MONTEZUMA", "HEENEY"]
 PO_BOX_PATTERN = "PO BOX|P.O. BOX"
 

@@ -1,77 +1,40 @@
-"""Small statistical helpers evaluated on aggregated rows.
-
-The two-sided p-value of a Pearson correlation needs the Student t CDF, which
-Spark lacks. It is evaluated by a vectorised pandas UDF on the (one-row-per-
-test) aggregate, through the regularised incomplete beta function computed
-with Lentz's continued fraction (Numerical Recipes, 3rd ed., section 6.4).
-"""
+"""Significance of a correlation as a column expression."""
 
 from __future__ import annotations
 
 import math
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Functions of this module run inside Python workers (mapInPandas / pandas
-# UDF); pickle them by value so workers need not import the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _betacf(a: float, b: float, x: float, iters: int = 300, eps: float = 3e-16) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def betainc_reg(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbeta) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbeta) * _betacf(b, a, 1.0 - x) / b
-
-
-def pearson_p_value_scalar(r: float, n: float) -> float:
-    """Two-sided p-value of r under H0: rho = 0 with n - 2 degrees of freedom."""
-    if r is None or n is None or np.isnan(r) or n <= 2:
-        return float("nan")
-    df = n - 2.0
-    if abs(r) >= 1.0:
-        return 0.0
-    t2 = r * r * df / (1.0 - r * r)
-    return betainc_reg(df / 2.0, 0.5, df / (df + t2))
 
 
-@F.pandas_udf(T.DoubleType())
-def pearson_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([pearson_p_value_scalar(a, b) for a, b in zip(r, n)], dtype="float64")
+def pearson_p_value(r: Column, n: Column) -> Column:
+    """Two-sided p-value of a Pearson r over n pairs under rho = 0.
+
+    With v = n - 2 degrees of freedom and x the angle whose tangent is
+    t / sqrt(v), so that sin(x) = |r| and cos(x)^2 = 1 - r^2, the Student t
+    distribution's share within +-t is a finite sum of powers of cos(x): for even v
+    sin(x) * (1 + 1/2 cos^2 + 1*3/(2*4) cos^4 + ...) up to cos^(v-2), for odd v
+    2/pi * (x + sin(x) cos(x) * (1 + 2/3 cos^2 + 2*4/(3*5) cos^4 + ...)) up to cos^(v-2).
+    NULL r or n <= 2 gives NaN.
+    """
+    v = (n - 2).cast("int")
+    c2, s = 1 - r * r, F.abs(r)
+    odd = (v % 2 == 1).cast("int")
+    terms = F.floor((v - odd) / 2).cast("int")  # number of powers of cos^2
+
+    def add(state: Column, k: Column) -> Column:
+        # term k from term k - 1: (2k - 1) / 2k for even v, 2k / (2k + 1) for odd v
+        ratio = (2 * k - 1 + odd) / (2 * k + odd)
+        term = state["term"] * ratio * c2
+        return F.struct((state["sum"] + term).alias("sum"), term.alias("term"))
+
+    first = F.struct(F.lit(1.0).alias("sum"), F.lit(1.0).alias("term"))
+    powers = F.when(terms > 1, F.sequence(F.lit(1), terms - 1)).otherwise(F.array().cast("array<int>"))
+    total = F.aggregate(powers, first, add, lambda state: state["sum"])
+    total = F.when(terms > 0, total).otherwise(F.lit(0.0))
+    within = F.when(odd == 0, s * total).otherwise(
+        F.lit(2 / math.pi) * (F.asin(F.least(s, F.lit(1.0))) + s * F.sqrt(F.greatest(c2, F.lit(0.0))) * total))
+    p = F.greatest(F.lit(0.0), 1 - within)
+    return F.when(r.isNull() | F.isnan(r) | n.isNull() | (n <= 2), F.lit(float("nan"))).otherwise(
+        F.when(s >= 1, F.lit(0.0)).otherwise(p))

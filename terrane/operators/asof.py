@@ -2,17 +2,11 @@
 
 Spark has no public as-of join, so it is composed from public operators:
 
-* ``asof_join`` (backward, exact matches allowed). A small right side (a macro
-  series) is expanded to a daily grid ``[date_i, date_{i+1})`` and broadcast;
-  each left row then finds its value by an equi join on its own date, a
-  map-side hash lookup: the left side is neither shuffled nor grouped, so a hot
-  date or key costs nothing extra. The grid's size (days covered) is checked
-  first with one small aggregate over the right side; beyond the bound the join
-  falls back to the union form.
-* ``asof_join_union`` interleaves both sides and carries the last right-side
-  struct forward with ``last(..., ignorenulls)`` over ``(key, year)`` windows;
-  the carry into a year from earlier years comes from a per-year aggregate of
-  the right side (one row per key and year).
+* ``asof_join`` (backward, exact matches allowed). The right side is reduced to
+  one row per (key, day) and the left side to its distinct (key, day); a running
+  ``last`` over those days, of which a calendar has few, finds each day's value.
+  The left rows then meet it by an equi join on (key, day): they are never
+  windowed, so a hot date or year is no sorted group, and AQE splits its join.
 * ``global_fill`` (F3): forward then backward fill in a global order, without a
   single-partition window over the rows: range partitioning (materialised
   once), a per-partition fill, and a carry table with one row per partition.
@@ -25,70 +19,28 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-MAX_GRID_DAYS = 2_000_000
-
-
-def _daily_grid(r: DataFrame, values: list[str], by: list[str]) -> DataFrame:
-    """One row per (key, day) from each right date up to the day before the next."""
-    w = Window.partitionBy(*by).orderBy("_rd") if by else Window.orderBy("_rd")
-    seg = r.select(*by, "_rd", F.lead("_rd").over(w).alias("_next"), *values)
-    days = F.when(F.col("_next").isNull(), F.array(F.col("_rd"))).otherwise(
-        F.sequence(F.col("_rd"), F.date_sub(F.col("_next"), 1)))
-    return seg.select(*by, F.explode(days).alias("_gd"), *values)
-
-
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, values: list[str],
-              by: list[str] | None = None, max_grid_days: int = MAX_GRID_DAYS) -> DataFrame:
+              by: list[str] | None = None, right_order: str | None = None) -> DataFrame:
     """For each left row, the right row with the greatest ``right_on`` <=
     ``left_on`` (per ``by`` keys); its ``values`` are appended (NULL if none).
-    Dates compare at day precision; the right side must have one row per date."""
-    by = list(by or [])
-    r = right.select(*by, F.col(right_on).cast("date").alias("_rd"), *values)
-    per_key = r.groupBy(*by).agg(F.min("_rd").alias("_d0"), F.max("_rd").alias("_d1"),
-                                 F.max_by(F.struct(*values), "_rd").alias("_last"))
-    check = per_key.agg(F.sum(F.datediff("_d1", "_d0") + 1).alias("days"), F.count(F.lit(1)).alias("keys"),
-                        F.first("_d1").alias("d1"), F.first("_last").alias("last")).first()
-    if check is None or check["keys"] == 0:
-        return left.select("*", *[F.lit(None).cast(right.schema[v].dataType).alias(v) for v in values])
-    if int(check["days"] or 0) > max_grid_days:
-        return asof_join_union(left, right, left_on, right_on, values, by)
-    grid = F.broadcast(_daily_grid(r, values, by))
-    ld = F.col(left_on).cast("date")
-    cond = [left[k] == grid[k] for k in by] + [ld == grid["_gd"]]
-    j = left.join(grid, cond, "left")
-    if by:
-        # rows after a key's last date take its last value: equi join on the key
-        tail = F.broadcast(per_key.select(*[F.col(k).alias(f"_k_{k}") for k in by], "_d1", "_last"))
-        j = j.join(tail, [left[k] == tail[f"_k_{k}"] for k in by], "left")
-        last_d, last = F.col("_d1"), {v: F.col("_last")[v] for v in values}
-    else:
-        last_d = F.lit(check["d1"])
-        last = {v: F.lit(check["last"][v]).cast(right.schema[v].dataType) for v in values}
-    out = [F.when(grid["_gd"].isNotNull(), grid[v]).when(ld > last_d, last[v]).alias(v) for v in values]
-    return j.select(*[left[c] for c in left.columns], *out)
-
 
-def asof_join_union(left: DataFrame, right: DataFrame, left_on: str, right_on: str, values: list[str],
-                    by: list[str] | None = None) -> DataFrame:
-    """J4 for a large or keyed right side: both sides in one stream per
-    (key, year); each left row takes the last right struct at or before it,
-    else the carry from earlier years."""
+    Dates compare at day precision. Of several right rows on one day the last
+    in ``right_order`` counts (without it, the greatest ``values``); right rows
+    without a date never match, left rows without one get NULL.
+    """
     by = list(by or [])
     rv = F.struct(*[F.col(v) for v in values])
-    r = right.select(*by, F.col(right_on).cast("date").alias("_t"), rv.alias("_rv"), F.lit(0).alias("_tag"))
-    l = left.select("*", F.col(left_on).cast("date").alias("_t"), F.lit(1).alias("_tag"),
-                    F.lit(None).cast(r.schema["_rv"].dataType).alias("_rv"))
-    u = l.unionByName(r, allowMissingColumns=True).withColumn("_b", F.year("_t"))
-    w = Window.partitionBy(*by, "_b").orderBy("_t", "_tag").rowsBetween(Window.unboundedPreceding, 0)
-    hits = u.withColumn("_hit", F.last("_rv", ignorenulls=True).over(w)).where(F.col("_tag") == 1)
-    last_per_year = r.withColumn("_b", F.year("_t")).groupBy(*by, "_b").agg(F.max_by("_rv", "_t").alias("_bl"))
-    years = hits.select(*by, "_b").distinct().unionByName(last_per_year.select(*by, "_b")).distinct()
-    wy = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (years.join(last_per_year, [*by, "_b"], "left")
-             .select(*by, "_b", F.last("_bl", ignorenulls=True).over(wy).alias("_carry")))
-    j = hits.join(carry, [*by, "_b"], "left")
-    got = F.coalesce(F.col("_hit"), F.col("_carry"))
-    return j.select(*[F.col(c) for c in left.columns], *[got[v].alias(v) for v in values])
+    order = F.struct(F.col(right_order), rv) if right_order else rv
+    daily = (right.where(F.col(right_on).isNotNull())
+             .groupBy(*by, F.col(right_on).cast("date").alias("_day")).agg(F.max_by(rv, order).alias("_rv")))
+    asked = left.select(*by, F.col(left_on).cast("date").alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    w = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    found = (asked.withColumn("_asked", F.lit(True)).join(daily, [*by, "_day"], "full")
+             .withColumn("_got", F.last("_rv", ignorenulls=True).over(w)).where("_asked")
+             .select(*[F.col(k).alias(f"_k_{k}") for k in by], F.col("_day").alias("_found_day"), "_got"))
+    cond = [left[k] == found[f"_k_{k}"] for k in by] + [left[left_on].cast("date") == found["_found_day"]]
+    j = left.join(found, cond, "left")
+    return j.select(*[left[c] for c in left.columns], *[F.col("_got")[v].alias(v) for v in values])
 
 
 def global_fill(df: DataFrame, order: list[str], cols: list[str], partitions: int | None = None) -> DataFrame:

@@ -20,9 +20,9 @@ def clean_address_points(points: DataFrame, id_col: str = "property_schedule", l
                          lon: str = "longitude", address: str = "full_address", order: str | None = None) -> DataFrame:
     """G1: drop rows without id or coordinates, normalise the id ('12.0' -> '12'),
     and keep per id the first non-null value of each column (first by ``order``,
-    default the input id text). A partial aggregate, so repeated ids are
-    reduced before the shuffle."""
-    pos = F.col(order) if order else F.col(id_col)
+    default the whole row; file reads carry file, block and row position). A
+    partial aggregate, so repeated ids are reduced before the shuffle."""
+    pos = F.col(order) if order else F.struct(id_col, lat, lon, address)
     p = points.where(F.col(id_col).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull())
     p = p.withColumn("schno", clean.clean_id(id_col)).withColumn("_pos", pos)
 

@@ -26,16 +26,14 @@ def residual_slices(scored: DataFrame, slices: tuple[str, ...] = ("city", "prop_
                          F.abs(F.col(predicted) - F.col(actual)).alias("_ae"))
     base = base.withColumn("_pct", F.col("_ae") / F.col("_a") * 100)
 
-    def agg(df):
-        return df.agg(F.avg("_ae").alias("mae"), F.avg("_pct").alias("mape"), F.count(F.lit(1)).alias("count"))
-    parts = [agg(base.groupBy(F.lit(s).alias("slice"), F.col(s).cast("string").alias("value"))) for s in slices]
-    parts.append(agg(base.groupBy(F.lit("overall").alias("slice"), F.lit("all").alias("value"))))
-    lux = base.where(F.col("_a") > codes.LUXURY_PRICE)
-    parts.append(agg(lux.groupBy(F.lit("luxury").alias("slice"), F.lit("> 2M").alias("value"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def tag(name: str, value) -> "F.Column":
+        return F.struct(F.lit(name).alias("slice"), value.cast("string").alias("value"))
+    # one scan: every row counts in each of its slices
+    tags = [tag(s, F.col(s)) for s in slices] + [
+        tag("overall", F.lit("all")), F.when(F.col("_a") > codes.LUXURY_PRICE, tag("luxury", F.lit("> 2M")))]
+    return (base.select("_ae", "_pct", F.explode(F.array_compact(F.array(*tags))).alias("_t"))
+            .groupBy("_t.slice", "_t.value")
+            .agg(F.avg("_ae").alias("mae"), F.avg("_pct").alias("mape"), F.count(F.lit(1)).alias("count")))
 
 
 def runs_from_scores(scored: DataFrame, date_col: str = "tx_date") -> DataFrame:

@@ -18,7 +18,7 @@ from ..operators.quantile import exact_quantiles
 from ..session import ensure_checkpoint_dir
 
 NUMERIC = ["sfla", "beds", "baths", "year_blt", "garage_size", "acres", "mortgage_rate", "sp500", "cpi",
-           "summit_pop", "grade_numeric", "cond_numeric", "scenic_view", "dist_breck", "dist_keystone",
+           "county_pop", "grade_numeric", "cond_numeric", "scenic_view", "dist_breck", "dist_keystone",
            "dist_copper", "dist_abasin", "dist_dillon", "dist_to_lift"]
 CATEGORICAL = ["city", "prop_type"]
 TARGET = "price"
@@ -58,7 +58,7 @@ def fill_median(df: DataFrame, col: str) -> DataFrame:
     row = exact_quantiles(df, [], col, {"m": 0.5}).first()
     if row is None or row["m"] is None:
         return df
-    return df.withColumn(col, F.coalesce(F.col(col), F.lit(row["m"]).cast(df.schema[col].dataType)))
+    return df.withColumn(col, F.coalesce(F.col(col).cast("double"), F.lit(float(row["m"]))))
 
 
 def present_numeric(df: DataFrame, numeric: list[str] = NUMERIC) -> list[str]:

@@ -125,8 +125,8 @@ def partial_dependence(model: PipelineModel, rows: DataFrame, feature: str, reso
     value: ``resolution`` points between the 5th and 95th percentiles, or the
     distinct values when there are fewer. Each row is exploded over the grid
     (a literal array, no join) and scored once."""
-    distinct = rows.select(feature).distinct().limit(resolution + 1).collect()
-    if len(distinct) <= resolution:
+    distinct = rows.select(feature).distinct().limit(resolution).collect()
+    if len(distinct) < resolution:
         grid = sorted(float(r[0]) for r in distinct if r[0] is not None)
     else:
         q = exact_quantiles(rows, [], feature, {"a": lo, "b": hi}).first()
@@ -235,11 +235,10 @@ def sensitivity(model: PipelineModel, subjects: DataFrame, feature: str, values:
 
 
 def baseline_deltas(model: PipelineModel, subjects: DataFrame, numeric: list[str], means: dict[str, float],
-                    key: str = "subject_id", min_abs: float = 1.0, min_shown: float = 100.0, top: int = 10
-                    ) -> DataFrame:
+                    key: str = "subject_id", min_abs: float = 1.0, top: int = 10) -> DataFrame:
     """For each feature, the price change when it is replaced by its
-    training mean; changes under ``min_abs`` are dropped, the ``top`` largest
-    shown if above ``min_shown``. One explode over the feature list, one scoring."""
+    training mean; changes of at most ``min_abs`` are dropped, the ``top``
+    largest shown. One explode over the feature list, one scoring."""
     variants = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in numeric])
     ex = subjects.select("*", F.explode(variants).alias("_feat"))
     ex = ex.withColumns({c: F.when(F.col("_feat") == c, F.lit(float(means[c]))).otherwise(F.col(c)) for c in numeric})
@@ -247,6 +246,6 @@ def baseline_deltas(model: PipelineModel, subjects: DataFrame, numeric: list[str
     base = sc.where(F.col("_feat").isNull()).select(key, F.col("predicted").alias("_base"))
     d = (sc.where(F.col("_feat").isNotNull()).join(base, key)
          .select(key, F.col("_feat").alias("feature"), (F.col("_base") - F.col("predicted")).alias("impact")))
-    d = d.where(F.abs("impact") >= min_abs)
+    d = d.where(F.abs("impact") > min_abs)
     w = Window.partitionBy(key).orderBy(F.abs("impact").desc(), "feature")
-    return (d.withColumn("rank", F.row_number().over(w)).where((F.col("rank") <= top) & (F.abs("impact") > min_shown)))
+    return (d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top))

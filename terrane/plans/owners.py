@@ -2,22 +2,17 @@
 
 The owner frame is the parcel table left-joined to owner names on ``schno``
 (a sort-merge join at scale, both sides keyed by the parcel id) with the
-building class from the broadcast code table (a literal of a dozen rows).
+building class from the county's code table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes, decode
 
 
-def code_table(spark: SparkSession) -> DataFrame:
-    """The building-class code table (literal, fixed size: broadcast-safe)."""
-    return spark.createDataFrame(codes.BUILDING_CODES, "code string, description string")
-
-
 def building_type(code, description) -> "F.Column":
     """Residential labels by code first, then the keyword class of the description."""
     c = F.trim(F.col(code) if isinstance(code, str) else code)
@@ -27,19 +22,20 @@ def building_type(code, description) -> "F.Column":
     return expr.otherwise(decode.building_class(description))
 
 
-def classify_codes(spark: SparkSession, df: DataFrame, code_col: str = "bldg_code") -> DataFrame:
-    """Q3g: attach ``building_type`` by a broadcast left join on the trimmed code;
-    an unknown code is Other."""
-    ct = code_table(spark).select(F.trim("code").alias("_code"), "description")
-    j = df.join(F.broadcast(ct), F.trim(F.col(code_col)) == F.col("_code"), "left")
+def classify_codes(df: DataFrame, code_table: DataFrame, code_col: str = "bldg_code") -> DataFrame:
+    """Q3g: attach ``building_type`` by a left join with the code table (code,
+    description) on the trimmed code; an unknown code is Other. Of repeated
+    codes one description counts, so no row multiplies."""
+    ct = code_table.groupBy(F.trim("code").alias("_code")).agg(F.min("description").alias("description"))
+    j = df.join(ct, F.trim(F.col(code_col)) == F.col("_code"), "left")
     return j.withColumn("building_type", building_type(code_col, "description")).drop("_code", "description")
 
 
-def owner_frame(spark: SparkSession, records: DataFrame, owner_names: DataFrame) -> DataFrame:
+def owner_frame(records: DataFrame, owner_names: DataFrame, code_table: DataFrame) -> DataFrame:
     """Parcels with owner name, owner type (Q3h), owner location (Q3d labels)
     and building type (Q3g)."""
     j = records.join(owner_names, "schno", "left")
-    j = classify_codes(spark, j)
+    j = classify_codes(j, code_table)
     return j.select("schno", "city", "state", "sfla", "garage_size", "building_type", "primary_owner",
                     decode.owner_type("primary_owner").alias("owner_type"),
                     decode.owner_location_label().alias("location_type"))
@@ -82,7 +78,8 @@ def properties_per_owner(frame: DataFrame, order: str = "schno") -> DataFrame:
     """Parcels per owner name, the owner's type and the location of its
     first parcel (first in ``order``), with the ownership category (Q3i).
     Partial aggregation bounds the work for an owner with very many parcels."""
-    pos = F.col(order).cast("bigint") if order == "schno" else F.col(order)
+    # ids are text: whole numbers by value, then any other text
+    pos = F.struct(F.col(order).try_cast("bigint").isNull(), F.col(order).try_cast("bigint"), F.col(order))
     g = (frame.where(F.col("primary_owner").isNotNull())
          .groupBy("primary_owner")
          .agg(F.count(F.lit(1)).alias("n_properties"),
@@ -162,7 +159,7 @@ def owner_occupancy(situs_df: DataFrame) -> DataFrame:
     pcity = decode.decode("town", codes.TOWN_PHYSICAL_CITY, "OTHER")
     mcity = F.upper(F.trim(F.coalesce(F.col("city").cast("string"), F.lit("nan"))))
     is_co = F.upper(F.trim(F.coalesce(F.col("state").cast("string"), F.lit("nan")))) == codes.HOME_STATE
-    local = mcity.isin(codes.SUMMIT_TOWNS)
+    local = mcity.isin(codes.COUNTY_TOWNS)
     flags = situs_df.select(match.alias("m"), mail.rlike(codes.PO_BOX_PATTERN).alias("po"),
                             (pcity == mcity).alias("cm"), is_co.alias("co"), local.alias("loc"))
     n = F.count(F.lit(1))
@@ -174,7 +171,7 @@ def owner_occupancy(situs_df: DataFrame) -> DataFrame:
         cnt(F.col("po")).alias("po_boxes"),
         cnt(F.col("cm")).alias("city_matches"),
         cnt(F.col("m")).alias("address_matches"),
-        cnt(F.col("loc")).alias("summit_local"),
+        cnt(F.col("loc")).alias("county_local"),
         cnt(~F.col("m") & F.col("co") & ~F.col("loc")).alias("in_state_non_local"),
         cnt(~F.col("m") & ~F.col("co")).alias("out_of_state"),
     ).select("*", (F.col("address_matches") / F.col("total")).alias("address_match_share"),

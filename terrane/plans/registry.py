@@ -109,7 +109,7 @@ from . import owners, stats, supply  # noqa: E402
 
 def _frame(spark, d):
     p = fx.with_building_code(fx.parcels(spark, d))
-    return owners.owner_frame(spark, p, fx.owners(p))
+    return owners.owner_frame(p, fx.owners(p), fx.code_table(spark, d))
 
 
 def _owner_trends(spark, d):
@@ -130,7 +130,7 @@ for _k, _fn in {
     "A6": lambda s, d: owners.owner_location_stats(fx.parcels(s, d)),
     "A7": lambda s, d: owners.inventory_profile(fx.parcels(s, d)),
     "A8": _owner_trends,
-    "Q3g": lambda s, d: owners.classify_codes(s, fx.with_building_code(fx.parcels(s, d))).select(
+    "Q3g": lambda s, d: owners.classify_codes(fx.with_building_code(fx.parcels(s, d)), fx.code_table(s, d)).select(
         "schno", "bldg_code", "building_type"),
     "Q3h": lambda s, d: _frame(s, d).select("schno", "primary_owner", "owner_type"),
     "A15_owner_type": lambda s, d: owners.share(_frame(s, d), "owner_type"),
@@ -147,7 +147,7 @@ for _k, _fn in {
     "A21": lambda s, d: owners.out_of_state_states(_frame(s, d)),
     "Q3k": lambda s, d: owners.owner_occupancy(fx.situs(fx.parcels(s, d))),
     "A22": lambda s, d: supply.supply_timeline(fx.parcels(s, d)),
-    "A23": lambda s, d: supply.hotel_growth(owners.classify_codes(s, fx.with_building_code(fx.parcels(s, d)))),
+    "A23": lambda s, d: supply.hotel_growth(owners.classify_codes(fx.with_building_code(fx.parcels(s, d)), fx.code_table(s, d))),
     "A24": lambda s, d: supply.contextual_growth(supply.supply_timeline(fx.parcels(s, d)).select(
         "year_blt", "cumulative_units"), {"macro_rate": fx.macro(s, d)}),
     "A25": lambda s, d: stats.annual_mean(fx.macro(s, d)),
@@ -282,13 +282,26 @@ F1_COLS = ["schno", "tx_date", "price", "beds", "baths", "sfla", "year_blt", "ga
 Z_COLS = ["sfla", "year_blt", "mortgage_rate", "dist_to_lift"]
 
 
+def _j4_ties(spark, d):
+    """J4 with repeated and missing dates on both sides, one year with most of
+    the rows, and a key: the later position of a day wins."""
+    left = _training(spark, d).select(
+        "schno", F.when(F.col("schno").cast("int") % 19 == 0, None)
+        .when(F.col("schno").cast("int") % 3 == 0, F.make_date(F.lit(1997), F.lit(1) + F.col("schno").cast("int") % 12, F.lit(9)))
+        .otherwise(F.col("tx_date")).alias("tx_date"), "price", (F.col("schno").cast("int") % 3).alias("k"))
+    li = read_table(spark, d, "lineitem")
+    right = li.where("l_orderkey % 5 = 0").select(
+        (F.col("l_orderkey") % 4).cast("int").alias("k"),
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_shipdate").cast("date")).alias("date"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), F.col("l_quantity").cast("double").alias("value"))
+    return asof.asof_join(left, right, "tx_date", "date", ["value"], by=["k"], right_order="pos").drop("k")
+
+
 for _k, _fn in {
     "J4": lambda s, d: asof.asof_join(_training(s, d), fx.macro(s, d).withColumnRenamed("value", "mortgage_rate"),
                                       "tx_date", "date", ["mortgage_rate"]).select("schno", "tx_date", "price",
                                                                                   "mortgage_rate"),
-    "J4_union": lambda s, d: asof.asof_join_union(
-        _training(s, d), fx.macro(s, d).withColumnRenamed("value", "mortgage_rate"), "tx_date", "date",
-        ["mortgage_rate"]).select("schno", "tx_date", "price", "mortgage_rate"),
+    "J4_ties": _j4_ties,
     "F1": lambda s, d: _features(s, d).select(*F1_COLS),
     "F3": lambda s, d: _features(s, d, global_ffill=True).select(*F1_COLS),
     "F4": lambda s, d: features.fill_median(ing.accepted(_validated(s, d)), "year_blt").select("schno", "year_blt"),
@@ -395,7 +408,7 @@ def _s10(spark, d):
     pts.where(k % 2 == 1).write.option("header", "true").csv(f"{root}/west/nested")
     _rename_parts(spark, f"{root}/east", "Address_Points_East")
     _rename_parts(spark, f"{root}/west/nested", "Address_Points_West")
-    return geo.clean_address_points(fl.read_address_points(spark, root))
+    return geo.clean_address_points(fl.read_address_points(spark, root), order="position")
 
 
 def _s14(spark, d):
@@ -411,18 +424,18 @@ def _r1(spark, d):
     first = p.withColumn("landed_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     again = p.where(F.col("id").cast("int") % 5 == 0).withColumn("landed_at",
                                                                   F.lit("2024-01-01 00:10:00").cast("timestamp"))
-    first.coalesce(1).write.parquet(f"{root}/landing", mode="append")
-    again.coalesce(1).write.parquet(f"{root}/landing", mode="append")
+    first.write.parquet(f"{root}/landing", mode="append")
+    again.write.parquet(f"{root}/landing", mode="append")
     st.stream_page_rows(spark, f"{root}/landing", "id string, html string, landed_at timestamp",
                         f"{root}/_checkpoint", f"{root}/out")
-    return spark.read.parquet(f"{root}/out")
+    return st.page_rows(spark, f"{root}/out")
 
 
 def _r2_root(spark, d):
     root = fl.scratch_path(spark, "ingest-stream")
     b = _two_batches(spark, d).withColumn("pos", F.col("pos").cast("int"))
     for pos in (1, 2):
-        b.where(F.col("pos") == pos).coalesce(1).write.parquet(f"{root}/landing", mode="append")
+        b.where(F.col("pos") == pos).write.parquet(f"{root}/landing", mode="append")
     schema = ", ".join(f"{c} string" for c in b.columns if c != "pos") + ", pos int"
     st.stream_validated_ingest(spark, f"{root}/landing", schema, root, INGEST_AS_OF_YEAR)
     return root
@@ -627,19 +640,6 @@ def exact_quantiles_(m):
     return exact_quantiles(m, ["tx_year"], "estimated_price", {"annual_median": 0.5})
 
 
-# --- M6: monotone network (rows-only) ------------------------------------------------
-
-from . import nn  # noqa: E402
-
-
-def _m6(spark, d):
-    rows = features.random_split(_model_rows(spark, d), "schno")
-    model = nn.train(rows.where(F.col("role") == "train").drop("role"), steps=30, lr=0.01)
-    return nn.predict(model, rows.where(F.col("role") == "test").drop("role"))
-
-
-REGISTRY["M6"] = _m6
-
 COMPS_SUBJECTS = [{"subject_id": i, "city": c, "prop_type": t, "sfla": f}
                   for i, (c, t, f) in enumerate([("BRECKENRIDGE", "Condo", 2000), ("FRISCO", "Single Family", 1500),
                                                  ("DILLON", "Townhouse", 3000), ("NOWHERE", "Any", 2500)])]
@@ -654,7 +654,7 @@ def _s11(spark, d):
     line set is bounded by the number of towns), then scanned back as segments."""
     p = fx.parcels(spark, d).select("schno", "town")
     pts = geo.join_coordinates(p, _points(spark, d)).where(F.col("latitude").isNotNull() & F.col("town").isNotNull())
-    k = F.col("schno").cast("bigint")
+    k = F.struct(F.col("schno").try_cast("bigint").isNull(), F.col("schno").try_cast("bigint"), F.col("schno"))
     ends = pts.groupBy("town").agg(F.min_by(F.struct("longitude", "latitude"), k).alias("a"),
                                    F.max_by(F.struct("longitude", "latitude"), k).alias("b"))
     feature = F.struct(

@@ -97,5 +97,5 @@ def similar_properties(candidates: DataFrame, subjects: list[dict], k: int = cod
             + F.abs(F.col("rdist") - F.col("s.dl")))
     scored = pairs.select(F.col("s.id").alias("subject_id"), "schno", dist.alias("distance"))
     scored = scored.withColumn("similarity", F.greatest(F.lit(0.0), F.lit(100.0) - F.col("distance") * 10))
-    w = Window.partitionBy("subject_id").orderBy(F.col("similarity").desc(), F.col("schno").cast("bigint"))
+    w = Window.partitionBy("subject_id").orderBy(F.col("similarity").desc(), F.col("schno").try_cast("bigint"), "schno")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 CSV_TEXT_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-                    "multiLine": "true", "escape": '"'}
+                    "escape": '"'}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -27,13 +27,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
+                  multi_line: bool = False) -> DataFrame:
     """Every column as text (no inference, no coercion); the caller applies
-    the missing-value tokens. Without ``columns`` the header names are used."""
+    the missing-value tokens. Without ``columns`` the header names are used.
+    ``multi_line`` allows line breaks inside quotes; such files do not split."""
+    options = CSV_TEXT_OPTIONS | {"multiLine": str(multi_line).lower()}
     if columns:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        return spark.read.options(**CSV_TEXT_OPTIONS).schema(schema).csv(path)
-    return spark.read.options(**CSV_TEXT_OPTIONS).option("inferSchema", "false").csv(path)
+        return spark.read.options(**options).schema(schema).csv(path)
+    return spark.read.options(**options).option("inferSchema", "false").csv(path)
 
 
 def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +67,9 @@ def read_address_points(spark: SparkSession, root: str, pattern: str = "Address_
     return (spark.read.options(header="true", recursiveFileLookup="true", pathGlobFilter=pattern)
             .schema("PropertySchedule string, LATITUDE double, LONGITUDE double, FullAddress string").csv(root)
             .select(F.col("PropertySchedule").alias("property_schedule"), F.col("LATITUDE").alias("latitude"),
-                    F.col("LONGITUDE").alias("longitude"), F.col("FullAddress").alias("full_address")))
+                    F.col("LONGITUDE").alias("longitude"), F.col("FullAddress").alias("full_address"),
+                    F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                             F.monotonically_increasing_id()).alias("position")))
 
 
 GEOJSON_SCHEMA = ("type string, features array<struct<type: string, properties: map<string, string>, "

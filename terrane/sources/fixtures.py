@@ -3,8 +3,8 @@
 The property data the analytics read (a wide parcel table, raw CSV text, owner
 names, address points, macro series, scraped sale rows, landed pages, scored
 predictions) is not shipped, so each is derived deterministically from
-``customer``/``orders``/``lineitem`` with plain projections, one windowed top-4
-and one grouped pivot. The same derivations exist as SQL in ``oracle/fixtures.py``
+``customer``/``orders``/``lineitem``/``part`` with plain projections and one
+grouped pivot. The same derivations exist as SQL in ``oracle/fixtures.py``
 so that DuckDB checks every query on identical inputs. Both grow linearly with
 the source tables.
 """
@@ -31,51 +31,45 @@ def _case(value: Column, pairs, default=None) -> Column:
 
 
 def sale_slots(orders: DataFrame) -> DataFrame:
-    """The 4 latest orders of each customer as sale slots (slot 1 newest).
-
-    ``row_number() <= 4`` lets Spark insert a partial WindowGroupLimit before the
-    shuffle, so a customer with a huge order history is cut to 4 rows per map
-    task before anything moves; the pivot then reuses the window's partitioning.
-    """
+    """Every order as a sale of a parcel: ``o_orderkey div 4`` names the parcel
+    and ``o_orderkey % 4 + 1`` the slot, so each parcel has up to four sales and
+    no order is left out. A few slots have no date."""
     fee = (F.when(F.col("o_orderstatus") == "P", F.lit(0.0))
            .when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))
            .otherwise(F.col("o_totalprice") / 10000.0))
-    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-    ranked = (orders
-              .select("o_custkey", F.col("o_orderdate").cast("date").alias("d"), fee.alias("fee"),
-                      F.row_number().over(w).alias("rn"))
-              .where(F.col("rn") <= 4))
-    aggs = []
-    for i in range(1, 5):
-        aggs.append(F.max(F.when(F.col("rn") == i, F.col("d"))).alias(f"recdate{i}"))
-        aggs.append(F.max(F.when(F.col("rn") == i, F.col("fee"))).alias(f"docfee{i}"))
-    return ranked.groupBy("o_custkey").agg(*aggs)
+    slot = F.col("o_orderkey") % 4
+    dated = F.when(F.col("o_orderkey") % 23 != 0, F.col("o_orderdate").cast("date"))
+    aggs = [F.min("o_custkey").alias("custkey")]
+    for i in range(4):
+        aggs.append(F.max(F.when(slot == i, dated)).alias(f"recdate{i + 1}"))
+        aggs.append(F.max(F.when(slot == i, fee)).alias(f"docfee{i + 1}"))
+    return orders.groupBy(F.expr("o_orderkey div 4").alias("pk")).agg(*aggs)
 
 
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stands for ``raw_records``: one row per customer, conformed to its schema.
+    """Stands for ``raw_records``: one row per four orders, conformed to its schema.
     (Projections are SQL expression strings: one plan call per column.)"""
     customer = read_table(spark, sf_dir, "customer")
     slots = sale_slots(read_table(spark, sf_dir, "orders"))
-    df = customer.join(slots, customer.c_custkey == slots.o_custkey, "left").selectExpr(
-        "CAST(c_custkey AS STRING) AS schno",
+    df = slots.join(customer, customer.c_custkey == slots.custkey, "left").selectExpr(
+        "CAST(pk AS STRING) AS schno",
         *[f"{p}{i}" for i in range(1, 5) for p in ("recdate", "docfee")],
-        "CAST(c_custkey * 37 % 4001 AS DOUBLE) AS sfla",
-        "CAST(1890 + c_custkey * 7 % 135 AS INT) AS year_blt",
-        "CAST(1890 + c_custkey * 7 % 135 + CASE WHEN c_custkey % 5 = 0 THEN 20 ELSE 0 END AS INT) AS adj_year_blt",
-        "CAST(CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 1 + c_custkey % 3 END AS INT) AS units",
-        "c_name AS address",
+        "CAST(pk * 37 % 4001 AS DOUBLE) AS sfla",
+        "CAST(1890 + pk * 7 % 135 AS INT) AS year_blt",
+        "CAST(1890 + pk * 7 % 135 + CASE WHEN pk % 5 = 0 THEN 20 ELSE 0 END AS INT) AS adj_year_blt",
+        "CAST(CASE WHEN pk % 11 = 0 THEN NULL ELSE 1 + pk % 3 END AS INT) AS units",
+        "concat(c_name, ' ', CAST(pk AS STRING)) AS address",
         "CASE c_nationkey % 7 WHEN 0 THEN 'BRECKENRIDGE' WHEN 1 THEN 'FRISCO' WHEN 2 THEN 'DENVER' "
         "WHEN 3 THEN 'DALLAS' WHEN 4 THEN 'KEYSTONE' WHEN 5 THEN 'BOULDER' ELSE 'MIAMI' END AS city",
         "CASE c_nationkey % 7 WHEN 3 THEN 'TX' WHEN 6 THEN NULL ELSE 'CO' END AS state",
         "CASE c_nationkey % 12 WHEN 0 THEN 'B' WHEN 1 THEN 'F' WHEN 2 THEN 'D' WHEN 3 THEN 'S' WHEN 4 THEN 'K' "
         "WHEN 5 THEN 'C' WHEN 6 THEN 'M' WHEN 7 THEN 'R' WHEN 8 THEN 'BR' WHEN 9 THEN 'H' WHEN 10 THEN 'None' "
         "ELSE 'ZZ' END AS town",
-        "CASE c_custkey % 6 WHEN 0 THEN '1212' WHEN 1 THEN '1230' WHEN 2 THEN '1231' WHEN 3 THEN '1214' "
+        "CASE pk % 6 WHEN 0 THEN '1212' WHEN 1 THEN '1230' WHEN 2 THEN '1231' WHEN 3 THEN '1214' "
         "WHEN 4 THEN '100' ELSE NULL END AS abst1",
-        "CASE c_custkey % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2",
-        "CAST(c_custkey % 6 AS DOUBLE) AS beds",
-        "CAST(c_custkey % 9 AS DOUBLE) / 2.0 AS bath_tot")
+        "CASE pk % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2",
+        "CAST(pk % 6 AS DOUBLE) AS beds",
+        "CAST(pk % 9 AS DOUBLE) / 2.0 AS bath_tot")
     return conform_records(df)
 
 
@@ -89,24 +83,27 @@ def raw_text(parcels_df: DataFrame) -> DataFrame:
         f"CASE WHEN {k} % 211 = 0 THEN NULL ELSE schno END AS schno",
         f"CASE WHEN {k} % 53 = 0 THEN 'NOT A DATE' WHEN {k} % 7 = 0 THEN concat_ws('', {mdy}, ' 9:13:25 AM') "
         f"ELSE {mdy} END AS recdate1",
-        f"CASE WHEN {k} % 31 = 0 THEN 'n/a' WHEN {k} % 29 = 0 THEN '  25.50  ' ELSE CAST({k} % 90 AS STRING) END "
+        f"CASE WHEN {k} % 31 = 0 THEN 'n/a' WHEN {k} % 29 = 0 THEN '  25.50  ' "
+        f"WHEN {k} % 37 = 0 THEN '1_000' WHEN {k} % 41 = 0 THEN '12d' WHEN {k} % 43 = 0 THEN '0x1p3' ELSE CAST({k} % 90 AS STRING) END "
         "AS docfee1",
         f"CASE WHEN {k} % 61 = 0 THEN '9999' WHEN {k} % 67 = 0 THEN '1995.5' ELSE CAST(year_blt AS STRING) END "
         "AS year_blt",
         f"CASE WHEN {k} % 97 = 0 THEN 'abc' WHEN {k} % 89 = 0 THEN '2005.0' ELSE CAST(adj_year_blt AS STRING) END "
         "AS adj_year_blt",
         "CAST(units AS STRING) AS units",
-        f"CASE WHEN {k} % 101 = 0 THEN 'two' ELSE CAST(CAST(beds AS INT) AS STRING) END AS beds")
+        f"CASE WHEN {k} % 101 = 0 THEN 'two' WHEN {k} % 103 = 0 THEN '2f' ELSE CAST(CAST(beds AS INT) AS STRING) END AS beds")
 
 
 def owners(parcels_df: DataFrame) -> DataFrame:
-    """Stands for ``owner_data.csv``; names hit every keyword class and its traps."""
+    """Stands for ``owner_data.csv``; names hit every keyword class and its traps.
+    A fifth of the parcels belong to owners of up to twenty, the others to pairs."""
     k = _k()
+    stem = F.when(k % 5 == 0, F.floor(k / 100) * 2).otherwise(F.floor(k / 3) * 2 + 1)
     return parcels_df.where(k % 50 != 0).select(
         "schno",
-        F.concat(_case(k % 4, [(0, "PATRICK "), (1, "JONES "), (2, "Vincent ")], "ADAMS "),
-                 (k % 400).cast("string"),
-                 _case(k % 8, [(1, " LLC"), (3, " FAMILY TRUST"), (5, " CHURCH"), (7, " LTD")], ""))
+        F.concat(_case(stem % 4, [(0, "PATRICK "), (1, "JONES "), (2, "Vincent ")], "ADAMS "),
+                 stem.cast("string"),
+                 _case(stem % 8, [(1, " LLC"), (3, " FAMILY TRUST"), (5, " CHURCH"), (7, " LTD")], ""))
         .alias("primary_owner"))
 
 
@@ -136,6 +133,7 @@ def scraped(parcels_df: DataFrame) -> DataFrame:
          .when(k % 7 == 0, F.concat(F.lit("Addr: | "), F.col("address"), F.lit(" | | "), F.col("schno"),
                                     F.lit(" | 1/1/2003 | WD | $500,000")))
          .when(k % 11 == 0, F.lit(" | 791376 | 5202005 | WD | $543,500"))
+         .when(k % 13 == 0, F.lit(" | 791377 | 5/20/2005 | WD | $500f"))
          .otherwise(F.concat(F.lit(" | "), F.col("schno"), F.lit(" | 5/20/2002 | WD | $"),
                              (100 + k % 800).cast("string"), F.lit(",500")))
          .alias("raw_sales_row"))
@@ -167,15 +165,29 @@ def predictions(parcels_df: DataFrame) -> DataFrame:
         (actual * (80 + k % 41).cast("double") / F.lit(100).cast("double")).alias("predicted"))
 
 
+def code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stands for the county's code table (code as printed, description): four
+    residential codes, then one code per part, each with a class phrase."""
+    phrases = ["RESIDENTIAL VACANT LAND", "COMMERCIAL VACANT LAND", "SINGLE FAMILY LAND", "LODGING STRUCTURE",
+               "INDUSTRIAL VACANT LOTS", "MERCHANDISING STRUCTURE", "WAREHOUSE/STORAGE STRUCTURE",
+               "LEASEHOLD CONDO/HOTEL LAND", "CHURCH LAND", "SCHOOL DISTRICT LAND", "AGRICULTURAL GRAZING LAND"]
+    p = F.col("p_partkey").cast("int")
+    return read_table(spark, sf_dir, "part").select(
+        F.concat(F.when(p < 4, F.element_at(F.array(*map(F.lit, ["1212", "1214", "1230", "1231"])), p + 1))
+                 .otherwise((p + 3000).cast("string")), F.lit(" ")).alias("code"),
+        F.element_at(F.array(*map(F.lit, phrases)), p % len(phrases) + 1).alias("description"))
+
+
 def with_building_code(parcels_df: DataFrame) -> DataFrame:
     """Adds a building-class code (padded text, as the code table prints it) and
-    a garage size to the parcel rows; both picked deterministically by key."""
-    from ..functions import codes
-
+    a garage size to the parcel rows; both picked deterministically by key. Some
+    codes are in no table."""
     k = _k()
-    code_list = F.array(*[F.lit(c) for c, _ in codes.BUILDING_CODES])
+    code = (F.when(k % 17 == 0, F.lit("9999 "))
+            .when(k % 3 == 0, F.element_at(F.array(*map(F.lit, ["1212 ", "1214 ", "1230 ", "1231 "])), (k % 4 + 1).cast("int")))
+            .otherwise(F.concat((k % 190 + 3004).cast("string"), F.lit(" "))))
     return parcels_df.withColumns({
-        "bldg_code": F.element_at(code_list, (k % len(codes.BUILDING_CODES) + 1).cast("int")),
+        "bldg_code": code,
         "garage_size": F.when(k % 4 == 0, F.lit(0.0)).otherwise((k % 3 * 200).cast("double")),
     })
 

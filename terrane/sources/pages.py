@@ -73,12 +73,13 @@ def parse_sale_row(raw: str | Column = "raw_sales_row") -> Column:
     reception number, date and document type; the date must contain '/',
     and an unparsable date becomes NULL with the row kept.
     """
-    from ..functions.clean import standardize_date
+    from ..functions.clean import number, standardize_date
 
     r = F.col(raw) if isinstance(raw, str) else raw
     parts = F.transform(F.split(r, r"\|"), lambda p: F.trim(p))
     idx = F.array_max(F.transform(parts, lambda p, i: F.when(p.contains("$"), i)))  # 0-based
-    price = F.trim(F.regexp_replace(F.element_at(parts, (idx + 1).cast("int")), r"[$,]", "")).try_cast("double")
+    price = F.trim(F.regexp_replace(F.element_at(parts, (idx + 1).cast("int")), r"[$,]", ""))
+    price = number(price)
     date_txt = F.element_at(parts, (idx - 1).cast("int"))
     ok = (r.isNotNull() & (r != NO_SALES) & idx.isNotNull() & (idx >= 3) & price.isNotNull()
           & date_txt.contains("/"))

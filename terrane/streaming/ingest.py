@@ -1,7 +1,9 @@
 """Incremental ingest with Structured Streaming.
 
-R1: landed pages arrive as files; duplicates of a page within the watermark
-are dropped (bounded state), rows are parsed (S16) and appended.
+R1: landed pages arrive as files; each micro-batch keeps the first landing of
+every id that no earlier batch has emitted (an anti join against the ids of the
+other batches, so a page is neither lost nor repeated however late it lands),
+parses the rows (S16) and writes them under its ``batch_id``.
 
 R2: landed text rows arrive as files; each micro-batch is validated (S2-S6)
 and split once: accepted rows append to a log partition and rejects to a
@@ -20,22 +22,46 @@ from pyspark.sql import functions as F
 
 from ..operators import ingest as ing
 from ..sources import pages as pg
+from ..sources.files import _exists
 
 
-def stream_page_rows(spark: SparkSession, landing: str, schema: str, checkpoint: str, out: str,
-                     watermark: str = "1 hour", max_files: int = 1) -> None:
-    """Run the page stream over what has landed, then stop."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
-    dedup = src.withWatermark("landed_at", watermark).dropDuplicatesWithinWatermark(["id"])
-    rows = pg.sale_rows(dedup)
-    q = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .outputMode("append").start(out))
+def _run(query) -> None:
+    """Everything that has landed, then stop."""
+    q = query.trigger(availableNow=True).start()
     try:
-        q.processAllAvailable()
+        q.awaitTermination()
     finally:
         q.stop()
 
 
+def _write_pages(batch: DataFrame, batch_id: int, out: str) -> None:
+    spark = batch.sparkSession
+    cols = [F.col(c) for c in batch.columns if c != "id"]
+    first = batch.groupBy("id").agg(F.min_by(F.struct(*cols), F.struct("landed_at", "html")).alias("_p")).select("id", "_p.*")
+    seen_path = os.path.join(out, "ids")
+    if batch_id > 0 and _exists(spark, seen_path):
+        seen = spark.read.schema("id string, batch_id long").parquet(seen_path).where(F.col("batch_id") != batch_id)
+        first = first.join(seen, first["id"].eqNullSafe(seen["id"]), "left_anti")
+    first = first.persist()
+    try:
+        pg.sale_rows(first).write.mode("overwrite").parquet(os.path.join(out, "rows", f"batch_id={batch_id}"))
+        first.select("id").write.mode("overwrite").parquet(os.path.join(seen_path, f"batch_id={batch_id}"))
+    finally:
+        first.unpersist()
+
+
+def stream_page_rows(spark: SparkSession, landing: str, schema: str, checkpoint: str, out: str) -> None:
+    """Run the page stream over what has landed, then stop."""
+    src = spark.readStream.schema(schema).parquet(landing)
+    _run(src.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda df, bid: _write_pages(df, bid, out)))
+
+
+def page_rows(spark: SparkSession, out: str) -> DataFrame:
+    """All rows emitted so far."""
+    return spark.read.parquet(os.path.join(out, "rows")).drop("batch_id")
+
+
 def _write_batch(batch: DataFrame, batch_id: int, root: str, as_of_year: int, pos: str) -> None:
     text = ing.null_na_tokens(batch, keep=(pos,))
     v = ing.validate_records(text, as_of_year, keep=(pos,)).withColumn("_ok", F.size("errors") == 0)
@@ -50,15 +76,11 @@ def _write_batch(batch: DataFrame, batch_id: int, root: str, as_of_year: int, po
 
 
 def stream_validated_ingest(spark: SparkSession, landing: str, schema: str, root: str, as_of_year: int,
-                            pos: str = "pos", max_files: int = 1) -> None:
+                            pos: str = "pos") -> None:
     """R2: validate landed text rows batch by batch into ``root``/log and ``root``/dlq."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
-    q = (src.writeStream.option("checkpointLocation", os.path.join(root, "_checkpoint"))
-         .foreachBatch(lambda df, bid: _write_batch(df, bid, root, as_of_year, pos)).start())
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
+    src = spark.readStream.schema(schema).parquet(landing)
+    _run(src.writeStream.option("checkpointLocation", os.path.join(root, "_checkpoint"))
+         .foreachBatch(lambda df, bid: _write_batch(df, bid, root, as_of_year, pos)))
 
 
 def current_table(spark: SparkSession, root: str, pos: str = "pos") -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from terrane.functions import geo as g
-from terrane.functions.stats import pearson_p_value_scalar
+from terrane.functions.stats import pearson_p_value
 from terrane.operators import asof
 from terrane.operators.ordering import global_rank
 from terrane.operators.quantile import exact_quantiles
@@ -42,7 +42,7 @@ def _asof_brute(left, right):
     return sorted(out, key=lambda x: (x[0], -1 if x[1] is None else x[1]))
 
 
-def test_asof_grid_and_union_match_brute_force(spark):
+def test_asof_matches_brute_force(spark):
     rnd = random.Random(3)
     base = dt.date(2000, 1, 1)
     right = sorted({(base + dt.timedelta(days=rnd.randint(0, 3000)), float(i)) for i in range(40)})
@@ -51,10 +51,17 @@ def test_asof_grid_and_union_match_brute_force(spark):
     L = spark.createDataFrame([(d,) for d in left], "d date")
     R = spark.createDataFrame(right, "rd date, v double")
     want = _asof_brute(left, right)
-    for fn in (asof.asof_join, asof.asof_join_union):
-        got = sorted(((r.d, r.v) for r in fn(L, R, "d", "rd", ["v"]).collect()),
-                     key=lambda x: (x[0], -1 if x[1] is None else x[1]))
-        assert got == want, fn.__name__
+    got = sorted(((r.d, r.v) for r in asof.asof_join(L, R, "d", "rd", ["v"]).collect()),
+                 key=lambda x: (x[0], -1 if x[1] is None else x[1]))
+    assert got == want
+
+
+def test_asof_with_repeated_and_missing_dates(spark):
+    day = dt.date(2020, 2, 1)
+    L = spark.createDataFrame([(1, day), (2, day - dt.timedelta(days=1)), (3, None), (4, day)], "i int, d date")
+    R = spark.createDataFrame([(day, 1, 5.0), (day, 2, 3.0), (None, 9, 7.0)], "rd date, pos int, v double")
+    got = sorted((r.i, r.v) for r in asof.asof_join(L, R, "d", "rd", ["v"], right_order="pos").collect())
+    assert got == [(1, 3.0), (2, None), (3, None), (4, 3.0)]
 
 
 def test_global_fill_matches_pandas(spark):
@@ -94,40 +101,25 @@ def test_segment_distance_brute_force(spark):
         assert math.isclose(r.d, brute(r.x, r.y), rel_tol=1e-12)
 
 
-def test_pearson_p_value_known_values():
-    # t = r sqrt(n-2)/sqrt(1-r^2); r=0.5, n=10 -> two-sided p = 0.1411
-    assert abs(pearson_p_value_scalar(0.5, 10) - 0.14111) < 1e-4
-    assert abs(pearson_p_value_scalar(0.9, 5) - 0.03739) < 1e-4
-    assert math.isnan(pearson_p_value_scalar(0.5, 2))
-
-
-def test_network_gradient_matches_finite_differences():
-    from terrane.plans import nn
-
-    rng = np.random.default_rng(0)
-    x = rng.normal(size=(6, 4))
-    y = rng.normal(size=6)
-    w = np.ones(6)
-    theta = nn.init_weights(4, seed=1)
-    mono = [(0, 1), (2, -1)]
-    _, _, g = nn.loss_and_grad(theta, x, y, w, mono)
-
-    def total(t):
-        loss, _, _ = nn.loss_and_grad(t, x, y, w, mono)
-        layers = nn._unpack(t, 4)
-        f0 = nn._forward(layers, x)[0][-1][:, 0]
-        pen = 0.0
-        for j, s in mono:
-            xj = x.copy()
-            xj[:, j] += nn.STEP_H
-            fj = nn._forward(layers, xj)[0][-1][:, 0]
-            pen += np.sum(np.maximum(-s * (fj - f0) / nn.STEP_H, 0.0))
-        return loss + nn.PENALTY / len(mono) * pen
-    for i in rng.choice(len(theta), size=12, replace=False):
-        e = np.zeros_like(theta)
-        e[i] = 1e-6
-        num = (total(theta + e) - total(theta - e)) / 2e-6
-        assert abs(num - g[i]) < 1e-4 * max(1.0, abs(num))
+def test_pearson_p_value_known_values(spark):
+    # two-sided Student t: closed forms for 1 and 2 degrees of freedom, tabulated values else
+    rows = [(0.5, 10, 0.14111), (-0.9, 5, 0.03739), (0.5, 3, 1 - 2 / math.pi * math.asin(0.5)), (0.3, 4, 0.7), (1.0, 9, 0.0), (0.0, 12, 1.0)]
+    df = spark.createDataFrame(rows, "r double, n int, want double")
+    for r in df.select("want", pearson_p_value(F.col("r"), F.col("n")).alias("p")).collect():
+        assert abs(r.p - r.want) < 1e-4
+    bad = spark.createDataFrame([(0.5, 2), (None, 9), (float("nan"), 9)], "r double, n int")
+    assert all(math.isnan(r.p) for r in bad.select(pearson_p_value(F.col("r"), F.col("n")).alias("p")).collect())
+
+
+def test_numbers_as_text(spark):
+    from terrane.functions.clean import clean_id, clean_numeric
+
+    cases = {"12": 12.0, " 12.50 ": 12.5, "1_000": 1000.0, "-.5e1": -5.0, "3.": 3.0, "inf": float("inf"), "12d": None, "12f": None,
+             "0x1p3": None, "1__0": None, "_1": None, "": None, "n/a": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.v for r in df.select("t", clean_numeric("t").alias("v")).collect()} == cases
+    ids = spark.createDataFrame([("12.0",), ("12d",), ("R13",), ("12.5",)], "t string")
+    assert [r.v for r in ids.select(clean_id("t").alias("v")).collect()] == ["12", "12d", "R13", "12.5"]
 
 
 def test_exact_quantiles_with_a_dominant_value(spark):
