@@ -1,10 +1,11 @@
 """URL filters (operator 6): host and path rules first, then association rules mined from the urls they label.
 
-Longest-match rules (host and subdomains, path prefix) give verdicts where they fit. Those verdicts label urls; each
-labelled url becomes a transaction of tokens (host labels, registered domain, path segments, query keys) and its label.
-Spark's FP-growth finds the frequent combinations; the rules "tokens -> label" that pass the support and confidence
-bounds, and are no longer than ``MAX_TOKENS``, judge the urls without a rule. They are matched by an inverted index:
-each mined rule is filed under its rarest token, urls look up their tokens, and the other tokens are verified.
+Longest-match rules (host and subdomains, path prefix) give verdicts where they fit, and those verdicts label urls.
+Each url becomes a transaction of its tokens (host labels, registered domain, path segments, query keys) and, if it
+has one, its label. Spark's FP-growth finds the frequent combinations. The rules "tokens -> label" that pass the support
+and confidence bounds, and have at most ``MAX_TOKENS`` tokens, judge the urls without a rule. As urls without a label
+count against a rule's confidence, tokens that are common among them too make no rule. Mined rules are matched by an
+inverted index: each is filed under its rarest token, urls look up their tokens, and the other tokens are verified.
 
 Defined results: a null url, or one without "://", has empty host and path and no rule; it is allowed unless a mined
 rule fits (none can: it has no tokens). Without labelled urls everything left is allowed. Equal rows give equal results;
@@ -68,16 +69,16 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
                                      tagged("query:", query)))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+def mine_rules(urls: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                max_tokens: int = MAX_TOKENS) -> DataFrame | None:
-    """(tokens, key, verdict, confidence, support) of the mined rules; ``labelled`` has tokens and verdict.
+    """(tokens, key, verdict, confidence, support) of the mined rules; ``urls`` has tokens and verdict (null: no label).
 
     ``key`` is the rarest token of a rule. None without labelled rows.
     """
-    if labelled.isEmpty():
+    if urls.where("verdict IS NOT NULL").isEmpty():
         return None
     label = F.concat(F.lit("label:"), F.col("verdict"))
-    baskets = labelled.select(F.array_append("tokens", label).alias("items"))
+    baskets = urls.select(F.array_compact(F.array_append("tokens", label)).alias("items")).where(F.size("items") > 0)
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     frequency = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rules = (model.associationRules
@@ -109,8 +110,7 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, mi
               .withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
               .withColumn("base", verdict_of(F.col("rule"), rules)))
     tokens = tokens_of(F.col("url"), F.col("host"), F.col("path"))
-    mined = mine_rules(judged.where("base IS NOT NULL").select(tokens.alias("tokens"), F.col("base").alias("verdict")),
-                       min_support, min_confidence)
+    mined = mine_rules(judged.select(tokens.alias("tokens"), F.col("base").alias("verdict")), min_support, min_confidence)
     if mined is None:
         judged = judged.withColumns({"mined": F.lit(None).cast("string"), "mined_rule": F.lit(None).cast("array<string>")})
     else:
