@@ -130,7 +130,8 @@ def chronological_split(df: DataFrame, order: list[str], train_share: float = 0.
 
 def random_split(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80) -> DataFrame:
     """seeded, partitioning-independent split by a hash of the key."""
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(100))
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
     return df.withColumn("role", F.when(bucket < train_pct, "train").otherwise("test"))
 
 

@@ -411,6 +411,15 @@ def _s10(spark, d):
     return geo.clean_address_points(fl.read_address_points(spark, root), order="position")
 
 
+def _s13(spark, d):
+    """The matrix with its diagonal NaN and its negative values infinite, written as JSON records and read back."""
+    path = fl.scratch_path(spark, "matrix-json")
+    m = stats.correlation_matrix(_buyer_rates(spark, d), MATRIX_COLS)
+    odd = F.when(F.col("var_a") == F.col("var_b"), float("nan")).when(F.col("r") < 0, float("-inf")).otherwise(F.col("r"))
+    sinks.write_json(m.withColumn("r", odd), path)
+    return spark.read.schema(m.schema).json(path)
+
+
 def _s14(spark, d):
     path = fl.scratch_path(spark, "trends-csv")
     trends = market.market_trends(_metrics(spark, d))
@@ -445,7 +454,7 @@ for _k, _fn in {
     "S1_csv": _s1_csv,
     "S9": _s9,
     "S10": _s10,
-    "S13": lambda s, d: sinks.finite_or_null(stats.correlation_matrix(_buyer_rates(s, d), MATRIX_COLS)),
+    "S13": _s13,
     "S14": _s14,
     "S15": lambda s, d: fl.freshness(read_table(s, d, "lineitem")).drop("exported_at"),
     "R1": _r1,
@@ -595,7 +604,7 @@ for _k, _fn in {
                                                                          "ownership_category"),
     "Q3j": lambda s, d: fx.situs(fx.parcels(s, d)).select("schno", dec.physical_address().alias("physical_address")),
     "Q3l": lambda s, d: _decoded(s, d).select("schno", "quality"),
-    "Q3n": lambda s, d: fx.parcels(s, d).orderBy(F.xxhash64("schno", F.lit(42)), "schno").limit(200).select(
+    "Q3n": lambda s, d: fx.parcels(s, d).orderBy(F.md5(F.concat_ws("|", "schno", F.lit("42")).cast("binary")), "schno").limit(200).select(
         "schno", "city", "year_blt", "sfla", "beds"),
     "Q3o": lambda s, d: fx.parcels(s, d).where(F.col("city").isin(EXPORT_CITIES)).select("schno", "city", "address"),
     "Q3p": _map_dataset,
