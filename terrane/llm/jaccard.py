@@ -245,11 +245,32 @@ def linkable_sets(docs: DataFrame, members: DataFrame, n_buckets: int, text_col:
     """sig, n, tokens: shared n-grams in global order of every class that can have a partner."""
     shared = (_dealt(docs, n_buckets, text_col).groupBy("bucket")
               .applyInPandas(_shared_ngrams, "sig long, tokens array<long>, df array<long>"))
-    pair = F.arrays_zip("df", "tokens")
-    whole = shared.groupBy("sig").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(pair)))).alias("pairs"))
+    parts = F.collect_list(F.struct("tokens", "df"))
+    whole = shared.groupBy("sig").agg(parts.alias("parts")).select(
+        "sig", F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.df").alias("df"))
     classes = members.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"))
-    return (whole.join(classes, "sig").where(F.size("pairs") >= needed_share(F.col("n")))
-            .select("sig", "n", F.col("pairs.tokens").alias("tokens")))
+    return (whole.join(classes, "sig").select("sig", "n", "tokens", "df")
+            .mapInArrow(_in_global_order, "sig long, n long, tokens array<long>"))
+
+
+def _in_global_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of each class by (document frequency, n-gram); classes with too few shared ones leave."""
+    for batch in batches:
+        sizes = np.diff(batch.column(2).offsets.to_numpy())
+        row = np.repeat(np.arange(len(batch)), sizes)
+        token, frequency = (batch.column(k).flatten().to_numpy() for k in (2, 3))
+        order = np.lexsort((token, frequency, row))
+        row, token = row[order], token[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (token[1:] != token[:-1])
+        held = np.bincount(row[new], minlength=len(batch))
+        enough = held >= -(-PERCENT * batch.column(1).to_numpy() // 100)
+        tokens = token[new][enough[row[new]]]
+        offsets = np.concatenate([[0], np.cumsum(held[enough])]).astype(np.int32)
+        mask = pa.array(enough)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).filter(mask), batch.column(1).filter(mask), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))],
+            names=["sig", "n", "tokens"])
 
 
 def overlaps_enough(probe_tokens: np.ndarray, probe_n: int, sizes: list[int], tokens: list[np.ndarray]) -> list[int]:
