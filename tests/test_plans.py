@@ -16,11 +16,26 @@ def test_sale_metrics_use_one_schno_exchange(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(schno", p)) == 1
 
 
-def test_fixture_top4_is_cut_before_the_shuffle(spark):
-    from terrane.plans import registry as R
-
-    p = _plan(R.REGISTRY["A1"](spark, SMOKE))
-    assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
+def test_every_order_is_a_sale_slot(spark):
+    from terrane.sources import fixtures as fx
+    from terrane.sources.tables import read_table
+
+    parcels = fx.parcels(spark, SMOKE)
+    filled = parcels.selectExpr(*[f"count(docfee{i}) AS n{i}" for i in range(1, 5)]).first()
+    assert sum(filled) == read_table(spark, SMOKE, "orders").count()
+    assert "Window" not in _plan(parcels)
+
+
+def test_quantiles_share_three_passes(spark):
+    from terrane.operators.quantile import exact_quantiles
+
+    df = spark.read.parquet(f"{SMOKE}/lineitem.parquet")
+    keyed = _plan(exact_quantiles(df, ["l_linenumber"], "l_quantity", {"a": 0.1, "b": 0.5, "c": 0.9}))
+    assert len(re.findall(r"FileScan parquet", keyed)) <= 3
+    alone = _plan(exact_quantiles(df, [], "l_quantity", {"a": 0.1, "b": 0.5}))
+    for p in (keyed, alone):
+        assert "NestedLoop" not in p and "CartesianProduct" not in p
+    assert len(re.findall(r"FileScan parquet", alone)) == 1
 
 
 def test_trends_do_not_shuffle_on_parcel_key(spark):

@@ -59,7 +59,7 @@ def test_stream_ingest_replay_is_idempotent(spark):
     before = st.current_table(spark, root).count()
     log_rows = spark.read.parquet(os.path.join(root, "log")).count()
     # replay batch 0 as a retried micro-batch would: same batch id, same rows
-    batch0 = spark.read.parquet(os.path.join(root, "landing")).where(F.col("pos") == 1)
+    batch0 = spark.read.parquet(os.path.join(root, "landing"))
     st._write_batch(batch0, 0, root, R.INGEST_AS_OF_YEAR, "pos")
     assert spark.read.parquet(os.path.join(root, "log")).count() == log_rows
     assert st.current_table(spark, root).count() == before
@@ -71,6 +71,26 @@ def test_page_stream_drops_relanded_pages(spark):
     assert R.REGISTRY["R1"](spark, SMOKE).count() == R.REGISTRY["S16"](spark, SMOKE).count()
 
 
+def test_page_stream_loses_and_repeats_no_page(spark):
+    from terrane.sources import files as fl
+    from terrane.streaming import ingest as st
+
+    root = fl.scratch_path(spark, "late-pages")
+    page = "<html><body>No record found for Account</body></html>"
+    schema = "id string, html string, landed_at timestamp"
+
+    def land(*ids, at):
+        rows = spark.createDataFrame([(i, page) for i in ids], "id string, html string")
+        rows.withColumn("landed_at", F.lit(at).cast("timestamp")).write.parquet(f"{root}/landing", mode="append")
+        st.stream_page_rows(spark, f"{root}/landing", schema, f"{root}/_checkpoint", f"{root}/out")
+
+    land("a", "b", "a", at="2024-01-02 00:00:00")
+    land("c", "b", at="2024-01-01 00:00:00")  # a page that lands a day late, and one landed again
+    land("a", "d", at="2024-01-09 00:00:00")
+    got = st.page_rows(spark, f"{root}/out")
+    assert sorted(r[0] for r in got.select(got.columns[0]).collect()) == ["a", "b", "c", "d"]
+
+
 def test_append_run_numbers_after_max(spark):
     from terrane.plans import evaluate
 
