@@ -95,12 +95,15 @@ g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
                           WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
                           ELSE list_distinct([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]) END AS gs FROM w),
 n AS (SELECT doc_id, len(gs)::BIGINT AS n_shingles FROM g),
-s AS (SELECT doc_id, unnest(gs) AS gram FROM g),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+s AS (SELECT doc_id, hash(unnest(gs)) AS gram FROM g),
+o AS (SELECT gram FROM s GROUP BY gram HAVING count(*) > 1),
+f AS (SELECT s.* FROM s SEMI JOIN o USING (gram)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM f a JOIN f b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+h AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
       WHERE 100 * c >= 80 * (x.n_shingles + y.n_shingles - c)),
+l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
 r AS (SELECT doc_id, doc_id AS reached FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
-SELECT n.doc_id, n_shingles, (SELECT min(reached) FROM r WHERE r.doc_id = n.doc_id) AS component_id FROM n""",
+SELECT doc_id, n_shingles, component_id FROM n JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY 1) AS m USING (doc_id)""",
     "op9_decontamination": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
