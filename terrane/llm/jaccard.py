@@ -3,14 +3,16 @@
 A document's set is its distinct shingles of five words, as 64-bit hashes. Documents with equal sets form a class,
 named by a 64-bit hash of the set; everything after the first pass works on classes.
 
-1. Global order. Shingles are dealt to buckets by hash and counted there: n-grams that only one class has come first,
+1. Global order. Shingles (here 48 bits of their hashes, so that two sets of 500 see a false common one with a
+   probability below 10^-9) are dealt to buckets by hash and counted there: n-grams that only one class has come first,
    then the others by document frequency. One class can link to another only if at least 80 % of its n-grams occur
    elsewhere; all other classes leave here, and an n-gram of one class alone is never sent on. Each task sends a
    class's n-grams once per slice of its input; an n-gram that many classes of one slice share travels as a count,
    and its holders are told so directly, so no bucket collects a hot n-gram's holders.
 2. Candidates. Two sets that link share an n-gram of both prefixes (the first n - ceil(0.8 n) + 1 of the order). Per
-   prefix n-gram one leader is drawn and the holders are compared with it; links found join components. A few rounds
-   with other leaders follow, then every remaining pair of holders in different components. So a group of near copies
+   prefix n-gram one leader is chosen and the holders are compared with it; links found join components. A few rounds
+   with other leaders follow, then every remaining pair of holders in different components whose places in the
+   order leave room for the overlap needed. So a group of near copies
    costs about one comparison per member, no pair between different components is left out, and links inside a
    component need no search.
 3. Comparison. Per leader, its candidates' ordered n-grams form a prefix tree, walked depth first: candidates with a
@@ -175,15 +177,15 @@ def _dealt(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
                 hot[order] = np.repeat(held >= HOT_HOLDERS, held)
                 rows = []
                 hot_tokens = ordered[edges[:-1]][held >= HOT_HOLDERS]
-                for bucket, own in _by_bucket(hot_tokens % _U(n_buckets)):
-                    rows.append((bucket, 1, None, None, hot_tokens[own].tobytes()))
+                for bucket, own in _by_bucket(_bucket_of(hot_tokens, n_buckets)):
+                    rows.append((bucket, 1, None, None, _packed(hot_tokens[own])))
                 for kind, mask in ((0, ~hot), (2, hot)):
                     some, holders = tokens[mask], owner[mask]
-                    for bucket, own in _by_bucket((some if kind == 0 else holders) % _U(n_buckets)):
+                    for bucket, own in _by_bucket(_bucket_of(some if kind == 0 else holders, n_buckets)):
                         at = holders[own]  # tokens of a class stay next to each other
                         edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]]))
                         rows.append((bucket, kind, at[edge[:-1]].tobytes(), np.diff(edge).astype(np.uint32).tobytes(),
-                                     some[own].tobytes()))
+                                     _packed(some[own])))
                 kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                                  names=["bucket", "kind", "sigs", "counts", "tokens"])
@@ -192,6 +194,22 @@ def _dealt(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
         deal, "bucket long, kind int, sigs binary, counts binary, tokens binary")
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of each n-gram hash, six bytes each."""
+    return np.ascontiguousarray((tokens >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _token_array(blobs: pd.Series) -> np.ndarray:
+    wide = np.zeros((sum(map(len, blobs)) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view("<u8").astype(_U)
+
+
+def _bucket_of(tokens: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes."""
+    return ((tokens >> _U(32)) * _U(n_buckets)) >> _U(32)
+
+
 def _by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket with the places of its entries, in their order."""
     order = np.argsort(buckets, kind="stable")
@@ -204,12 +222,12 @@ def _by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _unpacked(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sigs = np.frombuffer(b"".join(part["sigs"]), _U)
     counts = np.frombuffer(b"".join(part["counts"]), np.uint32)
-    return np.repeat(sigs, counts), np.frombuffer(b"".join(part["tokens"]), _U)
+    return np.repeat(sigs, counts), _token_array(part["tokens"])
 
 
 def _shared_ngrams(part: pd.DataFrame) -> pd.DataFrame:
     """N-grams of a bucket that more than one class holds, by class, with their document frequency."""
-    hot = np.unique(np.frombuffer(b"".join(part.loc[part["kind"] == 1, "tokens"]), _U))
+    hot = np.unique(_token_array(part.loc[part["kind"] == 1, "tokens"]))
     sigs, tokens = _unpacked(part[part["kind"] == 0])
     order = np.lexsort((sigs, tokens))  # copies of a class in other slices fall together
     sigs, tokens = sigs[order], tokens[order]
@@ -233,7 +251,8 @@ def _shared_ngrams(part: pd.DataFrame) -> pd.DataFrame:
     def by_class(values: np.ndarray) -> pd.Series:
         return pd.Series([values[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], dtype=object)
 
-    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": by_class(tokens), "df": by_class(frequency)})
+    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": by_class(tokens),
+                         "df": by_class(frequency.astype(np.int32))})
 
 
 def needed_share(n: Column) -> Column:
@@ -244,7 +263,7 @@ def needed_share(n: Column) -> Column:
 def linkable_sets(docs: DataFrame, members: DataFrame, n_buckets: int, text_col: str = "text") -> DataFrame:
     """sig, n, tokens: shared n-grams in global order of every class that can have a partner."""
     shared = (_dealt(docs, n_buckets, text_col).groupBy("bucket")
-              .applyInPandas(_shared_ngrams, "sig long, tokens array<long>, df array<long>"))
+              .applyInPandas(_shared_ngrams, "sig long, tokens array<long>, df array<int>"))
     parts = F.collect_list(F.struct("tokens", "df"))
     whole = shared.groupBy("sig").agg(parts.alias("parts")).select(
         "sig", F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.df").alias("df"))
@@ -365,32 +384,43 @@ def connect(scratch: Scratch, name: str, labels: DataFrame, links: DataFrame) ->
     return scratch.write(joined.select("sig", F.coalesce("root", "label").alias("label")), f"{name}-labels")
 
 
-def _comparable(n: Column, other: Column) -> Column:
-    return 100 * F.least(n, other) >= PERCENT * F.greatest(n, other)
+def _may_link(n: Column, place: Column, other_n: Column, other_place: Column) -> Column:
+    """Whether sets that meet first at these places of their orders can overlap enough (sizes are bounded by it too)."""
+    return (100 + PERCENT) * F.least(n - place, other_n - other_place) >= PERCENT * (n + other_n)
 
 
 def link_classes(spark: SparkSession, scratch: Scratch, sets: DataFrame, rounds: int = LEADER_ROUNDS) -> DataFrame:
     """(sig, label): components of the classes under the exact links."""
     labels = scratch.write(sets.select("sig", F.col("sig").alias("label")), "labels")
+    # n-grams of no other class come first in the order: they are not in ``tokens`` but take places
+    alone = F.col("n") - F.size("tokens")
     prefix = F.size("tokens") - needed_share(F.col("n")) + 1
-    holders = scratch.write(sets.select("sig", "n", F.explode(F.slice("tokens", F.lit(1), prefix)).alias("token")), "holders")
+    holders = sets.select("sig", "n", alone.alias("alone"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token"))
+    holders = scratch.write(holders.select("sig", "n", "alone", (F.col("alone") + F.col("at")).alias("place"), "token"), "holders")
     checked = None
     for turn in range(rounds + 1):
         now = holders.join(labels, "sig")
-        # an n-gram whose holders are all in one component has nothing left to compare
-        best = F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("draw"), F.col("sig").alias("leader"),
-                              F.col("n").alias("leader_n"), F.col("label").alias("leader_label")))
+        # An n-gram whose holders are all in one component has nothing left to compare. The first leader is the
+        # holder with the smallest share of n-grams of its own (the text that the others were made from, where there
+        # is one); later leaders are drawn by hash.
+        draw = F.col("alone") / F.col("n") if turn == 0 else F.lit(0.0)
+        best = F.min(F.struct(draw.alias("share"), F.xxhash64("sig", F.lit(turn)).alias("draw"), F.col("sig").alias("leader"),
+                              F.col("n").alias("leader_n"), F.col("place").alias("leader_place"),
+                              F.col("label").alias("leader_label")))
         leaders = (now.groupBy("token").agg(best.alias("best"), F.min("label").alias("low"), F.max("label").alias("high"))
                    .where("low <> high").select("token", "best.*"))
         if turn < rounds:
-            pairs = (now.join(leaders, "token").where("label <> leader_label").where(_comparable(F.col("n"), F.col("leader_n")))
+            pairs = (now.join(leaders, "token").where("label <> leader_label")
+                     .where(_may_link(F.col("n"), F.col("place"), F.col("leader_n"), F.col("leader_place")))
                      .select(F.least("sig", "leader").alias("low"), F.greatest("sig", "leader").alias("high"), F.col("leader").alias("probe"))
                      .groupBy("low", "high").agg(F.min("probe").alias("probe")))
         else:
-            open_ = scratch.write(now.join(leaders.select("token"), "token", "left_semi"), "open")
-            other = open_.select("token", F.col("sig").alias("probe"), F.col("n").alias("probe_n"), F.col("label").alias("probe_label"))
+            open_ = now.join(leaders.select("token"), "token", "left_semi")
+            open_ = scratch.write(open_.select("token", "sig", "n", "place", "label"), "open")
+            other = open_.select("token", F.col("sig").alias("probe"), F.col("n").alias("probe_n"),
+                                 F.col("place").alias("probe_place"), F.col("label").alias("probe_label"))
             pairs = (open_.join(other, "token").where("probe < sig AND label <> probe_label")
-                     .where(_comparable(F.col("n"), F.col("probe_n")))
+                     .where(_may_link(F.col("n"), F.col("place"), F.col("probe_n"), F.col("probe_place")))
                      .select(F.col("probe").alias("low"), F.col("sig").alias("high"), "probe").distinct())
         if checked is not None:
             pairs = pairs.join(checked, ["low", "high"], "left_anti")
