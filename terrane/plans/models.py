@@ -170,7 +170,8 @@ def shapley_importance(model: PipelineModel, rows: DataFrame, background: DataFr
 def backtest(rows: DataFrame, numeric: list[str], estimator_factory, test_months: int = 6, n_folds: int = 3
              ) -> DataFrame:
     """M9: walk-forward backtest over the F12 folds: fit per fold on its train
-    rows, score its test rows; MAE and R^2 per fold and their mean."""
+    rows, score its test rows; MAE and R^2 per fold, and their mean in a row
+    without a fold."""
     tagged = features.temporal_folds(rows, test_months=test_months, n_folds=n_folds).cache()
     try:
         folds = sorted(r[0] for r in tagged.select("fold").distinct().collect())
@@ -182,9 +183,10 @@ def backtest(rows: DataFrame, numeric: list[str], estimator_factory, test_months
             s = score(m, te, [F.col(features.TARGET).alias("actual")])
             parts.append(evaluate.metrics(s).withColumn("fold", F.lit(f)).first())
         spark = rows.sparkSession
-        out = spark.createDataFrame([(int(p["fold"]), int(p["n"]), float(p["mae"]), float(p["r2"])) for p in parts],
-                                    "fold int, n long, mae double, r2 double")
-        return out
+        rows_ = [(int(p["fold"]), int(p["n"]), float(p["mae"]), float(p["r2"])) for p in parts]
+        if rows_:  # the mean over the folds has no fold number
+            rows_.append((None, sum(r[1] for r in rows_), *(sum(r[k] for r in rows_) / len(rows_) for k in (2, 3))))
+        return spark.createDataFrame(rows_, "fold int, n long, mae double, r2 double")
     finally:
         tagged.unpersist()
 
