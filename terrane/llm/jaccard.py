@@ -10,7 +10,7 @@ named by a 64-bit hash of the set; everything after the first pass works on clas
    class's n-grams once per slice of its input; an n-gram that many classes of one slice share travels as a count,
    and its holders are told so directly, so no bucket collects a hot n-gram's holders.
 2. Candidates. Two sets that link share an n-gram of both prefixes (the first n - ceil(0.8 n) + 1 of the order). Per
-   prefix n-gram one leader is chosen and the holders are compared with it; links found join components. A few rounds
+   prefix n-gram one leader is chosen, and each holder is compared with the best of its leaders; links found join components. A few rounds
    with other leaders follow, then every remaining pair of holders in different components whose places in the
    order leave room for the overlap needed. So a group of near copies
    costs about one comparison per member, no pair between different components is left out, and links inside a
@@ -43,7 +43,7 @@ by_value(__name__)
 SHINGLE = 5
 #: Links: PERCENT * union <= 100 * intersection.
 PERCENT = 80
-BUCKET_NGRAMS = 1_000_000
+BUCKET_NGRAMS = 2_000_000
 #: N-grams that so many classes of one slice share travel as counts; their document frequency counts as HOT.
 HOT_HOLDERS, HOT = 32, 2**31 - 1
 SLICE_BYTES, BLOCK_BYTES = 6 << 20, 1 << 20
@@ -182,10 +182,8 @@ def _dealt(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
                 for kind, mask in ((0, ~hot), (2, hot)):
                     some, holders = tokens[mask], owner[mask]
                     for bucket, own in _by_bucket(_bucket_of(some if kind == 0 else holders, n_buckets)):
-                        at = holders[own]  # tokens of a class stay next to each other
-                        edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]]))
-                        rows.append((bucket, kind, at[edge[:-1]].tobytes(), np.diff(edge).astype(np.uint32).tobytes(),
-                                     _packed(some[own])))
+                        # tokens of a class stay next to each other
+                        rows.append((bucket, kind, *_runs_of(holders[own]), _packed(some[own])))
                 kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                                  names=["bucket", "kind", "sigs", "counts", "tokens"])
@@ -199,6 +197,13 @@ def _packed(tokens: np.ndarray) -> bytes:
     return np.ascontiguousarray((tokens >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
+def _runs_of(sigs: np.ndarray) -> tuple[bytes, bytes]:
+    """Runs of equal class names: the names and their 16-bit lengths (a longer run is cut)."""
+    edges = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1], [True]]))
+    edges = np.unique(np.concatenate([edges, *(np.arange(a, b, 65_535) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 65_535)]))
+    return sigs[edges[:-1]].tobytes(), np.diff(edges).astype(np.uint16).tobytes()
+
+
 def _token_array(blobs: pd.Series) -> np.ndarray:
     wide = np.zeros((sum(map(len, blobs)) // 6, 8), np.uint8)
     wide[:, :6] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
@@ -221,12 +226,12 @@ def _by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def _unpacked(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sigs = np.frombuffer(b"".join(part["sigs"]), _U)
-    counts = np.frombuffer(b"".join(part["counts"]), np.uint32)
+    counts = np.frombuffer(b"".join(part["counts"]), np.uint16)
     return np.repeat(sigs, counts), _token_array(part["tokens"])
 
 
-def _shared_ngrams(part: pd.DataFrame) -> pd.DataFrame:
-    """N-grams of a bucket that more than one class holds, by class, with their document frequency."""
+def _shared_ngrams(part: pd.DataFrame, n_buckets: int) -> pd.DataFrame:
+    """N-grams of a bucket that more than one class holds, with their document frequency, packed by bucket of classes."""
     hot = np.unique(_token_array(part.loc[part["kind"] == 1, "tokens"]))
     sigs, tokens = _unpacked(part[part["kind"] == 0])
     order = np.lexsort((sigs, tokens))  # copies of a class in other slices fall together
@@ -244,15 +249,26 @@ def _shared_ngrams(part: pd.DataFrame) -> pd.DataFrame:
     more_sigs, more = _unpacked(part[part["kind"] == 2])
     sigs, tokens = np.concatenate([sigs, more_sigs]), np.concatenate([tokens, more])
     frequency = np.concatenate([frequency, np.full(len(more), HOT, np.int64)])
-    order = np.argsort(sigs, kind="stable")
-    sigs, tokens, frequency = sigs[order], tokens[order].view(np.int64), frequency[order]
+    rows = []
+    for bucket, own in _by_bucket(_bucket_of(sigs, n_buckets)):
+        own = own[np.argsort(sigs[own], kind="stable")]
+        names, counts = _runs_of(sigs[own])
+        rows.append((bucket, names, counts, _packed(tokens[own] << _U(16)), frequency[own].astype(np.uint32).tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "sigs", "counts", "tokens", "df"])
+
+
+def _linkable(part: pd.DataFrame) -> pd.DataFrame:
+    """Of a bucket of classes: distinct shared n-grams of each class in global order, as (sig, tokens)."""
+    sigs, tokens = _unpacked(part)
+    frequency = np.frombuffer(b"".join(part["df"]), np.uint32)
+    order = np.lexsort((tokens, frequency, sigs))
+    sigs, tokens = sigs[order], tokens[order]
+    new = np.ones(len(sigs), bool)
+    new[1:] = (sigs[1:] != sigs[:-1]) | (tokens[1:] != tokens[:-1])
+    sigs, tokens = sigs[new], tokens[new].view(np.int64)
     edges = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1], [True]])) if len(sigs) else np.zeros(1, int)
-
-    def by_class(values: np.ndarray) -> pd.Series:
-        return pd.Series([values[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], dtype=object)
-
-    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": by_class(tokens),
-                         "df": by_class(frequency.astype(np.int32))})
+    listed = pd.Series([tokens[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)], dtype=object)
+    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": listed})
 
 
 def needed_share(n: Column) -> Column:
@@ -263,33 +279,12 @@ def needed_share(n: Column) -> Column:
 def linkable_sets(docs: DataFrame, members: DataFrame, n_buckets: int, text_col: str = "text") -> DataFrame:
     """sig, n, tokens: shared n-grams in global order of every class that can have a partner."""
     shared = (_dealt(docs, n_buckets, text_col).groupBy("bucket")
-              .applyInPandas(_shared_ngrams, "sig long, tokens array<long>, df array<int>"))
-    parts = F.collect_list(F.struct("tokens", "df"))
-    whole = shared.groupBy("sig").agg(parts.alias("parts")).select(
-        "sig", F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.df").alias("df"))
+              .applyInPandas(lambda part: _shared_ngrams(part, n_buckets),
+                             "bucket long, sigs binary, counts binary, tokens binary, df binary"))
+    whole = shared.groupBy("bucket").applyInPandas(_linkable, "sig long, tokens array<long>")
     classes = members.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"))
-    return (whole.join(classes, "sig").select("sig", "n", "tokens", "df")
-            .mapInArrow(_in_global_order, "sig long, n long, tokens array<long>"))
-
-
-def _in_global_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of each class by (document frequency, n-gram); classes with too few shared ones leave."""
-    for batch in batches:
-        sizes = np.diff(batch.column(2).offsets.to_numpy())
-        row = np.repeat(np.arange(len(batch)), sizes)
-        token, frequency = (batch.column(k).flatten().to_numpy() for k in (2, 3))
-        order = np.lexsort((token, frequency, row))
-        row, token = row[order], token[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (token[1:] != token[:-1])
-        held = np.bincount(row[new], minlength=len(batch))
-        enough = held >= -(-PERCENT * batch.column(1).to_numpy() // 100)
-        tokens = token[new][enough[row[new]]]
-        offsets = np.concatenate([[0], np.cumsum(held[enough])]).astype(np.int32)
-        mask = pa.array(enough)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).filter(mask), batch.column(1).filter(mask), pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))],
-            names=["sig", "n", "tokens"])
+    return (whole.join(classes, "sig").where(F.size("tokens") >= needed_share(F.col("n")))
+            .select("sig", "n", "tokens"))
 
 
 def overlaps_enough(probe_tokens: np.ndarray, probe_n: int, sizes: list[int], tokens: list[np.ndarray]) -> list[int]:
@@ -412,7 +407,9 @@ def link_classes(spark: SparkSession, scratch: Scratch, sets: DataFrame, rounds:
         if turn < rounds:
             pairs = (now.join(leaders, "token").where("label <> leader_label")
                      .where(_may_link(F.col("n"), F.col("place"), F.col("leader_n"), F.col("leader_place")))
-                     .select(F.least("sig", "leader").alias("low"), F.greatest("sig", "leader").alias("high"), F.col("leader").alias("probe"))
+                     .groupBy("sig").agg(F.min(F.struct("share", "draw", "leader")).alias("best"))
+                     .select(F.least("sig", "best.leader").alias("low"), F.greatest("sig", "best.leader").alias("high"),
+                             F.col("best.leader").alias("probe"))
                      .groupBy("low", "high").agg(F.min("probe").alias("probe")))
         else:
             open_ = now.join(leaders.select("token"), "token", "left_semi")
