@@ -39,7 +39,7 @@ LOOSE = 1 / 64
 #: Shards of the first round that one shard of the second round gathers from.
 MERGE = 64
 #: Cached pre-tokens per worker; when full, what is not cached is computed each time.
-PIECE_CACHE = 700_000
+PIECE_CACHE = 300_000
 
 # Pre-tokens of a lower-case word of Latin-1 characters: what the tokenizer's own split pattern gives there.
 LATIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
@@ -115,7 +115,7 @@ class WordEncoder:
         return ids, bounds
 
 
-def slices(batch: pa.RecordBatch, text_at: int, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text_at: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts take about so many bytes (a longer text comes alone)."""
     size = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(size) // most_bytes
