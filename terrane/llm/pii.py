@@ -1,37 +1,44 @@
 """PII (operator 7): base patterns, and terms that the corpus shows to disclose a protected entity. Native plans only.
 
-Base spans (e-mail, ip, card, phone) are the protected entities. A term t is a word within ``WINDOW_CHARS`` code points
-of an entity c. Over all documents, with n documents in all, n_c with c, n_t with t anywhere and n_ct with t near c:
+Base spans (e-mail, ip, card, phone) are the protected values. Most values stand in one document, so each is also an
+entity at the levels that recur: its name parts, host and domain (e-mail), network (ip), issuer (card), exchange
+(phone) and its kind. A term t is a word outside base spans. Over all distinct texts, with n of them in all, n_c with
+an entity c, n_t with t and n_ct with both anywhere:
 
     information of c      IC(c) = log2(n / n_c)
     disclosure of c by t  PMI(c; t) = log2(n * n_ct / (n_c * n_t)),  at most IC(c)
 
-t discloses c when PMI(c; t) / IC(c) reaches a threshold, and n_ct >= ``MIN_SUPPORT`` (one co-occurrence estimates
-nothing). Above ``REMOVE`` the term is removed, above ``GENERALISE`` it is replaced by its class. Terms are judged only
-in documents that hold the entity, so a document without personal data never changes.
+t discloses c when PMI(c; t) / IC(c) reaches a threshold and chance does not explain n_ct: by Chernoff's bound,
+n_ct of n_t texts have c with a probability of at most exp(-n_t * KL(n_ct / n_t, n_c / n)), which must not exceed
+``ALPHA`` divided by the number of pairs judged (recurring entities times the terms of their texts). Every occurrence
+of such a term is acted on, in all documents: above ``REMOVE`` it is removed, above ``GENERALISE`` replaced by its class.
 
-The counts are taken in steps that keep data small: candidate pairs (c, t) with enough support first, then document
-counts of the candidate terms alone. Each count is a map-side combined aggregate of per-document distinct values.
+The counts are taken in steps that keep data small: entities of at least two texts (one text estimates nothing), pairs
+that could pass if their term stood nowhere else, then text counts of those terms alone. Each count is a map-side
+combined aggregate of per-document distinct values; each of k equal texts counts 1 / k.
 
-Defined results: a null text is empty (no spans); rows with the same id and text count as documents each and share
-their spans; extra columns are ignored; an empty table gives an empty result.
+Defined results: a null text is empty (no spans); rows with the same id and text share their spans; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import row_id
+from terrane.llm.common import Scratch, row_id
 from terrane.llm.spans import NO_SPANS, in_order, merged, no_spans, pattern_spans, replaced
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-WINDOW_CHARS = 60
-MIN_SUPPORT = 3
+#: Chance of any accidental term, over all pairs judged.
+ALPHA = 0.05
 GENERALISE, REMOVE = 0.8, 0.95
 #: Words that may be terms: letters, at least three.
-TERM_PATTERN = r"(?<![\p{L}\p{N}])\p{L}{3,}(?![\p{L}\p{N}])"
+WORD_START, WORD_END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+TERM_PATTERN = WORD_START + r"\p{L}{3,}" + WORD_END
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 # Where a run of the local part's characters holds no match from its start, it holds none from later; \G allows a
@@ -71,60 +78,82 @@ def base_spans(text: Column) -> Column:
                       lambda f: F.length(_digits(f)).between(10, 15)))
 
 
-def _entity(span: Column) -> Column:
-    return F.concat(span["kind"], F.lit(":"), F.lower(span["found"]))
+def _entities(span: Column) -> Column:
+    """The value of a base span and the levels above it, each with its level's name."""
+    value, digits = F.lower(span["found"]), _digits(span["found"])
+    host = F.substring_index(value, "@", -1)
+    names = F.regexp_extract_all(F.substring_index(value, "@", 1), F.lit("[a-z]{3,}"), 0)
+
+    def level(name: str, part: Column) -> Column:
+        return F.concat(F.lit(f"{name}:"), part)
+
+    own = (F.when(span["kind"] == "email", F.concat(
+               F.array(level("email", value), level("host", host), level("domain", F.substring_index(host, ".", -2))),
+               F.transform(names, lambda x: level("name", x))))
+           .when(span["kind"] == "ip", F.array(level("ip", value), level("network", F.substring_index(value, ".", 3))))
+           .when(span["kind"] == "card", F.array(level("card", digits), level("issuer", F.substring(digits, 1, 6))))
+           .otherwise(F.array(level("phone", digits), level("exchange", digits.substr(F.lit(1), F.length(digits) - 4)))))
+    return F.array_append(own, level("kind", span["kind"]))
+
+
+def _plain(text: Column, base: Column) -> Column:
+    """The text with base spans as digits, so that places stay and no term lies inside or touches a span."""
+    return replaced(text, merged(base), lambda p: F.repeat(F.lit("0"), (p["end"] - p["start"]).cast("int")))
+
 
+def _words(text: Column, base: Column) -> Column:
+    """Words of a text that may be terms, as written."""
+    return F.regexp_extract_all(_plain(text, base), F.lit(TERM_PATTERN), 0)
 
-def _near(text: Column, span: Column) -> Column:
-    """Term spans within the window around an entity; words cut by the window's edge do not count."""
-    window = F.lit(WINDOW_CHARS)
-    before_at = F.greatest(span["start"] - window, F.lit(0))
-    before = text.substr((before_at + 1).cast("int"), (span["start"] - before_at).cast("int"))
-    after = text.substr((span["end"] + 1).cast("int"), window)
-    cut_off = F.when(before_at > 0, F.length(F.regexp_extract(before, r"^[\p{L}\p{N}]+", 0))).otherwise(F.lit(0))
-    cut_end = F.when(span["end"] + window < F.length(text), F.length(F.regexp_extract(after, r"[\p{L}\p{N}]+$", 0))).otherwise(F.lit(0))
-    left = pattern_spans(before.substr(cut_off + 1, F.length(before)), TERM_PATTERN, TERM, 4, F.lit(True))
-    right = pattern_spans(after.substr(F.lit(1), F.length(after) - cut_end), TERM_PATTERN, TERM, 4, F.lit(True))
 
-    def shifted(spans: Column, by: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"),
-                                                     s["rank"], s["kind"], s["found"]))
-    return F.concat(shifted(left, before_at + cut_off), shifted(right, span["end"]))
+def _terms(text: Column, base: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_distinct(F.transform(_words(text, base), F.lower))
 
 
-def disclosing_terms(found: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosure): pairs whose disclosure ratio reaches ``generalise``.
+def disclosing_terms(found: DataFrame, alpha: float = ALPHA, generalise: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure): pairs whose disclosure ratio reaches ``generalise`` and that chance does not explain.
 
     ``found``: row, text, base (base spans) of every document.
     """
-    near = _term_occurrences(found)
-    pairs = (near.select("entity", F.explode(F.array_distinct(F.transform("terms", lambda s: F.lower(s["found"])))).alias("term"))
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= min_support))
-    entities = (found.where(F.size("base") > 0)
-                .select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_c")))
-    terms = pairs.select("term").distinct()
-    words = found.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), 0))).alias("term"))
-    counted = (words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-               .join(terms, "term", "left_semi"))
-    total = found.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    n = F.lit(float(max(total, 1)))
-    information = F.log2(n / F.col("n_c"))
-    disclosure = F.log2(n * F.col("n_ct") / (F.col("n_c") * F.greatest("n_t", "n_ct"))) / information
-    return (pairs.join(entities, "entity").join(counted, "term").where(information > 0)
-            .select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= generalise))
-
-
-def _term_occurrences(found: DataFrame) -> DataFrame:
-    """One row per document row and entity: all term spans near its occurrences."""
-    spots = (found.where(F.size("base") > 0)
-             .select("row", F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), _near(F.col("text"), s).alias("terms"))).alias("spots")))
-    entities = F.array_distinct(F.transform("spots", lambda s: s["entity"]))
-    return (spots.select("row", "spots", F.explode(entities).alias("entity"))
-            .select("row", "entity", F.array_distinct(F.flatten(F.transform(F.filter("spots", lambda s: s["entity"] == F.col("entity")), lambda s: s["terms"]))).alias("terms")))
-
-
-def find_pii(docs: DataFrame, min_support: int = MIN_SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE,
+    scratch = Scratch(found.sparkSession, "pii")
+    hashed = found.select(F.col("row.h").alias("h"), "text", "base")
+    sizes = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+    n = sizes.count()
+    copies = scratch.write(sizes.where("k > 1"), "copies")
+    # an empty text has no terms and no entities; all others carry their share of the texts equal to them
+    shared = (hashed.where("text <> ''").join(copies, "h", "left")
+              .select("text", "base", (F.lit(1.0) / F.coalesce("k", F.lit(1))).alias("share")))
+
+    def texts(name: str) -> Column:
+        return F.round(F.sum("share")).cast("bigint").alias(name)
+
+    owners = (shared.where(F.size("base") > 0)
+              .select("text", "base", "share", F.explode(F.array_distinct(F.flatten(F.transform("base", _entities)))).alias("entity")))
+    entities = scratch.write(owners.groupBy("entity").agg(texts("n_c")).where((F.col("n_c") > 1) & (F.col("n_c") < n)), "entities")
+    pairs = (owners.join(entities.select("entity"), "entity", "left_semi")
+             .select("entity", "share", F.explode(_terms(F.col("text"), F.col("base"))).alias("term"))
+             .groupBy("entity", "term").agg(texts("n_ct")))
+    pairs = scratch.write(pairs, "pairs")
+    judged = entities.count() * pairs.agg(F.count_distinct("term").alias("n")).first()["n"]
+    limit = math.log(max(judged, 1) / alpha)
+    rarity = F.log(n / F.col("n_c"))
+    able = pairs.join(entities, "entity").where(F.col("n_ct") * rarity >= limit)
+    counted = (shared.select("share", F.explode(_terms(F.col("text"), F.col("base"))).alias("term"))
+               .groupBy("term").agg(texts("n_t")).join(able.select("term").distinct(), "term", "left_semi"))
+    share, base_rate = F.col("n_ct") / F.col("n_t"), F.col("n_c") / F.lit(float(n))
+    missing = F.col("n_t") - F.col("n_ct")
+    surprise = (F.col("n_ct") * F.log(share / base_rate)
+                + F.when(missing > 0, missing * F.log((1 - share) / (1 - base_rate))).otherwise(0.0))
+    disclosure = F.log(share / base_rate) / rarity
+    flagged = (able.join(counted, "term").where((disclosure >= generalise) & (surprise >= limit))
+               .select("entity", "term", disclosure.alias("disclosure")))
+    flagged = scratch.write(flagged, "flagged")
+    scratch.drop("copies", "entities", "pairs")
+    return flagged
+
+
+def find_pii(docs: DataFrame, alpha: float = ALPHA, generalise: float = GENERALISE, remove: float = REMOVE,
              id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
     """Per document row: row (id and text hash), base (base spans), terms (disclosing terms' spans, kind ``term``;
     ``found`` holds "remove" or "generalise"); ``extra`` adds columns made from the input's."""
@@ -132,18 +161,21 @@ def find_pii(docs: DataFrame, min_support: int = MIN_SUPPORT, generalise: float
                         *((c.alias(n)) for n, c in (extra or {}).items()))
     found = found.withColumn("base", base_spans(F.col("text")))
     known = found.select("row", "text", "base")
-    flagged = disclosing_terms(known, min_support, generalise)
-    spots = (_term_occurrences(known)
-             .select("row", "entity", F.explode("terms").alias("span"))
-             .withColumn("term", F.lower("span.found"))
-             .join(flagged, ["entity", "term"]))
-    action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")
-    judged = (spots.groupBy("row", "span.start", "span.end").agg(F.max(action).alias("found"))
-              .groupBy("row").agg(F.collect_list(F.struct(
-                  "start", "end", F.lit(4).alias("rank"), F.lit(TERM).alias("kind"), "found")).cast(NO_SPANS).alias("terms"))
-              .withColumnRenamed("row", "own"))
-    return (found.join(judged, F.col("row").eqNullSafe(F.col("own")), "left")
-            .withColumn("terms", F.coalesce("terms", no_spans())).drop("own"))
+    action = F.when(F.max("disclosure") >= remove, "remove").otherwise("generalise")
+    flagged = disclosing_terms(known, alpha, generalise).groupBy("term").agg(action.alias("action"))
+    # texts with such a term, by hash, and its forms there; places are searched for those forms alone
+    words = F.explode(F.array_distinct(_words(F.col("text"), F.col("base"))))
+    hits = (known.select(F.col("row.h").alias("own"), words.alias("word")).withColumn("term", F.lower("word"))
+            .join(flagged, "term").groupBy("own")
+            .agg(F.map_from_entries(F.collect_set(F.struct("word", "action"))).alias("hits")))
+    hits = Scratch(docs.sparkSession, "pii").write(hits, "hits")
+    forms = F.concat(F.lit(WORD_START + "(?:"), F.array_join(F.map_keys("hits"), "|"), F.lit(")" + WORD_END))
+    spans = pattern_spans(_plain(F.col("text"), F.col("base")), forms, TERM, 4, F.col("hits").isNotNull())
+    acted = F.transform(spans, lambda s: F.struct(
+        s["start"], s["end"], s["rank"], s["kind"], F.try_element_at("hits", s["found"]).alias("found")))
+    return (found.join(hits, F.col("row.h") == F.col("own"), "left")
+            .withColumn("terms", F.when(F.col("hits").isNotNull(), acted.cast(NO_SPANS)).otherwise(no_spans()))
+            .drop("own", "hits"))
 
 
 def sanitised(text: Column, base: Column, terms: Column) -> Column:

@@ -18,7 +18,7 @@ def no_spans() -> Column:
     return F.array().cast(NO_SPANS)
 
 
-def pattern_spans(text: Column, pattern: str, kind: str, rank: int, gate: Column,
+def pattern_spans(text: Column, pattern: str | Column, kind: str, rank: int, gate: Column,
                   passes: Callable[[Column], Column] | None = None) -> Column:
     """All leftmost non-overlapping matches, in order; ``passes`` drops matches without trying others there.
 
@@ -26,9 +26,9 @@ def pattern_spans(text: Column, pattern: str, kind: str, rank: int, gate: Column
     linear), and starts are running sums of lengths. ``pattern`` has no capturing groups. ``gate`` must hold for
     every text with a match; other texts are not searched.
     """
-    whole = rf"(?s)\G(.*?)({pattern})"
-    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(whole), 1).alias("gap"),
-                         F.regexp_extract_all(text, F.lit(whole), 2).alias("found"))
+    whole = F.concat(F.lit(r"(?s)\G(.*?)("), pattern, F.lit(")")) if isinstance(pattern, Column) else F.lit(rf"(?s)\G(.*?)({pattern})")
+    pairs = F.arrays_zip(F.regexp_extract_all(text, whole, 1).alias("gap"),
+                         F.regexp_extract_all(text, whole, 2).alias("found"))
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])

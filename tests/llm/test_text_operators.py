@@ -349,6 +349,26 @@ def test_disclosing_terms(spark):
     assert all(got[10 + i]["new"] == rows[4 + i][1] for i in range(40))
 
 
+def test_terms_of_entities_that_never_repeat(spark):
+    """Each address stands once; the word that goes with addresses is far from them and also in a text without one."""
+    far = " ".join(["plain words stand here"] * 20)
+    rows = [(i, f"Zorbital signed this. {far} mail k{i}x@h{i}.example{i}.com or call") for i in range(12)]
+    rows += [(100 + i, f"{far} and other things {i}") for i in range(188)]
+    rows += [(300, f"İzmir, ask ZORBITAL or zorbital {far}"), (301, ""), (302, None)]
+    rows += [(400 + i, f"copied unheard matters k@copies.org {far}") for i in range(30)]  # equal texts are one text
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find_pii(table).select("row.id", "base", "terms", pii.sanitised(F.col("text"), F.col("base"), F.col("terms")).alias("new"))
+    got, text = {r["id"]: r for r in found.collect()}, dict(rows)
+    assert len(got) == len(rows)
+    for i in range(12):
+        assert {text[i][s["start"]:s["end"]].lower() for s in got[i]["terms"]} >= {"zorbital"}
+        assert "Zorbital" not in got[i]["new"] and "plain words stand here" in got[i]["new"] and "[EMAIL]" in got[i]["new"]
+    assert got[300]["base"] == [] and [text[300][s["start"]:s["end"]] for s in got[300]["terms"]] == ["ZORBITAL", "zorbital"]
+    assert "orbital" not in got[300]["new"].lower() and got[300]["new"].startswith("İzmir, ask")
+    assert all(got[100 + i]["new"] == text[100 + i] for i in range(188)) and got[301]["terms"] == got[302]["terms"] == []
+    assert all(got[400 + i]["terms"] == [] for i in range(30))
+
+
 def brute_entropy(run, window, limit):
     out = []
     for i in range(len(run) - window + 1):
