@@ -1,11 +1,13 @@
 """URL filters (operator 6): host and path rules first, then association rules mined from the urls they label.
 
 Longest-match rules (host and subdomains, path prefix) give verdicts where they fit, and those verdicts label urls.
-Each url becomes a transaction of its tokens (host labels, registered domain, path segments, query keys) and, if it
-has one, its label. Spark's FP-growth finds the frequent combinations. The rules "tokens -> label" that pass the support
-and confidence bounds, and have at most ``MAX_TOKENS`` tokens, judge the urls without a rule. As urls without a label
-count against a rule's confidence, tokens that are common among them too make no rule. Mined rules are matched by an
-inverted index: each is filed under its rarest token, urls look up their tokens, and the other tokens are verified.
+Each url becomes a transaction of its tokens (host labels, registered domain, path segments, query keys); a labelled
+one has its label too. Over the labelled urls, Spark's FP-growth finds the frequent combinations. A rule "tokens ->
+label" needs its support and confidence there, at most ``MAX_TOKENS`` tokens, a lift over the label's share of all
+labelled urls, and more urls than chance explains: with that share q, c of n urls have the label with a probability
+of at most exp(-n * KL(c / n, q)) (Chernoff), which must not exceed ``ALPHA`` divided by the number of rules in
+question. These rules judge the urls without a label. Mined rules are matched by an inverted index: each is filed under
+its rarest token, urls look up their tokens, and the other tokens are verified.
 
 Defined results: a null url, or one without "://", has empty host and path and no rule; it is allowed unless a mined
 rule fits (none can: it has no tokens). Without labelled urls everything left is allowed. Equal rows give equal results;
@@ -14,6 +16,7 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.ml.fpm import FPGrowth
@@ -25,6 +28,9 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/fr/"))
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
+MIN_LIFT = 1.1
+#: Chance of any accidental rule, over all rules that pass the other bounds.
+ALPHA = 0.05
 #: Tokens on the left side of a mined rule, at most.
 MAX_TOKENS = 3
 
@@ -75,17 +81,24 @@ def mine_rules(urls: DataFrame, min_support: float = MIN_SUPPORT, min_confidence
 
     ``key`` is the rarest token of a rule. None without labelled rows.
     """
-    if urls.where("verdict IS NOT NULL").isEmpty():
+    labelled = urls.where("verdict IS NOT NULL")
+    n = labelled.count()
+    if not n:
         return None
     label = F.concat(F.lit("label:"), F.col("verdict"))
-    baskets = urls.select(F.array_compact(F.array_append("tokens", label)).alias("items")).where(F.size("items") > 0)
+    baskets = labelled.select(F.array_append("tokens", label).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     frequency = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rules = (model.associationRules
              .where((F.size("consequent") == 1) & F.col("consequent")[0].startswith("label:")
                     & (F.size("antecedent") <= max_tokens) & ~F.exists("antecedent", lambda t: t.startswith("label:")))
+             .where(F.col("lift") >= MIN_LIFT)
              .select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 7, 100).alias("verdict"),
-                     "confidence", "support"))
+                     "confidence", "support", "lift"))
+    limit = math.log(max(rules.count(), 1) / ALPHA)
+    hit, miss, base_rate = F.col("confidence"), 1 - F.col("confidence"), F.col("confidence") / F.col("lift")
+    surprise = hit * F.log("lift") + F.when(miss > 0, miss * F.log(miss / (1 - base_rate))).otherwise(0.0)
+    rules = rules.where(n * F.col("support") / hit * surprise >= limit).drop("lift")
     rarest = (rules.select("tokens", F.explode("tokens").alias("token")).join(frequency, "token")
               .groupBy("tokens").agg(F.min_by("token", F.struct("freq", "token")).alias("key")))
     return rules.join(rarest, "tokens")

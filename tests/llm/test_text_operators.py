@@ -251,6 +251,16 @@ def test_mined_rules_judge_what_no_rule_covers(spark):
     assert got[9001]["verdict"] == "allow"
 
 
+def test_mined_rules_hold_over_labelled_urls_only(spark):
+    rows = [(i, f"http://h{i % 9}.net/es/casino/{i}") for i in range(100)] + [(1000 + i, f"http://k{i}.com/news/{i}") for i in range(100)]
+    rows += [(2000 + i, f"http://z{i % 7}.org/casino/{i}") for i in range(400)]  # tokens common among urls without a label
+    rows += [(3000 + i, f"http://h{i}.net/es/casino/odd") for i in range(4)] + [(4000, "http://z.org/odd"), (4001, "http://z.org/news/7")]
+    got = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert all(got[2000 + i]["verdict"] == "block" and got[2000 + i]["mined_rule"] for i in range(400))
+    assert (got[4000]["verdict"], got[4000]["mined_rule"]) == ("allow", None)  # 4 urls of 204: chance explains them
+    assert got[4001]["verdict"] == "allow" and got[4001]["mined_rule"]
+
+
 BASE_PII = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
             ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
