@@ -25,12 +25,9 @@ from .sources import files, sinks
 def ingest_job(spark: SparkSession, csv_path: str, table_path: str, dlq_path: str, as_of_year: int,
                columns: list[str] | None = None) -> dict:
     """Read all-text CSV, validate, write the parcel table (last row per
-    key wins; input position = file, block start, then row order within the
-    block) and the dead letters,
+    key wins; input position = file, split, line) and the dead letters,
     full refresh. Returns the counters processed / inserted / rejected."""
-    text = files.read_text_csv(spark, csv_path, columns)
-    text = text.withColumn("pos", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-                                           F.monotonically_increasing_id()))
+    text = files.read_text_csv(spark, csv_path, columns, position="pos")
     v = ing.validate_records(ing.null_na_tokens(text, keep=("pos",)), as_of_year, keep=("pos",))
     counted = Observation("ingest")
     ok = F.size("errors") == 0

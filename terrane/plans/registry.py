@@ -375,8 +375,11 @@ from ..streaming import ingest as st  # noqa: E402
 
 
 def _s1_csv(spark, d):
+    """The text rows through CSV files, with a note that holds quotes, commas and line breaks."""
     path = fl.scratch_path(spark, "records-csv")
     raw = fx.raw_text(fx.parcels(spark, d))
+    note = F.concat(F.lit('unit "'), F.col("schno"), F.lit('",\n\nsecond line'))
+    raw = raw.withColumn("note", F.when(F.col("schno").cast("int") % 3 == 0, note))
     raw.write.options(**fl.CSV_TEXT_OPTIONS).option("emptyValue", "").csv(path)
     return ing.null_na_tokens(fl.read_text_csv(spark, path, raw.columns))
 

@@ -13,9 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .csv_records import parse_records, read_records
 
 CSV_TEXT_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                     "escape": '"'}
@@ -28,15 +28,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                  multi_line: bool = False) -> DataFrame:
+                  position: str | None = None) -> DataFrame:
     """Every column as text (no inference, no coercion); the caller applies
     the missing-value tokens. Without ``columns`` the header names are used.
-    ``multi_line`` allows line breaks inside quotes; such files do not split."""
-    options = CSV_TEXT_OPTIONS | {"multiLine": str(multi_line).lower()}
-    if columns:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        return spark.read.options(**options).schema(schema).csv(path)
-    return spark.read.options(**options).option("inferSchema", "false").csv(path)
+    Line breaks inside quotes belong to their value, and files split all the same
+    (``csv_records``). ``position`` names a column for the record's place in the
+    input (file, split, line), in input order."""
+    options = {k: v for k, v in CSV_TEXT_OPTIONS.items() if k != "header"}
+    rows = parse_records(read_records(spark, path), columns, options)
+    return rows.withColumnRenamed("pos", position) if position else rows.drop("pos")
 
 
 def read_inferred_csv(spark: SparkSession, path: str) -> DataFrame:

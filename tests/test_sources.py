@@ -1,7 +1,11 @@
 """File sources, sinks, streaming replay and the run log."""
 
+import csv
 import os
+import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMOKE
@@ -51,6 +55,82 @@ def test_text_csv_keeps_every_value_as_text(spark):
     assert back["1"].docfee1 == "  25.50  " and back["1"].beds is None and back["2"].docfee1 == "007"
 
 
+@pytest.fixture
+def small_splits(spark):
+    """A function that sets the size of file splits; restored afterwards."""
+    names = {"spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum"}
+    old = {n: spark.conf.get(n, None) for n in names}
+
+    def splits_of(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+
+    yield splits_of
+    for n, v in old.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def _local_folder(spark, name):
+    from terrane.sources import files as fl
+
+    root = fl.scratch_path(spark, name)
+    root = root[len("file:"):] if root.startswith("file:") else root
+    os.makedirs(root)
+    return root
+
+
+@pytest.mark.parametrize("size", [64, 300, 4000, 1 << 20])
+def test_csv_records_with_line_breaks_split_anywhere(spark, small_splits, size):
+    from terrane.sources import files as fl
+
+    rng = random.Random(size)
+    values = [lambda i: f"plain{i}", lambda i: f'a "q" b\nline two, {i}\n\n', lambda i: '"', lambda i: ',,"\n"',
+              lambda i: "x\n" * rng.randint(1, 80), lambda i: f"z{i % 7}", lambda i: ' "not a quoted field" ']
+    rows = [tuple(rng.choice(values)(i) for _ in range(3)) for i in range(150)]
+    root = _local_folder(spark, "csv-splits")
+    for name, end, part in (("a.csv", "\n", rows), ("b.csv", "\r\n", rows[:40])):
+        with open(f"{root}/{name}", "w", newline="") as fh:
+            writer = csv.writer(fh, lineterminator=end)
+            writer.writerow(["c1", "c2\nsecond line", "c3"])
+            writer.writerows(part)
+    small_splits(size)
+    got = fl.read_text_csv(spark, root, position="pos")
+    assert got.columns == ["pos", "c1", "c2\nsecond line", "c3"]
+    assert [tuple(r)[1:] for r in got.orderBy("pos").collect()] == rows + rows[:40]
+    if size < 1000:
+        assert got.rdd.getNumPartitions() > 10
+
+
+def test_csv_stray_quotes_unclosed_quotes_and_blank_lines(spark, small_splits):
+    from terrane.sources import files as fl
+
+    root = _local_folder(spark, "csv-quotes")
+    with open(f"{root}/a.csv", "w") as fh:
+        fh.write('a,b\n5" pipe,1\n\n   \n"x ""y""",2\nshort\n"never closed,3\nlast,4\n')
+    small_splits(16)
+    got = [tuple(r)[1:] for r in fl.read_text_csv(spark, root, position="pos").orderBy("pos").collect()]
+    assert got[:3] == [('5" pipe', "1"), ('x "y"', "2"), ("short", None)]
+    assert len(got) == 4 and got[3][0].startswith("never closed,3\nlast,4")
+    empty = _local_folder(spark, "csv-empty")
+    open(f"{empty}/a.csv", "w").close()
+    assert fl.read_text_csv(spark, empty, ["a", "b"]).count() == 0
+
+
+def test_line_states_follow_a_plain_scan():
+    from terrane.sources import csv_records as cr
+
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        actions = rng.integers(0, 4, rng.integers(1, 30))
+        for before in (0, 1):
+            state, want = before, []
+            for a in actions:
+                state = {cr.KEEP: state, cr.FLIP: 1 - state, cr.TO_OUTSIDE: 0, cr.TO_INSIDE: 1}[int(a)]
+                want.append(state)
+            assert cr.states_after(actions, before).tolist() == want
+
+
 def test_stream_ingest_replay_is_idempotent(spark):
     from terrane.plans import registry as R
     from terrane.streaming import ingest as st
