@@ -336,12 +336,23 @@ for _k, _fn in {
 
 # --- pages and scraped sales: S16-S21, J5 -------------------------------------------
 
+from ..sources import page_tables  # noqa: E402
 from ..sources import pages as pg  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 
 OWNER_LABELS = {"Primary:": "primary_owner", "Secondary:": "secondary_owner", "Addr:": "mailing_address"}
 
 
+def _details(spark, d, sales=False):
+    """The detail sections, one column per value; or their sales, one row each."""
+    found = page_tables.property_details(fx.detail_pages(fx.parcels(spark, d)), OWNER_LABELS)
+    if sales:
+        return found.select("schno", F.posexplode("sales").alias("sale_pos", "s")).select("schno", "sale_pos", "s.*")
+    return found.select("schno", *OWNER_LABELS.values(), F.col("value_2025.type").alias("value_type"), F.col("value_2025.value").alias("value_2025"),
+                        F.col("value_2024.value").alias("value_2024"), F.col("improvements")["Beds"].alias("beds"),
+                        F.col("improvements")["Baths"].alias("baths"), F.col("land")["Acres"].alias("acres"), F.size("sales").alias("n_sales"))
+
+
 def _all_scraped(spark, d):
     """Scraped rows from both layouts (pos 0) and rows parsed off landed pages (pos 1+)."""
     p = fx.parcels(spark, d)
@@ -354,6 +365,9 @@ for _k, _fn in {
     "S16": lambda s, d: pg.sale_rows(fx.sale_pages(fx.parcels(s, d))),
     "S16_pages": lambda s, d: pg.sale_rows(read_table(s, d, "pages"), id_col="page_id"),
     "S17": lambda s, d: pg.label_values(fx.sale_pages(fx.parcels(s, d)), OWNER_LABELS),
+    "S16_nested": lambda s, d: pg.sale_rows(fx.detail_pages(fx.parcels(s, d))),
+    "S17_sections": lambda s, d: _details(s, d),
+    "S17_sales": lambda s, d: _details(s, d, sales=True),
     "S18": lambda s, d: pg.pending_ids(fx.parcels(s, d), fx.scraped(fx.parcels(s, d)).where(
         F.col("schno").cast("int") % 4 == 0)),
     "S19": lambda s, d: pg.parsed_sales(fx.scraped(fx.parcels(s, d))),

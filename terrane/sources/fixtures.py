@@ -153,6 +153,31 @@ def sale_pages(parcels_df: DataFrame) -> DataFrame:
     return parcels_df.select(F.col("schno").alias("id"), html.alias("html"))
 
 
+def detail_pages(parcels_df: DataFrame) -> DataFrame:
+    """Stands for the county's detail pages: class-marked sections, a sales table nested in a cell, tags left
+    unclosed, entities, comments; a seventh of the pages has no record, a ninth no land section."""
+    k, text = _k(), F.col("schno")
+    price = (100 + k % 800).cast("string")
+    sale = F.concat(F.lit('<tr><td class="style2b">R'), text, F.lit('<td class="style2b">5/20/2002<td class=style2b>WD<td class="style2b">$'),
+                    price, F.lit(",500"))
+    older = F.when(k % 2 == 0, F.concat(F.lit('</tr><tr><td class="style2b">Q'), text, F.lit(
+        "</td><td class='style2b'>1/2/1999</td><td class='style2b'>QCD</td><td class='style2b'>$5</td></tr>"))).otherwise(F.lit(""))
+    detail = F.concat(
+        F.lit("<html><!-- <table><tr><td>Primary:</td><td>nobody</td> --><body><TABLE border=0 CLASS=\"DetailData\"><tr><td>Primary:<td>OWNER &amp; "), text,
+        F.lit(" LLC<tr><td>Addr:</td><td><b>PO BOX "), text,
+        F.lit('</b>&nbsp;</td></tr><tr><td><table class="Inner"><tr><th>Reception</th><th>Sale Date</th></tr>'), sale, older,
+        F.lit('<tr><td>end of sales</td></tr><tr><td class="style2b">a</td><td class="style2b">1/1/1990</td><td class="style2b">b</td><td class="style2b">$1</td></table></td></tr></table>'))
+    value = F.concat(F.lit('<table class="ValueData"><tr><td>2025 Actual Value</td></tr><tr><td class="style2c">x</td><td class="style2c">Total<td class="style2c">'),
+                     price, F.lit("000</tr><tr><td>2024 Actual Value</td><tr><td class=style2d>x</td><td class=style2d>Only two</td></tr></table>"))
+    improved = F.concat(F.lit('<table class="ImpData"><tr><td class="Impstyle1">Beds:</td><td class="Impstyle2">'), (k % 6).cast("string"),
+                        F.lit('</td><td class="Impstyle1">Baths:<td>?<td class="Impstyle2">'), (k % 4).cast("string"), F.lit("</table>"))
+    land = F.when(k % 9 == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<table class="LandData"><tr><td class="Impstyle1">Acres:</td><td class="Impstyle2">'), (k % 5).cast("string"), F.lit(".5</td></tr></table>")))
+    html = F.when(k % 7 == 0, F.lit("<html><body>No Record Found for Account</body></html>")).otherwise(
+        F.concat(detail, value, improved, land, F.lit("</body></html>")))
+    return parcels_df.select(text.alias("id"), html.alias("html"))
+
+
 def predictions(parcels_df: DataFrame) -> DataFrame:
     """Stands for scored rows: actual and a deterministic prediction."""
     k = _k()

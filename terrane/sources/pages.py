@@ -1,9 +1,8 @@
 """Landed detail pages and scraped sale rows.
 
-Parsing is regular-expression extraction over the page text with native
-functions (``regexp_extract_all``, ``transform``, ``filter``), so it runs in
-the JVM per row; no HTML library and no Python UDF is involved. Nested tables
-and unclosed cells are outside this regular form (documented limitation).
+Pages become table rows in one pass over their tags (``page_tables``); what is
+read from the rows, and the scraped text rows, are native array and string
+functions.
 """
 
 from __future__ import annotations
@@ -11,58 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NO_SALES = "NO_SALES_FOUND"
-ROW_RE = r"(?is)<tr[^>]*>(.*?)</tr>"
-CELL_RE = r"(?is)<td[^>]*>(.*?)</td>"
-TABLE_RE = r"(?is)<table([^>]*)>(.*?)</table>"
-# HTML entities decoded in cell text.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-
-
-def cell_text(c: Column) -> Column:
-    """Text of a cell: tags removed, entities decoded, whitespace trimmed."""
-    t = F.regexp_replace(c, r"(?s)<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.trim(t)
+from . import page_tables as tables
 
-
-def row_cells(row_html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(row_html, F.lit(CELL_RE), 1), cell_text)
+NO_SALES = "NO_SALES_FOUND"
 
 
 def sale_rows(pages: DataFrame, id_col: str = "id", html_col: str = "html") -> DataFrame:
     """One row per ``<tr>`` whose cells include one with '/' and one with
     '$' (cells joined by ' | '); a page without any yields one NO_SALES_FOUND row.
     ``row_pos`` keeps the row's order within its page."""
-    rows = F.transform(F.regexp_extract_all(F.col(html_col), F.lit(ROW_RE), 1), row_cells)
-    sales = F.filter(rows, lambda cells: F.exists(cells, lambda c: c.contains("/"))
-                     & F.exists(cells, lambda c: c.contains("$")))
-    joined = F.transform(sales, lambda cells: F.array_join(cells, " | "))
-    out = pages.select(F.col(id_col).cast("string").alias("schno"),
-                       F.when(F.size(joined) > 0, joined).otherwise(F.array(F.lit(NO_SALES))).alias("_r"))
+    joined = tables.sale_candidates(F.col("rows"))
+    out = tables.page_rows(pages, id_col, html_col).select(
+        "schno", F.when(F.size(joined) > 0, joined).otherwise(F.array(F.lit(NO_SALES))).alias("_r"))
     return out.select("schno", F.posexplode("_r").alias("row_pos", "raw_sales_row"))
 
 
 def label_values(pages: DataFrame, labels: dict[str, str], id_col: str = "id", html_col: str = "html",
                  table_class: str | None = None) -> DataFrame:
-    """For each label cell (e.g. 'Primary:'), the text of the next cell.
+    """For each label cell (e.g. 'Primary:'), the text of the next cell of its row.
 
     Pages mentioning "no record found" are skipped. With ``table_class`` only
-    tables of that class are searched (the reference reads ``DetailData``);
-    a missing table gives NULL values.
+    tables of that class (and tables in them) are searched (the reference reads
+    ``DetailData``); a missing table gives NULL values.
     """
-    html = F.col(html_col)
+    rows = F.col("rows")
     if table_class:
-        tables = F.regexp_extract_all(html, F.lit(TABLE_RE), 0)
-        html = F.array_join(F.filter(tables, lambda t: t.rlike(r'(?is)^<table[^>]*class\s*=\s*"?' + table_class)), "")
-    cells = F.transform(F.regexp_extract_all(html, F.lit(CELL_RE), 1), cell_text)
-    cols = {}
-    for label, name in labels.items():
-        pos = F.array_position(cells, label)
-        cols[name] = F.when(pos > 0, F.element_at(cells, (pos + 1).cast("int")))
-    kept = pages.where(~F.lower(F.col(html_col)).contains("no record found"))
-    return kept.select(F.col(id_col).cast("string").alias("schno"), *[v.alias(k) for k, v in cols.items()])
+        rows = F.filter(rows, lambda r: F.array_contains(r["sections"], table_class))
+    wanted = frozenset({table_class} - {None})
+    kept = tables.page_rows(pages, id_col, html_col, wanted).where(~F.col("empty"))
+    return kept.select("schno", *[tables.next_cell(rows, label).alias(name) for label, name in labels.items()])
 
 
 def parse_sale_row(raw: str | Column = "raw_sales_row") -> Column:
