@@ -197,3 +197,18 @@ cpi AS (
 SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, round(AVG(l_tax) * 1000, 6) AS value FROM lineitem GROUP BY 1)"""
 
 BLOCKS["cpi"] = CPI
+
+LIFTS = """
+lift_segments AS (
+SELECT CASE WHEN k % 97 = 0 THEN concat(CASE k % 4 WHEN 0 THEN 'Peak 8' WHEN 1 THEN 'river run' WHEN 2 THEN 'AMERICAN EAGLE' ELSE 'Pallavicini' END, ' Lift ', schno)
+  WHEN k % 97 = 1 THEN 'Scenic Gondola' END AS name, lon AS x1, lat AS y1, lon + 0.004 AS x2, lat - 0.003 AS y2
+FROM (SELECT schno, CAST(schno AS INT) AS k, 39.45 + CAST(CAST(schno AS INT) * 13 % 200 AS DOUBLE) / 1000.0 AS lat,
+             -106.20 + CAST(CAST(schno AS INT) * 17 % 330 AS DOUBLE) / 1000.0 AS lon FROM parcels) p WHERE k % 97 < 3)"""
+BLOCKS["lifts"] = LIFTS
+
+MACRO_SERIES = """
+macro_series AS (
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, round(AVG(l_discount) * 100, 6) AS mortgage_rate, round(AVG(l_tax) * 1000, 6) AS cpi,
+  round(AVG(l_extendedprice) / 100, 6) AS sp500, CASE WHEN month(any_value(l_shipdate)) = 1 THEN CAST(COUNT(*) AS DOUBLE) END AS county_pop
+FROM lineitem GROUP BY 1)"""
+BLOCKS["macro_series"] = MACRO_SERIES

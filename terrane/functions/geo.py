@@ -1,11 +1,10 @@
 """Geodesy as column expressions (G3, G4): haversine miles, a transverse
-Mercator (UTM) forward projection, and point-to-segment distance folded over a
-literal array of segments. No per-row geometry library, no Python UDF.
+Mercator (UTM) forward projection, and point-to-segment distance. No per-row
+geometry library, no Python UDF.
 
 The projection follows the series of Snyder, *Map Projections: A Working
 Manual* (USGS PP 1395, 1987), pp. 60-61. It is written once over a small math
-namespace so the same code projects literal segment ends in Python and
-property points as Spark columns.
+namespace, so that tests run the same code on plain numbers.
 """
 
 from __future__ import annotations
@@ -59,23 +58,11 @@ def nearest_point_miles(lat: Column, lon: Column, points: list[tuple[float, floa
     return ds[0] if len(ds) == 1 else F.least(*ds)
 
 
-def nearest_segment_metres(x: Column, y: Column, segments: list[tuple[float, float, float, float]]) -> Column:
-    """Planar distance to the nearest of a literal array of segments.
-
-    The segments are a bounded literal (a lift network), folded per row with
-    ``aggregate``: no join and no row multiplication.
-    """
-    if not segments:
-        return F.lit(None).cast("double")
-    arr = F.array(*[F.struct(F.lit(float(a)).alias("x1"), F.lit(float(b)).alias("y1"),
-                             F.lit(float(c)).alias("x2"), F.lit(float(d)).alias("y2")) for a, b, c, d in segments])
-
-    def dist(s):
-        dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-        len2 = dx * dx + dy * dy
-        tt = F.when(len2 > 0, ((x - s["x1"]) * dx + (y - s["y1"]) * dy) / len2).otherwise(F.lit(0.0))
-        tt = F.greatest(F.lit(0.0), F.least(F.lit(1.0), tt))
-        px, py = s["x1"] + tt * dx, s["y1"] + tt * dy
-        return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
-
-    return F.aggregate(arr, F.lit(float("inf")), lambda acc, s: F.least(acc, dist(s)))
+def segment_metres(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Planar distance from a point to a segment."""
+    dx, dy = x2 - x1, y2 - y1
+    len2 = dx * dx + dy * dy
+    at = F.when(len2 > 0, ((x - x1) * dx + (y - y1) * dy) / len2).otherwise(F.lit(0.0))
+    at = F.greatest(F.lit(0.0), F.least(F.lit(1.0), at))
+    px, py = x1 + at * dx, y1 + at * dy
+    return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))

@@ -2,12 +2,15 @@
 
 Points are cleaned and reduced to one row per parcel with a partial aggregate
 (G1), joined to sales on the parcel id (G2), and measured against literal
-resort points (G3) or lift-line segments (G4) by column expressions only.
+resort points (G3) by column expressions, or against a table of lift-line
+segments (G4) by a grid join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, codes, decode
@@ -44,34 +47,74 @@ def resort_point_distances(df: DataFrame, lat: str = "latitude", lon: str = "lon
                            for name, pts in codes.RESORT_POINTS.items()})
 
 
-def project_segments(lines: list[tuple[str, list[tuple[float, float]]]]) -> dict[str, list]:
-    """Lift lines ``(name, [(lon, lat), ...])`` -> projected segments per resort,
-    selected by the resort's name keywords (case-insensitive substring)."""
-    out = {}
-    for resort, words in codes.RESORT_LIFT_KEYWORDS.items():
-        segs = []
-        for name, coords in lines:
-            if name and any(w.lower() in name.lower() for w in words):
-                pts = [g.utm_forward(lat, lon, g.PY_MATH) for lon, lat in coords]
-                segs += [(a[0], a[1], b[0], b[1]) for a, b in zip(pts, pts[1:])]
-        out[resort] = segs
-    return out
-
-
-def lift_line_distances(df: DataFrame, lines: list[tuple[str, list[tuple[float, float]]]],
-                        lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """Miles from each point to the union of each resort's lift lines, in
-    UTM 13N metres; a resort without matching lines falls back to its points (G3)."""
-    segs = project_segments(lines)
-    x, y = g.utm_forward(F.col(lat), F.col(lon))
-    has = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    cols = {}
-    for name in codes.RESORT_LIFT_KEYWORDS:
-        if segs.get(name):
-            cols[name] = F.when(has, g.nearest_segment_metres(x, y, segs[name]) * codes.METRES_TO_MILES)
-        else:
-            cols[name] = F.when(has, g.nearest_point_miles(F.col(lat), F.col(lon), codes.RESORT_POINTS[name]))
-    return df.withColumns(cols)
+#: Side of the smallest grid cells in metres; the cells of level k are 2**k times as wide.
+CELL_METRES, LEVELS = 500.0, 21
+#: Longer segments are cut into equal pieces, so that few cells cover each.
+PIECE_METRES = 4000.0
+
+
+def resort_segments(segments: DataFrame) -> DataFrame:
+    """resort, x1, y1, x2, y2 in UTM metres: pieces of the line segments (name, x1, y1, x2, y2 in degrees) that carry
+    one of a resort's name keywords (case-insensitive substring)."""
+    own = [F.when(F.lower("name").rlike("|".join(re.escape(w.lower()) for w in words)), F.lit(resort))
+           for resort, words in codes.RESORT_LIFT_KEYWORDS.items()]
+    named = segments.select(F.explode(F.array_compact(F.array(*own))).alias("resort"), "x1", "y1", "x2", "y2")
+    (xa, ya), (xb, yb) = g.utm_forward(F.col("y1"), F.col("x1")), g.utm_forward(F.col("y2"), F.col("x2"))
+    whole = named.select("resort", xa.alias("xa"), ya.alias("ya"), (xb - xa).alias("dx"), (yb - ya).alias("dy"))
+    n = F.greatest(F.lit(1), F.ceil(F.hypot("dx", "dy") / PIECE_METRES))
+    cut = whole.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+
+    def at(start: str, step: str, k: Column) -> Column:
+        return F.col(start) + F.col(step) * k / F.col("n")
+
+    return cut.select("resort", at("xa", "dx", F.col("k")).alias("x1"), at("ya", "dy", F.col("k")).alias("y1"),
+                      at("xa", "dx", F.col("k") + 1).alias("x2"), at("ya", "dy", F.col("k") + 1).alias("y2"))
+
+
+def segment_cells(segments: DataFrame) -> DataFrame:
+    """The segments with every grid cell (level, cx, cy) that comes within one cell's width of them, at all levels."""
+    wide = segments.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    side = F.lit(CELL_METRES) * F.pow(F.lit(2.0), F.col("level"))
+
+    def cells(a: str, b: str) -> Column:
+        low, high = F.floor(F.least(a, b) / side) - 1, F.floor(F.greatest(a, b) / side) + 1
+        return F.explode(F.sequence(low, high))
+
+    return wide.withColumn("cx", cells("x1", "x2")).withColumn("cy", cells("y1", "y2"))
+
+
+def nearest_segments(points: DataFrame, segments: DataFrame) -> DataFrame:
+    """lat, lon and metres to the nearest segment of each resort, one column each (null: it has none).
+
+    Each resort has an anchor (an end of one of its segments), so a point's nearest segment is no farther than that.
+    The point looks it up in the grid of the first level whose cells are as wide as this bound: a segment within the
+    bound reaches the point's cell or one beside it, and ``segment_cells`` lists it there. One equi join, exact.
+    """
+    anchors = segments.groupBy("resort").agg(F.min(F.struct("x1", "y1")).alias("anchor"))
+    x, y = g.utm_forward(F.col("lat"), F.col("lon"))
+    asked = (points.select("lat", "lon", x.alias("x"), y.alias("y"), F.explode(F.array(*map(F.lit, DIST_COLS))).alias("resort"))
+             .join(anchors, "resort"))
+    bound = F.hypot(F.col("x") - F.col("anchor.x1"), F.col("y") - F.col("anchor.y1")) * (1 + 1e-9)
+    level = F.greatest(F.lit(0), F.ceil(F.log2(bound / CELL_METRES))).cast("int")
+    side = F.lit(CELL_METRES) * F.pow(F.lit(2.0), F.col("level"))
+    asked = (asked.withColumn("level", level).withColumn("cx", F.floor(F.col("x") / side)).withColumn("cy", F.floor(F.col("y") / side))
+             .drop("anchor"))
+    met = asked.join(segment_cells(segments), ["resort", "level", "cx", "cy"])
+    metres = g.segment_metres(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    return met.groupBy("lat", "lon").agg(*(F.min(F.when(F.col("resort") == r, metres)).alias(r) for r in DIST_COLS))
+
+
+def lift_line_distances(df: DataFrame, segments: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Miles from each row's point to the union of each resort's lift lines, in UTM 13N metres; a resort without
+    matching lines falls back to its points (G3). ``segments``: name, x1, y1, x2, y2 in degrees (S11).
+
+    The distances are looked up once per distinct point.
+    """
+    points = df.select(F.col(lat).alias("lat"), F.col(lon).alias("lon")).where("lat IS NOT NULL AND lon IS NOT NULL").distinct()
+    found = nearest_segments(points, resort_segments(segments)).withColumnsRenamed({r: f"_{r}" for r in DIST_COLS})
+    joined = resort_point_distances(df, lat, lon).join(found, (F.col(lat) == F.col("lat")) & (F.col(lon) == F.col("lon")), "left")
+    miles = {r: F.coalesce(F.col(f"_{r}") * codes.METRES_TO_MILES, F.col(r)) for r in DIST_COLS}
+    return joined.withColumns(miles).drop("lat", "lon", *(f"_{r}" for r in DIST_COLS))
 
 
 def nearest_lift(df: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ and transform; nothing row-sized reaches the driver.
 from __future__ import annotations
 
 import datetime as _dt
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import codes, decode
 from ..operators import asof, geo
@@ -24,21 +25,48 @@ CATEGORICAL = ["city", "prop_type"]
 TARGET = "price"
 
 
-def build_features(training: DataFrame, points: DataFrame, macro: dict[str, DataFrame],
-                   global_ffill: bool = False) -> DataFrame:
-    """training rows + coordinates and resort distances (G2, G3, G5; the lift
-    distance is always created) + calendar parts (F2) + as-of macro values (J4,
-    missing series skipped) + fills (F4, F5) + quality ordinals (Q3l).
+def combined_series(series: dict[str, DataFrame | None]) -> DataFrame | None:
+    """Several dated series ``(date, value)`` as one table with a column each; missing ones are skipped."""
+    own = {n: s for n, s in series.items() if s is not None}
+    if not own:
+        return None
+    # a value that is null on its date counts as one: it travels in a struct
+    kind = "struct<value: double>"
+    long = None
+    for name, s in own.items():
+        one = s.select(F.col("date").cast("date").alias("date"),
+                       *[(F.struct(F.col("value").cast("double").alias("value")) if n == name else F.lit(None)).cast(kind).alias(n) for n in own])
+        long = one if long is None else long.unionByName(one)
+    return long.groupBy("date").agg(*[F.max(n).alias(n) for n in own])
+
+
+def asof_macro(df: DataFrame, macro: DataFrame, on: str = "tx_date") -> DataFrame:
+    """J4 for all columns of ``macro`` (date and series; null: no value on that date) by one as-of join: each date
+    carries the last value of every series so far. The window runs over the series' dates, which the calendar bounds."""
+    names = [c for c in macro.columns if c != "date"]
+    so_far = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    filled = macro.where("date IS NOT NULL").select("date", *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in names])
+    joined = asof.asof_join(df, filled, on, "date", names)
+    structs = [c for c in names if isinstance(macro.schema[c].dataType, T.StructType)]
+    return joined.withColumns({c: F.col(f"{c}.value") for c in structs}) if structs else joined
+
+
+def build_features(training: DataFrame, points: DataFrame, macro: dict[str, DataFrame] | DataFrame,
+                   global_ffill: bool = False, lifts: DataFrame | None = None) -> DataFrame:
+    """training rows + coordinates and resort distances (G2, G5; to the lift lines
+    ``lifts``, G4, where given, else to points, G3; the lift distance is always
+    created) + calendar parts (F2) + as-of macro values (J4; a dict of series, missing
+    ones skipped, or one table of them) + fills (F4, F5) + quality ordinals (Q3l).
 
     ``global_ffill`` reproduces the reference's global forward/backward fill in
     date order (F3); by default each column has its own fill policy instead.
     """
-    df = geo.nearest_lift(geo.resort_point_distances(geo.join_coordinates(training, points)))
+    df = geo.join_coordinates(training, points)
+    df = geo.nearest_lift(geo.resort_point_distances(df) if lifts is None else geo.lift_line_distances(df, lifts))
     df = df.withColumns({"year": F.year("tx_date"), "month": F.month("tx_date")})
-    for name, series in macro.items():
-        if series is None:
-            continue
-        df = asof.asof_join(df, series.select("date", F.col("value").alias(name)), "tx_date", "date", [name])
+    macro = combined_series(macro) if isinstance(macro, dict) else macro
+    if macro is not None:
+        df = asof_macro(df, macro)
     if global_ffill:
         cols = [c for c in df.columns if c not in ("schno", "tx_date", "slot")]
         df = asof.global_fill(df, ["tx_date", "schno", "price"], cols)

@@ -230,7 +230,7 @@ for _k, _fn in {
         "schno", "tx_date", "price", "city", "latitude", "longitude", "full_address"),
     "G3": lambda s, d: _parcel_geo(s, d).select("schno", *geo.DIST_COLS),
     "G4": lambda s, d: geo.nearest_lift(geo.lift_line_distances(
-        geo.join_coordinates(fx.parcels(s, d), _points(s, d)), fx.lift_lines())).select(
+        geo.join_coordinates(fx.parcels(s, d), _points(s, d)), fx.lift_segments(fx.parcels(s, d)))).select(
         "schno", *geo.DIST_COLS, "dist_to_lift"),
     "G5": lambda s, d: _parcel_geo(s, d).select("schno", "dist_to_lift"),
     "G6": lambda s, d: geo.geo_export(_parcel_geo(s, d).withColumn("price", F.lit(0))),
@@ -256,12 +256,9 @@ def _training(spark, d):
     return market.training_data(fx.parcels(spark, d))
 
 
-def _macro(spark, d):
-    return {"mortgage_rate": fx.macro(spark, d), "cpi": fx.cpi(spark, d)}
-
-
 def _features(spark, d, global_ffill=False):
-    return features.build_features(_training(spark, d), _points(spark, d), _macro(spark, d), global_ffill)
+    return features.build_features(_training(spark, d), _points(spark, d), fx.macro_series(spark, d), global_ffill,
+                                   fx.lift_segments(fx.parcels(spark, d)))
 
 
 def _model_rows(spark, d):
@@ -278,7 +275,7 @@ def _runs(spark, d):
 
 F1_COLS = ["schno", "tx_date", "price", "beds", "baths", "sfla", "year_blt", "garage_size", "acres", "grade", "cond",
            "scenic_view", "city", "prop_type", "latitude", "longitude", "full_address", *geo.DIST_COLS,
-           "dist_to_lift", "year", "month", "mortgage_rate", "cpi", "grade_numeric", "cond_numeric"]
+           "dist_to_lift", "year", "month", "mortgage_rate", "cpi", "sp500", "county_pop", "grade_numeric", "cond_numeric"]
 Z_COLS = ["sfla", "year_blt", "mortgage_rate", "dist_to_lift"]
 
 

@@ -93,15 +93,6 @@ def lift_segments(lines: DataFrame) -> DataFrame:
                                             F.col("s.1.x").alias("x2"), F.col("s.1.y").alias("y2"))
 
 
-def collect_lines(lines: DataFrame, max_lines: int = 100_000) -> list[tuple[str, list[tuple[float, float]]]]:
-    """The lift network as a literal for the distance expressions. It is a
-    bounded dimension; the bound is checked before anything is collected."""
-    n = lines.count()
-    if n > max_lines:
-        raise ValueError(f"lift network has {n} lines, more than {max_lines}")
-    return [(r["name"], [(c["x"], c["y"]) for c in r["coords"]]) for r in lines.collect()]
-
-
 def write_geojson_lines(path: str, lines: list[tuple[str, list[tuple[float, float]]]]) -> None:
     """Helper for tests and local runs: a small GeoJSON FeatureCollection."""
     os.makedirs(os.path.dirname(path), exist_ok=True)

@@ -263,8 +263,22 @@ def lift_lines() -> list[tuple[str, list[tuple[float, float]]]]:
     return lines
 
 
-def cpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stands for a second monthly macro series ``(date, value)``."""
+def lift_segments(parcels_df: DataFrame) -> DataFrame:
+    """Stands for a lift network as line segments ``(name, x1, y1, x2, y2)`` in degrees: one at every 97th parcel's
+    place, in turn for four resorts (none for the fifth), some without a name or of no resort."""
+    k = _k()
+    lat, lon = F.lit(39.45) + (k * 13 % 200).cast("double") / 1000.0, F.lit(-106.20) + (k * 17 % 330).cast("double") / 1000.0
+    name = F.when(k % 97 == 0, F.concat(_case(k % 4, [(0, "Peak 8"), (1, "river run"), (2, "AMERICAN EAGLE")], "Pallavicini"),
+                                        F.lit(" Lift "), F.col("schno"))).when(k % 97 == 1, F.lit("Scenic Gondola"))
+    return parcels_df.where(k % 97 < 3).select(name.alias("name"), lon.alias("x1"), lat.alias("y1"), (lon + 0.004).alias("x2"), (lat - 0.003).alias("y2"))
+
+
+def macro_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stands for the four macro series, from one aggregate: three monthly ones, the county's population yearly
+    (null where a date has no value)."""
     li = read_table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date"))
-            .agg(F.round(F.avg("l_tax") * 1000, 6).alias("value")))
+    date = F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date")
+    return li.groupBy(date).agg(
+        F.round(F.avg("l_discount") * 100, 6).alias("mortgage_rate"), F.round(F.avg("l_tax") * 1000, 6).alias("cpi"),
+        F.round(F.avg("l_extendedprice") / 100, 6).alias("sp500"), F.count(F.lit(1)).cast("double").alias("n")).select(
+        "date", "mortgage_rate", "cpi", "sp500", F.when(F.month("date") == 1, F.col("n")).alias("county_pop"))

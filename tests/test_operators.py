@@ -84,21 +84,58 @@ def test_utm_distance_agrees_with_haversine_nearby():
     assert abs(planar_miles - sphere_miles) / sphere_miles < 0.005
 
 
-def test_segment_distance_brute_force(spark):
-    segs = [(0.0, 0.0, 10.0, 0.0), (20.0, 5.0, 20.0, 15.0)]
-    pts = [(5.0, 3.0), (-4.0, 0.0), (21.0, 10.0), (15.0, 2.0)]
-
-    def brute(px, py):
-        best = float("inf")
-        for x1, y1, x2, y2 in segs:
-            dx, dy = x2 - x1, y2 - y1
-            t = max(0.0, min(1.0, ((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy)))
-            best = min(best, math.hypot(px - (x1 + t * dx), py - (y1 + t * dy)))
-        return best
-    df = spark.createDataFrame(pts, "x double, y double")
-    got = df.select("x", "y", g.nearest_segment_metres(F.col("x"), F.col("y"), segs).alias("d")).collect()
-    for r in got:
-        assert math.isclose(r.d, brute(r.x, r.y), rel_tol=1e-12)
+def _segment_metres(px, py, x1, y1, x2, y2):
+    dx, dy = x2 - x1, y2 - y1
+    t = max(0.0, min(1.0, ((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+    return math.hypot(px - (x1 + t * dx), py - (y1 + t * dy))
+
+
+def test_nearest_segments_equal_brute_force(spark):
+    """Near and far points, long lines, single points as lines, a resort without lines, and points that repeat."""
+    from terrane.functions import codes
+    from terrane.operators import geo
+
+    rng = random.Random(2)
+    words = {"Peak 8 A": "dist_breck", "the BEAVER RUN": "dist_breck", "River Run": "dist_keystone", "x zuma y": "dist_abasin"}
+    lines = []
+    for _ in range(60):
+        lon, lat = -106.2 + rng.random() * 0.4, 39.4 + rng.random() * 0.3
+        size = rng.choice([0.0, 0.001, 0.01, 0.3])
+        lines.append((rng.choice([*words, "Gondola", None]), lon, lat, lon + rng.uniform(-size, size), lat + rng.uniform(-size, size)))
+    points = [(39.4 + rng.random() * 0.3, -106.2 + rng.random() * 0.4) for _ in range(150)] + [(41.0, -101.0), (35.5, -109.9), (39.5, -106.0)]
+    points += points[:5] + [(None, -106.0), (39.5, None)]
+    segs = spark.createDataFrame(lines, "name string, x1 double, y1 double, x2 double, y2 double")
+    table = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "k int, latitude double, longitude double")
+    got = {r.k: r for r in geo.lift_line_distances(table, segs).collect()}
+    assert len(got) == len(points)
+    flat = [(words.get(n), *g.utm_forward(b, a, g.PY_MATH), *g.utm_forward(d, c, g.PY_MATH)) for n, a, b, c, d in lines]
+    for i, (lat, lon) in enumerate(points):
+        for resort in codes.RESORT_POINTS:
+            own = [q[1:] for q in flat if q[0] == resort]
+            if lat is None or lon is None:
+                want = None
+            elif own:
+                x, y = g.utm_forward(lat, lon, g.PY_MATH)
+                want = min(_segment_metres(x, y, *q) for q in own) * codes.METRES_TO_MILES
+            else:
+                want = min(g.haversine_miles(lat, lon, *p, g.PY_MATH) for p in codes.RESORT_POINTS[resort])
+            assert (got[i][resort] is None) == (want is None)
+            assert want is None or math.isclose(got[i][resort], want, rel_tol=1e-9, abs_tol=1e-9)
+    no_lines = geo.lift_line_distances(table, segs.where("false")).where("k = 0").first()
+    assert no_lines.dist_breck == geo.resort_point_distances(table).where("k = 0").first().dist_breck
+
+
+def test_macro_series_join_once(spark):
+    """Several series by one as-of join: each keeps its own dates, nulls on a date count, missing series are skipped."""
+    from terrane.plans import features
+
+    sales = spark.createDataFrame([(1, "2000-01-15"), (2, "2000-03-01"), (3, None), (4, "1999-01-01")], "k int, tx_date string").withColumn("tx_date", F.col("tx_date").cast("date"))
+    rate = spark.createDataFrame([("2000-01-01", 1.0), ("2000-02-01", None)], "date string, value double")
+    pop = spark.createDataFrame([("1998-01-01", 5.0), ("1998-01-01", 7.0)], "date string, value double")
+    wide = features.combined_series({"rate": rate, "pop": pop, "none": None})
+    got = {r.k: (r.rate, r.pop) for r in features.asof_macro(sales, wide).collect()}
+    assert got == {1: (1.0, 7.0), 2: (None, 7.0), 3: (None, None), 4: (None, 7.0)}
+    assert features.combined_series({"none": None}) is None
 
 
 def test_pearson_p_value_known_values(spark):
