@@ -12,6 +12,8 @@ order of their groups, are the leaves of one more tree, whose last node is the r
 3. Proofs. From the top down, each node takes its parent's path by an equi join on (group, place div ARITY) and puts
    its own siblings in front. A path has at most ARITY - 1 hashes a level, so it grows with the logarithm of a group.
 
+Tables hold digests as 32 bytes; hashes are taken of their lower-case hexadecimal text.
+
 Defined results: a null field is hashed as ``-``; a null group is a group of its own and the first; rows of a null id
 come first in their group and are never tampered with in ``manifest``'s trial; rows of one id in a group are ordered by
 leaf, equal rows are interchangeable; extra columns are ignored; an empty table gives an empty result.
@@ -29,7 +31,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Of ``monotonically_increasing_id``: the place in the partition lies below this bit, the partition's number above.
 PARTITION_BIT = 33
-PATH = "array<struct<before:string,after:string>>"
+PATH = "array<struct<before:binary,after:binary>>"
 
 
 def field(value: Column) -> Column:
@@ -38,8 +40,17 @@ def field(value: Column) -> Column:
     return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
 
 
+def digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def shown(digests: Column) -> Column:
+    """Digests, one after the other, as text."""
+    return F.lower(F.hex(digests))
+
+
 def leaf_hash(values: list[Column]) -> Column:
-    return F.sha2(F.concat(*map(field, values)), 256)
+    return digest(F.concat(*map(field, values)))
 
 
 def placed(scratch: Scratch, rows: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -62,22 +73,23 @@ def placed(scratch: Scratch, rows: DataFrame, order: list[str], name: str) -> Da
 def _with_siblings(level: DataFrame, arity: int) -> DataFrame:
     """g, i, size, h, before, after of every node of a group with more than one node.
 
-    ``before`` and ``after`` are the hashes of the node's siblings on either side, in order.
+    ``before`` and ``after`` are the digests of the node's siblings on either side, in order.
     """
-    nodes = level.where("size > 1").withColumn("slot", F.pmod("i", F.lit(arity)))
+    nodes = level.where("size > 1")
+    slot = F.pmod("i", F.lit(arity))
     shift = F.explode(F.sequence(F.lit(0), F.lit(arity - 1))).alias("j")
-    asked = nodes.select("g", "i", "size", "h", "slot", shift)
-    asked = asked.withColumn("sibling", F.col("i") - F.col("slot") + F.pmod(F.col("slot") + F.col("j"), F.lit(arity))).where("sibling < size")
-    told = nodes.select("g", F.col("i").alias("sibling"), F.col("h").alias("sibling_h"))
-    run = F.sort_array(F.collect_list(F.struct("sibling", "sibling_h")))
-    met = asked.join(told, ["g", "sibling"]).groupBy("g", "i").agg(
-        F.first("size").alias("size"), F.first("h").alias("h"), run.alias("run"))
+    asked = nodes.select("g", "i", "size", shift).withColumn("sibling", F.col("i") - slot + F.pmod(slot + F.col("j"), F.lit(arity)))
+    told = nodes.select("g", F.col("i").alias("sibling"), "h")
+    run = F.sort_array(F.collect_list(F.struct("sibling", "h")))
+    met = (asked.where("sibling < size").select("g", "i", "size", "sibling").join(told, ["g", "sibling"])
+           .groupBy("g", "i").agg(F.first("size").alias("size"), run.alias("run")))
 
-    def beside(kept) -> Column:
-        return F.array_join(F.transform(F.filter("run", kept), lambda s: s["sibling_h"]), "")
+    def joined(kept) -> Column:
+        return F.aggregate(F.filter("run", kept), F.lit(bytearray()), lambda all_, s: F.concat(all_, s["h"]))
 
-    return met.select("g", "i", "size", "h", beside(lambda s: s["sibling"] < F.col("i")).alias("before"),
-                      beside(lambda s: s["sibling"] > F.col("i")).alias("after"))
+    return met.select("g", "i", "size", joined(lambda s: s["sibling"] == F.col("i")).alias("h"),
+                      joined(lambda s: s["sibling"] < F.col("i")).alias("before"),
+                      joined(lambda s: s["sibling"] > F.col("i")).alias("after"))
 
 
 def build_levels(scratch: Scratch, nodes: DataFrame, name: str, arity: int = ARITY) -> list[tuple[DataFrame, DataFrame | None]]:
@@ -94,7 +106,7 @@ def build_levels(scratch: Scratch, nodes: DataFrame, name: str, arity: int = ARI
         met = scratch.write(_with_siblings(level, arity), f"{name}-siblings-{len(levels)}")
         levels.append((level, met))
         parents = met.where(F.pmod("i", F.lit(arity)) == 0).select(
-            "g", F.expr(f"i div {arity}").alias("i"), F.sha2(F.concat("h", "after"), 256).alias("h"),
+            "g", F.expr(f"i div {arity}").alias("i"), digest(shown(F.concat("h", "after"))).alias("h"),
             F.ceil(F.col("size") / arity).alias("size"))
         level = scratch.write(parents, f"{name}-level-{len(levels)}")
 
@@ -124,12 +136,13 @@ def paths(levels: list[tuple[DataFrame, DataFrame | None]], above: DataFrame | N
 
 def folded(leaf: Column, path: Column) -> Column:
     """The root that a leaf and a path lead to."""
-    return F.aggregate(path, leaf, lambda node, s: F.sha2(F.concat(s["before"], node, s["after"]), 256))
+    return F.aggregate(path, leaf, lambda node, s: digest(shown(F.concat(s["before"], node, s["after"]))))
 
 
 def build_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group_col: str = "lang", id_col: str = "doc_id",
                    extra: dict[str, Column] | None = None, arity: int = ARITY) -> DataFrame:
-    """Per row: id, leaf, subroot, root and path (siblings on either side, level by level, up to the root).
+    """Per row: id, leaf, subroot, root and path (siblings on either side, level by level, up to the root); digests
+    as bytes.
 
     ``extra`` adds columns made from the input's (names that the result does not have).
     """
@@ -158,10 +171,12 @@ def build_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group_col:
 
 
 def verified(manifest: DataFrame, leaf: Column) -> DataFrame:
-    """The manifest with proof_sha256, folded_root (from ``leaf`` and the row's path) and whether that is the root."""
-    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["before"], s["after"])), "")
-    return (manifest.withColumn("proof_sha256", F.sha2(siblings, 256)).withColumn("folded_root", folded(leaf, F.col("path")))
-            .withColumn("verified", F.col("folded_root") == F.col("root")))
+    """The manifest with proof_sha256, folded_root (from ``leaf`` and the row's path) and whether that is the root;
+    digests as hexadecimal text."""
+    siblings = F.aggregate("path", F.lit(bytearray()), lambda all_, s: F.concat(all_, s["before"], s["after"]))
+    told = manifest.withColumn("folded_root", folded(leaf, F.col("path")))
+    return (told.withColumn("verified", F.col("folded_root") == F.col("root")).withColumn("proof_sha256", F.sha2(shown(siblings), 256))
+            .withColumns({c: shown(F.col(c)) for c in ("leaf", "subroot", "root", "folded_root")}))
 
 
 def tampering_trial(docs: DataFrame) -> DataFrame:
