@@ -14,11 +14,20 @@ Spark has no public as-of join, so it is composed from public operators:
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, values: list[str],
               by: list[str] | None = None, right_order: str | None = None) -> DataFrame:
     """For each left row, the right row with the greatest ``right_on`` <=
@@ -43,21 +52,37 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, va
     return j.select(*[left[c] for c in left.columns], *[F.col("_got")[v].alias(v) for v in values])
 
 
-def global_fill(df: DataFrame, order: list[str], cols: list[str], partitions: int | None = None) -> DataFrame:
+def _fill_forward(batches: Iterator[pa.RecordBatch], cols: list[str], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Forward fill of ``cols`` in the order of the rows; what is still null then takes the carried value (``_c_``), or
+    the first one of all (``_g_``). Columns: the output's, then these two for each of ``cols``."""
+    last: dict[str, pa.Scalar] = {}
+    for batch in batches:
+        if not len(batch):
+            continue
+        out = {n: batch.column(n) for n in names}
+        for c in cols:
+            carried = batch.column(f"_c_{c}")[0]
+            start = last.get(c, carried if carried.is_valid else batch.column(f"_g_{c}")[0])
+            column = pc.fill_null_forward(out[c])
+            out[c] = pc.fill_null(column, start) if start.is_valid else column
+            last[c] = out[c][-1]
+        yield pa.RecordBatch.from_arrays([out[n] for n in names], names=names)
+
+
+def global_fill(df: DataFrame, order: list[str], cols: list[str]) -> DataFrame:
     """F3 (opt-in): forward fill then backward fill of ``cols`` in the global
     ``order`` (which must end with a unique key).
 
-    Range partitioning balances rows (a hot date is split by the unique key).
-    The carry table has one row per partition: the last non-null value before
-    it (forward fill across partition edges) and the global first non-null
-    value (the backward fill of leading rows).
+    A prefix scan in two phases over one range exchange. Range partitioning balances rows (a hot date is split by
+    the unique key) and each partition is sorted where it lies and written once. Its edges make the carry table, one
+    row per partition: the last non-null value before it (forward fill across partition edges) and the global first
+    non-null value (the backward fill of leading rows). The second phase fills inside the written partitions, in their
+    order, without moving a row.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ordered = F.struct(*[F.col(c) for c in order])
-    p = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
-    # one materialised partitioning for both the edge table and the local fill
+    # one materialised partitioning for both phases
     ensure_checkpoint_dir(df.sparkSession)
-    p = p.checkpoint(eager=True)
+    p = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
     edge = p.groupBy("_p").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordered)).alias(f"_l_{c}") for c in cols],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordered)).alias(f"_f_{c}") for c in cols])
@@ -65,9 +90,7 @@ def global_fill(df: DataFrame, order: list[str], cols: list[str], partitions: in
     whole = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = edge.select("_p", *[F.last(f"_l_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols],
                         *[F.first(f"_f_{c}", ignorenulls=True).over(whole).alias(f"_g_{c}") for c in cols])
-    w = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = p.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c) for c in df.columns],
-                     "_p")
-    j = local.join(F.broadcast(carry), "_p", "left")
-    return j.select(*[F.coalesce(F.col(c), F.col(f"_c_{c}"), F.col(f"_g_{c}")).alias(c) if c in cols else F.col(c)
-                      for c in df.columns])
+    # the broadcast keeps the rows of a partition in their order
+    beside = p.join(F.broadcast(carry), "_p", "left").select(*df.columns, *[f"_{k}_{c}" for c in cols for k in "cg"])
+    names = df.columns
+    return beside.mapInArrow(lambda batches: _fill_forward(batches, cols, names), df.schema)

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from ..functions import codes, decode
 from ..operators import asof, geo
-from ..operators.ordering import global_rank
 from ..operators.quantile import exact_quantiles
 from ..session import ensure_checkpoint_dir
 
@@ -147,13 +146,30 @@ def luxury_weight(price: str = TARGET):
 
 
 def chronological_split(df: DataFrame, order: list[str], train_share: float = 0.8) -> DataFrame:
-    """the first ``floor(n * share)`` rows in ``order`` are train, the rest
-    test (``role`` column). Positions come from ``global_rank`` (no
-    single-partition sort); the row count is one aggregate."""
-    n = df.count()
-    cut = int(n * train_share)
-    ranked = global_rank(df, order, "_pos")
-    return ranked.withColumn("role", F.when(F.col("_pos") < cut, "train").otherwise("test")).drop("_pos")
+    """the first ``floor(n * share)`` rows in ``order`` (a total order, its first column the date) are train, the
+    rest test (``role`` column).
+
+    Rank selection instead of positions: counts per date find the date that the cut falls on, and only that date's
+    rows are sorted, up to the cut, for the last train row. Two values reach the driver; the rows are not moved.
+    """
+    date, rest = order[0], order[1:]
+    counts = df.groupBy(date).agg(F.count(F.lit(1)).alias("_n"))
+    total = Window.partitionBy(F.lit(0))
+    upto = F.sum("_n").over(total.orderBy(date).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_upto", upto).withColumn("_cut", F.floor(F.sum("_n").over(total) * F.lit(train_share)))
+    edge = placed.where((F.col("_upto") > F.col("_cut")) & (F.col("_upto") - F.col("_n") <= F.col("_cut"))).first()
+    if edge is None:  # no rows, or all of them train
+        return df.withColumn("role", F.lit("train"))
+    day = F.lit(edge[date])
+    before = F.col(date).isNull() & day.isNotNull() | F.coalesce(F.col(date) < day, F.lit(False))
+    here, wanted = F.col(date).eqNullSafe(day), int(edge["_cut"] - (edge["_upto"] - edge["_n"]))
+    if wanted and rest:
+        last = (df.where(here).select(*rest).orderBy(*rest).limit(wanted)
+                .agg(F.max(F.struct(*rest)).alias("last")).first()["last"])
+        kind = df.select(F.struct(*rest).alias("s")).schema["s"].dataType.simpleString()
+        edge_value = F.struct(*(F.lit(v).alias(c) for c, v in zip(rest, last, strict=True))).cast(kind)
+        before = before | here & (F.struct(*rest) <= edge_value)
+    return df.withColumn("role", F.when(before, "train").otherwise("test"))
 
 
 def random_split(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80) -> DataFrame:

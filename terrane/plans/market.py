@@ -8,8 +8,9 @@ Year filters compare the text year, as the stored contract does.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes, decode
@@ -106,41 +107,48 @@ def comparable_sales(records: DataFrame, target_city: str, target_type: str, tar
                     (F.col("estimated_price") * F.lit(1.0) / F.col("sfla")).alias("ppsf")))
 
 
-MAX_SUBJECTS = 10_000
+#: Sales are ranked within bands of sizes this much apart; a subject's whole range is about ten bands.
+BAND_RATIO = 1.05
+ANY = "*"
 
 
-def comparable_sales_many(records: DataFrame, subjects: list[dict], as_of: _dt.date | str, months: int = 18,
+def _band(size) -> Column:
+    """Number of the size band; sizes up to 1 share the first."""
+    return F.floor(F.log(F.greatest(size.cast("double"), F.lit(1.0))) / math.log(BAND_RATIO))
+
+
+def comparable_sales_many(records: DataFrame, subjects: DataFrame, as_of: _dt.date | str, months: int = 18,
                           min_price: int = 50000, k: int = 50) -> DataFrame:
-    """A10 for many subjects at once (``subject_id, city, prop_type, sfla``).
+    """A10 for a table of subjects (``subject_id, city, prop_type, sfla``), each with its newest ``k`` sales.
 
-    The subjects are a bounded literal array; each recent sale keeps only the
-    subjects whose town, type and size band it matches, so no join is planned.
-    The newest ``k`` per subject come from ``row_number() <= k``, cut map-side
-    before the shuffle.
+    An equi join on (town, type, size band). A band that lies inside a subject's size range can give it no more than
+    the band's newest ``k`` sales, so only those meet it; the sales of the two bands at the ends of the range are
+    compared one by one. A subject of unknown city or type (no filter) meets the sales under the key for any. The
+    cut to ``k`` per subject is a partial limit before the shuffle. A subject without a size has no sales.
     """
-    if len(subjects) > MAX_SUBJECTS:
-        raise ValueError(f"at most {MAX_SUBJECTS} subjects per call")
     carry = ["sfla", "beds", "bath_tot", "year_blt", "address", "town", "abst1", "abst2"]
-    ev = (sales.sale_events(records, carry)
-          .where((F.col("estimated_price") > min_price)
-                 & (F.col("tx_date") >= F.add_months(F.lit(str(as_of)).cast("date"), -months))))
-    subj = []
-    for i, s in enumerate(subjects):
-        codes_ = _TYPE_CODES.get(s["prop_type"])
-        subj.append(F.struct(F.lit(s.get("subject_id", i)).alias("id"),
-                             F.lit(_CITY_TOWN.get(s["city"])).cast("string").alias("town"),
-                             F.array(*[F.lit(c) for c in (codes_ or [])]).alias("codes"),
-                             F.lit(codes_ is not None).alias("typed"),
-                             F.lit(int(s["sfla"] * 0.75)).alias("lo"), F.lit(int(s["sfla"] * 1.25)).alias("hi")))
-    arr = F.array(*subj)
-    hit = F.filter(arr, lambda t: (t["town"].isNull() | (t["town"] == F.col("town")))
-                   & (~t["typed"] | F.array_contains(t["codes"], F.col("abst1"))
-                      | F.array_contains(t["codes"], F.col("abst2")))
-                   & F.col("sfla").between(t["lo"], t["hi"]))
-    pairs = ev.select("*", F.explode(hit).alias("s"))
-    w = Window.partitionBy("s.id").orderBy(F.col("tx_date").desc(), F.col("schno"), F.col("slot"))
-    return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(F.col("s.id").alias("subject_id"), "rank", "tx_date", F.col("estimated_price").alias("price"),
+    recent = (sales.sale_events(records, carry)
+              .where((F.col("estimated_price") > min_price) & F.col("sfla").isNotNull()
+                     & (F.col("tx_date") >= F.add_months(F.lit(str(as_of)).cast("date"), -months))))
+    types = F.array_compact(F.array(F.lit(ANY), *(F.when(F.col("abst1").isin(v) | F.col("abst2").isin(v), F.lit(t)) for t, v in _TYPE_CODES.items())))
+    towns = F.array_distinct(F.array_compact(F.array(F.lit(ANY), F.when(F.col("town").isin(*_CITY_TOWN.values()), F.col("town")))))
+    keyed = recent.withColumn("_band", _band(F.col("sfla"))).withColumn("_type", F.explode(types)).withColumn("_town", F.explode(towns))
+    newest = [F.col("tx_date").desc(), F.col("schno"), F.col("slot")]
+    band = Window.partitionBy("_town", "_type", "_band").orderBy(*newest)
+    first = keyed.withColumn("_rank", F.row_number().over(band)).where(F.col("_rank") <= k).drop("_rank")
+
+    town = F.coalesce(*(F.when(F.col("city") == c, F.lit(t)) for c, t in _CITY_TOWN.items()), F.lit(ANY))
+    kind = F.when(F.col("prop_type").isin(*_TYPE_CODES), F.col("prop_type")).otherwise(F.lit(ANY))
+    asked = subjects.where(F.col("sfla").isNotNull()).select(
+        "subject_id", town.alias("_town"), kind.alias("_type"), (F.col("sfla") * 0.75).cast("bigint").alias("_lo"), (F.col("sfla") * 1.25).cast("bigint").alias("_hi"))
+    asked = asked.withColumn("_band", F.explode(F.sequence(_band(F.col("_lo")), _band(F.col("_hi")))))
+    end = (F.col("_band") == _band(F.col("_lo"))) | (F.col("_band") == _band(F.col("_hi")))
+    keys = ["_town", "_type", "_band"]
+    found = asked.where(~end).join(first, keys).unionByName(
+        asked.where(end).join(keyed, keys).where(F.col("sfla").between(F.col("_lo"), F.col("_hi"))))
+    own = Window.partitionBy("subject_id").orderBy(*newest)
+    return (found.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
+            .select("subject_id", "rank", "tx_date", F.col("estimated_price").alias("price"),
                     "sfla", "beds", F.col("bath_tot").alias("baths"), "year_blt", "address",
                     (F.col("estimated_price") * F.lit(1.0) / F.col("sfla")).alias("ppsf")))
 

@@ -324,7 +324,9 @@ for _k, _fn in {
     "M12": lambda s, d: evaluate.champions(_runs(s, d)),
     "M12_history": lambda s, d: evaluate.promotion_history(_runs(s, d)),
     "M13": lambda s, d: evaluate.leaderboard(_runs(s, d)),
-    "M17": lambda s, d: whatif.similar_properties(fx.parcels(s, d), whatif.scenario_rows()),
+    "M17": lambda s, d: whatif.similar_properties(fx.parcels(s, d), whatif.scenario_profiles(whatif.scenarios(s))),
+    "M17_parcels": lambda s, d: whatif.similar_properties(
+        fx.parcels(s, d), whatif.parcel_profiles(fx.parcels(s, d)).withColumnRenamed("schno", "subject_id"), leave_out_self=True),
     "M18": lambda s, d: evaluate.error_band(_predictions(s, d)).select(
         "schno", "predicted", "sigma", "low_1s", "high_1s", "low_2s", "high_2s"),
 }.items():
@@ -663,10 +665,15 @@ def exact_quantiles_(m):
     return exact_quantiles(m, ["tx_year"], "estimated_price", {"annual_median": 0.5})
 
 
-COMPS_SUBJECTS = [{"subject_id": i, "city": c, "prop_type": t, "sfla": f}
-                  for i, (c, t, f) in enumerate([("BRECKENRIDGE", "Condo", 2000), ("FRISCO", "Single Family", 1500),
-                                                 ("DILLON", "Townhouse", 3000), ("NOWHERE", "Any", 2500)])]
-REGISTRY["A10_bulk"] = lambda s, d: market.comparable_sales_many(fx.parcels(s, d), COMPS_SUBJECTS, as_of=COMPS_AS_OF)
+def _a10_bulk(spark, d):
+    """Every parcel as a subject: its town's city (or none), type and size."""
+    p = fx.parcels(spark, d)
+    city = F.coalesce(*(F.when(F.col("town") == t, F.lit(c)) for t, c in codes.TOWN_CITY_ML.items()), F.lit("NOWHERE"))
+    subjects = p.select(F.col("schno").alias("subject_id"), city.alias("city"), dec.property_type().alias("prop_type"), "sfla")
+    return market.comparable_sales_many(p, subjects, as_of=COMPS_AS_OF)
+
+
+REGISTRY["A10_bulk"] = _a10_bulk
 
 
 # --- S11: GeoJSON line scan over lines derived from the address points ----------------

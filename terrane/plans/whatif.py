@@ -1,21 +1,17 @@
 """Scenario scoring and comparables.
 
-Subjects (what-if inputs, benchmark scenarios) are a small, bounded set given
-by the caller; candidates are the large parcel table. Subjects are folded into
-each candidate row as a literal array, so no join is planned, and the
-per-subject top-k is ``row_number() <= k``, which Spark cuts map-side (a
-partial WindowGroupLimit) before the shuffle.
+Subjects (what-if inputs, benchmark scenarios, or all parcels) and candidates
+are tables. The per-subject top-k is ``row_number() <= k``, which Spark cuts
+map-side (a partial WindowGroupLimit) before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes, decode
-
-MAX_SUBJECTS = 10_000
-
+from ..session import ensure_checkpoint_dir
 
 def scenario_rows() -> list[dict]:
     """The benchmark scenarios (two archetypes in four towns) with the
@@ -57,45 +53,95 @@ def _record_lift_distance(city_col: str = "city"):
     return F.least(*per)
 
 
-def similar_properties(candidates: DataFrame, subjects: list[dict], k: int = codes.SIMILAR_TOP) -> DataFrame:
-    """Top ``k`` comparable parcels per subject.
+def parcel_profiles(records: DataFrame) -> DataFrame:
+    """schno, town and the values that M17 compares: size, year, beds, baths (defaults for none), the dashboard's
+    type and lift distance."""
+    return records.select(
+        "schno", "town", F.col("sfla").cast("double").alias("sfla"), F.col("year_blt").cast("double").alias("yb"),
+        F.when(F.coalesce(F.col("beds"), F.lit(0)) != 0, F.col("beds")).otherwise(F.lit(codes.SIMILAR_DEFAULT_BEDS))
+        .cast("double").alias("bd"),
+        F.when(F.coalesce(F.col("bath_tot"), F.lit(0)) != 0, F.col("bath_tot"))
+        .otherwise(F.lit(codes.SIMILAR_DEFAULT_BATHS)).cast("double").alias("ba"),
+        decode.property_type_dashboard("abst1").alias("rtype"), _record_lift_distance().alias("dl"))
+
+
+def scenario_profiles(subjects: DataFrame) -> DataFrame:
+    """Subjects with a city (its town, or the dashboard's default) in the columns of ``parcel_profiles``."""
+    town = F.coalesce(*(F.when(F.col("city") == c, F.lit(t)) for c, t in codes.DASHBOARD_TOWN_CODES.items()), F.lit(codes.DASHBOARD_TOWN_DEFAULT))
+    return subjects.select("subject_id", town.alias("town"), F.col("prop_type").alias("rtype"), *(
+        F.col(c).cast("double").alias(n) for c, n in (("sfla", "sfla"), ("year_blt", "yb"), ("beds", "bd"), ("baths", "ba"), ("dist_to_lift", "dl"))))
+
+
+#: Distances up to which each round of the search is complete; from the last one on the similarity is 0.
+RADII = (0.5, 2.0, 5.0, 10.0)
+WIDE = "*"
+
+
+def similar_properties(candidates: DataFrame, subjects: DataFrame, k: int = codes.SIMILAR_TOP,
+                       leave_out_self: bool = False) -> DataFrame:
+    """Top ``k`` comparable parcels per subject (``subject_id`` and the columns of ``parcel_profiles``).
 
     Candidates in the subject's town (price > 10,000) are scored by
     ``50 (type mismatch) + |d sqft|/500 + |d year|/10 + |d beds| + |d baths| +
     |d lift miles|``; similarity is ``max(0, 100 - 10 * distance)``. A subject
     whose town has fewer than 5 candidates is scored against all candidates.
-    Ties keep candidate order (``schno``).
+    Ties keep candidate order (``schno``). ``leave_out_self`` passes over the
+    candidate whose ``schno`` is the subject's id.
+
+    An exact nearest-neighbour join in rounds of growing radius. A round meets subjects and candidates of one town and
+    type in grid cells of twice its radius over size, year and beds; whatever it does not meet differs by more than the
+    radius. So a subject whose ``k``-th distance is below the radius is done, and the others go on. Behind the last
+    radius all similarities are 0, where the least ids count: a few of each town are enough to fill up.
     """
-    if len(subjects) > MAX_SUBJECTS:
-        raise ValueError(f"at most {MAX_SUBJECTS} subjects per call")
-    price = F.coalesce(F.when(decode.estimated_value("docfee1") != 0, decode.estimated_value("docfee1")),
-                       F.col("docfee1"))
-    cand = candidates.where(price > codes.SIMILAR_MIN_PRICE).select(
-        "schno", "town", F.col("sfla").cast("double").alias("sfla"), F.col("year_blt").cast("double").alias("yb"),
-        F.when(F.coalesce(F.col("beds"), F.lit(0)) != 0, F.col("beds")).otherwise(F.lit(codes.SIMILAR_DEFAULT_BEDS))
-        .cast("double").alias("bd"),
-        F.when(F.coalesce(F.col("bath_tot"), F.lit(0)) != 0, F.col("bath_tot"))
-        .otherwise(F.lit(codes.SIMILAR_DEFAULT_BATHS)).cast("double").alias("ba"),
-        decode.property_type_dashboard("abst1").alias("rtype"),
-        _record_lift_distance().alias("rdist"))
-    counts = {r["town"]: r["n"] for r in cand.groupBy("town").agg(F.count(F.lit(1)).alias("n")).collect()}
-    subj = []
-    for i, s in enumerate(subjects):
-        town = codes.DASHBOARD_TOWN_CODES.get(s["city"], codes.DASHBOARD_TOWN_DEFAULT)
-        wide = counts.get(town, 0) < codes.SIMILAR_MIN_SAME_TOWN
-        subj.append(F.struct(F.lit(s.get("subject_id", i)).alias("id"), F.lit(town).alias("town"),
-                             F.lit(wide).alias("wide"), F.lit(s["prop_type"]).alias("ptype"),
-                             F.lit(float(s["sfla"])).alias("sfla"), F.lit(float(s["year_blt"])).alias("yb"),
-                             F.lit(float(s["beds"])).alias("bd"), F.lit(float(s["baths"])).alias("ba"),
-                             F.lit(float(s["dist_to_lift"])).alias("dl")))
-    arr = F.array(*subj)
-    pairs = cand.select("*", F.explode(F.filter(arr, lambda s: s["wide"] | (s["town"] == F.col("town")))).alias("s"))
-    dist = (F.when(F.col("rtype") != F.col("s.ptype"), F.lit(codes.SIMILAR_TYPE_PENALTY)).otherwise(F.lit(0.0))
-            + F.abs(F.col("sfla") - F.col("s.sfla")) / codes.SIMILAR_SQFT_UNIT
-            + F.abs(F.col("yb") - F.col("s.yb")) / codes.SIMILAR_YEAR_UNIT
-            + F.abs(F.col("bd") - F.col("s.bd")) + F.abs(F.col("ba") - F.col("s.ba"))
-            + F.abs(F.col("rdist") - F.col("s.dl")))
-    scored = pairs.select(F.col("s.id").alias("subject_id"), "schno", dist.alias("distance"))
-    scored = scored.withColumn("similarity", F.greatest(F.lit(0.0), F.lit(100.0) - F.col("distance") * 10))
-    w = Window.partitionBy("subject_id").orderBy(F.col("similarity").desc(), F.col("schno").try_cast("bigint"), "schno")
+    spark = candidates.sparkSession
+    ensure_checkpoint_dir(spark)
+    price = F.coalesce(F.when(decode.estimated_value("docfee1") != 0, decode.estimated_value("docfee1")), F.col("docfee1"))
+    cand = parcel_profiles(candidates.where(price > codes.SIMILAR_MIN_PRICE)).checkpoint(eager=True)
+    small = cand.groupBy("town").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= codes.SIMILAR_MIN_SAME_TOWN).select("town", F.lit(True).alias("own"))
+    subj = subjects.join(small, "town", "left").withColumn("area", F.when(F.col("own"), F.col("town")).otherwise(F.lit(WIDE))).drop("own", "town")
+    subj = subj.checkpoint(eager=True)
+    areas = F.array_compact(F.array(F.lit(WIDE), F.concat(F.lit(""), F.col("town"))))
+    held = cand.withColumn("area", F.explode(areas)).drop("town")
+    order = [F.col("schno").try_cast("bigint"), F.col("schno")]
+    other = held.select("area", "schno", *(F.col(c).alias(f"c_{c}") for c in ("rtype", "sfla", "yb", "bd", "ba", "dl")))
+    distance = (F.when(F.col("c_rtype") != F.col("rtype"), F.lit(codes.SIMILAR_TYPE_PENALTY)).otherwise(F.lit(0.0))
+                + F.abs(F.col("c_sfla") - F.col("sfla")) / codes.SIMILAR_SQFT_UNIT + F.abs(F.col("c_yb") - F.col("yb")) / codes.SIMILAR_YEAR_UNIT
+                + F.abs(F.col("c_bd") - F.col("bd")) + F.abs(F.col("c_ba") - F.col("ba")) + F.abs(F.col("c_dl") - F.col("dl")))
+    allowed = ~F.col("schno").eqNullSafe(F.col("subject_id").cast("string")) if leave_out_self else F.lit(True)
+    similarity = F.greatest(F.lit(0.0), F.lit(100.0) - F.col("distance") * 10)  # distances that differ may share one
+    best = Window.partitionBy("subject_id").orderBy(similarity.desc(), *order)
+
+    def near(open_: DataFrame, radius: float) -> DataFrame:
+        """The ``k`` nearest of the candidates that stand in the cells around each open subject."""
+        def cell(value: Column) -> Column:
+            return F.floor(value / (2 * radius))
+
+        def around(value: Column) -> Column:
+            return F.explode(F.sequence(cell(value - radius), cell(value + radius)))
+
+        axes = {"x": ("sfla", codes.SIMILAR_SQFT_UNIT), "y": ("yb", codes.SIMILAR_YEAR_UNIT), "z": ("bd", 1.0)}
+        asked, given = open_, other.withColumnRenamed("c_rtype", "rtype").withColumn("c_rtype", F.col("rtype"))
+        for axis, (column, unit) in axes.items():
+            asked = asked.withColumn(axis, around(F.col(column) / unit))
+            given = given.withColumn(axis, cell(F.col(f"c_{column}") / unit))
+        met = asked.join(given, ["area", "rtype", *axes]).where(allowed).withColumn("distance", distance).where(F.col("distance") < RADII[-1])
+        return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("subject_id", "schno", "distance")
+
+    found, open_ = None, subj
+    for radius in RADII:
+        met = near(open_, radius).checkpoint(eager=True)
+        if radius < RADII[-1]:  # a distance just below the radius may be rounded
+            done = met.where(F.col("distance") < radius * (1 - 1e-9)).groupBy("subject_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+            met = met.join(done, "subject_id", "left_semi")
+            open_ = open_.join(done, "subject_id", "left_anti").checkpoint(eager=True)
+        found = met if found is None else found.unionByName(met)
+        if open_.isEmpty():
+            break
+    # of similarity 0: the least ids of the area; k of them are left when the nearer ones and the subject itself go
+    least = Window.partitionBy("area").orderBy(*order)
+    fill = other.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= 2 * k).drop("rank")
+    far = subj.join(fill, "area").where(allowed).withColumn("distance", distance)
+    far = far.where(F.col("distance").isNull() | (F.col("distance") >= RADII[-1])).select("subject_id", "schno", "distance")
+    scored = found.unionByName(far).withColumn("similarity", similarity)
+    w = Window.partitionBy("subject_id").orderBy(F.col("similarity").desc(), *order)
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

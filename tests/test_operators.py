@@ -70,7 +70,7 @@ def test_global_fill_matches_pandas(spark):
     rnd = random.Random(5)
     rows = [(i, rnd.choice([None, float(i)]) if i > 3 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "k long, v double")
-    got = {r.k: r.v for r in asof.global_fill(df, ["k"], ["v"], partitions=6).collect()}
+    got = {r.k: r.v for r in asof.global_fill(df, ["k"], ["v"]).collect()}
     want = pd.Series([v for _, v in rows]).ffill().bfill().tolist()
     assert [got[k] for k in range(400)] == want
 
@@ -179,3 +179,87 @@ def test_global_rank_after_shuffle_with_wide_rows(spark):
     assert ranks == list(range(len(rows)))
     by_rank = [(r["k"], r["j"]) for r in sorted(rows, key=lambda r: r["rank"])]
     assert by_rank == sorted(by_rank)
+
+
+def test_fill_keeps_types_over_many_partitions(spark):
+    rng = random.Random(8)
+    rows = [(k, rng.choice([None, None, None, k * 2**40]), rng.choice([None, f"s{k}"]) if k > 50 else None, None, dt.date(2000, 1, 1) if k == 70 else None) for k in range(100)]
+    shuffled = rng.sample(rows, len(rows))
+    df = spark.createDataFrame(shuffled, "k int, a long, b string, c double, d date")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        filled = asof.global_fill(df, ["k"], ["a", "b", "c", "d"])
+        got = sorted(tuple(r) for r in filled.select("k", "a", "b", "c", "d").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert filled.schema == df.schema
+    want, last = [], [next((r[j] for r in rows if r[j] is not None), None) for j in range(5)]
+    for r in rows:
+        last = [r[j] if r[j] is not None else last[j] for j in range(5)]
+        want.append(tuple(last))
+    assert [g[:4] for g in got] == [w[:4] for w in want] and {g[4] for g in got} == {dt.date(2000, 1, 1)}
+
+
+def test_chronological_split_selects_by_rank(spark):
+    from terrane.plans import features
+
+    rng = random.Random(3)
+    rows = [(rng.choice([None, dt.date(2000, 1, 1), dt.date(2000, 1, 2), dt.date(2001, 5, 5)]), f"p{k}", rng.choice([None, 1.5, 2.5])) for k in range(60)]
+    df = spark.createDataFrame(rows, "d date, s string, p double")
+    key = lambda r: tuple((x is not None, x) if x is not None else (False, 0) for x in r)
+    ordered = sorted(rows, key=key)
+    for share in (0.0, 0.1, 0.5, 0.8, 1.0):
+        got = {(r.d, r.s, r.p): r.role for r in features.chronological_split(df, ["d", "s", "p"], share).collect()}
+        cut = int(len(rows) * share)
+        assert got == {r: "train" if i < cut else "test" for i, r in enumerate(ordered)}, share
+    assert features.chronological_split(df.where("false"), ["d", "s", "p"]).count() == 0
+
+
+def test_similar_properties_equal_brute_force(spark):
+    """Crowded and sparse towns, a town too small, missing values, ties, and subjects that are candidates themselves."""
+    from terrane.plans import whatif
+
+    rng = random.Random(4)
+    records = [(str(k), rng.choice(["B", "B", "B", "F", "TINY" if k < 3 else "F", None]), rng.choice([500.0, 800.0, 801.0, 5000.0, 60000.0, None]),
+                rng.choice([1950, 1990, 1991, None]), rng.choice([None, 0.0, 2.0, 3.0]), rng.choice([0.0, 1.5]), rng.choice(["1230", "1112", "100", None]),
+                rng.choice(["FRISCO", "DENVER"]), rng.choice([0.0, 20.0, 90000.0])) for k in range(150)]
+    df = spark.createDataFrame(records, "schno string, town string, sfla double, year_blt int, beds double, bath_tot double, abst1 string, city string, docfee1 double")
+    subjects = whatif.parcel_profiles(df).withColumnRenamed("schno", "subject_id")
+    subj = [r.asDict() for r in subjects.collect()]
+    price = {r[0]: r[8] * 10000 if r[8] < 10000 else r[8] for r in records}
+    cand = [s for s in subj if price[s["subject_id"]] > 10000]
+    for leave in (False, True):
+        got = sorted((r.subject_id, r["rank"], r.schno, r.distance, r.similarity) for r in whatif.similar_properties(df, subjects, leave_out_self=leave).collect())
+        want = []
+        for s in subj:
+            own = [c for c in cand if c["town"] == s["town"] and s["town"] is not None]
+            own = own if len(own) >= 5 else cand
+            rows = []
+            for c in own:
+                if leave and c["subject_id"] == s["subject_id"]:
+                    continue
+                parts = [(c[n], s[n], u) for n, u in (("sfla", 500.0), ("yb", 10.0), ("bd", 1.0), ("ba", 1.0), ("dl", 1.0))]
+                dist = None if any(a is None or b is None for a, b, _ in parts) else (50.0 if c["rtype"] != s["rtype"] else 0.0) + sum(abs(a - b) / u for a, b, u in parts)
+                rows.append((-max(0.0, 100.0 - dist * 10) if dist is not None else 0.0, int(c["subject_id"]), dist))
+            want += [(s["subject_id"], k, str(i), dist, -sim) for k, (sim, i, dist) in enumerate(sorted(rows, key=lambda x: x[:2])[:3], 1)]
+        assert [g[:3] for g in got] == [w[:3] for w in sorted(want, key=lambda w: w[:2])]
+        for g, w in zip(got, sorted(want, key=lambda w: w[:2]), strict=True):
+            assert (g[3] is None) == (w[3] is None) and abs(g[4] - w[4]) < 1e-9
+
+
+def test_comparable_sales_of_a_table_of_subjects(spark):
+    """The band join against one subject at a time."""
+    from terrane.plans import market
+    from terrane.sources import fixtures as fx
+
+    p = fx.parcels(spark, "/root/testdata/sf0.001")
+    asked = [("a", "BRECKENRIDGE", "Condo", 2000.0), ("b", "FRISCO", "Single Family", 1500.0), ("c", "NOWHERE", "Any", 2500.0), ("d", "KEYSTONE", None, 3.0),
+             ("e", None, "Townhouse", 400.0), ("f", "DILLON", "Condo", None), ("g", "NOWHERE", "Any", 0.0)]
+    subjects = spark.createDataFrame(asked, "subject_id string, city string, prop_type string, sfla double")
+    got = {}
+    for r in market.comparable_sales_many(p, subjects, "2001-08-01", k=4).orderBy("subject_id", "rank").collect():
+        got.setdefault(r.subject_id, []).append((r.tx_date, r.price, r.sfla, r.address))
+    for i, city, kind, size in asked:
+        one = [] if size is None else market.comparable_sales(p, city, kind, size, "2001-08-01", k=4).collect()
+        assert got.get(i, []) == [(r.tx_date, r.price, r.sfla, r.address) for r in one], i

@@ -52,3 +52,24 @@ def test_asof_joins_on_the_day(spark):
     p = _plan(R.REGISTRY["J4"](spark, SMOKE))
     assert re.search(r"Join \[cast\(tx_date[^\]]*\], \[_found_day[^\]]*\], LeftOuter|Join \[tx_date[^\]]*\], \[_found_day[^\]]*\], LeftOuter", p)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_table_joins_have_no_nested_loops(spark):
+    """Comparable sales and similar properties of all parcels, and lift lines: equi joins only."""
+    from terrane.plans import registry as R
+
+    for key in ("A10_bulk", "M17_parcels", "G4"):
+        p = _plan(R.REGISTRY[key](spark, SMOKE))
+        assert "CartesianProduct" not in p and "NestedLoop" not in p, key
+
+
+def test_split_and_fill_move_rows_at_most_once(spark):
+    from terrane.operators import asof
+    from terrane.plans import features
+
+    df = spark.read.parquet(f"{SMOKE}/lineitem.parquet").select("l_shipdate", "l_orderkey", "l_linenumber", "l_tax")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    assert "Exchange" not in _plan(features.chronological_split(df, order))
+    filled = _plan(asof.global_fill(df, order, ["l_tax"]))  # behind the one range exchange, which is written
+    assert "Exchange rangepartitioning" not in filled and "Window [last(l_tax" not in filled
+    assert not re.search(r"Exchange hashpartitioning\(l_", filled)
