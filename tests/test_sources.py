@@ -170,6 +170,83 @@ def test_page_stream_loses_and_repeats_no_page(spark):
     assert sorted(r[0] for r in got.select(got.columns[0]).collect()) == ["a", "b", "c", "d"]
 
 
+def test_page_stream_costs_its_own_pages(spark):
+    """Ids that have been taken are state of the stream; no table of them is read."""
+    import inspect
+
+    from terrane.streaming import ingest as st
+
+    assert "dropDuplicates" in inspect.getsource(st.stream_page_rows) and "RocksDB" in str(st.STATE_STORE)
+
+
+def _land_batches(spark, root, n, start=0):
+    for k in range(start, start + n):
+        rows = [(str(i), str(100 * k + i), k * 10 + i) for i in range(k, k + 4)] + [(None, "1", 999)]
+        spark.createDataFrame(rows, "schno string, docfee1 string, pos long").coalesce(1).write.parquet(f"{root}/landing", mode="append")
+
+
+def _current(spark, root):
+    from terrane.streaming import ingest as st
+
+    return {r.schno: r.docfee1 for r in st.current_table(spark, root).collect()}
+
+
+def test_log_is_compacted_and_reads_stay_the_same(spark):
+    from terrane.sources import files as fl
+    from terrane.streaming import ingest as st
+
+    root = fl.scratch_path(spark, "compact")
+    schema = "schno string, docfee1 string, pos long"
+    for k in range(7):
+        _land_batches(spark, root, 1, k)
+        st.stream_validated_ingest(spark, f"{root}/landing", schema, root, 2025, every=3)
+        want = {}
+        for b in range(k + 1):
+            want |= {str(i): float(100 * b + i) for i in range(b, b + 4)}
+        assert _current(spark, root) == want
+        assert len(st._folders(spark, f"{root}/log", "batch_id=")) <= 6  # behind the base before the last
+    assert st._bases(spark, root) and max(st._bases(spark, root)) == 5
+    assert st.dead_letters(spark, root).count() == 7
+
+
+@pytest.mark.parametrize("step", ["half", "delete", "replay"])
+def test_a_crash_between_the_steps_of_compaction_loses_nothing(spark, monkeypatch, step):
+    from terrane.sources import files as fl
+    from terrane.streaming import ingest as st
+
+    root = fl.scratch_path(spark, f"crash-{step}")
+    schema = "schno string, docfee1 string, pos long"
+    for k in range(5):
+        _land_batches(spark, root, 1, k)
+        st.stream_validated_ingest(spark, f"{root}/landing", schema, root, 2025, every=2)
+    before = _current(spark, root)
+    assert st._bases(spark, root) == [1, 3]
+    if step == "half":  # the next base is half written: files, no _SUCCESS
+        spark.createDataFrame([("junk", 1.0)], "schno string, docfee1 double").write.parquet(st._base(root, 5))
+        st._delete(spark, f"{st._base(root, 5)}/_SUCCESS")
+        assert _current(spark, root) == before
+    elif step == "delete":
+        def broken(*_):
+            raise OSError("lost")
+        monkeypatch.setattr(st, "_delete", broken)
+        _land_batches(spark, root, 1, 5)
+        with pytest.raises(Exception, match="lost"):
+            st.stream_validated_ingest(spark, f"{root}/landing", schema, root, 2025, every=2)
+        monkeypatch.undo()
+    else:  # the last batch runs again after its base was made
+        rows = spark.read.parquet(f"{root}/landing").where("pos DIV 10 = 4 OR pos = 999")
+        st._write_batch(rows.where("pos < 50"), 4, root, 2025, "pos")
+        st.compact(spark, root, 4, every=1)
+        st._write_batch(rows.where("pos < 50"), 4, root, 2025, "pos")
+        assert not st.compact(spark, root, 4, every=1)
+        assert _current(spark, root) == before
+    if step != "replay":
+        if step == "half":
+            _land_batches(spark, root, 1, 5)
+        st.stream_validated_ingest(spark, f"{root}/landing", schema, root, 2025, every=2)
+        assert _current(spark, root) == before | {str(i): float(500 + i) for i in range(5, 9)}
+
+
 def test_append_run_numbers_after_max(spark):
     from terrane.plans import evaluate
 
