@@ -32,8 +32,11 @@ SELECT CAST(s.pk AS VARCHAR(20)) AS schno,
   CASE s.pk % 6 WHEN 0 THEN '1212' WHEN 1 THEN '1230' WHEN 2 THEN '1231' WHEN 3 THEN '1214' WHEN 4 THEN '100' ELSE NULL END AS abst1,
   CASE s.pk % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2,
   CAST(s.pk % 6 AS DOUBLE) AS beds, CAST(s.pk % 9 AS DOUBLE) / 2.0 AS bath_tot,
-  CAST(NULL AS DOUBLE) AS garage_size, CAST(NULL AS DOUBLE) AS lot_size,
-  CAST(NULL AS VARCHAR) AS grade, CAST(NULL AS VARCHAR) AS cond, CAST(NULL AS INT) AS scenic_view
+  CASE WHEN s.pk % 4 <> 0 THEN CAST(s.pk % 3 * 240 AS DOUBLE) END AS garage_size,
+  CASE WHEN s.pk % 5 <> 0 THEN CAST(s.pk % 16 AS DOUBLE) / 8.0 END AS lot_size,
+  CASE s.pk % 9 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'D' WHEN 4 THEN 'E' WHEN 5 THEN 'F' WHEN 6 THEN 'X' WHEN 7 THEN 'Q' END AS grade,
+  CASE s.pk % 7 WHEN 0 THEN 'B' WHEN 1 THEN 'C' WHEN 2 THEN 'F' WHEN 3 THEN '?' END AS cond,
+  CASE WHEN s.pk % 8 < 6 THEN CAST(s.pk % 2 AS INT) END AS scenic_view
 FROM slots s LEFT JOIN customer c ON c.c_custkey = s.custkey)"""
 
 RAW_TEXT = """

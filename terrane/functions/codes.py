@@ -150,6 +150,8 @@ DELTA_MIN_SHOWN = 100.0
 ERROR_BAND_PRICE_SCALE = 1_500_000.0
 
 # Similar-property score weights.
+# Categories that an explanation compares with.
+REFERENCE_CATEGORIES = {"city": "BRECKENRIDGE", "prop_type": "Single Family"}
 SIMILAR_TYPE_PENALTY = 50.0
 SIMILAR_SQFT_UNIT = 500.0
 SIMILAR_YEAR_UNIT = 10.0

@@ -19,10 +19,11 @@ def metrics(scored: DataFrame, actual: str = "actual", predicted: str = "predict
 
 
 def residual_slices(scored: DataFrame, slices: tuple[str, ...] = ("city", "prop_type"), actual: str = "actual",
-                    predicted: str = "predicted") -> DataFrame:
+                    predicted: str = "predicted", keys: tuple[str, ...] = ()) -> DataFrame:
     """M8: MAE, MAPE and count per value of each slice column, the overall row
-    and the luxury segment (actual > 2,000,000), as ``(slice, value, ...)``."""
-    base = scored.select(*slices, F.col(actual).alias("_a"),
+    and the luxury segment (actual > 2,000,000), as ``(slice, value, ...)``;
+    of each value of ``keys`` apart."""
+    base = scored.select(*keys, *slices, F.col(actual).alias("_a"),
                          F.abs(F.col(predicted) - F.col(actual)).alias("_ae"))
     base = base.withColumn("_pct", F.col("_ae") / F.col("_a") * 100)
 
@@ -31,8 +32,8 @@ def residual_slices(scored: DataFrame, slices: tuple[str, ...] = ("city", "prop_
     # one scan: every row counts in each of its slices
     tags = [tag(s, F.col(s)) for s in slices] + [
         tag("overall", F.lit("all")), F.when(F.col("_a") > codes.LUXURY_PRICE, tag("luxury", F.lit("> 2M")))]
-    return (base.select("_ae", "_pct", F.explode(F.array_compact(F.array(*tags))).alias("_t"))
-            .groupBy("_t.slice", "_t.value")
+    return (base.select(*keys, "_ae", "_pct", F.explode(F.array_compact(F.array(*tags))).alias("_t"))
+            .groupBy(*keys, "_t.slice", "_t.value")
             .agg(F.avg("_ae").alias("mae"), F.avg("_pct").alias("mape"), F.count(F.lit(1)).alias("count")))
 
 
@@ -92,6 +93,12 @@ def error_band(scored: DataFrame, predicted: str = "predicted", mae: float = cod
                                "low_2s": F.col(predicted) - 2 * sigma, "high_2s": F.col(predicted) + 2 * sigma})
 
 
+def model_error_band(scored: DataFrame, runs: DataFrame, model_name: str, predicted: str = "predicted") -> DataFrame:
+    """M18 with the MAE of the model's champion run (M12); the default where it has none."""
+    best = champions(runs).where(F.col("model_name") == model_name).agg(F.max("mae").alias("mae")).first()["mae"]
+    return error_band(scored, predicted, codes.ERROR_BAND_DEFAULT_MAE if best is None else best)
+
+
 def append_run(runs: DataFrame, new_runs: DataFrame) -> DataFrame:
     """M11 ``log_run``: append runs with the next ids (current max + 1, in the
     order of ``new_runs``' ``seq`` column). The run log is small (one row per

@@ -8,17 +8,20 @@ join of rows x grid), and per-row aggregates group by the row id.
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import codes
 from ..operators.ordering import global_rank
 from ..operators.quantile import exact_quantiles
+from ..session import ensure_checkpoint_dir
 from . import evaluate, features
 
 LABEL = "log_price"
@@ -69,58 +72,114 @@ def train_and_score(rows: DataFrame, numeric: list[str], estimator, order: list[
                  ["schno", "tx_date", "city", "prop_type", F.col(features.TARGET).alias("actual")])
 
 
+#: Points that describe the training labels of one leaf.
+LEAF_POINTS = 100
+
+
 def quantile_intervals(train: DataFrame, test: DataFrame, numeric: list[str], q_low: float = 0.1,
                        q_high: float = 0.9, trees: int = 50, depth: int = 8, seed: int = 42) -> DataFrame:
-    """M2: 10%/90% intervals from a quantile regression forest (Meinshausen 2006)
-    in the simplified per-leaf form: each tree's leaf holds the quantiles of the
-    training labels that reach it (exact, bounded per leaf); a row's interval
-    is the mean over trees of its leaves' quantiles, back in price space."""
+    """M2: 10%/90% intervals from a quantile regression forest (Meinshausen 2006).
+
+    A row's conditional distribution gives every tree the same weight, shared by the training labels of the leaf that
+    the row falls into. A leaf's labels are a sketch of ``LEAF_POINTS`` equally likely points (one map-side combined
+    aggregate per (tree, leaf)); a row's distribution is all points of its leaves, and the interval its quantiles, back
+    in price space. What a row gathers is bounded by trees x points. Rows are told apart by number, so equal ones stay
+    apart.
+    """
     model = fit(train, numeric, forest(trees, depth, seed, leaf_col="leaves"))
 
-    def leaves(df, keep):
-        t = model.transform(_prepare(df))
-        return t.select(*keep, F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
-    tl = leaves(train, [LABEL])
-    per_leaf = exact_quantiles(tl, ["tree", "leaf"], LABEL, {"lo": q_low, "hi": q_high})
-    sl = leaves(test, ["schno", "tx_date", F.col(features.TARGET).alias("actual")])
-    j = sl.join(per_leaf, ["tree", "leaf"], "left")
-    return (j.groupBy("schno", "tx_date", "actual")
-            .agg(F.expm1(F.avg("lo")).alias("low"), F.expm1(F.avg("hi")).alias("high")))
+    def leaves(df: DataFrame, *keep) -> DataFrame:
+        return df.select(*keep, F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
+
+    levels = [(k + 0.5) / LEAF_POINTS for k in range(LEAF_POINTS)]
+    points = leaves(model.transform(_prepare(train)), LABEL).groupBy("tree", "leaf").agg(
+        F.percentile_approx(LABEL, levels, 10 * LEAF_POINTS).alias("points"))
+    ensure_checkpoint_dir(train.sparkSession)
+    rows = (model.transform(_prepare(test)).select("schno", "tx_date", F.col(features.TARGET).alias("actual"), "leaves")
+            .withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True))
+    pooled = (leaves(rows, "_row").join(points, ["tree", "leaf"]).groupBy("_row")
+              .agg(F.array_sort(F.flatten(F.collect_list("points"))).alias("pool")))
+
+    def quantile(q: float):
+        return F.expm1(F.element_at("pool", F.greatest(F.lit(1), F.ceil(F.size("pool") * q)).cast("int")))
+
+    return rows.join(pooled, "_row").select("schno", "tx_date", "actual", quantile(q_low).alias("low"), quantile(q_high).alias("high"))
 
 
-def r2_of(scored: DataFrame) -> float:
-    return evaluate.metrics(scored).first()["r2"]
+def raw_price_forest(numeric: list[str], trees: int = 50, depth: int = 10, seed: int = 42) -> Pipeline:
+    """A forest on the price itself over numeric features (missing: 0)."""
+    asm = VectorAssembler(inputCols=numeric, outputCol="features")
+    return Pipeline(stages=[asm, RandomForestRegressor(labelCol=features.TARGET, numTrees=trees, maxDepth=depth, seed=seed)])
 
 
-def permutation_importance(model: PipelineModel, rows: DataFrame, numeric: list[str], repeats: int = 5,
-                           seed: int = 42) -> DataFrame:
-    """M3: drop in R^2 when one feature's values are shuffled across rows.
+def zero_filled(rows: DataFrame, numeric: list[str], *keep: str) -> DataFrame:
+    return rows.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numeric],
+                       F.col(features.TARGET).cast("double").alias(features.TARGET))
 
-    A shuffle pairs each row's position (``global_rank`` on its key) with the
-    position of a seeded random order, so the permuted column is a plain equi
-    join on positions; no row set is collected.
+
+def permuted(position: Column, n: int, key: Column) -> Column:
+    """A keyed permutation of 0 .. n - 1 as an expression: no shuffle, no order, the same for any partitioning.
+
+    A Feistel network over pairs (left, right) with left < a and right < b, a * b being just above n: in turn each half
+    moves by a hash of the other. A value of n or more (at most one in the square root of n) is sent on until it is
+    below n, which its cycle reaches.
     """
-    base = global_rank(rows, ["schno", "tx_date", features.TARGET], "_pos").cache()
-    try:
-        ref = r2_of(score(model, base, [F.col(features.TARGET).alias("actual")]))
-        out = []
-        for f in numeric:
-            drops = []
-            for rep in range(repeats):
-                perm = global_rank(base.select("_pos", f).withColumn("_r", F.rand(seed + rep)), ["_r", "_pos"],
-                                   "_pos2").select(F.col("_pos2").alias("_pos"), F.col(f).alias("_v"))
-                shuffled = base.drop(f).join(perm, "_pos").withColumnRenamed("_v", f)
-                drops.append(ref - r2_of(score(model, shuffled, [F.col(features.TARGET).alias("actual")])))
-            mean = sum(drops) / len(drops)
-            std = (sum((d - mean) ** 2 for d in drops) / len(drops)) ** 0.5
-            out.append((f, float(mean), float(std)))
-        return rows.sparkSession.createDataFrame(out, "feature string, importance double, std double")
-    finally:
-        base.unpersist()
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    b = max(1, -(-n // a))
+
+    def mixed(value: Column) -> Column:
+        left, right = F.floor(value / b), F.pmod(value, F.lit(b))
+        for turn in range(4):
+            if turn % 2:
+                right = F.pmod(right + F.pmod(F.xxhash64(left, key, F.lit(turn)), F.lit(b)), F.lit(b))
+            else:
+                left = F.pmod(left + F.pmod(F.xxhash64(right, key, F.lit(turn)), F.lit(a)), F.lit(a))
+        return left * b + right
+
+    # a walk passes each value of n or more at most once; long ones are rare beyond all n
+    walk = F.sequence(F.lit(1), F.lit(max(1, min(a * b - n, 40))))
+    return F.aggregate(walk, mixed(position.cast("bigint")), lambda x, _: F.when(x < n, x).otherwise(mixed(x)))
+
+
+def permutation_drops(model, base: DataFrame, numeric: list[str], repeats: int = 5, seed: int = 42) -> DataFrame:
+    """feature, repeat, drop: loss of R^2 when one feature takes the values of other rows. ``base`` has ``_pos``,
+    0 .. n - 1.
+
+    Per repeat every row has one donor, the row at its permuted position, met by one equi join; then each row is
+    exploded over the features, of which one takes the donor's value. All features and repeats are scored in one pass.
+    """
+    n = base.count()
+    donors = base.select(F.col("_pos").alias("_donor"), F.struct(*numeric).alias("_from"))
+    asked = base.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    asked = asked.withColumn("_donor", permuted(F.col("_pos"), n, F.xxhash64("_repeat", F.lit(seed))))
+    own = base.withColumn("_repeat", F.lit(-1)).withColumn("_feature", F.lit(None).cast("string"))
+    variants = asked.join(donors, "_donor").withColumn("_feature", F.explode(F.array(*map(F.lit, numeric))))
+    variants = variants.withColumns({c: F.when(F.col("_feature") == c, F.col(f"_from.{c}")).otherwise(F.col(c)) for c in numeric})
+    error = F.col("prediction") - F.col(features.TARGET)
+    scored = model.transform(variants.select(*own.columns).unionByName(own))
+    fits = scored.groupBy("_feature", "_repeat").agg((1 - F.sum(error * error) / (F.count(F.lit(1)) * F.var_pop(features.TARGET))).alias("r2"))
+    whole = Window.partitionBy(F.lit(0))  # one row per feature and repeat
+    reference = F.max(F.when(F.col("_feature").isNull(), F.col("r2"))).over(whole)
+    return (fits.withColumn("drop", reference - F.col("r2")).where("_feature IS NOT NULL")
+            .select(F.col("_feature").alias("feature"), F.col("_repeat").alias("repeat"), "drop"))
+
+
+def permutation_importance(rows: DataFrame, numeric: list[str], order: list[str], repeats: int = 5, trees: int = 50,
+                           depth: int = 10, seed: int = 42) -> DataFrame:
+    """M3: mean and standard deviation over the repeats of the drop in R^2 of a forest on the raw price, fitted and
+    measured on the same rows, and the feature's correlation with the price. ``order`` is a total order of the rows."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    base = global_rank(zero_filled(rows, numeric, *[c for c in order if c != features.TARGET and c not in numeric]), order, "_pos")
+    base = base.select("_pos", *numeric, features.TARGET).checkpoint(eager=True)
+    model = raw_price_forest(numeric, trees, depth, seed).fit(base)
+    drops = permutation_drops(model, base, numeric, repeats, seed).groupBy("feature").agg(
+        F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
+    raw = [F.struct(F.lit(c).alias("feature"), F.corr(F.col(c).cast("double"), F.col(features.TARGET).cast("double")).alias("correlation")) for c in numeric]
+    return drops.join(rows.agg(F.array(*raw).alias("c")).select(F.inline("c")), "feature")
 
 
 def partial_dependence(model: PipelineModel, rows: DataFrame, feature: str, resolution: int = 50,
-                       lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+                       lo: float = 0.05, hi: float = 0.95, in_logs: bool = True) -> DataFrame:
     """M4: average prediction over the rows with ``feature`` set to each grid
     value: ``resolution`` points between the 5th and 95th percentiles, or the
     distinct values when there are fewer. Each row is exploded over the grid
@@ -133,10 +192,21 @@ def partial_dependence(model: PipelineModel, rows: DataFrame, feature: str, reso
         grid = [q["a"] + (q["b"] - q["a"]) * i / (resolution - 1) for i in range(resolution)]
     g = F.array(*[F.lit(float(v)) for v in grid])
     exploded = rows.drop(feature).select("*", F.explode(g).alias(feature))
-    scored = score(model, exploded, [feature])
+    scored = score(model, exploded, [feature]) if in_logs else model.transform(exploded).select(feature, F.col("prediction").alias("predicted"))
     return scored.groupBy(F.col(feature).alias("value")).agg(F.avg("predicted").alias("average_prediction"))
 
 
+def filtered_dependence(rows: DataFrame, feature: str, numeric: list[str], resolution: int = 50, trees: int = 50,
+                        depth: int = 10, seed: int = 42) -> DataFrame:
+    """M4 as the reference computes it: a forest on the raw price over the rows that the feature's IQR filter
+    keeps, and its average prediction over those rows."""
+    kept = zero_filled(features.iqr_filter(rows, feature), numeric)
+    ensure_checkpoint_dir(rows.sparkSession)
+    kept = kept.checkpoint(eager=True)
+    model = raw_price_forest(numeric, trees, depth, seed).fit(kept)
+    return partial_dependence(model, kept, feature, resolution, in_logs=False)
+
+
 def shapley_importance(model: PipelineModel, rows: DataFrame, background: DataFrame, numeric: list[str],
                        permutations: int = 8, sample_fraction: float = 1.0, seed: int = 42, top: int = 15) -> DataFrame:
     """M5: mean |attribution| per feature by sampling Shapley values (Strumbelj &
@@ -167,28 +237,32 @@ def shapley_importance(model: PipelineModel, rows: DataFrame, background: DataFr
     return imp.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 
-def backtest(rows: DataFrame, numeric: list[str], estimator_factory, test_months: int = 6, n_folds: int = 3
-             ) -> DataFrame:
-    """M9: walk-forward backtest over the F12 folds: fit per fold on its train
-    rows, score its test rows; MAE and R^2 per fold, and their mean in a row
-    without a fold."""
-    tagged = features.temporal_folds(rows, test_months=test_months, n_folds=n_folds).cache()
-    try:
-        folds = sorted(r[0] for r in tagged.select("fold").distinct().collect())
-        parts = []
-        for f in folds:
-            tr = tagged.where((F.col("fold") == f) & (F.col("role") == "train")).drop("fold", "role")
-            te = tagged.where((F.col("fold") == f) & (F.col("role") == "test")).drop("fold", "role")
-            m = fit(tr, numeric, estimator_factory())
-            s = score(m, te, [F.col(features.TARGET).alias("actual")])
-            parts.append(evaluate.metrics(s).withColumn("fold", F.lit(f)).first())
-        spark = rows.sparkSession
-        rows_ = [(int(p["fold"]), int(p["n"]), float(p["mae"]), float(p["r2"])) for p in parts]
-        if rows_:  # the mean over the folds has no fold number
-            rows_.append((None, sum(r[1] for r in rows_), *(sum(r[k] for r in rows_) / len(rows_) for k in (2, 3))))
-        return spark.createDataFrame(rows_, "fold int, n long, mae double, r2 double")
-    finally:
-        tagged.unpersist()
+def backtest_scores(rows: DataFrame, numeric: list[str], estimator_factory, test_months: int = 6, n_folds: int = 3) -> DataFrame:
+    """M9: walk-forward backtest over the F12 folds: a model per fold, fitted on its train rows; the scored test rows
+    of all folds (fold, city, prop_type, actual, predicted)."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    tagged = features.temporal_folds(rows, test_months=test_months, n_folds=n_folds).checkpoint(eager=True)
+    scored = None
+    for f in sorted(r[0] for r in tagged.select("fold").distinct().collect()):  # n_folds at most
+        own = tagged.where(F.col("fold") == f)
+        model = fit(own.where("role = 'train'").drop("fold", "role"), numeric, estimator_factory())
+        part = score(model, own.where("role = 'test'").drop("role"), ["fold", *features.CATEGORICAL, F.col(features.TARGET).alias("actual")])
+        scored = part if scored is None else scored.unionByName(part)
+    if scored is None:
+        return tagged.select("fold", *features.CATEGORICAL, F.col(features.TARGET).alias("actual"), F.lit(None).cast("double").alias("predicted"))
+    return scored.checkpoint(eager=True)
+
+
+def backtest(scored: DataFrame) -> DataFrame:
+    """M9: MAE and R^2 per fold, and their mean in a row without a fold."""
+    folds = evaluate.metrics(scored, keys=["fold"]).select("fold", "n", "mae", "r2")
+    mean = folds.agg(F.lit(None).cast("int").alias("fold"), F.sum("n").alias("n"), F.avg("mae").alias("mae"), F.avg("r2").alias("r2"))
+    return folds.unionByName(mean.where("n IS NOT NULL"))
+
+
+def backtest_slices(scored: DataFrame) -> DataFrame:
+    """M9: residual slices (M8) of each fold."""
+    return evaluate.residual_slices(scored, keys=("fold",))
 
 
 def parameter_sweep(rows: DataFrame, numeric: list[str], grid: list[dict], order: list[str]) -> DataFrame:
@@ -237,17 +311,20 @@ def sensitivity(model: PipelineModel, subjects: DataFrame, feature: str, values:
 
 
 def baseline_deltas(model: PipelineModel, subjects: DataFrame, numeric: list[str], means: dict[str, float],
-                    key: str = "subject_id", min_abs: float = 1.0, top: int = 10) -> DataFrame:
+                    categories: dict[str, str] | None = None, key: str = "subject_id", min_abs: float = 1.0,
+                    min_abs_category: float = 100.0, top: int = 10) -> DataFrame:
     """For each feature, the price change when it is replaced by its
-    training mean; changes of at most ``min_abs`` are dropped, the ``top``
-    largest shown. One explode over the feature list, one scoring."""
-    variants = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in numeric])
+    training mean, or by its reference category (``categories``); changes of at most ``min_abs`` (for categories
+    ``min_abs_category``) are dropped, the ``top`` largest shown. One explode over the feature list, one scoring."""
+    categories = codes.REFERENCE_CATEGORIES if categories is None else categories
+    variants = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in (*numeric, *categories)])
     ex = subjects.select("*", F.explode(variants).alias("_feat"))
-    ex = ex.withColumns({c: F.when(F.col("_feat") == c, F.lit(float(means[c]))).otherwise(F.col(c)) for c in numeric})
+    base_values = {**{c: F.lit(float(means[c])) for c in numeric}, **{c: F.lit(v) for c, v in categories.items()}}
+    ex = ex.withColumns({c: F.when(F.col("_feat") == c, v).otherwise(F.col(c)) for c, v in base_values.items()})
     sc = score(model, ex, [key, "_feat"])
     base = sc.where(F.col("_feat").isNull()).select(key, F.col("predicted").alias("_base"))
     d = (sc.where(F.col("_feat").isNotNull()).join(base, key)
          .select(key, F.col("_feat").alias("feature"), (F.col("_base") - F.col("predicted")).alias("impact")))
-    d = d.where(F.abs("impact") > min_abs)
+    d = d.where(F.abs("impact") > F.when(F.col("feature").isin(*categories), min_abs_category).otherwise(min_abs))
     w = Window.partitionBy(key).orderBy(F.abs("impact").desc(), "feature")
-    return (d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top))
+    return d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)

@@ -506,16 +506,21 @@ def _subjects(spark):
     return sc.withColumn("city", F.when(F.col("city") == "COPPER MOUNTAIN", "COPPERMOUNTAIN").otherwise(F.col("city")))
 
 
+# the numeric features that the importance and dependence analyses look at
+ANALYSED = ["sfla", "year_blt", "beds", "baths", "garage_size", "acres", "mortgage_rate", "cpi", "sp500", "county_pop", "dist_to_lift"]
+
+
 def _m3(s, d):
-    rows, train, _ = _split_models(s, d)
-    m = models.fit(train, _numeric(rows), models.forest(trees=10, depth=5))
-    return models.permutation_importance(m, rows, _numeric(rows), repeats=2)
+    return models.permutation_importance(_features(s, d), ANALYSED, SPLIT_ORDER)
 
 
 def _m4(s, d):
-    rows, train, _ = _split_models(s, d)
-    m = models.fit(train, _numeric(rows), models.forest(trees=10, depth=5))
-    return models.partial_dependence(m, rows, "sfla")
+    return models.filtered_dependence(_features(s, d), "sfla", ANALYSED)
+
+
+def _backtest(s, d):
+    rows = _model_rows(s, d)
+    return models.backtest_scores(rows, _numeric(rows), lambda: models.gbt(max_iter=10, step=0.1, depth=4))
 
 
 def _m5(s, d):
@@ -549,13 +554,12 @@ def _m16(s, d):
 for _k, _fn in {
     "M1": lambda s, d: (lambda r: models.train_and_score(r, _numeric(r), _small_gbt(), SPLIT_ORDER))(
         _model_rows(s, d)),
-    "M2": lambda s, d: (lambda r: models.quantile_intervals(r[1], r[2], _numeric(r[0]), trees=10, depth=5))(
-        _split_models(s, d)),
+    "M2": lambda s, d: (lambda r: models.quantile_intervals(r[1], r[2], _numeric(r[0])))(_split_models(s, d)),
     "M3": _m3,
     "M4": _m4,
     "M5": _m5,
-    "M9": lambda s, d: (lambda r: models.backtest(r, _numeric(r), lambda: models.gbt(max_iter=10, step=0.1, depth=4)))(
-        _model_rows(s, d)),
+    "M9": lambda s, d: models.backtest(_backtest(s, d)),
+    "M9_slices": lambda s, d: models.backtest_slices(_backtest(s, d)),
     "M10": lambda s, d: (lambda r: models.parameter_sweep(
         r, _numeric(r), [{"maxIter": 10, "maxDepth": 3}, {"maxIter": 20, "maxDepth": 4}, {"maxIter": 20, "maxDepth": 5}],
         SPLIT_ORDER))(_model_rows(s, d)),
@@ -701,3 +705,27 @@ def _s11(spark, d):
 
 
 REGISTRY["S11"] = _s11
+
+
+# --- planned analyses: drift, coverage, size curve, holding periods, cohorts, luxury tail ----
+
+from . import monitor  # noqa: E402
+
+DRIFT_COLS = ["sfla", "price", "mortgage_rate", "dist_to_lift"]
+
+
+def _drift(spark, d):
+    """The test share of the chronological split against its train share."""
+    rows = features.chronological_split(_model_rows(spark, d), SPLIT_ORDER)
+    return monitor.drift(rows.where("role = 'train'"), rows.where("role = 'test'"), DRIFT_COLS)
+
+
+for _k, _fn in {
+    "P_drift": _drift,
+    "P_coverage": lambda s, d: monitor.coverage(fx.parcels(s, d), ["sfla", "town", "abst1", "abst2", "garage_size", "lot_size", "grade", "units", "zip_code"]),
+    "P_size_curve": lambda s, d: monitor.size_curve(_metrics(s, d)),
+    "P_holding": lambda s, d: monitor.holding_periods(_metrics(s, d)),
+    "P_cohorts": lambda s, d: monitor.cohort_appreciation(_metrics(s, d)),
+    "P_tail": lambda s, d: monitor.luxury_tail(_metrics(s, d)),
+}.items():
+    REGISTRY[_k] = _fn

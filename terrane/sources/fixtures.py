@@ -69,7 +69,13 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN 4 THEN '100' ELSE NULL END AS abst1",
         "CASE pk % 10 WHEN 0 THEN '1212' WHEN 1 THEN '0' ELSE NULL END AS abst2",
         "CAST(pk % 6 AS DOUBLE) AS beds",
-        "CAST(pk % 9 AS DOUBLE) / 2.0 AS bath_tot")
+        "CAST(pk % 9 AS DOUBLE) / 2.0 AS bath_tot",
+        "CASE WHEN pk % 4 <> 0 THEN CAST(pk % 3 * 240 AS DOUBLE) END AS garage_size",
+        "CASE WHEN pk % 5 <> 0 THEN CAST(pk % 16 AS DOUBLE) / 8.0 END AS lot_size",
+        "CASE pk % 9 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'D' WHEN 4 THEN 'E' WHEN 5 THEN 'F' WHEN 6 THEN 'X' "
+        "WHEN 7 THEN 'Q' END AS grade",
+        "CASE pk % 7 WHEN 0 THEN 'B' WHEN 1 THEN 'C' WHEN 2 THEN 'F' WHEN 3 THEN '?' END AS cond",
+        "CASE WHEN pk % 8 < 6 THEN CAST(pk % 2 AS INT) END AS scenic_view")
     return conform_records(df)
 
 
