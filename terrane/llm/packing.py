@@ -191,6 +191,9 @@ def _pack_shards(pieces: DataFrame, n_shards: int, capacity: int, loose: float,
     """One packing per shard; ``filled`` tells how much of the piece's sequence is in use."""
     names = [f.name for f in pieces.schema.fields]
     shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(salt)), F.lit(n_shards))
+    id_type = pieces.schema["doc_id"].dataType
+    # ids travel as text: pandas turns a column of integers with a null into floats
+    dealt = pieces.withColumn("_shard", shard).withColumn("doc_id", F.col("doc_id").cast("string"))
 
     def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "doc_id", "piece", "ids_crc32"], ignore_index=True)
@@ -200,9 +203,9 @@ def _pack_shards(pieces: DataFrame, n_shards: int, capacity: int, loose: float,
         return part[names].assign(sequence_id=sequence * n_shards + int(key[0]), offset=offset,
                                   loose=filled < capacity * (1 - loose))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return pieces.withColumn("_shard", shard).groupBy("_shard").applyInPandas(
-        pack, f"{schema}, sequence_id long, offset long, loose boolean")
+    schema = ", ".join(f"`{f.name}` {'string' if f.name == 'doc_id' else f.dataType.simpleString()}" for f in pieces.schema.fields)
+    packed = dealt.groupBy("_shard").applyInPandas(pack, f"{schema}, sequence_id long, offset long, loose boolean")
+    return packed.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
 def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY,
