@@ -11,6 +11,7 @@ extra columns are ignored; an empty table gives an empty result. Texts are scann
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -191,9 +192,17 @@ class Scanner:
                     found += [(-rule.priority, m.start() - m.end(), m.start(), m.end(), rule.label, rule.score)
                               for m in pattern.finditer(low)]
         kept: list[tuple[int, int, str, float]] = []
+        # kept spans that no other kept span contains: both starts and ends ascend
+        starts: list[int] = []
+        ends: list[int] = []
         for _, _, start, end, label, score in sorted(found):
-            if not any(a <= start and end <= b for a, b, _, _ in kept):
-                kept.append((start, end, label, score))
+            at = bisect.bisect_right(starts, start)
+            if at and ends[at - 1] >= end:
+                continue
+            kept.append((start, end, label, score))
+            first = at - (at > 0 and starts[at - 1] == start)
+            last = bisect.bisect_right(ends, end)
+            starts[first:max(first, last)], ends[first:max(first, last)] = [start], [end]
         return sorted(kept)
 
 
