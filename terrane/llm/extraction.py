@@ -102,6 +102,15 @@ class Page:
         # open elements: tag, signature of the words inside, whether inside a block that is no part of an article, home
         top = ("", slot("w@"), False, 0)
         stack = [top]
+        # where each open tag stands in the stack, and for each element the open <p> that it may be closed with (0: none)
+        places: dict[str, list[int]] = {}
+        paragraph = [0]
+
+        def cut(depth: int) -> None:
+            for name, *_ in stack[depth:]:
+                places[name].pop()
+            del stack[depth:], paragraph[depth:]
+
         known: dict[tuple[str, str], tuple[int, int, bool]] = {}
         block = 0
         for m in TOKEN.finditer(source):
@@ -116,18 +125,12 @@ class Page:
             if tag not in INLINE:
                 block += 1
             if m["close"]:
-                depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-                if depth:
-                    del stack[depth:]
+                if places.get(tag):
+                    cut(places[tag][-1])
                 self._add(slot("/" + tag), None, 0, block, stack[-1][2], stack[-1][3])
                 continue
-            if tag in CLOSES_P:  # an open <p> in this container ends here, with what is open inside it
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == "p":
-                        del stack[k:]
-                        break
-                    if stack[k][0] not in INLINE:
-                        break
+            if tag in CLOSES_P and paragraph[-1]:  # an open <p> in this container ends here, with what is open inside it
+                cut(paragraph[-1])
             attrs = m["attrs"]
             found = known.get((tag, attrs))
             if found is None:
@@ -148,6 +151,8 @@ class Page:
             plain = tag in INLINE - {"a"} or tag in ("p", "br", "h1", "h2", "h3", "h4", "h5", "h6")
             stack.append((tag, parent_words if plain else words_at,
                           out or not container and (tag in OUTSIDE or named_out or tag == "header" and not home), home))
+            places.setdefault(tag, []).append(len(stack) - 1)
+            paragraph.append(len(stack) - 1 if tag == "p" else paragraph[-1] if tag in INLINE else 0)
 
     def labelled(self) -> list[bool] | None:
         """Inside or outside for each token, if the page has exactly one <article>, or none and one <main>."""
