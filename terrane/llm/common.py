@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -23,14 +26,35 @@ def by_value(module_name: str) -> None:
 
 
 def worker_state(name: str, make: Callable):
-    """One object per Python worker process, kept from task to task (token caches, automata).
+    """One object per Python worker process, kept from task to task (a token cache, an automaton).
 
-    Functions shipped by value get new globals in each task; this registry lives in ``sys.modules``.
+    Functions shipped by value get new globals in each task; this registry lives in ``sys.modules``. It holds one
+    object: workers outlive jobs, so what another operator left behind goes first.
     """
     home = sys.modules.setdefault("_terrane_worker_state", types.ModuleType("_terrane_worker_state"))
-    if not hasattr(home, name):
-        setattr(home, name, make())
-    return getattr(home, name)
+    if getattr(home, "name", None) != name:
+        home.name, home.value = None, None
+        release_memory()
+        home.name, home.value = name, make()
+    return home.value
+
+
+def release_memory() -> None:
+    """Returns what this process has freed to the system; allocators keep it otherwise, in every worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+#: A side of a join is broadcast up to so many entries (ids, hashes, words or names, below 100 bytes each).
+BROADCAST_ENTRIES = 1_000_000
+
+
+def beside(rows: DataFrame, entries: int) -> DataFrame:
+    """``rows`` as the side of a join that is broadcast while its size, which the caller has counted, is below the
+    bound; beyond it both sides are dealt by the key."""
+    return F.broadcast(rows) if entries <= BROADCAST_ENTRIES else rows
 
 
 class Scratch:
