@@ -13,7 +13,8 @@ n_ct of n_t texts have c with a probability of at most exp(-n_t * KL(n_ct / n_t,
 ``ALPHA`` divided by the number of pairs judged (recurring entities times the terms of their texts). Every occurrence
 of such a term is acted on, in all documents: above ``REMOVE`` it is removed, above ``GENERALISE`` replaced by its class.
 
-The counts are taken in steps that keep data small: entities of at least two texts (one text estimates nothing), pairs
+What counting needs of a text (its hash, entities and distinct words) is written once, so the patterns run twice over
+a text, there and for the result. The counts are taken in steps that keep data small: entities of at least two texts (one text estimates nothing), pairs
 that could pass if their term stood nowhere else, then text counts of those terms alone. Each count is a map-side
 combined aggregate of per-document distinct values; each of k equal texts counts 1 / k.
 
@@ -28,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, row_id
+from terrane.llm.common import Scratch, beside, row_id
 from terrane.llm.spans import NO_SPANS, in_order, merged, no_spans, pattern_spans, replaced
 
 KINDS = ("email", "ip", "card", "phone")
@@ -106,40 +107,40 @@ def _words(text: Column, base: Column) -> Column:
     return F.regexp_extract_all(_plain(text, base), F.lit(TERM_PATTERN), 0)
 
 
-def _terms(text: Column, base: Column) -> Column:
-    """Distinct terms of a text."""
-    return F.array_distinct(F.transform(_words(text, base), F.lower))
+def _facts(found: DataFrame) -> DataFrame:
+    """h (text hash), entities and words (distinct, as written) of every document: all that counting needs of a text."""
+    entities = F.array_distinct(F.flatten(F.transform("base", _entities)))
+    return found.select(F.col("row.h").alias("h"), entities.alias("entities"),
+                        F.array_distinct(_words(F.col("text"), F.col("base"))).alias("words"))
 
 
-def disclosing_terms(found: DataFrame, alpha: float = ALPHA, generalise: float = GENERALISE) -> DataFrame:
+def disclosing_terms(facts: DataFrame, scratch: Scratch, alpha: float = ALPHA, generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure): pairs whose disclosure ratio reaches ``generalise`` and that chance does not explain.
 
-    ``found``: row, text, base (base spans) of every document.
+    ``facts``: see ``_facts``.
     """
-    scratch = Scratch(found.sparkSession, "pii")
-    hashed = found.select(F.col("row.h").alias("h"), "text", "base")
-    sizes = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+    sizes = facts.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
     n = sizes.count()
     copies = scratch.write(sizes.where("k > 1"), "copies")
-    # an empty text has no terms and no entities; all others carry their share of the texts equal to them
-    shared = (hashed.where("text <> ''").join(copies, "h", "left")
-              .select("text", "base", (F.lit(1.0) / F.coalesce("k", F.lit(1))).alias("share")))
+    # a text without terms and entities has nothing to count; all others carry their share of the texts equal to them
+    shared = (facts.where((F.size("words") > 0) | (F.size("entities") > 0)).join(beside(copies, copies.count()), "h", "left")
+              .select("entities", F.array_distinct(F.transform("words", F.lower)).alias("terms"),
+                      (F.lit(1.0) / F.coalesce("k", F.lit(1))).alias("share")))
 
     def texts(name: str) -> Column:
         return F.round(F.sum("share")).cast("bigint").alias(name)
 
-    owners = (shared.where(F.size("base") > 0)
-              .select("text", "base", "share", F.explode(F.array_distinct(F.flatten(F.transform("base", _entities)))).alias("entity")))
+    owners = shared.where(F.size("entities") > 0).select("terms", "share", F.explode("entities").alias("entity"))
     entities = scratch.write(owners.groupBy("entity").agg(texts("n_c")).where((F.col("n_c") > 1) & (F.col("n_c") < n)), "entities")
-    pairs = (owners.join(entities.select("entity"), "entity", "left_semi")
-             .select("entity", "share", F.explode(_terms(F.col("text"), F.col("base"))).alias("term"))
+    pairs = (owners.join(beside(entities.select("entity"), entities.count()), "entity", "left_semi")
+             .select("entity", "share", F.explode("terms").alias("term"))
              .groupBy("entity", "term").agg(texts("n_ct")))
     pairs = scratch.write(pairs, "pairs")
     judged = entities.count() * pairs.agg(F.count_distinct("term").alias("n")).first()["n"]
     limit = math.log(max(judged, 1) / alpha)
     rarity = F.log(n / F.col("n_c"))
     able = pairs.join(entities, "entity").where(F.col("n_ct") * rarity >= limit)
-    counted = (shared.select("share", F.explode(_terms(F.col("text"), F.col("base"))).alias("term"))
+    counted = (shared.select("share", F.explode("terms").alias("term"))
                .groupBy("term").agg(texts("n_t")).join(able.select("term").distinct(), "term", "left_semi"))
     share, base_rate = F.col("n_ct") / F.col("n_t"), F.col("n_c") / F.lit(float(n))
     missing = F.col("n_t") - F.col("n_ct")
@@ -160,20 +161,23 @@ def find_pii(docs: DataFrame, alpha: float = ALPHA, generalise: float = GENERALI
     found = docs.select(row_id(id_col, text_col).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                         *((c.alias(n)) for n, c in (extra or {}).items()))
     found = found.withColumn("base", base_spans(F.col("text")))
-    known = found.select("row", "text", "base")
+    scratch = Scratch(docs.sparkSession, "pii")
+    facts = scratch.write(_facts(found), "facts")
     action = F.when(F.max("disclosure") >= remove, "remove").otherwise("generalise")
-    flagged = disclosing_terms(known, alpha, generalise).groupBy("term").agg(action.alias("action"))
+    flagged = disclosing_terms(facts, scratch, alpha, generalise).groupBy("term").agg(action.alias("action"))
+    flagged = scratch.write(flagged, "actions")
     # texts with such a term, by hash, and its forms there; places are searched for those forms alone
-    words = F.explode(F.array_distinct(_words(F.col("text"), F.col("base"))))
-    hits = (known.select(F.col("row.h").alias("own"), words.alias("word")).withColumn("term", F.lower("word"))
-            .join(flagged, "term").groupBy("own")
+    hits = (facts.select(F.col("h").alias("own"), F.explode("words").alias("word")).withColumn("term", F.lower("word"))
+            .join(beside(flagged, flagged.count()), "term").groupBy("own")
             .agg(F.map_from_entries(F.collect_set(F.struct("word", "action"))).alias("hits")))
-    hits = Scratch(docs.sparkSession, "pii").write(hits, "hits")
+    hits = scratch.write(hits, "hits")
+    scratch.drop("facts", "flagged", "actions")
     forms = F.concat(F.lit(WORD_START + "(?:"), F.array_join(F.map_keys("hits"), "|"), F.lit(")" + WORD_END))
     spans = pattern_spans(_plain(F.col("text"), F.col("base")), forms, TERM, 4, F.col("hits").isNotNull())
     acted = F.transform(spans, lambda s: F.struct(
         s["start"], s["end"], s["rank"], s["kind"], F.try_element_at("hits", s["found"]).alias("found")))
-    return (found.join(hits, F.col("row.h") == F.col("own"), "left")
+    entries = hits.agg(F.sum(F.size("hits"))).first()[0] or 0
+    return (found.join(beside(hits, entries), F.col("row.h") == F.col("own"), "left")
             .withColumn("terms", F.when(F.col("hits").isNotNull(), acted.cast(NO_SPANS)).otherwise(no_spans()))
             .drop("own", "hits"))
 
