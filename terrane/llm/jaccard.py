@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, by_value, worker_state
+from terrane.llm.common import Scratch, beside, by_value, release_memory, worker_state
 from terrane.llm.packing import slices
 
 by_value(__name__)
@@ -43,7 +43,11 @@ by_value(__name__)
 SHINGLE = 5
 #: Links: PERCENT * union <= 100 * intersection.
 PERCENT = 80
-BUCKET_NGRAMS = 2_000_000
+BUCKET_NGRAMS = 1_000_000
+#: So many buckets leave at most 40 of an n-gram's 48 bits to tell apart in each.
+LEAST_BUCKETS = 260
+#: N-grams of a bucket that are sorted at once.
+RANGE_NGRAMS = 250_000
 #: N-grams that so many classes of one slice share travel as counts; their document frequency counts as HOT.
 HOT_HOLDERS, HOT = 32, 2**31 - 1
 SLICE_BYTES, BLOCK_BYTES = 6 << 20, 1 << 20
@@ -178,12 +182,13 @@ def _dealt(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
                 rows = []
                 hot_tokens = ordered[edges[:-1]][held >= HOT_HOLDERS]
                 for bucket, own in _by_bucket(_bucket_of(hot_tokens, n_buckets)):
-                    rows.append((bucket, 1, None, None, _packed(hot_tokens[own])))
+                    rows.append((bucket, 1, None, None, _packed_in(hot_tokens[own], bucket, n_buckets)))
                 for kind, mask in ((0, ~hot), (2, hot)):
                     some, holders = tokens[mask], owner[mask]
                     for bucket, own in _by_bucket(_bucket_of(some if kind == 0 else holders, n_buckets)):
                         # tokens of a class stay next to each other
-                        rows.append((bucket, kind, *_runs_of(holders[own]), _packed(some[own])))
+                        blob = _packed_in(some[own], bucket, n_buckets) if kind == 0 else _packed(some[own])
+                        rows.append((bucket, kind, *_runs_of(holders[own]), blob))
                 kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                                  names=["bucket", "kind", "sigs", "counts", "tokens"])
@@ -197,6 +202,28 @@ def _packed(tokens: np.ndarray) -> bytes:
     return np.ascontiguousarray((tokens >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
+def _low_end(bucket: int, n_buckets: int) -> np.uint64:
+    """The least 48-bit n-gram of a bucket."""
+    return _U(-(-(bucket << 32) // n_buckets) << 16)
+
+
+def _packed_in(tokens: np.ndarray, bucket: int, n_buckets: int) -> bytes:
+    """The upper 48 bits of n-gram hashes of one bucket, counted from its low end: five bytes each."""
+    rest = (tokens >> _U(16)) - _low_end(bucket, n_buckets)
+    return np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _unpacked_in(raw: np.ndarray, bucket: int, n_buckets: int) -> np.ndarray:
+    """The 48-bit n-grams of rows of five bytes."""
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :5] = raw
+    return wide.reshape(-1).view("<u8") + _low_end(bucket, n_buckets)
+
+
+def _bytes_of(blobs: pd.Series, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, width)
+
+
 def _runs_of(sigs: np.ndarray) -> tuple[bytes, bytes]:
     """Runs of equal class names: the names and their 16-bit lengths (a longer run is cut)."""
     edges = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1], [True]]))
@@ -204,10 +231,10 @@ def _runs_of(sigs: np.ndarray) -> tuple[bytes, bytes]:
     return sigs[edges[:-1]].tobytes(), np.diff(edges).astype(np.uint16).tobytes()
 
 
-def _token_array(blobs: pd.Series) -> np.ndarray:
-    wide = np.zeros((sum(map(len, blobs)) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
-    return wide.reshape(-1).view("<u8").astype(_U)
+def _whole(blobs: pd.Series) -> np.ndarray:
+    """The 48-bit n-grams of rows of six bytes."""
+    parts = np.frombuffer(b"".join(blobs), "<u2").reshape(-1, 3)
+    return parts[:, 0] | parts[:, 1].astype(_U) << _U(16) | parts[:, 2].astype(_U) << _U(32)
 
 
 def _bucket_of(tokens: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -224,51 +251,91 @@ def _by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(ordered[a]), order[a:b]
 
 
-def _unpacked(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _owners(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted names of the classes, and for each n-gram of the rows the place of its class there."""
     sigs = np.frombuffer(b"".join(part["sigs"]), _U)
     counts = np.frombuffer(b"".join(part["counts"]), np.uint16)
-    return np.repeat(sigs, counts), _token_array(part["tokens"])
-
-
-def _shared_ngrams(part: pd.DataFrame, n_buckets: int) -> pd.DataFrame:
-    """N-grams of a bucket that more than one class holds, with their document frequency, packed by bucket of classes."""
-    hot = np.unique(_token_array(part.loc[part["kind"] == 1, "tokens"]))
-    sigs, tokens = _unpacked(part[part["kind"] == 0])
-    order = np.lexsort((sigs, tokens))  # copies of a class in other slices fall together
-    sigs, tokens = sigs[order], tokens[order]
-    if len(tokens):
-        new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (sigs[1:] != sigs[:-1])])
-        sigs, tokens = sigs[new], tokens[new]
+    names, place = np.unique(sigs, return_inverse=True)
+    return names, np.repeat(place.astype(np.uint32), counts)
+
+
+def _ranges(raw: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Places of n-grams of five bytes, range by range, about ``most`` in each (equal n-grams stay together)."""
+    top = raw[:, 4].astype(np.uint16) << np.uint16(8) | raw[:, 3]
+    n_ranges = -(-len(top) // most)
+    if n_ranges < 2:
+        yield np.arange(len(top))
+        return
+    low, high = int(top.min()), int(top.max()) + 1
+    edges = [low + (high - low) * k // n_ranges for k in range(n_ranges + 1)]
+    for x, y in zip(edges[:-1], edges[1:], strict=True):
+        yield np.flatnonzero((top >= x) & (top < y))
+
+
+def _dealt_by_class(names: np.ndarray, owner: np.ndarray, tokens: np.ndarray, frequency: np.ndarray, n_buckets: int) -> list[tuple]:
+    """Rows (bucket of classes, sigs, counts, tokens, df); names ascend, and so do the buckets, which are ranges."""
+    order = np.argsort(owner, kind="stable")
+    owner = owner[order]
+    buckets = _bucket_of(names, n_buckets)[owner]
+    edges = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1)).tolist() if len(buckets) else []
+    rows = []
+    for x, y in zip(edges[:-1], edges[1:], strict=True):
+        own = order[x:y]
+        rows.append((int(buckets[x]), *_runs_of(names[owner[x:y]]), _packed(tokens[own] << _U(16)), frequency[own].tobytes()))
+    return rows
+
+
+def _shared_ngrams(bucket: int, part: pd.DataFrame, n_buckets: int, class_buckets: int) -> pd.DataFrame:
+    """N-grams of a bucket that more than one class holds, with their document frequency, packed by bucket of classes.
+
+    Ranges of the bucket are sorted one after the other, so that little stands in memory beside the bucket itself.
+    """
+    hot = np.unique(_unpacked_in(_bytes_of(part.loc[part["kind"] == 1, "tokens"], 5), bucket, n_buckets))
+    given = part[part["kind"] == 0]
+    names, owner = _owners(given)
+    raw = _bytes_of(given["tokens"], 5)
+    owners, shared, frequencies = [], [], []
+    for at in _ranges(raw, RANGE_NGRAMS):
+        tokens, own = _unpacked_in(raw[at], bucket, n_buckets), owner[at]
+        order = np.lexsort((own, tokens))  # copies of a class in other slices fall together
+        tokens, own = tokens[order], own[order]
+        if not len(tokens):
+            continue
+        new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (own[1:] != own[:-1])])
+        tokens, own = tokens[new], own[new]
         edges = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
-        frequency = np.repeat(np.diff(edges), np.diff(edges)).astype(np.int64)
-        frequency[np.isin(tokens, hot)] = HOT
-        shared = frequency > 1
-        sigs, tokens, frequency = sigs[shared], tokens[shared], frequency[shared]
-    else:
-        frequency = np.zeros(0, np.int64)
-    more_sigs, more = _unpacked(part[part["kind"] == 2])
-    sigs, tokens = np.concatenate([sigs, more_sigs]), np.concatenate([tokens, more])
-    frequency = np.concatenate([frequency, np.full(len(more), HOT, np.int64)])
+        held = np.diff(edges).astype(np.uint32)
+        held[np.isin(tokens[edges[:-1]], hot, kind="sort")] = HOT
+        several = np.repeat(held > 1, np.diff(edges))
+        owners.append(own[several])
+        shared.append(tokens[several])
+        frequencies.append(np.repeat(held, np.diff(edges))[several])
     rows = []
-    for bucket, own in _by_bucket(_bucket_of(sigs, n_buckets)):
-        own = own[np.argsort(sigs[own], kind="stable")]
-        names, counts = _runs_of(sigs[own])
-        rows.append((bucket, names, counts, _packed(tokens[own] << _U(16)), frequency[own].astype(np.uint32).tobytes()))
-    return pd.DataFrame(rows, columns=["bucket", "sigs", "counts", "tokens", "df"])
+    if owners:
+        rows += _dealt_by_class(names, np.concatenate(owners), np.concatenate(shared), np.concatenate(frequencies), class_buckets)
+    passed = part[part["kind"] == 2]
+    if len(passed):
+        names, owner = _owners(passed)
+        tokens = _whole(passed["tokens"])
+        rows += _dealt_by_class(names, owner, tokens, np.full(len(tokens), HOT, np.uint32), class_buckets)
+    out = pd.DataFrame(rows, columns=["bucket", "sigs", "counts", "tokens", "df"])
+    release_memory()
+    return out
 
 
 def _linkable(part: pd.DataFrame) -> pd.DataFrame:
     """Of a bucket of classes: distinct shared n-grams of each class in global order, as (sig, tokens)."""
-    sigs, tokens = _unpacked(part)
-    frequency = np.frombuffer(b"".join(part["df"]), np.uint32)
-    order = np.lexsort((tokens, frequency, sigs))
-    sigs, tokens = sigs[order], tokens[order]
-    new = np.ones(len(sigs), bool)
-    new[1:] = (sigs[1:] != sigs[:-1]) | (tokens[1:] != tokens[:-1])
-    sigs, tokens = sigs[new], tokens[new].view(np.int64)
-    edges = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1], [True]])) if len(sigs) else np.zeros(1, int)
+    names, owner = _owners(part)
+    tokens = _whole(part["tokens"])
+    order = np.lexsort((tokens, np.frombuffer(b"".join(part["df"]), np.uint32), owner))
+    owner, tokens = owner[order], tokens[order]
+    del order
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (tokens[1:] != tokens[:-1])
+    owner, tokens = owner[new], tokens[new].view(np.int64)
+    edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if len(owner) else np.zeros(1, int)
     listed = pd.Series([tokens[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)], dtype=object)
-    return pd.DataFrame({"sig": sigs[edges[:-1]].view(np.int64), "tokens": listed})
+    return pd.DataFrame({"sig": names[owner[edges[:-1]]].view(np.int64), "tokens": listed})
 
 
 def needed_share(n: Column) -> Column:
@@ -278,8 +345,9 @@ def needed_share(n: Column) -> Column:
 
 def linkable_sets(docs: DataFrame, members: DataFrame, n_buckets: int, text_col: str = "text") -> DataFrame:
     """sig, n, tokens: shared n-grams in global order of every class that can have a partner."""
+    class_buckets, n_buckets = n_buckets, max(n_buckets, LEAST_BUCKETS)
     shared = (_dealt(docs, n_buckets, text_col).groupBy("bucket")
-              .applyInPandas(lambda part: _shared_ngrams(part, n_buckets),
+              .applyInPandas(lambda key, part: _shared_ngrams(int(key[0]), part, n_buckets, class_buckets),
                              "bucket long, sigs binary, counts binary, tokens binary, df binary"))
     whole = shared.groupBy("bucket").applyInPandas(_linkable, "sig long, tokens array<long>")
     classes = members.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"))
@@ -326,13 +394,16 @@ def overlaps_enough(probe_tokens: np.ndarray, probe_n: int, sizes: list[int], to
 def verified_links(scratch: Scratch, name: str, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (probe, sig) whose sets link."""
     pairs = scratch.write(pairs, f"{name}-pairs")
+    n_pairs = pairs.count()
     counts = pairs.groupBy("probe").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("chunks"))
-    n_shards = F.lit(max(1, math.ceil(pairs.count() / SHARD_PAIRS)))
+    n_shards = F.lit(max(1, math.ceil(n_pairs / SHARD_PAIRS)))
     shard = F.pmod(F.xxhash64("probe", "chunk"), n_shards).alias("shard")
     dealt = (pairs.join(counts, "probe").withColumn("chunk", F.pmod(F.xxhash64("sig"), F.col("chunks")))
-             .select("sig", "probe", "chunk", shard).join(sets, "sig"))
+             .select("sig", "probe", "chunk", shard))
     probes = (counts.select(F.col("probe").alias("sig"), "probe", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-              .select("sig", "probe", "chunk", shard).join(sets, "sig"))
+              .select("sig", "probe", "chunk", shard))
+    # a pair or two for each class: the sets stay where they are while the pairs are few
+    met = sets.join(beside(dealt.unionByName(probes), 2 * n_pairs), "sig")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -347,7 +418,7 @@ def verified_links(scratch: Scratch, name: str, pairs: DataFrame, sets: DataFram
             out += [(probe, sigs[k]) for k in found]
         return pd.DataFrame(out, columns=["probe", "sig"], dtype="int64")
 
-    links = dealt.unionByName(probes).groupBy("shard").applyInPandas(compare, "probe long, sig long")
+    links = met.groupBy("shard").applyInPandas(compare, "probe long, sig long")
     return scratch.write(links, f"{name}-links")
 
 
@@ -387,6 +458,7 @@ def _may_link(n: Column, place: Column, other_n: Column, other_place: Column) ->
 def link_classes(spark: SparkSession, scratch: Scratch, sets: DataFrame, rounds: int = LEADER_ROUNDS) -> DataFrame:
     """(sig, label): components of the classes under the exact links."""
     labels = scratch.write(sets.select("sig", F.col("sig").alias("label")), "labels")
+    n_labels = labels.count()
     # n-grams of no other class come first in the order: they are not in ``tokens`` but take places
     alone = F.col("n") - F.size("tokens")
     prefix = F.size("tokens") - needed_share(F.col("n")) + 1
@@ -394,7 +466,7 @@ def link_classes(spark: SparkSession, scratch: Scratch, sets: DataFrame, rounds:
     holders = scratch.write(holders.select("sig", "n", "alone", (F.col("alone") + F.col("at")).alias("place"), "token"), "holders")
     checked = None
     for turn in range(rounds + 1):
-        now = holders.join(labels, "sig")
+        now = holders.join(beside(labels, n_labels), "sig")
         # An n-gram whose holders are all in one component has nothing left to compare. The first leader is the
         # holder with the smallest share of n-grams of its own (the text that the others were made from, where there
         # is one); later leaders are drawn by hash.
