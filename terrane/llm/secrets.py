@@ -6,8 +6,9 @@ counts of its characters and the sum S of c * log2(c) over them; one character e
 and S by a difference, and the Shannon entropy is log2(w) - S / w. Windows whose entropy reaches the class's limit and
 that mix letters and digits mark their characters; marked stretches become ``entropy`` spans.
 
-Suppressed by the allow list: UUIDs, candidates with a placeholder word, paths and links, and stretches that lie inside
-a base span (already reported).
+The allow list suppresses what it matches and no more: windows that touch a UUID or a placeholder word, windows that lie
+in a path of plain words or in groups of digits, and stretches inside a base span (already reported). What stands
+before or behind is judged as ever.
 
 Defined results: a null text is empty (no spans); equal rows give equal results; extra columns are ignored; an empty
 table gives an empty result. Texts are scanned whole.
@@ -31,8 +32,10 @@ ASSIGN_VALUE = r"""^(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]
 #: Class: pattern of its characters, least entropy of a window (bits per character).
 CLASSES = {"hex": ("[0-9A-Fa-f]", 3.0), "base64": ("[A-Za-z0-9+/_=-]", 3.9)}
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}+"
-ALLOW = (r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$", r"(?i)example|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh",
-         r"^/?(?:[A-Za-z0-9_-]{1,20}/){2,}", r"^[0-9]+(?:-[0-9]+)*$")
+#: Windows that touch one of these are no secret.
+ALLOW_TOUCHED = r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|(?i:example|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh)"
+#: Windows that lie in one of these are no secret.
+ALLOW_AROUND = r"(?:[A-Za-z][a-z]{1,19}(?:[_-][a-z]{1,19})*/){2,}[A-Za-z0-9]{0,8}|[0-9]+(?:-[0-9]+)*"
 
 
 def base_spans(text: Column) -> Column:
@@ -96,9 +99,13 @@ def entropy_spans(text: Column, base: Column) -> Column:
 
     def marked(chars: str, limit: float) -> Column:
         def in_run(c: Column, r: Column) -> Column:
-            first = c["start"] + r["start"]
-            return F.transform(window_marks(r["found"], WINDOW, limit), lambda at: F.struct(
-                (first + at).alias("start"), (first + at + WINDOW).alias("end"), F.lit(3).alias("rank"),
+            touched = pattern_spans(c["found"], ALLOW_TOUCHED, ENTROPY, 3, F.lit(True))
+            around = pattern_spans(c["found"], ALLOW_AROUND, ENTROPY, 3, F.lit(True))
+            marks = F.transform(window_marks(r["found"], WINDOW, limit), lambda at: r["start"] + at)
+            marks = F.filter(marks, lambda at: ~F.exists(touched, lambda a: (a["start"] < at + WINDOW) & (at < a["end"]))
+                             & ~F.exists(around, lambda a: (a["start"] <= at) & (at + WINDOW <= a["end"])))
+            return F.transform(marks, lambda at: F.struct(
+                (c["start"] + at).alias("start"), (c["start"] + at + WINDOW).alias("end"), F.lit(3).alias("rank"),
                 F.lit(ENTROPY).alias("kind"), F.lit("").alias("found")))
         return F.flatten(F.transform(candidates, lambda c: F.flatten(
             F.transform(_runs(c["found"], chars), lambda r: in_run(c, r)))))
@@ -110,10 +117,7 @@ def entropy_spans(text: Column, base: Column) -> Column:
 
 
 def _may_be_secret(found: Column) -> Column:
-    allowed = F.lit(False)
-    for pattern in ALLOW:
-        allowed = allowed | found.rlike(pattern)
-    return found.rlike("[0-9]") & found.rlike("[A-Za-z]") & ~allowed
+    return found.rlike("[0-9]") & found.rlike("[A-Za-z]")
 
 
 def _inside(span: Column, base: Column) -> Column:
