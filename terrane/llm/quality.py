@@ -1,18 +1,21 @@
 """Quality rules (operator 8): base counts, and Jensen-Shannon distance to language references.
 
-References come from all documents: for each language of ``LANGUAGES`` and for all texts together, the share of each
-character class and of each of the ``COMMON`` most frequent words (and of all others together). A document is compared
-with every reference and its smallest distances count, so a wrong or missing language label harms no document. The
-distances judge only texts of at least ``MIN_CHARS`` characters and ``MIN_WORDS`` words (the guard): shorter histograms
-are noise. A document is kept if the base rules pass and neither distance exceeds its limit.
-
-Defined results: a null or empty text has no words and fails the base rules; a language that is null or not listed
+References come from all documents: for each language (value of the language column) of at least ``REFERENCE_WORDS``
+words, and for all texts together, the share of each character class and of each of the ``COMMON`` most frequent words
+(and of all others together). Classes are those of Unicode, whatever the script. A document is compared with every
+reference of its own script and its smallest distances count, so a wrong or missing language label harms no document.
+The distances judge only texts of at least ``MIN_CHARS`` characters and ``MIN_WORDS`` words (the guard): shorter
+histograms are noise; and only where a reference of the text's script exists: nothing is known about others. A document
+is kept if the base rules pass and neither distance exceeds its limit.
+
+Defined results: a null or empty text has no words and fails the base rules; a language that is null or has less text
 counts towards the reference of all texts only; equal rows give equal results; extra columns are ignored; an empty
 table gives an empty result. Texts are counted whole.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,9 +29,12 @@ from terrane.llm.packing import slices
 
 by_value(__name__)
 
-LANGUAGES = ("en", "fr", "de", "es")
 ALL, OTHER = "", "*"
+#: Words that a language needs for a reference of its own, and references at most (the languages of most words).
+REFERENCE_WORDS, REFERENCES = 5_000, 1_000
 COMMON = 50
+#: Parts of a reference's words whose commonest are found apart.
+PARTS = 32
 MIN_WORDS, MIN_CHARS = 50, 200
 MAX_CHAR_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.45
@@ -50,26 +56,61 @@ def _class_of(c: int) -> int:
         return 2
     if ch.isalpha():
         return 0 if ch.islower() else 1 if ch.isupper() else 8
-    if ch in ".,;:?!'\"()-":
+    if unicodedata.category(ch) in ("Mn", "Mc"):  # vowel signs and accents belong to letters
+        return 8
+    if ch in ".,;:?!'\"()-\u2010\u2011\u2012\u2013\u2014\u2018\u2019\u201c\u201d\u2026\u3001\u3002\uff0c\u0964\u060c\u061f":
         return 5
     return 6 if ch in SYMBOLS + "@^~{}[]\\_=+/`" else 7
 
 
-#: Class of each character below U+0250; the others are letters of scripts without case.
-CLASS_TABLE = np.array([_class_of(c) for c in range(0x250)], np.uint8)
+#: Class of each character of the basic plane; the others count as letters without case.
+CLASS_TABLE = np.array([_class_of(c) for c in range(0x10000)], np.uint8)
+#: Scripts by ranges of code points; other letters are of no script here.
+SCRIPTS = {"LATIN": [(0x41, 0x24F), (0x1E00, 0x1EFF)], "GREEK": [(0x370, 0x3FF), (0x1F00, 0x1FFF)], "CYRILLIC": [(0x400, 0x52F)],
+           "ARMENIAN": [(0x530, 0x58F)], "HEBREW": [(0x590, 0x5FF)], "ARABIC": [(0x600, 0x6FF), (0x750, 0x77F)], "DEVANAGARI": [(0x900, 0x97F)],
+           "BENGALI": [(0x980, 0x9FF)], "TAMIL": [(0xB80, 0xBFF)], "THAI": [(0xE00, 0xE7F)], "GEORGIAN": [(0x10A0, 0x10FF)],
+           "KANA": [(0x3040, 0x30FF)], "CJK": [(0x3400, 0x9FFF)], "HANGUL": [(0x1100, 0x11FF), (0xAC00, 0xD7AF)]}
+SCRIPT_NAMES = ("", *SCRIPTS)
+SCRIPT_TABLE = np.zeros(0x10000, np.uint8)
+for _k, _ranges in enumerate(SCRIPTS.values(), 1):
+    for _low, _high in _ranges:
+        SCRIPT_TABLE[_low:_high + 1] = _k
+SCRIPT_TABLE[~np.isin(CLASS_TABLE, (0, 1, 8))] = 0
 #: For the common-word histograms A-Z become small, ASCII marks other than SYMBOLS become spaces.
 PLAIN_BYTES = bytes(c if c > 127 or chr(c) in SYMBOLS else ord(chr(c).lower()) if chr(c).isalnum() else 32
                     for c in range(256))
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def class_counts(text: str) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    codes = _codes(text)
     low = codes[codes < len(CLASS_TABLE)]
     counts = np.bincount(CLASS_TABLE[low], minlength=len(CLASSES))
     counts[8] += len(codes) - len(low)
     return counts
 
 
+def script_counts(text: str) -> np.ndarray:
+    """Letters by script, in the order of SCRIPT_NAMES (the first: no script)."""
+    if text.isascii():
+        return np.bincount([1], minlength=len(SCRIPT_NAMES)) * sum(map(str.isalpha, text))
+    codes = _codes(text)
+    counts = np.bincount(SCRIPT_TABLE[codes[codes < len(SCRIPT_TABLE)]], minlength=len(SCRIPT_NAMES))
+    counts[0] = 0
+    return counts
+
+
+def main_script(counts: np.ndarray) -> str:
+    return SCRIPT_NAMES[int(counts.argmax())] if counts.any() else ""
+
+
+def script_of(text: str) -> str:
+    return main_script(script_counts(text))
+
+
 def plain_words(text: bytes) -> list[bytes]:
     """Words as the common-word histograms take them: a symbol inside a word keeps it from being a common one."""
     return text.translate(PLAIN_BYTES).split()
@@ -114,23 +155,26 @@ def js_distances(p: np.ndarray, refs: np.ndarray) -> np.ndarray:
 
 
 def references(docs: DataFrame, common: int = COMMON, text_col: str = "text", lang_col: str = "lang") -> dict:
-    """Per reference: class histogram and {word: count} of the commonest words with the count of all words.
+    """Per reference: class histogram, script, and {word: count} of the commonest words with the count of all words.
 
-    Counts cover all documents; what reaches the driver is bounded by references x (classes + common words).
+    Counts cover all documents; what reaches the driver is bounded by references x (classes + scripts + common words).
     """
-    lang = F.when(F.col(lang_col).isin(*LANGUAGES), F.col(lang_col)).otherwise(F.lit(OTHER))
+    lang = F.coalesce(F.nullif(F.col(lang_col).cast("string"), F.lit(ALL)), F.lit(OTHER))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1)):
             classes: dict[str, np.ndarray] = {}
+            scripts: dict[str, np.ndarray] = {}
             words: dict[str, Counter] = {}
             for own, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                 classes[own] = classes.get(own, 0) + class_counts(text)
+                scripts[own] = scripts.get(own, 0) + script_counts(text)
                 words.setdefault(own, Counter()).update(plain_words(text.encode()))
             for own in classes:
                 total = sum(words[own].values())
                 found = [(f"w{w.decode()}", n) for w, n in words[own].items()]
                 found += [(f"c{k}", int(n)) for k, n in enumerate(classes[own])] + [("n", total)]
+                found += [(f"s{k}", int(n)) for k, n in enumerate(scripts[own]) if n]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([own] * len(found), pa.string()), pa.array([f[0] for f in found], pa.string()),
                      pa.array([f[1] for f in found], pa.int64())], names=["ref", "item", "n"])
@@ -139,23 +183,32 @@ def references(docs: DataFrame, common: int = COMMON, text_col: str = "text", la
                .mapInArrow(count, "ref string, item string, n long")
                .groupBy("ref", "item").agg(F.sum("n").alias("n")))
     counted = Scratch(docs.sparkSession, "quality").write(counted, "counts")
+    named = counted.where((F.col("item") == "n") & (F.col("ref") != OTHER) & (F.col("n") >= REFERENCE_WORDS)).orderBy(F.desc("n"), "ref").limit(REFERENCES)
     whole = counted.groupBy(F.lit(ALL).alias("ref"), "item").agg(F.sum("n").alias("n"))
-    window = Window.partitionBy("ref", F.substring("item", 1, 1)).orderBy(F.desc("n"), "item")
-    top = (counted.where(F.col("ref") != OTHER).unionByName(whole)
-           .withColumn("k", F.row_number().over(window)).where(F.col("k") <= max(common, len(CLASSES))))
+    most = max(common, len(CLASSES), len(SCRIPT_NAMES))
+    kind = F.substring("item", 1, 1)
+    every = counted.join(named.select("ref"), "ref", "left_semi").unionByName(whole)
+    # the commonest of each part, then of all parts: one reference is no single task's
+    part = Window.partitionBy("ref", kind, F.pmod(F.xxhash64("item"), F.lit(PARTS))).orderBy(F.desc("n"), "item")
+    window = Window.partitionBy("ref", kind).orderBy(F.desc("n"), "item")
+    top = every.withColumn("k", F.row_number().over(part)).where(F.col("k") <= most)
+    top = top.withColumn("k", F.row_number().over(window)).where(F.col("k") <= most)
     out: dict[str, dict] = {}
     for row in top.collect():
-        own = out.setdefault(row["ref"], {"classes": np.zeros(len(CLASSES)), "words": Counter(), "n": 0})
+        own = out.setdefault(row["ref"], {"classes": np.zeros(len(CLASSES)), "scripts": np.zeros(len(SCRIPT_NAMES)), "words": Counter(), "n": 0})
         item = row["item"]
         if item[0] == "c":
             own["classes"][int(item[1:])] = row["n"]
+        elif item[0] == "s":
+            own["scripts"][int(item[1:])] = row["n"]
         elif item[0] == "n":
             own["n"] = row["n"]
         elif row["k"] <= common:
             own["words"][item[1:].encode()] = row["n"]
     for own in out.values():
         own["words"] = dict(sorted(own["words"].items(), key=lambda x: (-x[1], x[0])))
-    return {r: out[r] for r in (*LANGUAGES, ALL) if r in out and out[r]["n"]}
+        own["script"] = main_script(own.pop("scripts"))
+    return {r: out[r] for r in sorted(out) if out[r]["n"]}
 
 
 class Judge:
@@ -173,17 +226,20 @@ class Judge:
                 self.places[r, k] = self.vocabulary.setdefault(word, len(self.vocabulary))
                 self.shares[r, k] = n
             self.shares[r, -1] = own["n"] - self.shares[r, :-1].sum()
+        self.scripts = np.array([own["script"] for own in refs.values()])
 
-    def distances(self, text: str, encoded: bytes) -> tuple[float, float]:
-        if not len(self.classes):
-            return 0.0, 0.0
+    def distances(self, text: str, encoded: bytes) -> tuple[float, float] | None:
+        """To the nearest reference of the text's script; None if there is none."""
+        fits = self.scripts == script_of(text)
+        if not fits.any():
+            return None
         words = plain_words(encoded)
         found = [k for k in map(self.vocabulary.get, words) if k is not None]
         counted = np.bincount(found, minlength=len(self.vocabulary) + 1)  # the last place, -1, stays 0
-        common = counted[self.places]
+        common = counted[self.places[fits]]
         histograms = np.column_stack([common, len(words) - common.sum(axis=1)])
-        return (float(js_distances(class_counts(text)[None, :], self.classes).min()),
-                float(js_distances(histograms, self.shares).min()))
+        return (float(js_distances(class_counts(text)[None, :], self.classes[fits]).min()),
+                float(js_distances(histograms, self.shares[fits]).min()))
 
 
 def score_quality(docs: DataFrame, refs: dict, max_char_distance: float = MAX_CHAR_DISTANCE,
@@ -202,10 +258,10 @@ def score_quality(docs: DataFrame, refs: dict, max_char_distance: float = MAX_CH
                 words = encoded.split()
                 counts = base_counts(text, words)
                 failed = len(words) < BASE_MIN_WORDS or counts[3] > BASE_MAX_REPEATED * len(words)
-                by_class, by_word = judge.distances(text, encoded)
-                judged = len(words) >= MIN_WORDS and len(text) >= MIN_CHARS
-                kept = not failed and not (judged and (by_class > max_char_distance or by_word > max_word_distance))
-                out.append((len(words), *counts, failed, kept, by_class, by_word))
+                found = judge.distances(text, encoded)
+                judged = found is not None and len(words) >= MIN_WORDS and len(text) >= MIN_CHARS
+                kept = not failed and not (judged and (found[0] > max_char_distance or found[1] > max_word_distance))
+                out.append((len(words), *counts, failed, kept, *(found or (None, None))))
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))],
