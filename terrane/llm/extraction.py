@@ -5,7 +5,7 @@ with the largest sum. The scores come from labelled pages: every page with exact
 labels its own tokens as inside or outside. Counts of both per token signature are summed over all such pages in
 Spark. A signature is hashed to one of ``SLOTS`` slots, so the weight table that tasks get has a fixed size.
 
-The run found is widened to the <article> or <main> that holds it, if there is one. Then blocks that belong to no article (menus, page headers,
+Where most of the run lies in <article> or <main>, it takes whole all of these of which it holds half. Then blocks that belong to no article (menus, page headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are left out of it, character
 references are decoded, white space inside a block becomes one space and blocks are joined by one space.
 
@@ -54,6 +54,8 @@ OUTSIDE_NAMES = frozenset(
     "notice notices outbrain overlay pager pagination popup promo promoted promotion recommended related replies "
     "reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar topbar "
     "widget widgets contentinfo complementary hidden".split())
+#: First parts of names that tell about an article's own container, whatever follows.
+CONTAINERS = frozenset("with has no entry post article content elementor hentry main".split())
 #: Tags that close an open <p>.
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "nav ol p pre section table ul".split())
@@ -66,7 +68,8 @@ def slot(signature: str) -> int:
 def outside_name(attrs: str) -> bool:
     for groups in NAMES.findall(attrs):
         for name in "".join(groups).lower().split():
-            if name in OUTSIDE_NAMES or not OUTSIDE_NAMES.isdisjoint(re.split(r"[-_]+", name)):
+            parts = re.split(r"[-_]+", name)
+            if name in OUTSIDE_NAMES or parts[0] not in CONTAINERS and not OUTSIDE_NAMES.isdisjoint(parts):
                 return True
     return False
 
@@ -88,6 +91,7 @@ class Page:
         self.home: list[int] = []
         self.homes: Counter[str] = Counter()
         self.home_tags: list[str] = [""]
+        self.home_parents: list[int] = [-1]
         self._read(source)
 
     def _add(self, signature: int, piece: str | None, words: int, block: int, out: bool, home: int) -> None:
@@ -146,6 +150,7 @@ class Page:
             if tag in ("article", "main"):
                 self.homes[tag] += 1
                 self.home_tags.append(tag)
+                self.home_parents.append(home)
                 home = len(self.home_tags) - 1
             # blocks of text score with their container; a page header counts as outside, an article's own does not
             plain = tag in INLINE - {"a"} or tag in ("p", "br", "h1", "h2", "h3", "h4", "h5", "h6")
@@ -187,11 +192,20 @@ def main_text(page: Page, word_weight: np.ndarray, tag_weight: np.ndarray) -> st
     start, end = best_run(scores)
     if end <= start:
         return ""
-    home = Counter(page.home[k] for k in range(start, end) if is_word[k]).most_common(1)[0][0]
-    if home:
-        outer = [k for k, h in enumerate(page.home) if h == home]
+    held = Counter()
+    for k in range(start, end):
+        held[page.home[k]] += int(count[k])
+    if held.most_common(1)[0][0]:  # all articles of which the run holds half, whole, with what lies inside them
+        total = Counter()
+        for h, n in zip(page.home, page.count, strict=True):
+            total[h] += n
+        homes = {h for h, n in held.items() if h and 2 * n >= total[h] > 0} | {held.most_common(1)[0][0]}
+        for h, parent in enumerate(page.home_parents):
+            if parent in homes:
+                homes.add(h)
+        outer = [k for k, h in enumerate(page.home) if h in homes]
         start, end = min(start, outer[0]), max(end, outer[-1] + 1)
-        keep = lambda k: page.home[k] >= home
+        keep = lambda k: page.home[k] in homes
     else:  # the blocks at both ends belong to the run as a whole
         keep = lambda k: True
         while start > 0 and page.block[start - 1] == page.block[start]:
