@@ -23,11 +23,37 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: What a letter of a layout stands for, as a pattern; longer ones first.
+_PARTS = [("MMMM", "[A-Za-z]+"), ("MMM", "[A-Za-z]+"), ("MM", "[0-9]{2}"), ("M", "[0-9]{1,2}"), ("dd", "[0-9]{2}"), ("d", "[0-9]{1,2}"),
+          ("yyyy", "[0-9]{4}"), ("yy", "[0-9]{2}"), ("HH", "[0-9]{2}"), ("H", "[0-9]{1,2}"), ("h", "[0-9]{1,2}"), ("mm", "[0-9]{2}"),
+          ("ss", "[0-9]{2}"), ("a", "[AaPp][Mm]"), ("'T'", "T")]
+
+
+def _shape(layout: str) -> str:
+    """Pattern of the texts that a layout can read, between the years of four digits."""
+    out, at = "", 0
+    while at < len(layout):
+        part, pattern = next(((p, r) for p, r in _PARTS if layout.startswith(p, at)), (layout[at], layout[at]))
+        out, at = out + pattern, at + len(part)
+    return f"^{out}$"
+
+
 def standardize_date(c) -> Column:
-    """S3: text date in any accepted layout -> date; anything else -> NULL."""
+    """S3: text date in any accepted layout -> date; anything else -> NULL.
+
+    The text's shape picks its layouts (a few share one), so a value is read once or twice instead of being tried
+    against all layouts, each failure of which costs an exception.
+    """
     t = F.trim(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS]).cast("date")
-    return F.when((t != "") & parsed.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), parsed)
+    shapes: dict[str, list[str]] = {}
+    for layout in DATE_FORMATS:
+        shapes.setdefault(_shape(layout), []).append(layout)
+    parsed = None
+    for shape, layouts in shapes.items():
+        read = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in layouts])
+        parsed = F.when(t.rlike(shape), read) if parsed is None else parsed.when(t.rlike(shape), read)
+    parsed = parsed.cast("date")
+    return F.when(parsed.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), parsed)
 
 
 #: Decimal numbers as text; digits may be grouped by single underscores.

@@ -86,7 +86,13 @@ def validate_records(df: DataFrame, as_of_year: int, keep: tuple[str, ...] = ())
     """
     keep = tuple(keep)
     src = [c for c in df.columns if c not in keep]
-    out, errors = {}, []
+    out, errors, cleaned = {}, [], {}
+
+    def number(n: str, raw):
+        """The field's number, cleaned once in a projection of its own; value and error refer to it."""
+        cleaned[f"_n_{n}"] = clean.clean_numeric(raw)
+        return F.col(f"_n_{n}")
+
     for f in RAW_RECORDS_SCHEMA.fields:
         n = f.name
         raw = _text(df, n)
@@ -102,17 +108,17 @@ def validate_records(df: DataFrame, as_of_year: int, keep: tuple[str, ...] = ())
         elif n in LENIENT_FLOATS:
             out[n] = clean.clean_numeric(raw)
         elif n in STRICT_FLOATS:
-            v = clean.clean_numeric(raw)
+            v = number(n, raw)
             out[n] = v
             errors.append(F.when(raw.isNotNull() & v.isNull(), F.lit(f"{n}: not a valid number")))
         elif n in LENIENT_INTS:
-            v = clean.clean_numeric(raw)
+            v = number(n, raw)
             bad = v.isNotNull() & ~clean.is_integral(v)
             errors.append(F.when(bad, F.lit(f"{n}: not a valid integer")))
             iv = F.when(~bad, v).try_cast("bigint")
             out[n] = (clean.valid_year(iv, as_of_year) if n == "year_blt" else iv).try_cast(f.dataType)
         elif n in STRICT_INTS:
-            v = clean.clean_numeric(raw)
+            v = number(n, raw)
             bad = raw.isNotNull() & (v.isNull() | ~clean.is_integral(v))
             errors.append(F.when(bad, F.lit(f"{n}: not a valid integer")))
             out[n] = F.when(~bad, v).try_cast(f.dataType)
@@ -122,6 +128,7 @@ def validate_records(df: DataFrame, as_of_year: int, keep: tuple[str, ...] = ())
             out[n] = raw
     errs = F.filter(F.array(*errors), lambda e: e.isNotNull())
     raw_json = F.to_json(F.struct(*[F.col(c) for c in src]), {"ignoreNullFields": "false"})
+    df = df.withColumns(cleaned) if cleaned else df
     return df.select(*[v.alias(k) for k, v in out.items()], *keep, errs.alias("errors"), raw_json.alias("raw_data"))
 
 

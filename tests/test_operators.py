@@ -263,3 +263,19 @@ def test_comparable_sales_of_a_table_of_subjects(spark):
     for i, city, kind, size in asked:
         one = [] if size is None else market.comparable_sales(p, city, kind, size, "2001-08-01", k=4).collect()
         assert got.get(i, []) == [(r.tx_date, r.price, r.sfla, r.address) for r in one], i
+
+
+def test_dates_by_shape_equal_trying_every_layout(spark):
+    from terrane.functions import clean
+
+    rng = random.Random(6)
+    texts = ["8/10/2012", "08/10/2012", "13/10/2012", "31/12/99", "8/10/12", "8/10/2012 9:13:25 AM", "8/10/2012 09:13:25 pm", "8/10/2012 21:13:25", "8/10/2012 21:13",
+             "2012-08-10", "2012-8-10", "2012-08-10 01:02:03", "2012-08-10T01:02:03", "2012/8/1", "20120810", "2012", "Aug 10 2012", "aug 10, 2012", "August 10 2012",
+             "AUGUST 10, 2012", "10 Aug 2012", "8-10-2012", "1600-01-01", "2300-01-01", "2/30/2012", "", "  8/10/2012 ", "NOT A DATE", "8/10/20123", "99/99/9999", None, "+2012", "May 1 2012"]
+    texts += ["".join(rng.choice("0123456789/- :AMPJun") for _ in range(rng.randint(1, 12))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.trim("t")
+    tried = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in clean.DATE_FORMATS]).cast("date")
+    tried = F.when((t != "") & tried.between(F.lit(clean.MIN_DATE).cast("date"), F.lit(clean.MAX_DATE).cast("date")), tried)
+    bad = df.select("t", clean.standardize_date("t").alias("got"), tried.alias("want")).where("NOT got <=> want").collect()
+    assert not bad, bad[:5]
