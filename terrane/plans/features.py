@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import codes, decode
 from ..operators import asof, geo
+from ..operators.ordering import global_rank
 from ..operators.quantile import exact_quantiles
 from ..session import ensure_checkpoint_dir
 
@@ -119,20 +120,21 @@ def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]], suffix: s
                            for c, (m, s) in stats.items()})
 
 
-MAX_CATEGORIES = 10_000
+def fit_categories(df: DataFrame, cols: list[str] = CATEGORICAL) -> DataFrame:
+    """F8 fit: column, value, index: the distinct values of each column, numbered in order from 0. A table, so that a
+    column may have any number of values."""
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])))
+    ranked = global_rank(values.where("value IS NOT NULL").distinct(), ["column", "value"], "_place")
+    return ranked.withColumn("index", (F.col("_place") - F.min("_place").over(Window.partitionBy("column"))).cast("int")).drop("_place")
 
 
-def fit_categories(df: DataFrame, cols: list[str] = CATEGORICAL, max_categories: int = MAX_CATEGORIES
-                   ) -> dict[str, list[str]]:
-    """F8 fit: sorted distinct categories per column. A category list is a
-    bounded dimension; the bound is checked before anything is collected."""
-    out = {}
+def encode_categories(df: DataFrame, table: DataFrame, cols: list[str] = CATEGORICAL) -> DataFrame:
+    """F8 transform with a fitted table: ``<column>_index``, the place of the row's one in the column's vector; null
+    (all zeros) for a value that was not there when the table was made."""
     for c in cols:
-        values = df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_categories + 1).collect()
-        if len(values) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} categories")
-        out[c] = sorted(r[0] for r in values)
-    return out
+        own = table.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("index").alias(f"{c}_index"))
+        df = df.join(own, F.col(c) == F.col("_value"), "left").drop("_value")
+    return df
 
 
 def one_hot(df: DataFrame, cats: dict[str, list[str]]) -> DataFrame:

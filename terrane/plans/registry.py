@@ -309,6 +309,8 @@ for _k, _fn in {
     "F8": lambda s, d: features.one_hot(_model_rows(s, d), {"city": CITY_CATEGORIES, "prop_type": TYPE_CATEGORIES})
     .select("schno", "tx_date", "price", *[f"city_{v}" for v in CITY_CATEGORIES],
             *[f"prop_type_{v}" for v in TYPE_CATEGORIES]),
+    "F8_fit": lambda s, d: (lambda r: features.encode_categories(r, features.fit_categories(r.where(F.year("tx_date") < 2000))))(
+        _model_rows(s, d)).select("schno", "tx_date", "price", "city_index", "prop_type_index"),
     "F10": lambda s, d: features.chronological_split(_model_rows(s, d), SPLIT_ORDER).select(
         "schno", "tx_date", "price", features.luxury_weight().alias("weight"), "role"),
     "F11": lambda s, d: features.random_split(_model_rows(s, d), "schno").select("schno", "tx_date", "price", "role"),
@@ -729,3 +731,9 @@ for _k, _fn in {
     "P_tail": lambda s, d: monitor.luxury_tail(_metrics(s, d)),
 }.items():
     REGISTRY[_k] = _fn
+
+REGISTRY["M11_append"] = lambda s, d: (lambda r: evaluate.append_run(
+    r, r.select(F.col("run_id").cast("long").alias("seq"), "model_name", "metrics", "parameters", "year")))(_runs(s, d)).select(
+    "run_id", "model_name", F.col("metrics.mae").alias("mae"), "year")
+REGISTRY["M18_champion"] = lambda s, d: evaluate.model_error_band(_predictions(s, d), _runs(s, d), "gbm").select(
+    "schno", "predicted", "sigma", "low_1s", "high_1s", "low_2s", "high_2s")
