@@ -73,7 +73,7 @@ def scenario_profiles(subjects: DataFrame) -> DataFrame:
 
 
 #: Distances up to which each round of the search is complete; from the last one on the similarity is 0.
-RADII = (0.5, 2.0, 5.0, 10.0)
+RADII = (0.5, 3.0, 10.0)
 WIDE = "*"
 
 
@@ -133,10 +133,8 @@ def similar_properties(candidates: DataFrame, subjects: DataFrame, k: int = code
         if radius < RADII[-1]:  # a distance just below the radius may be rounded
             done = met.where(F.col("distance") < radius * (1 - 1e-9)).groupBy("subject_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
             met = met.join(done, "subject_id", "left_semi")
-            open_ = open_.join(done, "subject_id", "left_anti").checkpoint(eager=True)
+            open_ = open_.join(done, "subject_id", "left_anti")
         found = met if found is None else found.unionByName(met)
-        if open_.isEmpty():
-            break
     # of similarity 0: the least ids of the area; k of them are left when the nearer ones and the subject itself go
     least = Window.partitionBy("area").orderBy(*order)
     fill = other.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= 2 * k).drop("rank")
