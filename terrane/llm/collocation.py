@@ -36,7 +36,7 @@ import pyspark
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, by_value, texts
+from terrane.llm.common import Scratch, by_value, release_memory, texts
 
 by_value(__name__)
 
@@ -85,13 +85,17 @@ def words_of(data: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> tuple[pa
     """Distinct words of a buffer of text, the word number of every occurrence, and where a new piece begins."""
     kind = kinds[data]
     inside = kind == 0
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(lower[data[inside]]))
+    marks = np.flatnonzero(kind == 2).astype(np.int32)
+    del kind
+    edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    starts, ends = np.flatnonzero(edge == 1).astype(np.int32), np.flatnonzero(edge == -1).astype(np.int32)
+    del edge
+    piece = np.searchsorted(marks, starts).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(lower[data[inside]]))
+    del starts, ends, inside, offsets
     coded = words.dictionary_encode()
-    return coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int32), np.diff(piece, prepend=piece[:1]) != 0
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int32), np.diff(piece, prepend=piece[:1]) != 0
 
 
 def occurrences(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -117,6 +121,8 @@ def occurrences(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
                          pa.array([np.packbits(breaks).tobytes()])],
                         names=["slice", "lang", "n", "words", "counts", "codes", "breaks"])
                     number += 1
+                del data
+            release_memory()
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang")
     return docs.select(lang, F.col(text_col).alias("text")).mapInArrow(
@@ -188,6 +194,7 @@ def candidates(rel: DataFrame, n_buckets: int) -> DataFrame:
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([batch.column(0)[k].as_py()] * len(rows), pa.int64()),
                      *(pa.array([r[c] for r in rows], pa.binary()) for c in (1, 2, 3))],
                     names=["bucket", "slice", "a", "b", "counts"])
+            release_memory()
 
     return rel.select("slice", "ids", "places", "codes").mapInArrow(
         extend, "bucket long, slice long, a binary, b binary, counts binary")
@@ -216,6 +223,8 @@ def count_bucket(key: tuple, part: pd.DataFrame, least: int) -> pd.DataFrame:
         if len(kept):
             rows.append((s, a[kept], b[kept], of[kept], none))
     out = pd.DataFrame(rows, columns=["slice", "a", "b", "id", "f"])
+    del a, b, counts, order, of
+    release_memory()
     return out.assign(slice=out["slice"].astype("Int64"))
 
 
