@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm.common import by_value, row_id, texts
+from terrane.llm.common import by_value, row_id, texts, tidy
 from terrane.llm.licenses import words_of
 from terrane.llm.packing import slices
 
@@ -214,7 +214,7 @@ def _block_findings(docs: DataFrame, items: list[tuple[str, str]], window: int)
                  pa.array([sorted(windows.items[k] for k in f[2]) for f in found], pa.list_(pa.string()))],
                 names=["row", "n_words", "word_spans", "items"])
 
-    return docs.mapInArrow(scan, f"row {docs.schema['row'].dataType.simpleString()}, {_FOUND}")
+    return docs.mapInArrow(tidy(scan, "decontamination"), f"row {docs.schema['row'].dataType.simpleString()}, {_FOUND}")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",

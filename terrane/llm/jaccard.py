@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, beside, by_value, release_memory, worker_state
+from terrane.llm.common import Scratch, beside, by_value, release_memory, tidy, worker_state
 from terrane.llm.packing import slices
 
 by_value(__name__)
@@ -151,7 +151,7 @@ def set_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     names=["doc_id", "n", "sig"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        sign, f"doc_id {id_type}, n long, sig long")
+        tidy(sign), f"doc_id {id_type}, n long, sig long")
 
 
 def _dealt(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
@@ -194,7 +194,7 @@ def _dealt(docs: DataFrame, n_buckets: int, text_col: str) -> DataFrame:
                                                  names=["bucket", "kind", "sigs", "counts", "tokens"])
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(
-        deal, "bucket long, kind int, sigs binary, counts binary, tokens binary")
+        tidy(deal), "bucket long, kind int, sigs binary, counts binary, tokens binary")
 
 
 def _packed(tokens: np.ndarray) -> bytes:

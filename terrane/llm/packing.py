@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, by_value, worker_state
+from terrane.llm.common import Scratch, by_value, tidy, worker_state
 
 by_value(__name__)
 
@@ -154,7 +154,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     more = ", token_ids array<int>" if with_ids else ""
     return source.mapInArrow(
-        cut, f"doc_id {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long{more}")
+        tidy(cut), f"doc_id {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long{more}")
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, by_value, texts
+from terrane.llm.common import Scratch, by_value, texts, tidy
 from terrane.llm.packing import slices
 
 by_value(__name__)
@@ -180,7 +180,7 @@ def references(docs: DataFrame, common: int = COMMON, text_col: str = "text", la
                      pa.array([f[1] for f in found], pa.int64())], names=["ref", "item", "n"])
 
     counted = (docs.select(lang.alias("ref"), F.col(text_col).alias("text"))
-               .mapInArrow(count, "ref string, item string, n long")
+               .mapInArrow(tidy(count, "quality"), "ref string, item string, n long")
                .groupBy("ref", "item").agg(F.sum("n").alias("n")))
     counted = Scratch(docs.sparkSession, "quality").write(counted, "counts")
     named = counted.where((F.col("item") == "n") & (F.col("ref") != OTHER) & (F.col("n") >= REFERENCE_WORDS)).orderBy(F.desc("n"), "ref").limit(REFERENCES)
@@ -267,6 +267,6 @@ def score_quality(docs: DataFrame, refs: dict, max_char_distance: float = MAX_CH
                 [batch.column(1), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))],
                 names=["row", *names, "base_failed", "kept", "char_distance", "word_distance"])
 
-    return source.mapInArrow(score, f"row {source.schema['row'].dataType.simpleString()}, "
+    return source.mapInArrow(tidy(score, "quality"), f"row {source.schema['row'].dataType.simpleString()}, "
                              + ", ".join(f"{n} long" for n in names)
                              + ", base_failed boolean, kept boolean, char_distance double, word_distance double")
