@@ -287,7 +287,7 @@ def _j4_ties(spark, d):
         .when(F.col("schno").cast("int") % 3 == 0, F.make_date(F.lit(1997), F.lit(1) + F.col("schno").cast("int") % 12, F.lit(9)))
         .otherwise(F.col("tx_date")).alias("tx_date"), "price", (F.col("schno").cast("int") % 3).alias("k"))
     li = read_table(spark, d, "lineitem")
-    right = li.where("l_orderkey % 5 = 0").select(
+    right = li.select(
         (F.col("l_orderkey") % 4).cast("int").alias("k"),
         F.when(F.col("l_orderkey") % 7 != 0, F.col("l_shipdate").cast("date")).alias("date"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), F.col("l_quantity").cast("double").alias("value"))
