@@ -15,7 +15,7 @@ order of their groups, are the leaves of one more tree, whose last node is the r
 Tables hold digests as 32 bytes; hashes are taken of their lower-case hexadecimal text.
 
 Defined results: a null field is hashed as ``-``; a null group is a group of its own and the first; rows of a null id
-come first in their group and are never tampered with in ``manifest``'s trial; rows of one id in a group are ordered by
+come first in their group and are never tampered with in ``tampering_trial``; rows of one id in a group are ordered by
 leaf, equal rows are interchangeable; extra columns are ignored; an empty table gives an empty result.
 """
 
