@@ -1,10 +1,11 @@
 """Rows that larger or odd tables hold: large parcel numbers, parcels without size."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
-from terrane.plans import evaluate, market
+from terrane.plans import evaluate, market, whatif
 from terrane.sources import fixtures as fx
 
 
@@ -29,3 +30,19 @@ def test_comparable_sales_of_size_zero(spark):
     assert sorted((r["subject_id"], r["price"], r["ppsf"]) for r in found if r["ppsf"]) == [("2", 80000, 80.0)]
     assert [(r["subject_id"], r["price"], r["ppsf"]) for r in found if not r["ppsf"]] == [("1", 90000, None)]
     assert [r["ppsf"] for r in market.comparable_sales(parcels, "BRECKENRIDGE", "Other", 1, "2001-08-01").collect()] == [None]
+
+
+def test_similar_properties_begin_with_fine_rounds_where_parcels_are_dense(spark, monkeypatch):
+    """Dense parcels and a crowd of equal ones: whatever the first radius, the same nearest."""
+    rng = random.Random(8)
+    rows = [(str(k), "B", rng.choice([900.0 + rng.randrange(40), 1000.0]), 1990 + rng.randrange(3), 2.0, 1.0, "1230", "FRISCO", 50000.0) for k in range(60)]
+    rows += [(str(k), "B", 1000.0, 1990, 2.0, 1.0, "1230", "FRISCO", 50000.0) for k in range(60, 90)]
+    df = spark.createDataFrame(rows, "schno string, town string, sfla double, year_blt int, beds double, bath_tot double, abst1 string, city string, docfee1 double")
+    subjects = whatif.parcel_profiles(df.where("schno < '4'")).withColumnRenamed("schno", "subject_id")
+    distance = lambda a, b: abs(a[2] - b[2]) / 500 + abs(a[3] - b[3]) / 10
+    want = sorted((s.subject_id, k, b[0]) for s in subjects.collect() for k, (_, _, b) in enumerate(
+        sorted((round(10 * distance(rows[int(s.subject_id)], b), 9), int(b[0]), b) for b in rows if b[0] != s.subject_id)[:3], 1))
+    for most in (1.0, 1e9):
+        monkeypatch.setattr(whatif, "CELL_ROWS", most)
+        got = whatif.similar_properties(df, subjects, leave_out_self=True)
+        assert sorted((r.subject_id, r["rank"], r.schno) for r in got.collect()) == want
