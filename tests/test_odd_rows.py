@@ -46,3 +46,42 @@ def test_similar_properties_begin_with_fine_rounds_where_parcels_are_dense(spark
         monkeypatch.setattr(whatif, "CELL_ROWS", most)
         got = whatif.similar_properties(df, subjects, leave_out_self=True)
         assert sorted((r.subject_id, r["rank"], r.schno) for r in got.collect()) == want
+
+
+def test_costly_rows_are_dealt_over_the_cores(spark):
+    """Few bytes make one partition of a shuffle; pages and model rows go to all cores, small tables stay."""
+    from terrane.operators.spread import LEAST_ROWS, spread
+
+    cores = spark.sparkContext.defaultParallelism
+    parcels = spark.range(1, 400).select(F.col("id").cast("string").alias("schno")).groupBy("schno").agg(F.lit("a").alias("address"))
+    for pages in (fx.detail_pages(parcels), fx.sale_pages(parcels)):
+        assert pages.rdd.getNumPartitions() >= 4 * cores and pages.count() == 399
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 100).rdd.getNumPartitions() == 1 and spread(one, 3 * LEAST_ROWS).rdd.getNumPartitions() == 3
+
+
+def test_leaf_summaries_keep_the_quantiles():
+    """Summaries of any number of batches, merged, give the quantiles of all labels within a thousandth."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    from terrane.plans import models
+
+    rng = np.random.default_rng(3)
+    labels, leaves = rng.normal(size=300_000), rng.integers(0, 2, (300_000, 2))
+
+    def batches(part):
+        for at in np.array_split(part, 7):
+            yield pa.RecordBatch.from_arrays([pa.array(leaves[at].astype(np.float32).tolist(), pa.list_(pa.float32())), pa.array(labels[at])], names=["leaves", "label"])
+
+    tasks = [b.to_pandas() for part in np.array_split(np.arange(300_000), 3) for b in models.leaf_summaries(batches(part))]
+    for key, parts in pd.concat(tasks).groupby(["tree", "leaf"]):
+        own = np.sort(labels[leaves[:, key[0]] == key[1]])
+        assert parts["labels"].map(len).max() <= models.SUMMARY_POINTS and abs(sum(map(sum, parts["weights"])) - len(own)) < 1
+        places = np.searchsorted(own, models.merged_points(key, parts)["points"][0]) / len(own)
+        assert np.abs(places - (np.arange(100) + 0.5) / 100).max() < 2e-3
+    points = np.full((2, 2, 100), np.nan)
+    points[0, 0], points[1, 1] = np.arange(100), np.arange(100, 200)
+    low, high = models.interval_bounds(points, np.array([[0, 1], [0, 0], [1, 0]]), 0.1, 0.9)
+    assert low[:2].tolist() == [19, 9] and high[:2].tolist() == [179, 89] and np.isnan(low[2])
