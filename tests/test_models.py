@@ -3,10 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from terrane.plans import features, models
+from terrane.plans import features, models, trees
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 50, 1000, 1025])
@@ -74,3 +76,50 @@ def test_dependence_follows_the_filtered_rows(spark):
     rows = _rows(spark, 300).withColumn("sfla", F.when(F.col("schno") == "p0", 1e6).otherwise(F.col("sfla")))
     curve = models.filtered_dependence(rows, "sfla", ["sfla", "noise"], resolution=10, trees=5, depth=5).orderBy("value").collect()
     assert len(curve) == 10 and curve[-1].value < 20 and curve[0].average_prediction < curve[-1].average_prediction
+
+
+def test_variants_equal_rows_scored_one_by_one(spark):
+    numeric = ["sfla", "noise"]
+    rows = _rows(spark, 300).withColumn("price", F.col("price") + 9000 * F.col("noise") * F.col("sfla") + F.when(F.col("city") == "A", 70000).otherwise(0))
+    for estimator in (models.gbt(4, 0.3, 4), models.forest(4, 6)):
+        model = models.fit(rows, numeric, estimator)
+        assert any(trees.of_model(model.stages[-1]).categories)  # splits by city are there
+        own = model.transform(models._prepare(rows)).withColumn("x", vector_to_array("features")).toPandas()
+        x, known = np.array(own.x.tolist()), trees.of_model(model.stages[-1])
+        assert np.allclose(known.value[trees.own_leaves(known, x)].sum(axis=1), own.prediction, rtol=1e-12)
+        donors = x[::-1].copy()
+        total, replaced = trees.with_donors(known, x, donors)
+        assert np.allclose(total, own.prediction, rtol=1e-12)
+        for f in range(x.shape[1]):
+            changed = x.copy()
+            changed[:, f] = donors[:, f]
+            assert np.allclose(known.value[trees.own_leaves(known, changed)].sum(axis=1), replaced[:, f], rtol=1e-9)
+        # a row per grid value, scored by Spark
+        got = {r.value: r.average_prediction for r in models.partial_dependence(model, rows, "sfla", 7).collect()}
+        assert len(got) == 7
+        every = rows.drop("sfla").withColumn("sfla", F.explode(F.array(*map(F.lit, got))))
+        want = models.score(model, every, ["sfla"]).groupBy("sfla").agg(F.avg("predicted").alias("p")).collect()
+        assert {round(r.sfla, 9): round(r.p, 3) for r in want} == {round(k, 9): round(v, 3) for k, v in got.items()}
+
+
+def test_attributions_add_up_to_the_prediction_and_make_no_row_per_step(spark):
+    numeric = ["sfla", "noise"]
+    rows = _rows(spark, 200)
+    model = models.fit(rows, numeric, models.gbt(4, 0.3, 4))
+    got = models.shapley_importance(model, rows, rows, numeric, permutations=2)
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    bg = rows.agg(*[F.avg(c).alias(c) for c in numeric]).first()
+    # both orders of two features, by Spark
+    rnd = random.Random(42)
+    orders = [rnd.sample(numeric, 2) for _ in range(2)]
+    kept = [F.lit(bg[c]).alias(c) for c in numeric]
+    at = {}
+    for on in ((), ("sfla",), ("noise",), ("sfla", "noise")):
+        some = rows.select("schno", "city", "prop_type", "price", *[F.col(c) if c in on else k for c, k in zip(numeric, kept, strict=True)])
+        at[frozenset(on)] = np.array([r.predicted for r in models.score(model, some, ["schno"]).orderBy("schno").collect()])
+    phi = dict.fromkeys(numeric, 0.0)
+    for order in orders:
+        for s, c in enumerate(order):
+            phi[c] = phi[c] + (at[frozenset(order[:s + 1])] - at[frozenset(order[:s])]) / 2
+    for r in got.collect():
+        assert abs(r.importance - np.abs(phi[r.feature]).mean()) < 1e-3
