@@ -48,3 +48,14 @@ def test_promotion_history_of_large_parcel_numbers(spark, large_keys):
         best[model] = min(mae, best.get(model, mae))
     assert [w[3] for w in want] == [True, True, True, True, False, False, False]
     assert _rows(spark, large_keys, "M12_history", "run_id", "model_name", "mae", "promoted") == want
+
+
+def test_champions_of_large_parcel_numbers(spark, large_keys):
+    want = {}
+    for run_id, model, mae, r2, _ in _run_log():
+        if model not in want or mae < want[model][2]:
+            want[model] = (model, run_id, mae, r2)
+    assert {m: w[1] for m, w in want.items()} == {"gbm": 4, "price_net_macro": 3}
+    # r2 is rounded to four places
+    assert _rows(spark, large_keys, "M12", "model_name", "run_id", "mae", "r2") == [
+        (m, run_id, pytest.approx(mae, rel=1e-12), pytest.approx(r2, rel=1e-6)) for m, run_id, mae, r2 in sorted(want.values())]
