@@ -59,3 +59,13 @@ def test_champions_of_large_parcel_numbers(spark, large_keys):
     # r2 is rounded to four places
     assert _rows(spark, large_keys, "M12", "model_name", "run_id", "mae", "r2") == [
         (m, run_id, pytest.approx(mae, rel=1e-12), pytest.approx(r2, rel=1e-6)) for m, run_id, mae, r2 in sorted(want.values())]
+
+
+def test_leaderboard_of_large_parcel_numbers(spark, large_keys):
+    log = _run_log()
+    best = min(log, key=lambda r: (r[2], r[0]))[0]
+    # constraints are 1, 0 and year % 3 - 1
+    want = [(run_id, model, pytest.approx(mae, rel=1e-12), r2 and pytest.approx(r2, rel=1e-6), y % 7 * 100, 0.0004, 1 + (y % 3 != 1), run_id == best)
+            for run_id, model, mae, r2, y in log]
+    assert best == 3
+    assert _rows(spark, large_keys, "M13", "run_id", "model_name", "mae", "r2", "epochs", "learning_rate", "active_constraints", "is_best") == want
