@@ -197,10 +197,11 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _FOUND = "n_words long, word_spans array<struct<start: long, end: long>>, items array<string>"
+_DIGESTED = f"n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, {_FOUND.split(', ', 1)[1]}"
 
 
-def _block_findings(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
-    """row, text columns as given; n_words, word_spans, items for one block of the benchmark."""
+def _block_findings(docs: DataFrame, items: list[tuple[str, str]], window: int, digested: bool = False) -> DataFrame:
+    """row, text columns as given; n_words, word_spans, items for one block of the benchmark, or their digests."""
     shared = docs.sparkSession.sparkContext.broadcast(Windows(items, window))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -214,7 +215,10 @@ def _block_findings(docs: DataFrame, items: list[tuple[str, str]], window: int)
                  pa.array([sorted(windows.items[k] for k in f[2]) for f in found], pa.list_(pa.string()))],
                 names=["row", "n_words", "word_spans", "items"])
 
-    return docs.mapInArrow(tidy(scan, "decontamination"), f"row {docs.schema['row'].dataType.simpleString()}, {_FOUND}")
+    row = docs.schema["row"].dataType.simpleString()
+    if digested:  # in the same worker: a second Python step of the task would take a second one
+        return docs.mapInArrow(tidy(lambda batches: _digests(scan(batches)), "decontamination"), f"row {row}, {_DIGESTED}")
+    return docs.mapInArrow(tidy(scan, "decontamination"), f"row {row}, {_FOUND}")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -227,7 +231,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     n_blocks = max(1, math.ceil(size / block_chars))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))
     source = docs.select(row_id(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
-    parts = [_block_findings(source, [(r["item"], r["text"]) for r in items.where(block == k).collect()], window)
+    parts = [_block_findings(source, [(r["item"], r["text"]) for r in items.where(block == k).collect()], window, n_blocks == 1)
              for k in range(n_blocks)]
     found = parts[0]
     if n_blocks > 1:
@@ -238,31 +242,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                                           F.array_sort(F.flatten(F.collect_set("word_spans"))).alias("word_spans"),
                                           F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
         found = source.select("row").join(merged.withColumnRenamed("row", "own"), F.col("row").eqNullSafe(F.col("own")), "left")
-    return _digest(found.select("row", "n_words", "word_spans", "items"), id_col)
+        found = found.select("row", "n_words", "word_spans", "items").mapInArrow(
+            _digests, f"row {source.schema['row'].dataType.simpleString()}, {_DIGESTED}")
+    return found.select(F.col("row.id").alias(id_col), "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                        "word_spans", "items", F.col("row.h").alias("text_hash"))
 
 
-def _digest(found: DataFrame, id_col: str) -> DataFrame:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for n, spans, items in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                spans = _merged([(s["start"], s["end"]) for s in spans])
-                hit = sum(b - a for a, b in spans)
-                out.append((n, hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), hit > 0,
-                            [{"start": a, "end": b} for a, b in spans], items))
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.bool_(), span, pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))],
-                names=["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "word_spans", "items"])
-
-    return found.mapInArrow(
-        digest, f"row {found.schema['row'].dataType.simpleString()}, n_words long, n_hit long, n_items long, "
-                "items_sha256 string, contaminated boolean, word_spans array<struct<start: long, end: long>>, "
-                "items array<string>").select(
-        F.col("row.id").alias(id_col), "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "word_spans",
-        "items", F.col("row.h").alias("text_hash"))
+    for batch in batches:
+        out = []
+        for n, spans, items in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            spans = _merged([(s["start"], s["end"]) for s in spans])
+            hit = sum(b - a for a, b in spans)
+            out.append((n, hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), hit > 0,
+                        [{"start": a, "end": b} for a, b in spans], items))
+        kinds = [pa.int64()] * 3 + [pa.string(), pa.bool_(), span, pa.list_(pa.string())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))],
+            names=["row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "word_spans", "items"])
 
 
 def lower_ascii(text: str) -> str:

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm.common import Scratch, by_value, tidy, worker_state
+from terrane.llm.common import Scratch, arrow_batches, by_value, release_memory, tidy, worker_state
 
 by_value(__name__)
 
@@ -39,7 +39,10 @@ LOOSE = 1 / 64
 #: Shards of the first round that one shard of the second round gathers from.
 MERGE = 64
 #: Cached pre-tokens per worker; when full, what is not cached is computed each time.
-PIECE_CACHE = 300_000
+PIECE_CACHE = 150_000
+#: Bytes of text that a worker encodes at once (a longer text comes alone), and words that it takes from them at once.
+TEXT_BYTES = 4 << 20
+WORDS_AT_ONCE = 1 << 16
 
 # Pre-tokens of a lower-case word of Latin-1 characters: what the tokenizer's own split pattern gives there.
 LATIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
@@ -90,27 +93,39 @@ class WordEncoder:
     def encode_many(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and where each text begins in them.
 
-        Arrow splits the texts and numbers their distinct words; each distinct word is looked up once.
+        Arrow splits the texts and numbers their distinct words; each distinct word is looked up once. Words are taken
+        from Arrow, and ids gathered, so many at a time: beside the ids only a few numbers a word are held.
         """
         odd = pc.fill_null(pc.match_substring_regex(column, UNLIKE_SPACE.pattern), False)
-        words = pc.utf8_split_whitespace(pc.if_else(odd, "", pc.fill_null(column, "")))
-        coded = words.flatten().dictionary_encode()
+        any_odd = pc.any(odd).as_py()
+        plain = pc.fill_null(column, "")
+        words = pc.utf8_split_whitespace(pc.if_else(odd, "", plain) if any_odd else plain)
         begins = words.offsets.to_numpy()
-        distinct = [self.word(w) if w else b"" for w in coded.dictionary.to_pylist()]
-        distinct.append(np.uint32(end_id).tobytes())
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
+        words = words.flatten().dictionary_encode()
+        end, get = len(words.dictionary), self.pieces.get
+        parts, sizes = [], []
+        for k in range(0, end, WORDS_AT_ONCE):
+            found = [get(w) or self.word(w) if w else b"" for w in words.dictionary.slice(k, WORDS_AT_ONCE).to_pylist()]
+            parts.append(b"".join(found))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        flat = np.frombuffer(b"".join([*parts, np.uint32(end_id).tobytes()]), "<u4")
+        size_of = np.concatenate([*sizes, [1]])
+        start_of = np.cumsum(size_of) - size_of
         # the words of each text in turn, its end id after them
-        codes = np.insert(coded.indices.to_numpy(), begins[1:] - begins[0], len(distinct) - 1)
-        ends = np.flatnonzero(codes == len(distinct) - 1)
-        flat, starts = np.frombuffer(b"".join(distinct), "<u4"), np.cumsum(sizes) - sizes
-        size = sizes[codes]
-        stops = np.cumsum(size)
-        ids = flat[np.repeat(starts[codes] - (stops - size), size) + np.arange(stops[-1] if len(stops) else 0)]
-        bounds = np.concatenate([[0], stops[ends]])
-        if pc.any(odd).as_py():
+        codes = np.insert(words.indices.to_numpy(), begins[1:] - begins[0], end)
+        del words, plain, parts
+        stops = np.cumsum(size_of[codes])
+        bounds = np.concatenate([[0], stops[codes == end]])
+        ids = np.empty(bounds[-1], "<u4")
+        for k in range(0, len(codes), WORDS_AT_ONCE):
+            part, upto = codes[k:k + WORDS_AT_ONCE], stops[k:k + WORDS_AT_ONCE]
+            size = size_of[part]
+            first = upto[0] - size[0]
+            ids[first:upto[-1]] = flat[np.repeat(start_of[part] - (upto - size), size) + np.arange(first, upto[-1])]
+        if any_odd:
             each = [ids[bounds[k]:bounds[k + 1]] for k in range(len(column))]
             for k in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
-                each[k] = np.frombuffer(self.encode(column[k].as_py()) + distinct[-1], "<u4")
+                each[k] = np.frombuffer(self.encode(column[k].as_py()) + np.uint32(end_id).tobytes(), "<u4")
             ids, bounds = np.concatenate(each), np.cumsum([0, *map(len, each)])
         return ids, bounds
 
@@ -131,26 +146,30 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     id_type = docs.schema[id_col].dataType
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
+    def pieces_of(encoder: WordEncoder, batch: pa.RecordBatch) -> pa.RecordBatch:
+        flat, bounds = encoder.encode_many(batch.column(1), end_id)
+        sizes = np.diff(bounds)
+        n_pieces = -(-sizes // capacity)
+        row = np.repeat(np.arange(len(sizes)), n_pieces)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+        start = piece * capacity
+        length = np.minimum(capacity, sizes[row] - start)
+        at, raw = (bounds[row] + start) * 4, memoryview(flat).cast("B")
+        crc = [zlib.crc32(raw[a:a + 4 * n]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+        out = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
+               pa.array(length), pa.array(crc, pa.int64())]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        if with_ids:  # pieces lie one after the other in the flat ids
+            cuts = pa.array(np.concatenate([at // 4, [len(flat)]]).astype(np.int32))
+            out.append(pa.ListArray.from_arrays(cuts, pa.array(flat.astype(np.int32))))
+            names.append("token_ids")
+        return pa.RecordBatch.from_arrays(out, names=names)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state(f"encoder_{abs(hash(tokenizer_path))}", lambda: WordEncoder(tokenizer_path))
-        for batch in (part for whole in batches for part in slices(whole, 1)):
-            flat, bounds = encoder.encode_many(batch.column(1), end_id)
-            sizes = np.diff(bounds)
-            n_pieces = -(-sizes // capacity)
-            row = np.repeat(np.arange(len(sizes)), n_pieces)
-            piece = np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
-            start = piece * capacity
-            length = np.minimum(capacity, sizes[row] - start)
-            at, raw = (bounds[row] + start) * 4, memoryview(flat.astype("<u4").tobytes())
-            crc = [zlib.crc32(raw[a:a + 4 * n]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
-            out = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
-                   pa.array(length), pa.array(crc, pa.int64())]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:  # pieces lie one after the other in the flat ids
-                cuts = pa.array(np.concatenate([at // 4, [len(flat)]]).astype(np.int32))
-                out.append(pa.ListArray.from_arrays(cuts, pa.array(flat.astype(np.int32))))
-                names.append("token_ids")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+        for batch in (part for whole in batches for part in slices(whole, 1, TEXT_BYTES)):
+            yield pieces_of(encoder, batch)
+            release_memory()
 
     more = ", token_ids array<int>" if with_ids else ""
     return source.mapInArrow(
@@ -215,7 +234,8 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY
     Even numbers name sequences of the first round, odd ones those of the second.
     """
     scratch = Scratch(spark, "packing")
-    pieces = scratch.write(pieces, "pieces")
+    with arrow_batches(spark, TEXT_BYTES):
+        pieces = scratch.write(pieces, "pieces")
     n_shards = max(1, math.ceil(pieces.count() / shard_pieces))
     if n_shards == 1:
         return _pack_shards(pieces, 1, capacity, 0, 0).withColumn("sequence_id", F.col("sequence_id") * 2).drop("loose")

@@ -294,3 +294,24 @@ def test_pipeline_stages_on_edge_rows(spark):
             assert len(got) == 6
         if name == "best-fit packing":
             assert len(got) == 6
+
+
+def test_a_task_of_decontamination_takes_one_python_worker(spark):
+    """Workers stay beside the executor's heap after their task, so a second Python step of a task costs the next stages."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, "x"), (None, None)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("q", "b c d e f g h i j k")], "item_id string, text string")
+    found = decontaminate.find_contamination(docs, benchmark)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    blocks = decontaminate.find_contamination(docs, benchmark.unionByName(benchmark.selectExpr("'r' AS item_id", "'x' AS text")),
+                                              block_chars=4)
+    want = {1: (12, 10, ["q"]), 2: (1, 0, []), None: (0, 0, [])}
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in found.collect()} == want
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in blocks.collect()} == want | {2: (1, 1, ["r"])}
+
+
+def test_packing_leaves_the_sessions_settings(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert packing.pack_documents(docs, queries.tokenizer_path("word_bpe_49k.json")).count() == 2
+    assert spark.conf.get(name, None) == before

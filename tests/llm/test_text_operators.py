@@ -522,3 +522,20 @@ def test_sibling_articles_and_names_of_containers(spark):
     got = {r["page_id"]: r["text"] for r in extraction.extract_main_text(table, weights).collect()}
     assert got[0].count("first") == got[0].count("second") == 1 and "imprint" not in got[0] and "Home" not in got[0]
     assert got[1].split() == words.split() and "head" in got[2] and "tail" in got[2]
+
+
+def test_encoding_holds_little_beside_the_ids():
+    """Workers of a stage run beside the executor's heap: what they hold a word and a token must stay small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    encoder = packing.WordEncoder(WORDS)
+    texts = pa.array(["the of and to a " * 4000] * 16)  # 1 MB, 320,000 words
+    encoder.encode_many(texts.slice(0, 1), 0)
+    tracemalloc.start()
+    ids, _ = encoder.encode_many(texts, 0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == 16 * 20_001
+    assert most < 28 * len(ids)
