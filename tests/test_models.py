@@ -123,3 +123,16 @@ def test_attributions_add_up_to_the_prediction_and_make_no_row_per_step(spark):
             phi[c] = phi[c] + (at[frozenset(order[:s + 1])] - at[frozenset(order[:s])]) / 2
     for r in got.collect():
         assert abs(r.importance - np.abs(phi[r.feature]).mean()) < 1e-3
+
+
+@pytest.mark.parametrize("busy", [1, 100_000])
+def test_settings_fitted_at_once_equal_those_fitted_alone(spark, monkeypatch, busy):
+    monkeypatch.setattr(models, "BUSY_ROWS", busy)  # one after the other, and all at once
+    rows = _rows(spark, 300).withColumn("tx_date", F.date_add(F.lit("2020-01-01").cast("date"), F.substring("schno", 2, 9).cast("int"))).coalesce(1)
+    grid = [{"maxIter": 2, "maxDepth": 2, "stepSize": 0.3}, {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1}, {"maxIter": 1, "maxDepth": 1, "stepSize": 0.1}]
+    order = ["tx_date", "schno", "price"]
+    got = models.parameter_sweep(rows, ["sfla", "noise"], grid, order).collect()
+    assert [(r.setting, r.params) for r in got] == [(i, str(sorted(g.items()))) for i, g in enumerate(grid)]
+    for g, r in zip(grid, got, strict=True):
+        alone = models.train_and_score(rows, ["sfla", "noise"], models.gbt(g["maxIter"], g["stepSize"], g["maxDepth"]), order).collect()
+        assert math.isclose(r.mae, sum(abs(a.actual - a.predicted) for a in alone) / len(alone), rel_tol=1e-6)
