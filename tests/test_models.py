@@ -125,6 +125,27 @@ def test_attributions_add_up_to_the_prediction_and_make_no_row_per_step(spark):
         assert abs(r.importance - np.abs(phi[r.feature]).mean()) < 1e-3
 
 
+def test_registered_queries_have_the_whole_settings(spark, monkeypatch):
+    """The reference's sweep of five settings, 300 trees a fold of the backtest, and eight orders over the predictions of
+    300 trees: no registered parameter leaves out a part."""
+    from terrane.plans import registry
+
+    rows = _rows(spark, 100)
+    monkeypatch.setattr(registry, "_model_rows", lambda s, d: rows)
+    seen = {}
+    monkeypatch.setattr(models, "parameter_sweep", lambda rows, numeric, grid, order: seen.update(sweep=[(g["stepSize"], g["maxIter"], g["maxDepth"]) for g in grid]))
+    monkeypatch.setattr(models, "backtest", lambda scored: scored)
+    monkeypatch.setattr(models, "backtest_scores", lambda rows, numeric, factory: seen.update(fold=factory()))
+    monkeypatch.setattr(models, "fit", lambda train, numeric, estimator: estimator)
+    monkeypatch.setattr(models, "shapley_importance", lambda model, *a, permutations=8, sample_fraction=1.0, **k: seen.update(explained=model, orders=permutations, share=sample_fraction))
+    for key in ("M10", "M9", "M5"):
+        registry.REGISTRY[key](spark, "")
+    assert seen["sweep"] == [(0.01, 1000, 5), (0.01, 2000, 6), (0.05, 500, 8), (0.02, 1500, 7), (0.1, 300, 5)]
+    for model in (seen["fold"], seen["explained"]):
+        assert (model.getMaxIter(), model.getStepSize(), model.getMaxDepth()) == (300, 0.05, 5)
+    assert (seen["orders"], seen["share"]) == (8, 1.0)
+
+
 @pytest.mark.parametrize("busy", [1, 100_000])
 def test_settings_fitted_at_once_equal_those_fitted_alone(spark, monkeypatch, busy):
     monkeypatch.setattr(models, "BUSY_ROWS", busy)  # one after the other, and all at once
@@ -136,3 +157,13 @@ def test_settings_fitted_at_once_equal_those_fitted_alone(spark, monkeypatch, bu
     for g, r in zip(grid, got, strict=True):
         alone = models.train_and_score(rows, ["sfla", "noise"], models.gbt(g["maxIter"], g["stepSize"], g["maxDepth"]), order).collect()
         assert math.isclose(r.mae, sum(abs(a.actual - a.predicted) for a in alone) / len(alone), rel_tol=1e-6)
+
+
+def test_folds_fitted_at_once_equal_those_fitted_alone(spark, monkeypatch):
+    rows = _rows(spark).withColumn("tx_date", F.date_sub(F.lit("2020-12-31").cast("date"), (F.substring("schno", 2, 9).cast("int") * 3))).coalesce(1)
+    found = []
+    for busy in (1, 100_000):
+        monkeypatch.setattr(models, "BUSY_ROWS", busy)
+        scored = models.backtest_scores(rows, ["sfla"], lambda: models.gbt(max_iter=2, depth=3))
+        found.append(sorted((r.fold, r.actual, round(r.predicted, 4)) for r in scored.collect()))
+    assert found[0] == found[1] and found[0]
