@@ -38,6 +38,17 @@ def test_importance_finds_the_feature_and_ignores_partitioning(spark):
     assert first == other and len(first) == 10
 
 
+def test_importance_of_a_feature_that_does_not_vary(spark):
+    """A distance that is 0 for every row, as on dense tables: no correlation and no importance, but no error."""
+    rows = _rows(spark).withColumns({"flat": F.lit(0.0), "some": F.when(F.col("noise") > 5, F.col("noise"))})
+    got = {r.feature: r for r in models.permutation_importance(rows, ["sfla", "flat", "some"], ["schno"], trees=3, depth=3).collect()}
+    assert (got["flat"].correlation, got["flat"].importance, got["flat"].std) == (None, 0.0, 0.0) and got["sfla"].correlation > 0.99
+    both = [(r.some, r.price) for r in rows.collect() if r.some is not None]
+    assert math.isclose(got["some"].correlation, np.corrcoef(np.array(both).T)[0, 1], abs_tol=1e-9)
+    same = models.permutation_importance(rows.withColumn("price", F.lit(5.0)), ["sfla", "flat"], ["schno"], trees=3, depth=3).collect()
+    assert [(r.importance, r.correlation) for r in same] == [(None, None)] * 2
+
+
 def test_intervals_cover_about_the_asked_share_and_keep_every_row(spark):
     rng = random.Random(5)
     data = [(f"p{k}", x := rng.uniform(0, 4), rng.choice(["A", "B"]), "X", 1e5 * math.exp(x / 2 + rng.gauss(0, 0.3))) for k in range(3000)]
